@@ -135,3 +135,170 @@ def q_features_train(spark, sf_dir):
 def q_features_production(spark, sf_dir):
     """Production feature table: no targets, every row kept."""
     return out(features_table(spark, sf_dir, False), coarse=STD_COLS)
+
+
+# --------------------------------------------------------------------------
+# Scans, landing, dedupe, pivot, incremental ingest
+# --------------------------------------------------------------------------
+from seriesforge.operators import ingest as IN  # noqa: E402
+
+# The five series types of the raw long table after F1.
+RAW_TYPES = ["1-urgent", "2-high", "3-medium", "4-not specified", "5-low"]
+UPSERT_CUT = "1998-06-30"
+AS_OF = "2001-08-02"
+
+
+@query("s1_parquet_scan", "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date, o_orderpriority, "
+       + V.r("o_totalprice", "o_totalprice") + " FROM orders")
+def q_scan(spark, sf_dir):
+    """Typed scan, NaN -> NULL, only the projected columns are read."""
+    o = T.read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice"])
+    return out(o.select("o_orderkey", F.to_date("o_orderdate").alias("order_date"),
+                        "o_orderpriority", "o_totalprice"))
+
+
+@query("s2_i1_high_water_mark", V.with_(V.RAW_LONG) +
+       "SELECT type, max(date_query) AS last_date FROM raw_long GROUP BY type")
+def q_high_water(spark, sf_dir):
+    """S2 + I1: last stored date per type, reading one column (plus key)."""
+    return IN.high_water_mark(T.raw_long(spark, sf_dir), "date_query", ["type"], "2010-01-01")
+
+
+def _row_payloads(raw: DataFrame) -> DataFrame:
+    """One JSON array per raw row: the observation (type upper-cased, value as
+    a JSON number) plus an object without a type that landing must skip."""
+    item = F.struct(F.upper("type").alias("type"), F.col("daily_accumulation").alias("daily_Accumulation"))
+    junk = F.struct(F.lit(None).cast("string").alias("type"), F.lit(1.0).alias("daily_Accumulation"))
+    return raw.select("date_query", "ingest_seq", F.to_json(F.array(item, junk)).alias("payload"))
+
+
+@query("s3_row_json_landing", V.with_(V.RAW_LONG) +
+       "SELECT date_query, type, " + V.r("daily_accumulation", "daily_accumulation") + ", ingest_seq FROM raw_long")
+def q_row_json(spark, sf_dir):
+    """S3: JSON arrays of {type, daily_Accumulation} -> long rows."""
+    return out(IN.land_row_json(_row_payloads(T.raw_long(spark, sf_dir))))
+
+
+def _columnar_payloads(exog: DataFrame) -> DataFrame:
+    """One {"daily": {"time": [...], <var>: [...]}} document per month (at
+    most 31 entries: a calendar bound, not a data bound)."""
+    wc = WEATHER_COLUMNS
+    g = (exog.groupBy(F.date_format("date", "yyyy-MM").alias("month"))
+         .agg(F.array_sort(F.collect_list(F.struct("date", *wc))).alias("rows")))
+    def field(c):
+        return lambda r: r[c]
+    daily = F.struct(F.transform("rows", lambda r: F.date_format(r["date"], "yyyy-MM-dd")).alias("time"),
+                     *[F.transform("rows", field(c)).alias(c) for c in wc])
+    return g.select("month", F.to_json(F.struct(daily.alias("daily"))).alias("payload"))
+
+
+@query("s4_columnar_json_landing", V.with_(V.EXOG_DAILY) + "SELECT date, " +
+       ", ".join(V.r(c, c) for c in WEATHER_COLUMNS) + " FROM exog_daily")
+def q_columnar_json(spark, sf_dir):
+    """Columnar JSON documents -> one row per day."""
+    docs = _columnar_payloads(T.exog_daily(spark, sf_dir))
+    return out(IN.land_columnar_json(docs, WEATHER_COLUMNS))
+
+
+@query("w10_u2_keep_last", V.with_(V.RAW_LONG) +
+       "SELECT date_query, type, " + V.r("arg_max(daily_accumulation, ingest_seq)", "daily_accumulation") +
+       ", max(ingest_seq) AS ingest_seq FROM raw_long GROUP BY date_query, type")
+def q_keep_last(spark, sf_dir):
+    """Latest row per (date, type) by ingest sequence."""
+    return out(IN.keep_last(T.raw_long(spark, sf_dir), ["date_query", "type"], "ingest_seq"))
+
+
+def _pivot_sql(cols_wanted=None) -> str:
+    norm = [t.replace(" ", "_") for t in RAW_TYPES]
+    wanted = cols_wanted or norm
+    piv = ", ".join(V.r(f"max(CASE WHEN type = '{n}' THEN value END)", f'"{n}"') for n in norm if n in wanted)
+    return (V.with_(V.RAW_LONG, """dedup AS (
+  SELECT date_query AS date, replace(lower(type), ' ', '_') AS type,
+         arg_max(daily_accumulation, ingest_seq) AS value
+  FROM raw_long WHERE date_query IS NOT NULL AND type IS NOT NULL AND daily_accumulation IS NOT NULL
+  GROUP BY 1, 2)""") + f"SELECT date, {piv} FROM dedup GROUP BY date")
+
+
+@query("a1_pivot_wide", _pivot_sql())
+def q_pivot(spark, sf_dir):
+    """Long -> wide with a fixed value list."""
+    return out(IN.pivot_wide(T.raw_long(spark, sf_dir), RAW_TYPES))
+
+
+@query("p1_select_available", _pivot_sql(["1-urgent", "3-medium", "5-low"]))
+def q_select_available(spark, sf_dir):
+    """Keep the expected columns that exist (one expected column is
+    absent and only reported), the target is required."""
+    wide = IN.pivot_wide(T.raw_long(spark, sf_dir), RAW_TYPES)
+    sel, missing = IN.select_available(wide, ["1-urgent", "3-medium", "9-absent", "5-low"],
+                                       required=["1-urgent"])
+    assert missing == ["9-absent"]
+    return out(sel)
+
+
+def _upsert_parts(spark, sf_dir):
+    raw = T.raw_long(spark, sf_dir)
+    old = raw.where(F.col("date_query") < F.lit(UPSERT_CUT).cast("date"))
+    new = (raw.where(F.col("date_query") >= F.date_sub(F.lit(UPSERT_CUT).cast("date"), 30))
+           .select("date_query", "type",
+                   F.round(F.col("daily_accumulation").cast("decimal(18,2)") * F.lit(1.01).cast("decimal(3,2)"),
+                           2).cast("double").alias("daily_accumulation"),
+                   (F.col("ingest_seq") + F.lit(10 ** 12)).alias("ingest_seq")))
+    return old, new
+
+
+_UPSERT_SQL = V.with_(V.RAW_LONG, f"""old AS (SELECT * FROM raw_long WHERE date_query < DATE '{UPSERT_CUT}')""",
+                      f"""new AS (SELECT date_query, type, CAST(round(CAST(daily_accumulation AS DECIMAL(18,2)) * 1.01, 2) AS DOUBLE) AS daily_accumulation,
+  ingest_seq + 1000000000000 AS ingest_seq FROM raw_long WHERE date_query >= DATE '{UPSERT_CUT}' - INTERVAL 30 DAY)""",
+                      "u AS (SELECT * FROM old UNION ALL SELECT * FROM new)")
+
+
+@query("i3_u1_upsert", _UPSERT_SQL + "SELECT date_query, type, " +
+       V.r("arg_max(daily_accumulation, ingest_seq)", "daily_accumulation") +
+       ", max(ingest_seq) AS ingest_seq FROM u GROUP BY date_query, type")
+def q_upsert(spark, sf_dir):
+    """Old union new batch (30 overlapping days, revised values), the
+    latest record per key wins."""
+    old, new = _upsert_parts(spark, sf_dir)
+    return out(IN.upsert(old, new, ["date_query", "type"], "ingest_seq"))
+
+
+@query("i2_delta_after_mark", V.with_(V.RAW_LONG, f"old AS (SELECT * FROM raw_long WHERE date_query < DATE '{UPSERT_CUT}')")
+       + "SELECT date_query, type, " + V.r("daily_accumulation", "daily_accumulation") + ", ingest_seq FROM raw_long "
+       f"WHERE date_query > (SELECT max(date_query) FROM old) AND date_query <= DATE '{AS_OF}'")
+def q_delta(spark, sf_dir):
+    """Rows after the stored high-water mark, up to the end date. The mark
+    is a scalar subquery, so no join is planned."""
+    raw = T.raw_long(spark, sf_dir)
+    old = raw.where(F.col("date_query") < F.lit(UPSERT_CUT).cast("date"))
+    mark = old.agg(F.max("date_query")).scalar()
+    return out(IN.delta_after(raw, "date_query", mark, F.lit(AS_OF).cast("date")))
+
+
+@query("i4_freshness", V.with_(V.RAW_LONG, V.EXOG_DAILY) + f"""
+SELECT stage, last_date, CAST(DATE '{AS_OF}' - INTERVAL 1 DAY AS DATE) AS expected,
+       CAST(coalesce(last_date <> CAST(DATE '{AS_OF}' - INTERVAL 1 DAY AS DATE), true) AS BIGINT) AS stale
+FROM (SELECT 'raw' AS stage, max(date_query) AS last_date FROM raw_long
+      UNION ALL SELECT 'exogenous', max(date) FROM exog_daily)""")
+def q_freshness(spark, sf_dir):
+    """I4: is the last stored date of each stage the day before ``as_of``."""
+    raw = T.raw_long(spark, sf_dir).withColumnRenamed("date_query", "date")
+    return out(IN.freshness({"raw": raw, "exogenous": T.exog_daily(spark, sf_dir)}, "date", AS_OF))
+
+
+@query("j1_base_join", V.with_(V.DAILY_PANEL_X, V.EXOG_DAILY) + "SELECT p.series_id, p.date, " + V.r("p.y", "y") + ", " +
+       ", ".join(V.r(f"e.{c}", c) for c in WEATHER_COLUMNS) + " FROM daily_panel p JOIN exog_daily e USING (date)")
+def q_base_join(spark, sf_dir):
+    """Panel inner-joined with the per-date exogenous table."""
+    return out(T.base_panel(spark, sf_dir, exact=True))
+
+
+@query("d8_hourly_to_daily", V.with_(V.HOURLY) + "SELECT CAST(hour_ts AS DATE) AS date, "
+       "CAST(sum(n_events) AS BIGINT) AS n_events, " + V.r("sum(CAST(value_sum AS DECIMAL(18,2)))", "value_sum") +
+       " FROM hourly GROUP BY 1")
+def q_hourly_daily(spark, sf_dir):
+    """Hourly readings summed to days."""
+    h = T.hourly(spark, sf_dir)
+    return out(h.groupBy(F.to_date("hour_ts").alias("date"))
+               .agg(F.sum("n_events").alias("n_events"),
+                    F.sum(F.col("value_sum").cast("decimal(18,2)")).alias("value_sum")))
