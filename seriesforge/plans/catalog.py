@@ -302,3 +302,368 @@ def q_hourly_daily(spark, sf_dir):
     return out(h.groupBy(F.to_date("hour_ts").alias("date"))
                .agg(F.sum("n_events").alias("n_events"),
                     F.sum(F.col("value_sum").cast("decimal(18,2)")).alias("value_sum")))
+
+
+# --------------------------------------------------------------------------
+# Calendar, scalar functions
+# --------------------------------------------------------------------------
+from seriesforge.functions import calendar as CAL  # noqa: E402
+from seriesforge.functions import scalar as S  # noqa: E402
+
+
+@query("c1_holiday_calendar", V.with_(V.DAILY_PANEL_X, V.holidays_sql("daily_panel")) + "SELECT date, name FROM holidays")
+def q_holidays(spark, sf_dir):
+    """National holidays for the data's years (plus one on each side)."""
+    return CAL.holiday_calendar(CAL.years_of(T.daily_panel(spark, sf_dir), "date"))
+
+
+@query("j4_j5_holiday_flags", V.with_(V.DAILY_SINGLE_X, V.holidays_sql("daily_single")) +
+       "SELECT d.date, CAST(coalesce(c.is_holiday, 0) AS BIGINT) AS is_holiday, "
+       "CAST(coalesce(c.is_bridge_day, 0) AS BIGINT) AS is_bridge_day FROM daily_single d LEFT JOIN cal_flags c USING (date)")
+def q_holiday_flags(spark, sf_dir):
+    """Holiday and bridge-day flags by one broadcast lookup."""
+    d = T.daily_single(spark, sf_dir, exact=True)
+    return out(CAL.holiday_flags(d, "date").select("date", "is_holiday", "is_bridge_day"))
+
+
+@query("c2_date_spine", V.with_(V.DAILY_PANEL_X) +
+       "SELECT series_id, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date "
+       "FROM daily_panel GROUP BY series_id")
+def q_spine(spark, sf_dir):
+    """Inclusive daily spine per series."""
+    p = T.daily_panel(spark, sf_dir)
+    b = p.groupBy("series_id").agg(F.min("date").alias("start"), F.max("date").alias("end"))
+    return CAL.date_spine(b)
+
+
+_WD = "(isodow(date) - 1)"
+
+
+@query("f3_f5_calendar_parts", V.with_(V.DAILY_SINGLE_X) + f"""SELECT date, CAST(year(date) AS BIGINT) AS year,
+  CAST(month(date) AS BIGINT) AS month, CAST({_WD} AS BIGINT) AS weekday, dayname(date) AS day_name,
+  CAST({_WD} >= 5 AS BIGINT) AS is_weekend,
+  {V.r(f"sin(6.283185307179586 * {_WD} / 7.0)", "weekday_sin")}, {V.r(f"cos(6.283185307179586 * {_WD} / 7.0)", "weekday_cos")},
+  {V.r("sin(6.283185307179586 * month(date) / 12.0)", "month_sin")}, {V.r("cos(6.283185307179586 * month(date) / 12.0)", "month_cos")}
+FROM daily_single""")
+def q_calendar_parts(spark, sf_dir):
+    """F3/F4/F5 (T8: Monday = 0)."""
+    d = T.daily_single(spark, sf_dir)
+    wd = S.weekday0("date")
+    return out(d.select("date", F.year("date").alias("year"), F.month("date").alias("month"), wd.alias("weekday"),
+                        S.day_name("date").alias("day_name"), S.is_weekend("date").alias("is_weekend"),
+                        S.cyclic_sin(wd, 7).alias("weekday_sin"), S.cyclic_cos(wd, 7).alias("weekday_cos"),
+                        S.cyclic_sin(F.month("date"), 12).alias("month_sin"),
+                        S.cyclic_cos(F.month("date"), 12).alias("month_cos")))
+
+
+@query("f7_f8_f12_p8_exog_scalars", V.with_(V.EXOG_DAILY) + f"""SELECT date,
+  CAST(coalesce(precipitation_sum > 1, false) AS BIGINT) AS rain_flag,
+  CASE WHEN coalesce(precipitation_sum, 0) > 5 THEN 'Rain' WHEN coalesce(precipitation_sum, 0) > 0 THEN 'Clouds' ELSE 'Clear' END AS condition,
+  {V.r("temperature_2m_mean * temperature_2m_mean", "temp_squared")},
+  {V.r("temperature_2m_mean * CAST(coalesce(precipitation_sum > 1, false) AS INTEGER)", "temp_x_rain")},
+  {V.r("temperature_2m_mean * relative_humidity_2m_mean", "temp_x_humidity")},
+  {V.r("temperature_2m_mean * wind_speed_10m_mean", "temp_x_wind")},
+  {V.r("CASE WHEN temperature_2m_min - 5.0 < 0 THEN 0 ELSE temperature_2m_min - 5.0 END", "clipped_min")}
+FROM exog_daily""")
+def q_exog_scalars(spark, sf_dir):
+    """F7 products, F8 rain flag (T9), F12 condition text, P8 clip."""
+    e = T.exog_daily(spark, sf_dir)
+    t = F.col("temperature_2m_mean")
+    rf = S.flag_gt("precipitation_sum", 1.0)
+    return out(e.select("date", rf.alias("rain_flag"), S.weather_condition("precipitation_sum").alias("condition"),
+                        (t * t).alias("temp_squared"), (t * rf).alias("temp_x_rain"),
+                        (t * F.col("relative_humidity_2m_mean")).alias("temp_x_humidity"),
+                        (t * F.col("wind_speed_10m_mean")).alias("temp_x_wind"),
+                        S.clip_lower(F.col("temperature_2m_min") - F.lit(5.0), 0).alias("clipped_min")))
+
+
+@query("f16_f17_time_and_json", """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text,
+  strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour_text,
+  CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
+def q_time_json(spark, sf_dir):
+    """F16 ISO text -> timestamp -> hour; F17 JSON field extraction."""
+    e = T.read_table(spark, sf_dir, "events", ["event_id", "ts", "props"])
+    txt = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    parsed = F.to_timestamp_ntz(txt, F.lit("yyyy-MM-dd HH:mm:ss"))
+    return e.select("event_id", txt.alias("ts_text"),
+                    F.date_format(F.date_trunc("hour", parsed), "yyyy-MM-dd HH:mm:ss").alias("hour_text"),
+                    F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+@query("w7_centred_moving_averages", V.with_(V.DAILY_SINGLE_X) + "SELECT series_id, date, " + V.r("y", "y") + ", " +
+       V.r(V.guarded("avg", "y", 30, lo=-15, hi=14), "ma_30") + ", " +
+       V.r(V.guarded("avg", "y", 365, lo=-182, hi=182), "ma_365") + " FROM daily_single")
+def q_moving_avg(spark, sf_dir):
+    """Centred 30- and 365-row means (all rows present)."""
+    return out(FE.moving_averages(T.daily_single(spark, sf_dir, exact=True), PANEL))
+
+
+# --------------------------------------------------------------------------
+# Profiling (per series)
+# --------------------------------------------------------------------------
+from seriesforge.operators import profile as PR  # noqa: E402
+from seriesforge.operators import quality as QU  # noqa: E402
+
+
+def _panel(spark, sf_dir):
+    return T.daily_panel(spark, sf_dir, exact=True)
+
+
+def _mean_sql(expr: str, cond: str | None = None) -> str:
+    f = f" FILTER (WHERE {cond})" if cond else ""
+    return f"CAST(sum({expr}){f} AS DOUBLE) / count({expr}){f}"
+
+
+@query("a2_year_month_pivot", V.with_(V.DAILY_PANEL_X) + "SELECT series_id, CAST(year(date) AS BIGINT) AS year, " +
+       ", ".join(V.r(_mean_sql("y", f"month(date) = {m}"), f"m{m:02d}") for m in range(1, 13)) +
+       " FROM daily_panel GROUP BY 1, 2")
+def q_year_month(spark, sf_dir):
+    """A2: year x month mean."""
+    return out(PR.year_month_pivot(_panel(spark, sf_dir), PANEL))
+
+
+@query("a3_yearly_stats", V.with_(V.DAILY_PANEL_X) + "SELECT series_id, CAST(year(date) AS BIGINT) AS year, " +
+       V.r(_mean_sql("y"), "mean") + ", " + V.r("stddev_samp(y)", "std", 2) + ", " + V.r("min(y)", "min") + ", " +
+       V.r("max(y)", "max") + ", count(y) AS count FROM daily_panel GROUP BY 1, 2")
+def q_yearly(spark, sf_dir):
+    """A3"""
+    return out(PR.yearly_stats(_panel(spark, sf_dir), PANEL), coarse=["std"])
+
+
+@query("a4_monthly_means", V.with_(V.DAILY_PANEL_X) + "SELECT series_id, CAST(month(date) AS BIGINT) AS month, " +
+       V.r(_mean_sql("y"), "mean") + " FROM daily_panel GROUP BY 1, 2 ORDER BY series_id, mean DESC")
+def q_monthly(spark, sf_dir):
+    """A4"""
+    return out(PR.monthly_means(_panel(spark, sf_dir), PANEL))
+
+
+@query("a5_weekday_profile", V.with_(V.DAILY_PANEL_X) + f"SELECT series_id, CAST({_WD} AS BIGINT) AS weekday, "
+       "dayname(date) AS day_name, " + V.r(_mean_sql("y"), "mean") + ", " + V.r("stddev_samp(y)", "std", 2) +
+       ", count(y) AS count FROM daily_panel GROUP BY 1, 2, 3")
+def q_weekday(spark, sf_dir):
+    """A5: Monday first."""
+    return out(PR.weekday_profile(_panel(spark, sf_dir), PANEL), coarse=["std"])
+
+
+@query("a6_weekend_effect", V.with_(V.DAILY_PANEL_X) + "SELECT series_id, " +
+       V.r(_mean_sql("y", f"{_WD} < 5"), "weekday_mean") + ", " + V.r(_mean_sql("y", f"{_WD} >= 5"), "weekend_mean") +
+       ", " + V.r(f"({_mean_sql('y', f'{_WD} < 5')} - {_mean_sql('y', f'{_WD} >= 5')}) / ({_mean_sql('y', f'{_WD} < 5')}) * 100.0",
+                  "weekend_reduction_pct") + " FROM daily_panel GROUP BY 1")
+def q_weekend(spark, sf_dir):
+    """A6"""
+    return out(PR.weekend_effect(_panel(spark, sf_dir), PANEL))
+
+
+@query("a7_scalar_profile", V.with_(V.DAILY_PANEL_X, """s AS (SELECT series_id,
+  CAST(sum(y) AS DOUBLE) / count(y) AS mean, quantile_cont(CAST(y AS DOUBLE), 0.5) AS median,
+  stddev_samp(y) AS std, CAST(min(y) AS DOUBLE) AS min, CAST(max(y) AS DOUBLE) AS max, count(y) AS count
+  FROM daily_panel GROUP BY 1)""") + "SELECT series_id, " + ", ".join(
+    [V.r("mean", "mean"), V.r("median", "median"), V.r("std", "std", 2), V.r("min", "min"), V.r("max", "max"),
+     "count", V.r("max - min", "range"), V.r("std / mean * 100.0", "cv_pct"), V.r("min / mean - 1.0", "min_rel"),
+     V.r("max / mean - 1.0", "max_rel")]) + " FROM s")
+def q_scalar_profile(spark, sf_dir):
+    """One aggregation per series."""
+    return out(PR.scalar_profile(_panel(spark, sf_dir), PANEL), coarse=["std"])
+
+
+_DESCRIBE_COLS = ["y"] + WEATHER_COLUMNS
+
+
+@query("a8_describe", V.with_(V.DAILY_PANEL_X, V.EXOG_DAILY, "b AS (SELECT p.series_id, p.date, p.y, e.* EXCLUDE (date) "
+       "FROM daily_panel p JOIN exog_daily e USING (date))",
+       "l AS (" + " UNION ALL ".join(f"SELECT series_id, '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM b"
+                                     for c in _DESCRIBE_COLS) + ")") +
+       'SELECT series_id, "column", count(value) AS count, ' + ", ".join(
+           [V.r("avg(value)", "mean"), V.r("stddev_samp(value)", "std", 2), V.r("min(value)", "min"),
+            V.r("quantile_cont(value, 0.25)", "p25"), V.r("quantile_cont(value, 0.5)", "p50"),
+            V.r("quantile_cont(value, 0.75)", "p75"), V.r("max(value)", "max")]) + ' FROM l GROUP BY 1, 2')
+def q_describe(spark, sf_dir):
+    """describe() of the numeric columns of the base table, per series."""
+    return out(PR.describe(T.base_panel(spark, sf_dir, exact=True), PANEL, _DESCRIBE_COLS), coarse=["std"])
+
+
+def _lag_table(spark, sf_dir):
+    return FE.lag_features(_panel(spark, sf_dir), PANEL)
+
+
+_LAG_COLS = (["series_id", "date", "y"] + [f"lag_{k}" for k in FE.LAGS] + [f"target_next_day_{h}" for h in range(1, 8)]
+             + [f"rolling_mean_{w}" for w in FE.ROLLING_MEAN_WINDOWS] + [f"rolling_std_{w}" for w in FE.ROLLING_STD_WINDOWS]
+             + [f"trend_{n}days" for n in FE.DIFFS])
+_LAG_CTE = "lf AS (SELECT " + _lag_sql().replace("ROUND(CAST(", "(CAST(").replace(", 4) + 0.0)", ") + 0.0)").replace(
+    ", 2) + 0.0)", ") + 0.0)") + ")"
+
+
+@query("a9_q1_null_report", V.with_(V.DAILY_PANEL_X, _LAG_CTE, "n AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS n FROM lf"
+    for c in _LAG_COLS) + ")") + 'SELECT "column", null_count, ' + V.r("null_count * 100.0 / n", "null_pct") +
+    ' FROM n WHERE null_count > 0 ORDER BY null_count DESC, "column" LIMIT 20')
+def q_null_report(spark, sf_dir):
+    """Null count and % per column, top 20."""
+    return out(QU.null_report(_lag_table(spark, sf_dir), 20))
+
+
+@query("a10_date_span", V.with_(V.DAILY_PANEL_X) + "SELECT series_id, min(date) AS first_date, max(date) AS last_date, "
+       "CAST(datediff('day', min(date), max(date)) AS BIGINT) AS span_days, count(*) AS n_rows FROM daily_panel GROUP BY 1")
+def q_date_span(spark, sf_dir):
+    """A10"""
+    return out(QU.date_span(_panel(spark, sf_dir), PANEL))
+
+
+@query("a11_iqr_outliers", V.with_(V.DAILY_PANEL_X, """q AS (SELECT series_id, count(y) AS n,
+  quantile_cont(CAST(y AS DOUBLE), 0.25) AS q1, quantile_cont(CAST(y AS DOUBLE), 0.75) AS q3 FROM daily_panel GROUP BY 1)""",
+  "b AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_bound, q3 + 1.5 * (q3 - q1) AS upper_bound FROM q)",
+  """c AS (SELECT b.*, count(*) FILTER (WHERE CAST(p.y AS DOUBLE) < b.lower_bound) AS n_low,
+  count(*) FILTER (WHERE CAST(p.y AS DOUBLE) > b.upper_bound) AS n_high FROM b JOIN daily_panel p USING (series_id)
+  GROUP BY ALL)""") + "SELECT series_id, n, " + ", ".join(V.r(c, c) for c in ["q1", "q3", "iqr", "lower_bound", "upper_bound"])
+    + ", n_low, n_high, n_low + n_high AS n_outliers, " + V.r("n_low * 100.0 / n", "pct_low") + ", " +
+    V.r("n_high * 100.0 / n", "pct_high") + ", " + V.r("(n_low + n_high) * 100.0 / n", "pct_outliers") + " FROM c")
+def q_iqr(spark, sf_dir):
+    """A11"""
+    return out(PR.iqr_outliers(_panel(spark, sf_dir), PANEL))
+
+
+@query("a12_zscore_outliers", V.with_(V.DAILY_PANEL_X, """z AS (SELECT series_id,
+  abs(CAST(y AS DOUBLE) - avg(CAST(y AS DOUBLE)) OVER (PARTITION BY series_id)) / stddev_pop(CAST(y AS DOUBLE)) OVER (PARTITION BY series_id) AS z
+  FROM daily_panel)""") + "SELECT series_id, count(*) AS n, count(*) FILTER (WHERE z > 3.0) AS n_outliers, " +
+    V.r("count(*) FILTER (WHERE z > 3.0) * 100.0 / count(*)", "pct_outliers") + " FROM z GROUP BY 1")
+def q_zscore(spark, sf_dir):
+    """A12 (population std)."""
+    return out(PR.zscore_outliers(_panel(spark, sf_dir), PANEL))
+
+
+_MOMENTS = """m AS (SELECT series_id, count(x) AS n, avg(x) AS mu FROM src GROUP BY 1),
+c AS (SELECT s.series_id, m.n, avg((x - mu) * (x - mu)) AS m2, avg((x - mu) * (x - mu) * (x - mu)) AS m3,
+  avg((x - mu) * (x - mu) * (x - mu) * (x - mu)) AS m4 FROM src s JOIN m USING (series_id) GROUP BY 1, 2),
+k AS (SELECT series_id, n, m3 / pow(m2, 1.5) AS skewness, m4 / (m2 * m2) - 3.0 AS kurtosis FROM c),
+j AS (SELECT *, n / 6.0 * (skewness * skewness + kurtosis * kurtosis / 4.0) AS jb FROM k)"""
+
+
+@query("a13_a21_shape_normality", V.with_(V.DAILY_PANEL_X, "src AS (SELECT series_id, CAST(y AS DOUBLE) AS x FROM daily_panel)",
+                                           _MOMENTS) + """SELECT series_id, n, """ +
+       V.r("skewness", "skewness") + ", " + V.r("kurtosis", "kurtosis") + """,
+  CASE WHEN abs(skewness) < 0.5 THEN 'Fairly symmetric' WHEN skewness > 0 THEN 'Right-skewed' ELSE 'Left-skewed' END AS skew_label,
+  CASE WHEN abs(kurtosis) < 0.5 THEN 'Normal tails' WHEN kurtosis > 0 THEN 'Heavy tails' ELSE 'Light tails' END AS kurtosis_label, """
+       + V.r("jb", "jarque_bera") + ", " + V.r("exp(-jb / 2.0)", "jb_pvalue") +
+       ", CAST(exp(-jb / 2.0) >= 0.05 AS BIGINT) AS is_normal FROM j")
+def q_shape(spark, sf_dir):
+    """A13 + A21 (Jarque-Bera on the whole series, no sampling)."""
+    return out(PR.shape(_panel(spark, sf_dir), PANEL))
+
+
+_BASE_X = "b AS (SELECT p.series_id, p.date, p.y, e.* EXCLUDE (date) FROM daily_panel p JOIN exog_daily e USING (date))"
+
+
+@query("a14_f13_target_correlations", V.with_(V.DAILY_PANEL_X, V.EXOG_DAILY, _BASE_X, "r AS (" + " UNION ALL ".join(
+    f"SELECT series_id, '{c}' AS feature, corr(CAST({c} AS DOUBLE), CAST(y AS DOUBLE)) AS r FROM b GROUP BY 1"
+    for c in WEATHER_COLUMNS) + ")", """k AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY abs(r) DESC, feature) AS rank
+  FROM r WHERE r IS NOT NULL)""") + """SELECT series_id, feature, """ + V.r("r", "r") + """, rank,
+  CASE WHEN abs(r) > 0.7 THEN 'Very Strong' WHEN abs(r) > 0.5 THEN 'Strong' WHEN abs(r) > 0.3 THEN 'Moderate' ELSE 'Weak' END AS strength,
+  CASE WHEN r > 0 THEN 'positive' WHEN r < 0 THEN 'negative' ELSE 'none' END AS direction FROM k WHERE rank <= 20""")
+def q_target_corr(spark, sf_dir):
+    """Pearson r with the target, by |r|, top 20."""
+    return out(PR.target_correlations(T.base_panel(spark, sf_dir, exact=True), PANEL, WEATHER_COLUMNS, 20))
+
+
+_CORR_COLS = ["y", "temperature_2m_mean", "precipitation_sum", "relative_humidity_2m_mean", "wind_speed_10m_mean"]
+
+
+@query("a15_correlation_matrix", V.with_(V.DAILY_PANEL_X, V.EXOG_DAILY, _BASE_X) + " UNION ALL ".join(
+    f"SELECT series_id, '{a}' AS \"row\", '{b}' AS col, " + V.r(f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))", "r") +
+    " FROM b GROUP BY 1" for i, a in enumerate(_CORR_COLS) for b in _CORR_COLS[:i + 1]))
+def q_corr_matrix(spark, sf_dir):
+    """Lower triangle of pairwise correlations, one aggregation."""
+    return out(PR.correlation_matrix(T.base_panel(spark, sf_dir, exact=True), PANEL, _CORR_COLS))
+
+
+_TRENDS_SQL = V.with_(V.DAILY_PANEL_X, V.EXOG_DAILY, _BASE_X, "t AS (" + " UNION ALL ".join(
+    f"SELECT series_id, '{c}' AS feature, corr(CAST({c} AS DOUBLE), CAST(y AS DOUBLE)) AS r, "
+    f"regr_slope(CAST(y AS DOUBLE), CAST({c} AS DOUBLE)) AS slope, regr_intercept(CAST(y AS DOUBLE), CAST({c} AS DOUBLE)) AS intercept, "
+    f"CAST(min({c}) AS DOUBLE) AS x_min, CAST(max({c}) AS DOUBLE) AS x_max FROM b GROUP BY 1" for c in WEATHER_COLUMNS) + ")")
+
+
+@query("a16_exog_trends", _TRENDS_SQL + "SELECT series_id, feature, " +
+       ", ".join(V.r(c, c) for c in ["r", "slope", "intercept", "x_min", "x_max"]) + " FROM t")
+def q_trends(spark, sf_dir):
+    """R, slope, intercept of target ~ each exogenous column."""
+    return out(PR.exog_trends(T.base_panel(spark, sf_dir, exact=True), PANEL, WEATHER_COLUMNS))
+
+
+@query("a16_trend_lines", _TRENDS_SQL + """, pts AS (SELECT t.*, unnest(range(0, 100)) AS point FROM t),
+xs AS (SELECT *, x_min + (x_max - x_min) * point / 99.0 AS x FROM pts)
+SELECT series_id, feature, CAST(point AS BIGINT) AS point, """ + V.r("x", "x") + ", " + V.r("intercept + slope * x", "y_fit", 2) + " FROM xs")
+def q_trend_lines(spark, sf_dir):
+    """Fitted line at 100 even points per (series, column)."""
+    t = PR.exog_trends(T.base_panel(spark, sf_dir, exact=True), PANEL, WEATHER_COLUMNS)
+    return out(PR.trend_lines(t, ["series_id"], 100), coarse=["y_fit"])
+
+
+@query("a17_histogram", V.with_(V.DAILY_PANEL_X, """s AS (SELECT series_id, CAST(y AS DOUBLE) AS v,
+  min(CAST(y AS DOUBLE)) OVER (PARTITION BY series_id) AS lo, max(CAST(y AS DOUBLE)) OVER (PARTITION BY series_id) AS hi FROM daily_panel)""",
+  """b AS (SELECT series_id, lo, hi, (hi - lo) / 50.0 AS w,
+  CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((v - lo) / ((hi - lo) / 50.0)), 49) END AS BIGINT) AS bin FROM s)""") +
+       "SELECT series_id, bin, " + V.r("lo + w * bin", "bin_start") + ", " + V.r("lo + w * (bin + 1)", "bin_end") +
+       ", count(*) AS count FROM b GROUP BY series_id, lo, hi, w, bin")
+def q_histogram(spark, sf_dir):
+    """50 equal-width bins per series."""
+    return out(PR.histogram(_panel(spark, sf_dir), PANEL, 50))
+
+
+def _box_sql(by_month: bool) -> str:
+    g = "series_id, month" if by_month else "series_id"
+    mcol = ", month(date) AS month" if by_month else ""
+    return V.with_(V.DAILY_PANEL_X, f"s AS (SELECT series_id{mcol}, CAST(y AS DOUBLE) AS v FROM daily_panel)",
+                   f"""q AS (SELECT {g}, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+  quantile_cont(v, 0.75) AS q3, avg(v) AS mean, stddev_samp(v) AS std, count(*) AS n FROM s GROUP BY {g})""",
+                   f"""w AS (SELECT q.*, min(v) FILTER (WHERE v >= q1 - 1.5 * (q3 - q1)) AS whisker_low,
+  max(v) FILTER (WHERE v <= q3 + 1.5 * (q3 - q1)) AS whisker_high,
+  count(*) FILTER (WHERE v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) AS n_fliers
+  FROM q JOIN s USING ({g}) GROUP BY ALL)""") + (
+        f"SELECT {g.replace('month', 'CAST(month AS BIGINT) AS month')}, " + ", ".join(
+            V.r(c, c) for c in ["q1", "median", "q3", "whisker_low", "whisker_high", "mean"]) + ", " +
+        V.r("std", "std", 2) + ", n_fliers, n FROM w")
+
+
+@query("a18_boxplot_overall", _box_sql(False))
+def q_box(spark, sf_dir):
+    """Box-plot statistics per series."""
+    return out(PR.boxplot_stats(_panel(spark, sf_dir), PANEL, False), coarse=["std"])
+
+
+@query("a18_boxplot_by_month", _box_sql(True))
+def q_box_month(spark, sf_dir):
+    """Box-plot statistics per series and month."""
+    return out(PR.boxplot_stats(_panel(spark, sf_dir), PANEL, True), coarse=["std"])
+
+
+@query("a19_kernel_density", V.with_(V.DAILY_PANEL_X, """st AS (SELECT series_id, count(y) AS n, stddev_samp(CAST(y AS DOUBLE)) AS sd,
+  CAST(min(y) AS DOUBLE) AS mn, CAST(max(y) AS DOUBLE) AS mx FROM daily_panel GROUP BY 1)""",
+  """g AS (SELECT series_id, n, mn, mx, sd * pow(CAST(n AS DOUBLE), -0.2) AS h, mn - (mx - mn) / 2.0 AS g0,
+  (mx - mn) * 2.0 / 999.0 AS step, unnest(range(0, 1000)) AS point FROM st)""",
+  """d AS (SELECT g.series_id, g.point, g.g0 + g.step * g.point AS x, g.n, g.h, g.mn, g.mx,
+  sum(exp(-((g.g0 + g.step * g.point - CAST(p.y AS DOUBLE)) ** 2) / (2.0 * g.h ** 2))) AS s
+  FROM g JOIN daily_panel p USING (series_id) GROUP BY ALL)""") +
+       "SELECT series_id, CAST(point AS BIGINT) AS point, " + V.r("x", "x") + ", " +
+       V.r("s / (n * h * 2.5066282746310002) * (mx - mn)", "density_scaled") + " FROM d")
+def q_kde(spark, sf_dir):
+    """Gaussian KDE on 1000 points (bandwidth-local contributions)."""
+    return out(PR.kde(_panel(spark, sf_dir), PANEL, 1000))
+
+
+def _qq_sql(levels: int = 99) -> str:
+    qs = PR.normal_quantiles(levels)
+    plist = "[" + ", ".join(repr(p) for _, p, _ in qs) + "]"
+    vals = ", ".join(f"({k}, {z!r})" for k, _, z in qs)
+    return V.with_(V.DAILY_PANEL_X, f"lv(k, theoretical) AS (VALUES {vals})",
+                   f"q AS (SELECT series_id, quantile_cont(CAST(y AS DOUBLE), {plist}) AS qs FROM daily_panel GROUP BY 1)",
+                   f"u AS (SELECT series_id, unnest(qs) AS sample, unnest(range(1, {levels + 1})) AS k FROM q)",
+                   "p AS (SELECT u.series_id, u.k, lv.theoretical, u.sample FROM u JOIN lv USING (k))") + (
+        "SELECT series_id, CAST(k AS BIGINT) AS k, " + V.r("theoretical", "theoretical") + ", " + V.r("sample", "sample") + ", " +
+        V.r("regr_slope(sample, theoretical) OVER (PARTITION BY series_id)", "slope", 2) + ", " +
+        V.r("regr_intercept(sample, theoretical) OVER (PARTITION BY series_id)", "intercept", 2) + ", " +
+        V.r("corr(sample, theoretical) OVER (PARTITION BY series_id)", "r") + " FROM p")
+
+
+@query("a20_qq_points", _qq_sql())
+def q_qq(spark, sf_dir):
+    """A20 (re-aimed): 99 quantile levels vs the normal, with fitted line."""
+    return out(PR.qq_points(_panel(spark, sf_dir), PANEL, 99), coarse=["slope", "intercept"])
