@@ -20,10 +20,11 @@ BASELINES = ["persistence", "seasonal_naive_7", "moving_average_7"]
 
 
 def baseline_predictions(df: DataFrame, spec: SeriesSpec, horizons: int = 7,
-                         candidates: list[str] = BASELINES) -> DataFrame:
+                         candidates: list[str] = BASELINES, require_truth: bool = True) -> DataFrame:
     """For each origin row t and h = 1..H: persistence y_t, seasonal
     naive y_{t+h-7} (row positions), 7-row mean of y_{t-6..t} (guarded).
-    Rows without a truth or a prediction are dropped."""
+    ``target_date`` is the date of the h-th next row. Rows without a
+    prediction (and, by default, without a truth) are dropped."""
     w = series_window(spec)
     y = F.col(spec.value)
     ma7 = guarded_rolling(y, 7, w, "avg", lo=-6, hi=0)
@@ -35,10 +36,26 @@ def baseline_predictions(df: DataFrame, spec: SeriesSpec, horizons: int = 7,
                  "moving_average_7": ma7}
         for c in candidates:
             items.append(F.struct(F.lit(h).alias("horizon"), F.lit(c).alias("candidate"),
+                                  F.lead(spec.time, h).over(w).alias("target_date"),
                                   truth.cast("double").alias("y_true"),
                                   preds[c].cast("double").alias("y_pred")))
     long = df.select(*spec.key_cols, spec.time, F.inline(F.array(*items)))
-    return long.where(F.col("y_true").isNotNull() & F.col("y_pred").isNotNull())
+    cond = F.col("y_pred").isNotNull()
+    if require_truth:
+        cond &= F.col("y_true").isNotNull()
+    return long.where(cond)
+
+
+def baseline_forecast(df: DataFrame, spec: SeriesSpec, horizons: int = 7,
+                      candidates: list[str] = BASELINES) -> DataFrame:
+    """M8 with baselines: predictions made at the last row of each series.
+    Only the last 7 rows per series are read into the window (O2)."""
+    from seriesforge.operators.forecast import last_rows
+    tail = last_rows(df, spec, 7)
+    p = baseline_predictions(tail, spec, horizons, candidates, require_truth=False)
+    mx = Window.partitionBy(*spec.key_cols) if spec.keys else Window.partitionBy()
+    p = p.withColumn("__mx", F.max(spec.time).over(mx)).where(F.col(spec.time) == F.col("__mx")).drop("__mx")
+    return p.drop("target_date", "y_true").withColumnRenamed(spec.time, "origin_date")
 
 
 def metrics(preds: DataFrame, by: list[str]) -> DataFrame:

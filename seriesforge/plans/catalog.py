@@ -667,3 +667,108 @@ def _qq_sql(levels: int = 99) -> str:
 def q_qq(spark, sf_dir):
     """A20 (re-aimed): 99 quantile levels vs the normal, with fitted line."""
     return out(PR.qq_points(_panel(spark, sf_dir), PANEL, 99), coarse=["slope", "intercept"])
+
+
+# --------------------------------------------------------------------------
+# Quality, splits, scaling
+# --------------------------------------------------------------------------
+from seriesforge.operators import split as SP  # noqa: E402
+
+
+@query("q3_completeness", V.with_(V.SPARSE_PANEL_X, "d AS (SELECT series_id, date, count(*) AS c FROM sparse_panel GROUP BY 1, 2)")
+       + """SELECT series_id, min(date) AS first_date, max(date) AS last_date,
+  CAST(datediff('day', min(date), max(date)) + 1 AS BIGINT) AS expected_days, count(*) AS present_days,
+  count(*) FILTER (WHERE c > 1) AS duplicate_keys,
+  CAST(datediff('day', min(date), max(date)) + 1 AS BIGINT) - count(*) AS missing_days, """ +
+       V.r("count(*) * 100.0 / (datediff('day', min(date), max(date)) + 1)", "pct_complete") + " FROM d GROUP BY 1")
+def q_completeness(spark, sf_dir):
+    """Q3: expected/present/missing days and duplicates per series (gappy panel)."""
+    return out(QU.completeness(T.sparse_panel(spark, sf_dir), PANEL))
+
+
+@query("q3_missing_days", V.with_(V.DAILY_SINGLE_X, """sp AS (SELECT series_id,
+  CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM daily_single GROUP BY 1)""")
+       + "SELECT series_id, date FROM sp ANTI JOIN daily_single USING (series_id, date)")
+def q_missing_days(spark, sf_dir):
+    """Q3: calendar days absent from the series (spine anti-join)."""
+    return QU.missing_days(T.daily_single(spark, sf_dir), PANEL)
+
+
+@query("q3_duplicate_keys", V.with_(V.RAW_LONG) +
+       "SELECT date_query, type, count(*) AS n FROM raw_long GROUP BY 1, 2 HAVING count(*) > 1")
+def q_dup_keys(spark, sf_dir):
+    """Q3: keys stored more than once in the raw table."""
+    return QU.duplicate_keys(T.raw_long(spark, sf_dir), ["date_query", "type"])
+
+
+@query("q4_forward_fill", V.with_(V.DAILY_SINGLE_X, """sp AS (SELECT series_id,
+  CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM daily_single GROUP BY 1)""",
+  "j AS (SELECT sp.series_id, sp.date, d.y, d.y IS NULL AND d.date IS NULL AS ins FROM sp LEFT JOIN daily_single d USING (series_id, date))")
+       + "SELECT series_id, date, " + V.r("last_value(y IGNORE NULLS) OVER (PARTITION BY series_id ORDER BY date "
+                                          "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)", "y") +
+       ", CAST(ins AS BIGINT) AS filled FROM j")
+def q_ffill(spark, sf_dir):
+    """Q4: daily spine, last value carried forward into missing days."""
+    return out(QU.forward_fill(T.daily_single(spark, sf_dir, exact=True), PANEL, ["y"]))
+
+
+_IMPUTE_COLS = ["lag_1", "lag_7", "rolling_mean_7"]
+
+
+@query("a22_q2_median_impute", V.with_(V.DAILY_PANEL_X, _LAG_CTE) + "SELECT series_id, date, " + ", ".join(
+    V.r(f"coalesce(CAST({c} AS DOUBLE), quantile_cont(CAST({c} AS DOUBLE), 0.5) OVER (PARTITION BY series_id))", c)
+    for c in _IMPUTE_COLS) + " FROM lf")
+def q_median_impute(spark, sf_dir):
+    """NULL -> per-series median."""
+    lf = _lag_table(spark, sf_dir).select("series_id", "date", *_IMPUTE_COLS)
+    return out(QU.median_impute(lf, PANEL, _IMPUTE_COLS))
+
+
+_FILL_COLS = ["lag_1", "lag_30", "rolling_mean_3", "rolling_mean_30", "trend_7days"]
+
+
+@query("a23_mean_fill", V.with_(V.DAILY_PANEL_X, _LAG_CTE) + "SELECT series_id, date, " + ", ".join(
+    V.r(f"coalesce(CAST({c} AS DOUBLE), CAST(sum({c}) OVER (PARTITION BY series_id) AS DOUBLE) / "
+        f"count({c}) OVER (PARTITION BY series_id))", c) for c in _FILL_COLS) + " FROM lf")
+def q_mean_fill(spark, sf_dir):
+    """NULL -> per-series mean of the rows present."""
+    lf = _lag_table(spark, sf_dir).select("series_id", "date", *_FILL_COLS)
+    return out(FE.fill_with_means(lf, PANEL, columns=_FILL_COLS))
+
+
+@query("p6_trailing_window", V.with_(V.DAILY_PANEL_X, V.EXOG_DAILY, _BASE_X) + "SELECT series_id, date, " + V.r("y", "y") +
+       ", " + V.r("temperature_2m_mean", "temperature_2m_mean") +
+       " FROM b QUALIFY date >= CAST(max(date) OVER (PARTITION BY series_id) - INTERVAL 730 DAY AS DATE)")
+def q_trailing(spark, sf_dir):
+    """The last 730 days of each series (data-dependent bound)."""
+    b = T.base_panel(spark, sf_dir, exact=True).select("series_id", "date", "y", "temperature_2m_mean")
+    return out(SP.trailing_window(b, PANEL, 730))
+
+
+@query("o4_time_split", V.with_(V.DAILY_PANEL_X, """d AS (SELECT date, row_number() OVER (ORDER BY date) AS pos,
+  count(*) OVER () AS n FROM (SELECT DISTINCT date FROM daily_panel))""") +
+       "SELECT p.series_id, p.date, " + V.r("p.y", "y") +
+       ", CAST(d.pos <= floor(d.n * 0.8) AS BIGINT) AS is_train FROM daily_panel p JOIN d USING (date)")
+def q_split(spark, sf_dir):
+    """First int(0.8 n) distinct dates train, the rest test."""
+    return out(SP.label_split(_panel(spark, sf_dir), "date", 0.8))
+
+
+_SCALE_COLS = ["y", "temperature_2m_mean", "precipitation_sum", "wind_speed_10m_mean"]
+
+
+@query("f15_standardize", V.with_(V.DAILY_PANEL_X, V.EXOG_DAILY, _BASE_X,
+                                  """d AS (SELECT date, row_number() OVER (ORDER BY date) AS pos, count(*) OVER () AS n
+  FROM (SELECT DISTINCT date FROM b))""", "l AS (SELECT b.*, d.pos <= floor(d.n * 0.8) AS tr FROM b JOIN d USING (date))",
+                                  "st AS (SELECT series_id, " + ", ".join(
+                                      f"avg(CAST({c} AS DOUBLE)) FILTER (WHERE tr) AS {c}__mu, "
+                                      f"stddev_pop(CAST({c} AS DOUBLE)) FILTER (WHERE tr) AS {c}__sd" for c in _SCALE_COLS) +
+                                  " FROM l GROUP BY 1)") + "SELECT l.series_id, l.date, " + ", ".join(
+    V.r(f"(CAST(l.{c} AS DOUBLE) - {c}__mu) / CASE WHEN {c}__sd = 0 OR {c}__sd IS NULL THEN 1.0 ELSE {c}__sd END", c)
+    for c in _SCALE_COLS) + " FROM l JOIN st USING (series_id)")
+def q_standardize(spark, sf_dir):
+    """Z-scores with population mean/std fitted on the train split."""
+    b = T.base_panel(spark, sf_dir, exact=True).select("series_id", "date", *_SCALE_COLS)
+    lab = SP.label_split(b, "date", 0.8)
+    stats = SP.fit_scaler(lab.where("is_train = 1"), _SCALE_COLS, ["series_id"])
+    return out(SP.apply_scaler(lab.drop("is_train"), stats, _SCALE_COLS, ["series_id"]))
