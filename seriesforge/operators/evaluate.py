@@ -27,19 +27,23 @@ def baseline_predictions(df: DataFrame, spec: SeriesSpec, horizons: int = 7,
     prediction (and, by default, without a truth) are dropped."""
     w = series_window(spec)
     y = F.col(spec.value)
-    ma7 = guarded_rolling(y, 7, w, "avg", lo=-6, hi=0)
+    # window columns first (one Window node), generator in a second projection
+    wide = df.select(*spec.key_cols, spec.time, y.alias("__y"),
+                     guarded_rolling(y, 7, w, "avg", lo=-6, hi=0).alias("__ma7"),
+                     *[F.lead(y, h).over(w).alias(f"__l{h}") for h in range(1, horizons + 1)],
+                     *[F.lead(spec.time, h).over(w).alias(f"__d{h}") for h in range(1, horizons + 1)],
+                     *[F.lag(y, k).over(w).alias(f"__g{k}") for k in range(1, 7)])
     items = []
     for h in range(1, horizons + 1):
-        truth = F.lead(y, h).over(w)
-        preds = {"persistence": y,
-                 "seasonal_naive_7": y if h == 7 else F.lag(y, 7 - h).over(w),
-                 "moving_average_7": ma7}
+        preds = {"persistence": F.col("__y"),
+                 "seasonal_naive_7": F.col("__y") if h % 7 == 0 else F.col(f"__g{7 - h % 7}"),
+                 "moving_average_7": F.col("__ma7")}
         for c in candidates:
             items.append(F.struct(F.lit(h).alias("horizon"), F.lit(c).alias("candidate"),
-                                  F.lead(spec.time, h).over(w).alias("target_date"),
-                                  truth.cast("double").alias("y_true"),
+                                  F.col(f"__d{h}").alias("target_date"),
+                                  F.col(f"__l{h}").cast("double").alias("y_true"),
                                   preds[c].cast("double").alias("y_pred")))
-    long = df.select(*spec.key_cols, spec.time, F.inline(F.array(*items)))
+    long = wide.select(*spec.key_cols, spec.time, F.inline(F.array(*items)))
     cond = F.col("y_pred").isNotNull()
     if require_truth:
         cond &= F.col("y_true").isNotNull()

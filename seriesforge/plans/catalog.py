@@ -772,3 +772,202 @@ def q_standardize(spark, sf_dir):
     lab = SP.label_split(b, "date", 0.8)
     stats = SP.fit_scaler(lab.where("is_train = 1"), _SCALE_COLS, ["series_id"])
     return out(SP.apply_scaler(lab.drop("is_train"), stats, _SCALE_COLS, ["series_id"]))
+
+
+# --------------------------------------------------------------------------
+# Baselines, metrics, competition, registry (no trained model needed)
+# --------------------------------------------------------------------------
+from seriesforge.operators import evaluate as EV  # noqa: E402
+from seriesforge.operators import forecast as FC  # noqa: E402
+
+REGISTRY_CUT = "1998-06-30"
+_ORDER_SQL = "CASE candidate WHEN 'persistence' THEN 1 WHEN 'seasonal_naive_7' THEN 2 ELSE 3 END"
+
+
+def _baseline_cte(src: str = "daily_panel", require_truth: bool = True) -> str:
+    w = f"OVER (PARTITION BY series_id ORDER BY date)"
+    leads = ", ".join(f"lead(y, {h}) {w} AS l{h}, lead(date, {h}) {w} AS d{h}" for h in range(1, 8))
+    lags = ", ".join(f"lag(y, {k}) {w} AS g{k}" for k in range(1, 7))
+    b = (f"bl AS (SELECT series_id, date, y, {leads}, {lags}, " + V.guarded("avg", "y", 7, lo=-6, hi=0) +
+         f" AS ma7 FROM {src})")
+    parts = []
+    for h in range(1, 8):
+        preds = {"persistence": "y", "seasonal_naive_7": "y" if h == 7 else f"g{7 - h}", "moving_average_7": "ma7"}
+        for c in EV.BASELINES:
+            parts.append(f"SELECT series_id, date, {h} AS horizon, '{c}' AS candidate, d{h} AS target_date, "
+                         f"CAST(l{h} AS DOUBLE) AS y_true, CAST({preds[c]} AS DOUBLE) AS y_pred FROM bl")
+    cond = "y_pred IS NOT NULL" + (" AND y_true IS NOT NULL" if require_truth else "")
+    return b + ",\npr AS (SELECT * FROM (" + " UNION ALL ".join(parts) + f") WHERE {cond})"
+
+
+def _preds(spark, sf_dir):
+    return EV.baseline_predictions(_panel(spark, sf_dir), PANEL)
+
+
+def _metrics_sql(src: str, by: str) -> str:
+    return f"""SELECT {by}, count(*) AS n, {V.r('sqrt(avg((y_true - y_pred) * (y_true - y_pred)))', 'rmse', 2)},
+  {V.r('avg(abs(y_true - y_pred))', 'mae', 2)},
+  {V.r('avg(abs(y_true - y_pred) / greatest(abs(y_true), 2.220446049250313e-16)) * 100.0', 'mape')},
+  {V.r('1.0 - sum((y_true - y_pred) * (y_true - y_pred)) / (count(*) * var_pop(y_true))', 'r2')}
+FROM {src} GROUP BY {by}"""
+
+
+def _metrics_raw_sql(src: str, by: str) -> str:
+    return f"""SELECT {by}, count(*) AS n, sqrt(avg((y_true - y_pred) * (y_true - y_pred))) AS rmse,
+  avg(abs(y_true - y_pred)) AS mae, avg(abs(y_true - y_pred) / greatest(abs(y_true), 2.220446049250313e-16)) * 100.0 AS mape,
+  1.0 - sum((y_true - y_pred) * (y_true - y_pred)) / (count(*) * var_pop(y_true)) AS r2
+FROM {src} GROUP BY {by}"""
+
+
+_MCOARSE = ["rmse", "mae"]
+
+
+@query("d1_baseline_predictions", V.with_(V.DAILY_PANEL_X, _baseline_cte()) +
+       "SELECT series_id, date, CAST(horizon AS BIGINT) AS horizon, candidate, target_date, " +
+       V.r("y_true", "y_true") + ", " + V.r("y_pred", "y_pred") + " FROM pr")
+def q_baselines(spark, sf_dir):
+    """Persistence, seasonal naive and 7-row mean for h = 1..7."""
+    return out(_preds(spark, sf_dir))
+
+
+@query("a24_regression_metrics", V.with_(V.DAILY_PANEL_X, _baseline_cte()) + _metrics_sql("pr", "candidate, horizon"))
+def q_metrics(spark, sf_dir):
+    """RMSE, MAE, MAPE %, R2 per (candidate, horizon), pooled over series."""
+    return out(EV.metrics(_preds(spark, sf_dir), ["candidate", "horizon"]), coarse=_MCOARSE)
+
+
+@query("a24_metrics_per_series", V.with_(V.DAILY_PANEL_X, _baseline_cte()) +
+       _metrics_sql("pr", "series_id, candidate, horizon"))
+def q_metrics_series(spark, sf_dir):
+    """A24 per (series, candidate, horizon)."""
+    return out(EV.metrics(_preds(spark, sf_dir), ["series_id", "candidate", "horizon"]), coarse=_MCOARSE)
+
+
+_WIN_SQL = (V.with_(V.DAILY_PANEL_X, _baseline_cte(), "m AS (" + _metrics_raw_sql("pr", "candidate, horizon") + ")") +
+            f"SELECT horizon, candidate, n, {V.r('rmse', 'rmse', 2)}, {V.r('mae', 'mae', 2)}, {V.r('mape', 'mape')}, "
+            f"{V.r('r2', 'r2')} FROM m QUALIFY row_number() OVER (PARTITION BY horizon ORDER BY rmse, {_ORDER_SQL}) = 1")
+
+
+@query("w11_m5_competition_winner", _WIN_SQL)
+def q_winner(spark, sf_dir):
+    """Lowest RMSE per horizon, ties to the earlier candidate."""
+    m = EV.metrics(_preds(spark, sf_dir), ["candidate", "horizon"])
+    return out(EV.pick_winner(m, ["horizon"]), coarse=_MCOARSE)
+
+
+def _registry_parts(spark, sf_dir):
+    p = _preds(spark, sf_dir)
+    cut = F.lit(REGISTRY_CUT).cast("date")
+    old = EV.pick_winner(EV.metrics(p.where(F.col("date") < cut), ["candidate", "horizon"]), ["horizon"])
+    old = old.where(F.col("horizon") <= 5)  # horizons 6 and 7 never registered
+    new = EV.pick_winner(EV.metrics(p.where(F.col("date") >= cut), ["candidate", "horizon"]), ["horizon"])
+    return old, new
+
+
+_REG_CTE = [V.DAILY_PANEL_X, _baseline_cte(),
+            f"mo AS ({_metrics_raw_sql(f'(SELECT * FROM pr WHERE date < DATE {chr(39)}{REGISTRY_CUT}{chr(39)})', 'candidate, horizon')})",
+            f"mn AS ({_metrics_raw_sql(f'(SELECT * FROM pr WHERE date >= DATE {chr(39)}{REGISTRY_CUT}{chr(39)})', 'candidate, horizon')})",
+            f"reg AS (SELECT * FROM mo WHERE horizon <= 5 QUALIFY row_number() OVER (PARTITION BY horizon ORDER BY rmse, {_ORDER_SQL}) = 1)",
+            f"nw AS (SELECT * FROM mn QUALIFY row_number() OVER (PARTITION BY horizon ORDER BY rmse, {_ORDER_SQL}) = 1)"]
+
+
+@query("m6_promotion_decisions", V.with_(*_REG_CTE) + f"""SELECT nw.horizon, nw.candidate, nw.n, {V.r('nw.rmse', 'new_rmse', 2)},
+  {V.r('nw.mae', 'mae', 2)}, {V.r('nw.mape', 'mape')}, {V.r('nw.r2', 'r2')}, {V.r('reg.rmse', 'old_rmse', 2)},
+  CAST(reg.rmse IS NULL OR nw.rmse < reg.rmse AS BIGINT) AS promoted,
+  CASE WHEN reg.rmse IS NULL THEN 'promoted_first' WHEN nw.rmse < reg.rmse THEN 'promoted' ELSE 'rejected' END AS action
+FROM nw LEFT JOIN reg USING (horizon)""")
+def q_promotion(spark, sf_dir):
+    """Promote per horizon on strictly lower RMSE; horizons never
+    registered are registered on first sight."""
+    old, new = _registry_parts(spark, sf_dir)
+    return out(EV.promote(new, old, ["horizon"]), coarse=["new_rmse", "old_rmse", "mae"])
+
+
+@query("m6_next_registry", V.with_(*_REG_CTE, """dec AS (SELECT nw.*, reg.rmse AS old_rmse FROM nw LEFT JOIN reg USING (horizon)
+  WHERE reg.rmse IS NULL OR nw.rmse < reg.rmse)""") + f"""SELECT horizon, {V.r('rmse', 'rmse', 2)}, candidate FROM reg
+  WHERE horizon NOT IN (SELECT horizon FROM dec)
+UNION ALL SELECT horizon, {V.r('rmse', 'rmse', 2)}, candidate FROM dec""")
+def q_next_registry(spark, sf_dir):
+    """The next registry version after the promotions."""
+    old, new = _registry_parts(spark, sf_dir)
+    dec = EV.promote(new, old, ["horizon"])
+    reg = EV.apply_promotions(old.select("horizon", "rmse", "candidate"), dec, ["horizon"], ["candidate"])
+    return out(reg, coarse=["rmse"])
+
+
+@query("m14_m7_missing_horizons", V.with_(*_REG_CTE) +
+       "SELECT CAST(h AS BIGINT) AS horizon FROM (SELECT unnest(range(1, 8)) AS h) WHERE h NOT IN (SELECT horizon FROM reg)")
+def q_missing_horizons(spark, sf_dir):
+    """Horizons 1..7 without a production entry in the registry."""
+    old, _ = _registry_parts(spark, sf_dir)
+    groups = old.select(F.lit(1).alias("__g")).distinct()
+    return out(EV.missing_horizons(old.withColumn("__g", F.lit(1)), groups, 7, ["__g"]).select("horizon"))
+
+
+@query("d2_expanding_folds", V.with_(V.DAILY_PANEL_X, _baseline_cte(),
+                                     "fm AS (" + _metrics_raw_sql("(SELECT *, year(date) AS fold FROM pr WHERE year(date) >= 1996)",
+                                                                  "candidate, horizon, fold") + ")") +
+       f"""SELECT candidate, horizon, count(rmse) AS n_folds, {V.r('avg(rmse)', 'rmse_mean', 2)}, {V.r('stddev_samp(rmse)', 'rmse_std', 2)},
+  {V.r('min(rmse)', 'rmse_min', 2)}, {V.r('max(rmse)', 'rmse_max', 2)} FROM fm GROUP BY 1, 2""")
+def q_folds(spark, sf_dir):
+    """Validation year Y (training years < Y), RMSE spread over folds."""
+    f = EV.expanding_folds(_preds(spark, sf_dir), "date", 1996)
+    fm = EV.metrics(f, ["candidate", "horizon", "fold"])
+    return out(EV.fold_summary(fm, ["candidate", "horizon"]), coarse=["rmse_mean", "rmse_std", "rmse_min", "rmse_max"])
+
+
+@query("d4_mape_tier", V.with_(V.DAILY_PANEL_X, _baseline_cte(), "m AS (" + _metrics_raw_sql("pr", "candidate, horizon") + ")") +
+       f"""SELECT candidate, horizon, {V.r('mape', 'mape')}, CASE WHEN mape < 3 THEN 'Excellent' WHEN mape <= 5 THEN 'Good'
+  WHEN mape <= 10 THEN 'Reasonable' ELSE 'Poor' END AS tier FROM m""")
+def q_mape_tier(spark, sf_dir):
+    """MAPE tier label."""
+    m = EV.metrics(_preds(spark, sf_dir), ["candidate", "horizon"])
+    return out(m.select("candidate", "horizon", "mape", S.mape_tier("mape").alias("tier")))
+
+
+def _segments(spark, sf_dir):
+    p = _preds(spark, sf_dir).where(F.col("horizon") == 1)
+    p = CAL.holiday_flags(p, "target_date", CAL.holiday_calendar(CAL.years_of(_panel(spark, sf_dir), "date")))
+    segs = F.array(F.struct(F.lit("season").alias("segment_type"), EV.season_of("target_date").alias("segment")),
+                   F.struct(F.lit("day_group").alias("segment_type"), EV.day_group("target_date").alias("segment")),
+                   F.struct(F.lit("holiday").alias("segment_type"),
+                            F.when(F.col("is_holiday") == 1, "holiday").otherwise("normal").alias("segment")))
+    return p.select("*", F.inline(segs))
+
+
+_SEASON = ("CASE WHEN month(target_date) IN (12, 1, 2) THEN 'winter' WHEN month(target_date) IN (3, 4, 5) THEN 'spring' "
+           "WHEN month(target_date) IN (6, 7, 8) THEN 'summer' ELSE 'autumn' END")
+_DAYG = ("CASE WHEN isodow(target_date) <= 4 THEN 'mon-thu' WHEN isodow(target_date) = 5 THEN 'fri' "
+         "WHEN isodow(target_date) = 6 THEN 'sat' ELSE 'sun' END")
+
+
+@query("d5_error_by_segment", V.with_(V.DAILY_PANEL_X, _baseline_cte(), V.holidays_sql("daily_panel"),
+                                      """h1 AS (SELECT pr.*, coalesce(c.is_holiday, 0) AS is_holiday FROM pr
+  LEFT JOIN cal_flags c ON c.date = pr.target_date WHERE horizon = 1)""",
+                                      f"""sg AS (SELECT *, 'season' AS segment_type, {_SEASON} AS segment FROM h1
+  UNION ALL SELECT *, 'day_group', {_DAYG} FROM h1
+  UNION ALL SELECT *, 'holiday', CASE WHEN is_holiday = 1 THEN 'holiday' ELSE 'normal' END FROM h1)""") +
+       _metrics_sql("sg", "candidate, segment_type, segment"))
+def q_segments(spark, sf_dir):
+    """Error by season, day group and holiday vs normal day (h = 1)."""
+    return out(EV.metrics(_segments(spark, sf_dir), ["candidate", "segment_type", "segment"]), coarse=_MCOARSE)
+
+
+@query("d6_residual_profile", V.with_(V.DAILY_PANEL_X, _baseline_cte(), """src AS (SELECT candidate || '|' || horizon AS series_id,
+  y_true - y_pred AS x FROM pr)""", _MOMENTS) + """SELECT split_part(series_id, '|', 1) AS candidate,
+  CAST(split_part(series_id, '|', 2) AS BIGINT) AS horizon, n, """ + V.r("mu", "mean_error", 2) + ", " +
+       V.r("skewness", "skewness") + ", " + V.r("kurtosis", "kurtosis") + ", " + V.r("jb", "jarque_bera", 2) + ", " +
+       V.r("exp(-jb / 2.0)", "jb_pvalue") + " FROM j JOIN m USING (series_id, n)")
+def q_residuals(spark, sf_dir):
+    """Residual mean, skewness, kurtosis and normality per (candidate, horizon)."""
+    return out(EV.residual_profile(_preds(spark, sf_dir), ["candidate", "horizon"]), coarse=["mean_error", "jarque_bera"])
+
+
+@query("d7_error_reduction", V.with_(V.DAILY_PANEL_X, _baseline_cte(), "m AS (" + _metrics_raw_sql("pr", "candidate, horizon") + ")",
+                                     "b AS (SELECT horizon, mape AS bm FROM m WHERE candidate = 'persistence')") +
+       f"SELECT horizon, candidate, {V.r('mape', 'mape')}, {V.r('bm', 'baseline_mape')}, "
+       f"{V.r('(bm - mape) / bm * 100.0', 'reduction_pct')} FROM m LEFT JOIN b USING (horizon)")
+def q_reduction(spark, sf_dir):
+    """MAPE reduction versus persistence."""
+    m = EV.metrics(_preds(spark, sf_dir), ["candidate", "horizon"])
+    return out(EV.error_reduction(m, ["horizon"]))
