@@ -91,3 +91,27 @@ def attach_by_position(df: DataFrame, keys: list[str], order_col: str,
     """J7 helper: 1-based position of each row inside its key, by ``order_col``."""
     w = Window.partitionBy(*keys).orderBy(order_col) if keys else Window.orderBy(order_col)
     return df.withColumn(pos_col, F.row_number().over(w))
+
+
+def next_rows_by_position(anchors: DataFrame, anchor_col: str, table: DataFrame, time_col: str,
+                          n: int, pos_col: str = "pos") -> DataFrame:
+    """For each anchor row, the first ``n`` rows of a per-date ``table``
+    strictly after ``anchor_col``, numbered 1..n.
+
+    Only equi-joins: the table's distinct dates are ranked, and a daily spine
+    over the table's span gives for every day the rank of the next date after
+    it. Both helper tables are calendar-sized (at most one row per day), so
+    their single-partition windows stay bounded whatever the data volume.
+    """
+    d = table.select(time_col).distinct()
+    ranked = d.select(time_col, F.row_number().over(Window.orderBy(time_col)).alias("__rank"))
+    bounds = d.agg(F.min(time_col).alias("start"), F.max(time_col).alias("end"))
+    spine = bounds.select(F.explode(F.sequence("start", "end", F.expr("interval 1 day"))).alias("__day"))
+    nxt = (spine.join(ranked, spine["__day"] == ranked[time_col], "left")
+           .select("__day", F.first("__rank", ignorenulls=True).over(
+               Window.orderBy("__day").rowsBetween(1, Window.unboundedFollowing)).alias("__next")))
+    a = anchors.join(nxt, anchors[anchor_col] == nxt["__day"], "inner").drop("__day")
+    a = a.select("*", F.explode(F.sequence(F.lit(1), F.lit(n))).alias(pos_col))
+    a = a.withColumn("__rank", F.col("__next") + F.col(pos_col) - 1).drop("__next")
+    out = a.join(ranked, "__rank").join(table, time_col).drop("__rank")
+    return out

@@ -971,3 +971,197 @@ def q_reduction(spark, sf_dir):
     """MAPE reduction versus persistence."""
     m = EV.metrics(_preds(spark, sf_dir), ["candidate", "horizon"])
     return out(EV.error_reduction(m, ["horizon"]))
+
+
+# --------------------------------------------------------------------------
+# Forecast tables and what is served from them (on baseline predictors)
+# --------------------------------------------------------------------------
+from seriesforge.operators import joins as JN  # noqa: E402
+
+
+def _production_forecast(spark, sf_dir, with_exog: bool = True):
+    """Latest-row forecasts of the per-horizon winner, with its metrics
+    and the exogenous values of the target date (J2)."""
+    panel = _panel(spark, sf_dir)
+    fc = FC.date_forecast(EV.baseline_forecast(panel, PANEL), "origin_date")
+    m = EV.metrics(_preds(spark, sf_dir), ["candidate", "horizon"])
+    win = EV.pick_winner(m, ["horizon"]).select("horizon", "candidate", "rmse", "mae", "mape", "r2")
+    prod = fc.join(win, ["horizon", "candidate"])  # the winner's forecast only
+    if with_exog:
+        ex = T.exog_daily(spark, sf_dir).select("date", "temperature_2m_mean", "precipitation_sum")
+        prod = FC.attach_context(prod, exog=ex)
+    return prod
+
+
+_FC_CTE = [V.DAILY_PANEL_X, V.EXOG_DAILY, _baseline_cte(),
+           "m AS (" + _metrics_raw_sql("pr", "candidate, horizon") + ")",
+           f"win AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY horizon ORDER BY rmse, {_ORDER_SQL}) = 1)",
+           """tail AS (SELECT * FROM daily_panel QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY date DESC) <= 7)""",
+           _baseline_cte("tail", require_truth=False).replace("bl AS", "tbl AS").replace("FROM bl", "FROM tbl")
+           .replace("pr AS", "fpr AS"),
+           """fc AS (SELECT series_id, date AS origin_date, horizon, candidate, y_pred,
+  CAST(date + horizon * INTERVAL 1 DAY AS DATE) AS target_date, round(y_pred, 2) AS predicted FROM fpr
+  QUALIFY date = max(date) OVER (PARTITION BY series_id))""",
+           """prod AS (SELECT fc.*, win.rmse, win.mae, win.mape, win.r2 FROM fc JOIN win USING (horizon, candidate))""",
+           """prodx AS (SELECT prod.*, e.temperature_2m_mean, e.precipitation_sum FROM prod
+  LEFT JOIN exog_daily e ON e.date = prod.target_date)"""]
+
+
+@query("m8_j2_j3_forecast_latest", V.with_(*_FC_CTE) + "SELECT series_id, origin_date, CAST(horizon AS BIGINT) AS horizon, "
+       "candidate, target_date, " + ", ".join([V.r("y_pred", "y_pred"), V.r("predicted", "predicted"), V.r("rmse", "rmse", 2),
+                                              V.r("mae", "mae", 2), V.r("mape", "mape"), V.r("r2", "r2"),
+                                              V.r("temperature_2m_mean", "temperature_2m_mean"),
+                                              V.r("precipitation_sum", "precipitation_sum")]) + " FROM prodx")
+def q_forecast_latest(spark, sf_dir):
+    """Score the last day of every series for h = 1..7,
+    attach the winner's metrics and the exogenous values of the target day."""
+    return out(_production_forecast(spark, sf_dir), coarse=_MCOARSE)
+
+
+@query("m9_forecast_as_of", V.with_(*_FC_CTE) + f"SELECT series_id, CAST(horizon AS BIGINT) AS horizon, "
+       f"CAST(DATE '{AS_OF}' + (horizon - 1) * INTERVAL 1 DAY AS DATE) AS target_date, " + V.r("predicted", "predicted") + " FROM prod")
+def q_forecast_as_of(spark, sf_dir):
+    """M9: alternative dating from a given day (as_of + h - 1)."""
+    p = _production_forecast(spark, sf_dir, False)
+    p = FC.date_forecast(p.drop("target_date", "predicted"), "origin_date", as_of=AS_OF)
+    return out(p.select("series_id", "horizon", "target_date", "predicted"))
+
+
+@query("m10_f10_next_day", V.with_(*_FC_CTE) + "SELECT series_id, target_date, " + V.r("predicted", "predicted") + ", " +
+       V.r("round(predicted - coalesce(mae, 5.0), 2)", "lower") + ", " + V.r("round(predicted + coalesce(mae, 5.0), 2)", "upper") +
+       " FROM prod WHERE horizon = 1")
+def q_next_day(spark, sf_dir):
+    """Next-day forecast with -/+ MAE interval."""
+    p = FC.next_day(_production_forecast(spark, sf_dir, False))
+    return out(p.select("series_id", "target_date", "predicted", "lower", "upper"))
+
+
+@query("d3_intervals", V.with_(*_FC_CTE) + "SELECT series_id, CAST(horizon AS BIGINT) AS horizon, " + ", ".join(
+    [V.r("predicted", "predicted"), V.r("round(predicted - coalesce(mae, 5.0), 2)", "lower_68"),
+     V.r("round(predicted + coalesce(mae, 5.0), 2)", "upper_68"), V.r("round(predicted - coalesce(mae, 5.0) * 1.96, 2)", "lower_95"),
+     V.r("round(predicted + coalesce(mae, 5.0) * 1.96, 2)", "upper_95")]) + " FROM prod")
+def q_intervals(spark, sf_dir):
+    """D3: 68 % / 95 % bands as -/+ 1.0 / 1.96 MAE."""
+    p = FC.intervals(_production_forecast(spark, sf_dir, False))
+    return out(p.select("series_id", "horizon", "predicted", "lower_68", "upper_68", "lower_95", "upper_95"))
+
+
+def _last_known(spark, sf_dir):
+    lr = FC.latest_row(_panel(spark, sf_dir), PANEL)
+    return lr.select("series_id", F.col("date").alias("last_date"), F.col("y").cast("double").alias("last_value"))
+
+
+@query("s7_m11_o5_document_roundtrip", V.with_(*_FC_CTE) +
+       "SELECT series_id, CAST(horizon AS BIGINT) AS day, 'day_' || horizon AS day_key, target_date, " +
+       V.r("predicted", "prediction") + " FROM prod")
+def q_document(spark, sf_dir):
+    """S7 + M11/O5/P11: one nested JSON forecast document per series, read
+    back into display rows sorted by day number."""
+    prod = _production_forecast(spark, sf_dir, False)
+    doc = FC.forecast_document(prod, _last_known(spark, sf_dir), ["series_id"])
+    rows = FC.parse_forecast_document(doc, ["series_id"])
+    return out(FC.display_rows(rows, ["series_id"]).select("series_id", "day", "day_key", "target_date", "prediction"))
+
+
+@query("s6_latest_row", V.with_(V.DAILY_PANEL_X, V.EXOG_DAILY, _BASE_X) + "SELECT series_id, date, " + V.r("y", "y") + ", " +
+       ", ".join(V.r(c, c) for c in WEATHER_COLUMNS) + " FROM b QUALIFY date = max(date) OVER (PARTITION BY series_id)")
+def q_latest_row(spark, sf_dir):
+    """The latest row of every series (one max_by aggregate)."""
+    return out(FC.latest_row(T.base_panel(spark, sf_dir, exact=True), PANEL))
+
+
+@query("o2_last_90_rows", V.with_(V.DAILY_PANEL_X) + "SELECT series_id, date, " + V.r("y", "y") +
+       " FROM daily_panel QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY date DESC) <= 90")
+def q_last_rows(spark, sf_dir):
+    """O2: the last 90 rows of every series."""
+    return out(FC.last_rows(_panel(spark, sf_dir), PANEL, 90))
+
+
+@query("m12_f4_f11_history_and_forecast", V.with_(*_FC_CTE) + f"""SELECT series_id, date, {V.r('value', 'value')}, kind,
+  {V.r('lower', 'lower')}, {V.r('upper', 'upper')}, CAST(isodow(date) >= 6 AS BIGINT) AS is_weekend FROM (
+  SELECT series_id, date, CAST(y AS DOUBLE) AS value, 'actual' AS kind, NULL::DOUBLE AS lower, NULL::DOUBLE AS upper
+  FROM daily_panel QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY date DESC) <= 90
+  UNION ALL SELECT series_id, target_date, predicted, 'forecast', round(predicted - coalesce(rmse, 5.5), 2),
+  round(predicted + coalesce(rmse, 5.5), 2) FROM prod)""")
+def q_history_forecast(spark, sf_dir):
+    """90 days of history and the forecast with -/+ RMSE band."""
+    return out(FC.history_and_forecast(_panel(spark, sf_dir), _production_forecast(spark, sf_dir, False), PANEL, 90))
+
+
+@query("w8_w9_forecast_changes", V.with_(*_FC_CTE, """lk AS (SELECT series_id, CAST(y AS DOUBLE) AS last_value FROM daily_panel
+  QUALIFY date = max(date) OVER (PARTITION BY series_id))""", """c AS (SELECT prod.*, lk.last_value,
+  coalesce(lag(predicted) OVER (PARTITION BY series_id ORDER BY horizon), lk.last_value) AS base FROM prod JOIN lk USING (series_id))""")
+       + "SELECT series_id, CAST(horizon AS BIGINT) AS horizon, " + ", ".join(
+    [V.r("predicted", "predicted"), V.r("last_value", "last_value"),
+     V.r("CASE WHEN base > 0 THEN (predicted - base) / base * 100.0 END", "change_pct"),
+     V.r("CASE WHEN last_value IS NULL OR last_value = 0 THEN 0.0 ELSE (predicted - last_value) / last_value * 100.0 END",
+         "change_vs_last_pct")]) + " FROM c")
+def q_changes(spark, sf_dir):
+    """Change % from the previous horizon (first from the last known
+    value) and from the last known value."""
+    p = _production_forecast(spark, sf_dir, False).join(_last_known(spark, sf_dir).drop("last_date"), "series_id")
+    return out(FC.change_columns(p, ["series_id"]).select("series_id", "horizon", "predicted", "last_value",
+                                                          "change_pct", "change_vs_last_pct"))
+
+
+@query("f14_candidate_spread_confidence", V.with_(*_FC_CTE) + "SELECT series_id, CAST(horizon AS BIGINT) AS horizon, " +
+       V.r("stddev_samp(y_pred)", "spread", 2) + """, count(*) AS n_candidates,
+  CASE WHEN stddev_samp(y_pred) < 2 THEN 'high' WHEN stddev_samp(y_pred) < 3 THEN 'medium' ELSE 'low' END AS confidence
+  FROM fc GROUP BY 1, 2""")
+def q_confidence(spark, sf_dir):
+    """spread of the candidates' forecasts and its confidence bucket."""
+    fc = EV.baseline_forecast(_panel(spark, sf_dir), PANEL)
+    return out(FC.spread_confidence(fc, ["series_id"]), coarse=["spread"])
+
+
+@query("m13_summary", V.with_(*_FC_CTE, "reg AS (SELECT count(*) AS n_models, avg(rmse) AS avg_rmse FROM win)") +
+       """SELECT d.series_id, count(*) AS n_rows, min(d.date) AS first_date, max(d.date) AS last_date,
+  any_value(r.n_models) AS n_models, """ + V.r("any_value(r.avg_rmse)", "avg_rmse", 2) + """,
+  """ + V.r("any_value(p.predicted)", "next_day_forecast") + """
+FROM daily_panel d CROSS JOIN reg r LEFT JOIN (SELECT series_id, predicted FROM prod WHERE horizon = 1) p USING (series_id)
+GROUP BY d.series_id""")
+def q_summary(spark, sf_dir):
+    """Dataset, model and forecast summary per series."""
+    panel = _panel(spark, sf_dir)
+    span = QU.date_span(panel, PANEL).select("series_id", "n_rows", "first_date", "last_date")
+    m = EV.metrics(_preds(spark, sf_dir), ["candidate", "horizon"])
+    reg = EV.pick_winner(m, ["horizon"]).agg(F.count(F.lit(1)).alias("n_models"), F.avg("rmse").alias("avg_rmse"))
+    nm = reg.first()  # one row: counts over at most 7 horizons
+    nd = (_production_forecast(spark, sf_dir, False).where("horizon = 1")
+          .select("series_id", F.col("predicted").alias("next_day_forecast")))
+    return out(span.join(nd, "series_id", "left").select(
+        "series_id", "n_rows", "first_date", "last_date", F.lit(nm["n_models"]).alias("n_models"),
+        F.lit(nm["avg_rmse"]).alias("avg_rmse"), "next_day_forecast"), coarse=["avg_rmse"])
+
+
+@query("j7_attach_by_position", V.with_(*_FC_CTE, """lk AS (SELECT series_id, max(date) AS last_date FROM daily_panel GROUP BY 1)""",
+                                        """ahead AS (SELECT lk.series_id, e.date, e.temperature_2m_mean,
+  row_number() OVER (PARTITION BY lk.series_id ORDER BY e.date) AS pos FROM lk JOIN exog_daily e ON e.date > lk.last_date
+  QUALIFY pos <= 7)""") + "SELECT p.series_id, CAST(p.horizon AS BIGINT) AS horizon, a.date AS exog_date, " +
+       V.r("a.temperature_2m_mean", "temperature_2m_mean") + ", " + V.r("p.predicted", "predicted") +
+       " FROM prod p LEFT JOIN ahead a ON a.series_id = p.series_id AND a.pos = p.horizon")
+def q_position(spark, sf_dir):
+    """Attach the next exogenous rows to forecast days by position."""
+    lk = _last_known(spark, sf_dir).select("series_id", "last_date")
+    ex = T.exog_daily(spark, sf_dir).select("date", "temperature_2m_mean")
+    ahead = JN.next_rows_by_position(lk, "last_date", ex, "date", 7).withColumnRenamed("date", "exog_date")
+    p = _production_forecast(spark, sf_dir, False).select("series_id", "horizon", "predicted")
+    j = p.join(ahead, (p["series_id"] == ahead["series_id"]) & (p["horizon"] == ahead["pos"]), "left")
+    return out(j.select(p["series_id"], "horizon", "exog_date", "temperature_2m_mean", "predicted"))
+
+
+@query("j6_f16_nearest_hour_lookup", """WITH ph AS (SELECT date_trunc('hour', ts) AS hour_ts, count(*) AS n_purchases
+  FROM events WHERE event_type = 'purchase' GROUP BY 1),
+c AS (SELECT e.event_id, ph.hour_ts, ph.n_purchases FROM events e CROSS JOIN ph
+  QUALIFY row_number() OVER (PARTITION BY e.event_id
+    ORDER BY abs(epoch(ph.hour_ts) - epoch(date_trunc('hour', e.ts))), ph.hour_ts) = 1)
+SELECT event_id, strftime(hour_ts, '%Y-%m-%d %H:%M:%S') AS matched_hour, n_purchases FROM c""")
+def q_nearest_hour(spark, sf_dir):
+    """Each event's hour matched exactly in the hourly table of
+    purchases, else the nearest hour (earlier on ties) - a bucketed as-of
+    join, no cross product."""
+    ev = T.read_table(spark, sf_dir, "events", ["event_id", "ts", "event_type"])
+    ph = (ev.where(F.col("event_type") == "purchase").groupBy(F.date_trunc("hour", "ts").alias("hour_ts"))
+          .agg(F.count(F.lit(1)).alias("n_purchases")))
+    j = JN.nearest_time_join(ev.select("event_id", "ts"), ph, "ts", "hour_ts", [], "hour", 86400, "matched_ts")
+    return j.select("event_id", F.date_format("matched_ts", "yyyy-MM-dd HH:mm:ss").alias("matched_hour"), "n_purchases")
