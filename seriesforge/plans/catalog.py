@@ -1165,3 +1165,39 @@ def q_nearest_hour(spark, sf_dir):
           .agg(F.count(F.lit(1)).alias("n_purchases")))
     j = JN.nearest_time_join(ev.select("event_id", "ts"), ph, "ts", "hour_ts", [], "hour", 86400, "matched_ts")
     return j.select("event_id", F.date_format("matched_ts", "yyyy-MM-dd HH:mm:ss").alias("matched_hour"), "n_purchases")
+
+
+# --------------------------------------------------------------------------
+# Trained models (rows-only checks: no SQL equivalent of a fitted forest)
+# --------------------------------------------------------------------------
+_TRAINED: dict = {}
+
+
+def trained(spark, sf_dir):
+    """M1-M5 smoke run (horizons 1 and 7), memoised per session and input."""
+    from seriesforge.plans import train as TR
+    key = (id(spark), sf_dir)
+    if key not in _TRAINED:
+        cfg = TR.TrainConfig(horizons=[1, 7], profile="smoke")
+        _TRAINED[key] = TR.train_competition(features_table(spark, sf_dir, True), PANEL, cfg)
+    return _TRAINED[key]
+
+
+@query("m1_m2_m3_m5_train_competition")
+def q_train(spark, sf_dir):
+    """M1/M2/M3/M5: one fit per (candidate, horizon) on all series, holdout
+    metrics per candidate."""
+    return trained(spark, sf_dir)["metrics"]
+
+
+@query("m4_a25_feature_selection")
+def q_selection(spark, sf_dir):
+    """M4/A25 (re-aimed): mean |linear Shapley value| per feature, top 30."""
+    return trained(spark, sf_dir)["selection"]
+
+
+@query("m8_score_with_models")
+def q_score_models(spark, sf_dir):
+    """M8: the last day of every series through each horizon's winner."""
+    from seriesforge.plans import train as TR
+    return TR.score_latest(features_table(spark, sf_dir, False), PANEL, trained(spark, sf_dir))
