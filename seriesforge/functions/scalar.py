@@ -147,6 +147,16 @@ def mape_term(y, yhat) -> Column:
     return F.abs(col(y) - col(yhat)) / F.greatest(F.abs(col(y)), F.lit(MAPE_EPS))
 
 
+def tie_stable_round(x, scale: int) -> Column:
+    """floor(x * 10^s + 0.5) / 10^s in plain double arithmetic: any engine
+    that computes the same double gets the same rounded value, ties included
+    (decimal-string rounding and scaled rounding disagree on exact ties).
+    Values beyond 1e15 and non-finite values pass through."""
+    p = float(10 ** scale)
+    r = F.floor(x * F.lit(p) + F.lit(0.5)).cast("double") / F.lit(p)
+    return F.when(F.abs(x) < F.lit(1e15), r + F.lit(0.0)).otherwise(x)
+
+
 def round_doubles(df, scale: int = 4, scales: dict | None = None):
     """Output normalisation at the oracle boundary: decimals and floats to
     rounded doubles (``+ 0.0`` turns -0.0 into 0.0), small ints to bigint.
@@ -156,8 +166,7 @@ def round_doubles(df, scale: int = 4, scales: dict | None = None):
     for f in df.schema.fields:
         t = f.dataType.typeName()
         if t in ("double", "float", "decimal"):
-            sc = scales.get(f.name, scale)
-            out.append((F.round(F.col(f.name).cast("double"), sc) + F.lit(0.0)).alias(f.name))
+            out.append(tie_stable_round(F.col(f.name).cast("double"), scales.get(f.name, scale)).alias(f.name))
         elif t in ("integer", "short", "byte"):
             out.append(F.col(f.name).cast("long").alias(f.name))
         else:

@@ -124,13 +124,16 @@ def describe(df: DataFrame, spec: SeriesSpec, columns: list[str] | None = None)
     per series. ``stack`` unpivots, one groupBy(series, column)."""
     from seriesforge.operators.features import numeric_columns
     cols = columns or numeric_columns(df, exclude=set(_keys(spec)) | {spec.time})
-    pairs = ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols)
+    # values travel as decimal(38,10): the mean is then an exact sum and one
+    # division, independent of the order in which tasks add their parts
+    pairs = ", ".join(f"'{c}', cast(`{c}` as decimal(38,10))" for c in cols)
     long = df.selectExpr(*[f"`{k}`" for k in _keys(spec)],
-                         f"stack({len(cols)}, {pairs}) as (column, value)")
+                         f"stack({len(cols)}, {pairs}) as (column, dvalue)")
+    long = long.withColumn("value", F.col("dvalue").cast("double"))
     v = F.col("value")
     q = F.percentile(v, [0.25, 0.5, 0.75])
     return (long.groupBy(*_keys(spec), "column")
-            .agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+            .agg(F.count(v).alias("count"), mean("dvalue").alias("mean"), F.stddev_samp(v).alias("std"),
                  F.min(v).alias("min"), q.alias("__q"), F.max(v).alias("max"))
             .select(*_keys(spec), "column", "count", "mean", "std", "min",
                     F.col("__q")[0].alias("p25"), F.col("__q")[1].alias("p50"),
@@ -261,12 +264,12 @@ def boxplot_stats(df: DataFrame, spec: SeriesSpec, by_month: bool = False, k: fl
     of fliers, mean and std; per series, optionally per month."""
     y = F.col(spec.value).cast("double")
     extra = [F.month(spec.time).alias("month")] if by_month else []
-    s = df.select(*_keys(spec), *extra, y.alias("__y"))
+    s = df.select(*_keys(spec), *extra, y.alias("__y"), F.col(spec.value).alias("__y0"))
     grp = [*_keys(spec)] + (["month"] if by_month else [])
     p = Window.partitionBy(*grp) if grp else Window.partitionBy()
     q = F.percentile(F.col("__y"), [0.25, 0.5, 0.75]).over(p)
     s = s.select("*", q.alias("__q"))
-    s = s.select(*grp, "__y", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
+    s = s.select(*grp, "__y", "__y0", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
                  F.col("__q")[2].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     lo, hi = F.col("q1") - k * iqr, F.col("q3") + k * iqr
@@ -274,7 +277,7 @@ def boxplot_stats(df: DataFrame, spec: SeriesSpec, by_month: bool = False, k: fl
     return g.agg(F.min(F.when(F.col("__y") >= lo, F.col("__y"))).alias("whisker_low"),
                  F.max(F.when(F.col("__y") <= hi, F.col("__y"))).alias("whisker_high"),
                  F.count_if((F.col("__y") < lo) | (F.col("__y") > hi)).alias("n_fliers"),
-                 F.avg("__y").alias("mean"), F.stddev_samp("__y").alias("std"),
+                 mean("__y0").alias("mean"), F.stddev_samp("__y").alias("std"),
                  F.count(F.lit(1)).alias("n"))
 
 

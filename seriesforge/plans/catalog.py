@@ -471,10 +471,10 @@ _DESCRIBE_COLS = ["y"] + WEATHER_COLUMNS
 
 @query("a8_describe", V.with_(V.DAILY_PANEL_X, V.EXOG_DAILY, "b AS (SELECT p.series_id, p.date, p.y, e.* EXCLUDE (date) "
        "FROM daily_panel p JOIN exog_daily e USING (date))",
-       "l AS (" + " UNION ALL ".join(f"SELECT series_id, '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM b"
-                                     for c in _DESCRIBE_COLS) + ")") +
+       "l AS (" + " UNION ALL ".join(f"SELECT series_id, '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value, "
+                                     f"CAST({c} AS DECIMAL(38,10)) AS dvalue FROM b" for c in _DESCRIBE_COLS) + ")") +
        'SELECT series_id, "column", count(value) AS count, ' + ", ".join(
-           [V.r("avg(value)", "mean"), V.r("stddev_samp(value)", "std", 2), V.r("min(value)", "min"),
+           [V.r("CAST(sum(dvalue) AS DOUBLE) / count(dvalue)", "mean"), V.r("stddev_samp(value)", "std", 2), V.r("min(value)", "min"),
             V.r("quantile_cont(value, 0.25)", "p25"), V.r("quantile_cont(value, 0.5)", "p50"),
             V.r("quantile_cont(value, 0.75)", "p75"), V.r("max(value)", "max")]) + ' FROM l GROUP BY 1, 2')
 def q_describe(spark, sf_dir):
@@ -489,8 +489,17 @@ def _lag_table(spark, sf_dir):
 _LAG_COLS = (["series_id", "date", "y"] + [f"lag_{k}" for k in FE.LAGS] + [f"target_next_day_{h}" for h in range(1, 8)]
              + [f"rolling_mean_{w}" for w in FE.ROLLING_MEAN_WINDOWS] + [f"rolling_std_{w}" for w in FE.ROLLING_STD_WINDOWS]
              + [f"trend_{n}days" for n in FE.DIFFS])
-_LAG_CTE = "lf AS (SELECT " + _lag_sql().replace("ROUND(CAST(", "(CAST(").replace(", 4) + 0.0)", ") + 0.0)").replace(
-    ", 2) + 0.0)", ") + 0.0)") + ")"
+def _raw_lag_sql() -> str:
+    cols = ["series_id", "date", "y"]
+    cols += [f"lag(y, {k}) {_W} AS lag_{k}" for k in FE.LAGS]
+    cols += [f"lead(y, {h}) {_W} AS target_next_day_{h}" for h in range(1, 8)]
+    cols += [f"{V.guarded('avg', 'y', w)} AS rolling_mean_{w}" for w in FE.ROLLING_MEAN_WINDOWS]
+    cols += [f"{V.guarded('stddev_samp', 'y', w)} AS rolling_std_{w}" for w in FE.ROLLING_STD_WINDOWS]
+    cols += [f"y - lag(y, {n}) {_W} AS trend_{n}days" for n in FE.DIFFS]
+    return ", ".join(cols) + " FROM daily_panel"
+
+
+_LAG_CTE = "lf AS (SELECT " + _raw_lag_sql() + ")"
 
 
 @query("a9_q1_null_report", V.with_(V.DAILY_PANEL_X, _LAG_CTE, "n AS (" + " UNION ALL ".join(
@@ -611,9 +620,9 @@ def q_histogram(spark, sf_dir):
 def _box_sql(by_month: bool) -> str:
     g = "series_id, month" if by_month else "series_id"
     mcol = ", month(date) AS month" if by_month else ""
-    return V.with_(V.DAILY_PANEL_X, f"s AS (SELECT series_id{mcol}, CAST(y AS DOUBLE) AS v FROM daily_panel)",
+    return V.with_(V.DAILY_PANEL_X, f"s AS (SELECT series_id{mcol}, CAST(y AS DOUBLE) AS v, y AS v0 FROM daily_panel)",
                    f"""q AS (SELECT {g}, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
-  quantile_cont(v, 0.75) AS q3, avg(v) AS mean, stddev_samp(v) AS std, count(*) AS n FROM s GROUP BY {g})""",
+  quantile_cont(v, 0.75) AS q3, CAST(sum(v0) AS DOUBLE) / count(v0) AS mean, stddev_samp(v) AS std, count(*) AS n FROM s GROUP BY {g})""",
                    f"""w AS (SELECT q.*, min(v) FILTER (WHERE v >= q1 - 1.5 * (q3 - q1)) AS whisker_low,
   max(v) FILTER (WHERE v <= q3 + 1.5 * (q3 - q1)) AS whisker_high,
   count(*) FILTER (WHERE v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) AS n_fliers

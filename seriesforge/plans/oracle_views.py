@@ -114,7 +114,9 @@ def with_(*ctes: str) -> str:
 
 def r(expr: str, alias: str, scale: int = 4) -> str:
     """Rounded double output column."""
-    return f"(ROUND(CAST({expr} AS DOUBLE), {scale}) + 0.0) AS {alias}"
+    x = f"CAST({expr} AS DOUBLE)"
+    p = float(10 ** scale)
+    return f"(CASE WHEN abs({x}) < 1e15 THEN floor({x} * {p} + 0.5) / {p} + 0.0 ELSE {x} END) AS {alias}"
 
 
 def guarded(fn: str, col: str, w: int, part: str = "series_id", order: str = "date",
