@@ -101,16 +101,24 @@ def calendar_flags(holidays: DataFrame) -> DataFrame:
                  F.max("is_bridge_day").alias("is_bridge_day")))
 
 
+# Default calendar span for flags: a fixed, generous range of years, so the
+# lookup table (13 rows per year) needs no pass over the data to size it.
+DEFAULT_YEARS = (1950, 2150)
+
+
+def default_calendar(spark: SparkSession) -> DataFrame:
+    return holiday_calendar(year_range(spark, *DEFAULT_YEARS))
+
+
 def holiday_flags(df: DataFrame, time_col: str = "date",
                   holidays: DataFrame | None = None) -> DataFrame:
     """J4 + J5 as one broadcast lookup instead of a per-row loop.
 
-    ``holidays`` may be any (date, name) calendar; default is
-    :func:`holiday_calendar` over the years of ``df`` plus one on each side,
-    since bridge neighbours cross year ends.
+    ``holidays`` may be any (date, name) calendar; the default covers
+    ``DEFAULT_YEARS`` (bridge neighbours across year ends included).
     """
     if holidays is None:
-        holidays = holiday_calendar(years_of(df, time_col))
+        holidays = default_calendar(df.sparkSession)
     flags = calendar_flags(holidays).withColumnRenamed("date", "__cal_date")
     out = (df.join(F.broadcast(flags), F.col(time_col) == F.col("__cal_date"), "left")
            .drop("__cal_date"))

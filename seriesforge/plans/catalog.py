@@ -936,7 +936,7 @@ def q_mape_tier(spark, sf_dir):
 
 def _segments(spark, sf_dir):
     p = _preds(spark, sf_dir).where(F.col("horizon") == 1)
-    p = CAL.holiday_flags(p, "target_date", CAL.holiday_calendar(CAL.years_of(_panel(spark, sf_dir), "date")))
+    p = CAL.holiday_flags(p, "target_date")
     segs = F.array(F.struct(F.lit("season").alias("segment_type"), EV.season_of("target_date").alias("segment")),
                    F.struct(F.lit("day_group").alias("segment_type"), EV.day_group("target_date").alias("segment")),
                    F.struct(F.lit("holiday").alias("segment_type"),

@@ -75,6 +75,7 @@ class TrainConfig:
     selection: str = "linear_shap"   # or "tree_importance", "none"
     early_stopping: bool = False     # D10: GBT validationIndicatorCol
     validation_tol: float = 0.01
+    parallelism: int = 4             # concurrent fits (Spark jobs from driver threads)
 
 
 def prepare(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig):
@@ -155,22 +156,30 @@ def train_competition(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig |
     data = data.persist()
     tr, te = data.where("is_train = 1"), data.where("is_train = 0")
     cands = candidate_models(cfg.profile)
-    preds, models = [], {}
-    for h, tcol in zip(cfg.horizons, targets):
-        for name, est in cands.items():
-            e = est.copy().setLabelCol(tcol).setFeaturesCol("features").setPredictionCol("y_pred")
-            fit_on = tr
-            if cfg.early_stopping and isinstance(e, GBTRegressor):
-                # Hold out the last dates of the training rows for validation
-                vdf = SP.label_split(tr.drop("is_train"), spec.time, 0.9)
-                fit_on = vdf.withColumn("__val", F.col("is_train") == 0).drop("is_train")
-                e = e.setValidationIndicatorCol("__val").setValidationTol(cfg.validation_tol)
-            m = e.fit(fit_on)
-            models[(name, h)] = m
-            p = m.transform(te).select(*spec.key_cols, spec.time, F.lit(h).alias("horizon"),
-                                       F.lit(name).alias("candidate"), F.col(tcol).cast("double").alias("y_true"),
-                                       F.col("y_pred"))
-            preds.append(p)
+    if cfg.early_stopping:
+        # The last dates of the training rows validate the boosting rounds
+        tr_val = SP.label_split(tr.drop("is_train"), spec.time, 0.9) \
+            .withColumn("__val", F.col("is_train") == 0).drop("is_train")
+
+    def fit_one(job):
+        name, est, h, tcol = job
+        e = est.copy().setLabelCol(tcol).setFeaturesCol("features").setPredictionCol("y_pred")
+        fit_on = tr
+        if cfg.early_stopping and isinstance(e, GBTRegressor):
+            fit_on = tr_val
+            e = e.setValidationIndicatorCol("__val").setValidationTol(cfg.validation_tol)
+        return (name, h), e.fit(fit_on)
+
+    jobs = [(name, est, h, tcol) for h, tcol in zip(cfg.horizons, targets) for name, est in cands.items()]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, cfg.parallelism)) as pool:
+        models = dict(pool.map(fit_one, jobs))
+    preds = []
+    for name, _, h, tcol in jobs:
+        p = models[(name, h)].transform(te).select(
+            *spec.key_cols, spec.time, F.lit(h).alias("horizon"), F.lit(name).alias("candidate"),
+            F.col(tcol).cast("double").alias("y_true"), F.col("y_pred"))
+        preds.append(p)
     allp = preds[0]
     for p in preds[1:]:
         allp = allp.unionByName(p)

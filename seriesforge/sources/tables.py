@@ -33,9 +33,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*out)
 
 
+def _cents(c: str):
+    return F.round(F.col(c) * F.lit(100.0)).cast("long")
+
+
 def _money_sum(c: str, exact: bool = False):
-    s = F.sum(F.col(c).cast("decimal(18,2)"))
-    return s if exact else s.cast("double")
+    """Exact sum of a 2-decimal column as integer cents (long arithmetic in
+    the partial aggregate; no BigDecimal buffers). ``exact`` returns
+    decimal(28,2), otherwise the correctly rounded double."""
+    s = F.sum(_cents(c))
+    if exact:
+        return (s.cast("decimal(28,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(28,2)")
+    return s.cast("double") / F.lit(100.0)
 
 
 def raw_long(spark: SparkSession, sf_dir: str) -> DataFrame:
