@@ -43,47 +43,46 @@ def nearest_time_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts:
     """
     keys = list(keys or [])
     bs = F.lit(int(bucket_seconds))
+    lcols = [c for c in left.columns if c not in keys]
     L = left.withColumn("__t", F.unix_seconds(F.date_trunc(truncate, F.col(left_ts)).cast("timestamp")))
-    L = L.withColumn("__b", F.floor(F.col("__t") / bs)).withColumn("__lid", F.monotonically_increasing_id())
+    L = L.withColumn("__b", F.floor(F.col("__t") / bs))
     R = right.select(*keys, F.unix_seconds(F.col(right_ts).cast("timestamp")).alias("__r"))
     R = R.withColumn("__b", F.floor(F.col("__r") / bs))
 
+    # per-bucket summary (one row per key and bucket that holds left or right
+    # rows): nearest right time in earlier / later buckets
+    # "following" neighbours use a running frame over the reversed order:
+    # Spark recomputes an (current, unbounded following) frame for every row
     ws = Window.partitionBy(*keys).orderBy("__b") if keys else Window.orderBy("__b")
-    # buckets of left rows may hold no right rows: neighbours of such a bucket
-    # come from the nearest summarised buckets on either side.
-    lb = L.select(*keys, "__b").distinct()
-    allb = (lb.select(*keys, "__b", F.lit(None).cast("long").alias("__rmin"),
-                      F.lit(None).cast("long").alias("__rmax"))
-            .unionByName(R.groupBy(*keys, "__b").agg(F.min("__r").alias("__rmin"),
-                                                     F.max("__r").alias("__rmax"))))
-    allb = allb.groupBy(*keys, "__b").agg(F.min("__rmin").alias("__rmin"), F.max("__rmax").alias("__rmax"))
+    wsd = Window.partitionBy(*keys).orderBy(F.desc("__b")) if keys else Window.orderBy(F.desc("__b"))
+    allb = (L.select(*keys, "__b", F.lit(None).cast("long").alias("__r"))
+            .unionByName(R.select(*keys, "__b", "__r"))
+            .groupBy(*keys, "__b").agg(F.min("__r").alias("__rmin"), F.max("__r").alias("__rmax")))
     summ = allb.select(
         *keys, "__b",
         F.max("__rmax").over(ws.rowsBetween(Window.unboundedPreceding, -1)).alias("__prev_out"),
-        F.min("__rmin").over(ws.rowsBetween(1, Window.unboundedFollowing)).alias("__next_out"))
+        F.min("__rmin").over(wsd.rowsBetween(Window.unboundedPreceding, -1)).alias("__next_out"))
 
-    u = (L.select(*keys, "__b", "__lid", F.col("__t").alias("__ts"), F.lit(1).alias("__isl"),
-                  F.lit(None).cast("long").alias("__r"))
-         .unionByName(R.select(*keys, "__b", F.lit(None).cast("long").alias("__lid"),
-                               F.col("__r").alias("__ts"), F.lit(0).alias("__isl"), "__r")))
+    # left rows travel through the union with all their columns
+    u = (L.select(*keys, "__b", F.col("__t").alias("__ts"), F.lit(1).alias("__isl"),
+                  F.lit(None).cast("long").alias("__r"), *lcols)
+         .unionByName(R.select(*keys, "__b", F.col("__r").alias("__ts"), F.lit(0).alias("__isl"), "__r"),
+                      allowMissingColumns=True))
     wi = Window.partitionBy(*keys, "__b").orderBy("__ts", "__isl")
-    u = u.select(*keys, "__b", "__lid", "__ts", "__isl",
-                 F.last("__r", ignorenulls=True).over(
-                     wi.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__prev_in"),
-                 F.first("__r", ignorenulls=True).over(
-                     wi.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("__next_in"))
+    wid = Window.partitionBy(*keys, "__b").orderBy(F.desc("__ts"), F.desc("__isl"))
+    run = (Window.unboundedPreceding, Window.currentRow)
+    u = u.select("*", F.last("__r", ignorenulls=True).over(wi.rowsBetween(*run)).alias("__prev_in"))
+    u = u.select("*", F.last("__r", ignorenulls=True).over(wid.rowsBetween(*run)).alias("__next_in"))
     u = u.where(F.col("__isl") == 1).join(summ, [*keys, "__b"], "left")
     prev = F.coalesce("__prev_in", "__prev_out")
     nxt = F.coalesce("__next_in", "__next_out")
     t = F.col("__ts")
     chosen = (F.when(prev.isNull(), nxt).when(nxt.isNull(), prev)
               .when((t - prev) <= (nxt - t), prev).otherwise(nxt))
-    m = u.select("__lid", chosen.alias("__m"))
-    out = L.join(m, "__lid", "left")
+    m = u.select(*keys, *lcols, chosen.alias("__m"))
     rt = right.withColumn("__m", F.unix_seconds(F.col(right_ts).cast("timestamp")))
     rt = rt.withColumnRenamed(right_ts, out_ts)
-    out = out.join(rt, [*keys, "__m"], "left")
-    return out.drop("__t", "__b", "__lid", "__m")
+    return m.join(rt, [*keys, "__m"], "left").drop("__m")
 
 
 def attach_by_position(df: DataFrame, keys: list[str], order_col: str,
@@ -108,8 +107,8 @@ def next_rows_by_position(anchors: DataFrame, anchor_col: str, table: DataFrame,
     bounds = d.agg(F.min(time_col).alias("start"), F.max(time_col).alias("end"))
     spine = bounds.select(F.explode(F.sequence("start", "end", F.expr("interval 1 day"))).alias("__day"))
     nxt = (spine.join(ranked, spine["__day"] == ranked[time_col], "left")
-           .select("__day", F.first("__rank", ignorenulls=True).over(
-               Window.orderBy("__day").rowsBetween(1, Window.unboundedFollowing)).alias("__next")))
+           .select("__day", F.last("__rank", ignorenulls=True).over(
+               Window.orderBy(F.desc("__day")).rowsBetween(Window.unboundedPreceding, -1)).alias("__next")))
     a = anchors.join(nxt, anchors[anchor_col] == nxt["__day"], "inner").drop("__day")
     a = a.select("*", F.explode(F.sequence(F.lit(1), F.lit(n))).alias(pos_col))
     a = a.withColumn("__rank", F.col("__next") + F.col(pos_col) - 1).drop("__next")

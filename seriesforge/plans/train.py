@@ -138,9 +138,12 @@ def train_competition(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig |
     cfg = cfg or TrainConfig()
     spark = features.sparkSession
     lab, feats, targets = prepare(features, spec, cfg)
+    idx = None
     if spec.keys:
+        # series keys as an indexed feature; alphabetical order so that the
+        # index of a series does not depend on how many rows it has
         idx = StringIndexer(inputCols=spec.key_cols, outputCols=[f"{k}__idx" for k in spec.key_cols],
-                            handleInvalid="keep").fit(lab)
+                            handleInvalid="keep", stringOrderType="alphabetAsc").fit(lab)
         lab = idx.transform(lab)
         feats = feats + [f"{k}__idx" for k in spec.key_cols]
     lab = cut_lineage(lab.select(*spec.key_cols, spec.time, "is_train", *feats, *targets))
@@ -188,7 +191,7 @@ def train_competition(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig |
     met = EV.metrics(allp, ["candidate", "horizon"])
     win = EV.pick_winner(met, ["horizon"], order=list(cands))
     res = {"predictions": allp, "metrics": met, "winners": win, "features": feats, "selection": sel,
-           "models": models, "scaler": scaler, "candidates": list(cands)}
+           "models": models, "scaler": scaler, "candidates": list(cands), "indexer": idx}
     if out_dir:
         save_models(res, out_dir)
     return res
@@ -262,10 +265,8 @@ def score_latest(prod_features: DataFrame, spec: SeriesSpec, res: dict, as_of=No
     model; target date = last date + h (or as_of + h - 1)."""
     from seriesforge.operators.forecast import last_rows
     last = last_rows(prod_features, spec, 1)
-    if spec.keys:
-        idx = StringIndexer(inputCols=spec.key_cols, outputCols=[f"{k}__idx" for k in spec.key_cols],
-                            handleInvalid="keep").fit(prod_features)
-        last = idx.transform(last)
+    if res.get("indexer") is not None:
+        last = res["indexer"].transform(last)  # the training mapping; unseen keys -> extra index
     feats = res["features"]
     mu_sd = res["scaler"]
     cols = [((F.col(c).cast("double") - F.lit(mu_sd[c][0] or 0.0)) /
