@@ -251,8 +251,8 @@ def update_registry(spark: SparkSession, root: str, winners: DataFrame, model_di
 def _load_any(path: str):
     from pyspark.ml.regression import (GBTRegressionModel, LinearRegressionModel,
                                        RandomForestRegressionModel)
-    meta = json.loads(open(os.path.join(path, "metadata", "part-00000")).read()) \
-        if os.path.exists(os.path.join(path, "metadata", "part-00000")) else {}
+    spark = SparkSession.getActiveSession()
+    meta = json.loads(spark.read.text(os.path.join(path, "metadata")).first()[0])
     cls = meta.get("class", "")
     for c in (RandomForestRegressionModel, GBTRegressionModel, LinearRegressionModel, PipelineModel):
         if cls.endswith(c.__name__):
