@@ -593,8 +593,13 @@ _TRENDS_SQL = V.with_(V.DAILY_PANEL_X, V.EXOG_DAILY, _BASE_X, "t AS (" + " UNION
 @query("a16_exog_trends", _TRENDS_SQL + "SELECT series_id, feature, " +
        ", ".join(V.r(c, c) for c in ["r", "slope", "intercept", "x_min", "x_max"]) + " FROM t")
 def q_trends(spark, sf_dir):
-    """R, slope, intercept of target ~ each exogenous column."""
-    return out(PR.exog_trends(T.base_panel(spark, sf_dir, exact=True), PANEL, WEATHER_COLUMNS))
+    """R, slope, intercept of target ~ each exogenous column; the
+    columns are found by keyword in the schema."""
+    b = T.base_panel(spark, sf_dir, exact=True)
+    cols = PR.find_columns(b, contains=["temperature", "humidity", "precipitation", "wind", "radiation"],
+                           numeric_only=True)
+    assert cols == WEATHER_COLUMNS
+    return out(PR.exog_trends(b, PANEL, cols))
 
 
 @query("a16_trend_lines", _TRENDS_SQL + """, pts AS (SELECT t.*, unnest(range(0, 100)) AS point FROM t),
@@ -1210,3 +1215,54 @@ def q_score_models(spark, sf_dir):
     """M8: the last day of every series through each horizon's winner."""
     from seriesforge.plans import train as TR
     return TR.score_latest(features_table(spark, sf_dir, False), PANEL, trained(spark, sf_dir))
+
+
+
+# --------------------------------------------------------------------------
+# Sink round trip, date range, horizon limit
+# --------------------------------------------------------------------------
+@query("s5_s1_o1_csv_sink_roundtrip", _pivot_sql())
+def q_csv_roundtrip(spark, sf_dir):
+    """S5 + O1 + S1: the wide table written as sorted CSV into the shared
+    checkpoint folder (a new folder per run) and scanned back with a schema."""
+    import uuid
+    from seriesforge.session import checkpoint_dir
+    from seriesforge.sources.files import read_csv, write_table
+    wide = IN.pivot_wide(T.raw_long(spark, sf_dir), RAW_TYPES)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv-sink-{uuid.uuid4().hex}"
+    write_table(wide, path, fmt="csv", sort_by=["date"])
+    schema = "date string, " + ", ".join(f"`{c}` double" for c in wide.columns[1:])
+    return out(read_csv(spark, path, schema, date_cols=["date"]))
+
+
+@query("p7_date_range_profile", V.with_(V.DAILY_PANEL_X, """s AS (SELECT series_id,
+  CAST(sum(y) AS DOUBLE) / count(y) AS mean, quantile_cont(CAST(y AS DOUBLE), 0.5) AS median,
+  stddev_samp(y) AS std, CAST(min(y) AS DOUBLE) AS min, CAST(max(y) AS DOUBLE) AS max, count(y) AS count
+  FROM daily_panel WHERE date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31' GROUP BY 1)""") + "SELECT series_id, " +
+       ", ".join([V.r("mean", "mean"), V.r("median", "median"), V.r("std", "std", 2), V.r("min", "min"), V.r("max", "max"),
+                  "count", V.r("max - min", "range"), V.r("std / mean * 100.0", "cv_pct"), V.r("min / mean - 1.0", "min_rel"),
+                  V.r("max / mean - 1.0", "max_rel")]) + " FROM s")
+def q_date_range(spark, sf_dir):
+    """The scalar profile on a closed date range (bounds pushed down)."""
+    p = PR.date_range_filter(_panel(spark, sf_dir), "date", "1996-01-01", "1998-12-31")
+    return out(PR.scalar_profile(p, PANEL), coarse=["std"])
+
+
+@query("p12_forecast_first_days", V.with_(*_FC_CTE) + "SELECT series_id, CAST(horizon AS BIGINT) AS horizon, target_date, "
+       + V.r("predicted", "predicted") + " FROM prod WHERE horizon <= 3")
+def q_first_days(spark, sf_dir):
+    """The forecast limited to the first ``days`` horizons (1..7 checked)."""
+    days = 3
+    if not 1 <= days <= 7:
+        raise ValueError("days must be within 1..7")
+    p = _production_forecast(spark, sf_dir, False).where(F.col("horizon") <= days)
+    return out(p.select("series_id", "horizon", "target_date", "predicted"))
+
+
+
+@query("d1_linear_regression_baseline")
+def q_linear_baseline(spark, sf_dir):
+    """Linear regression per horizon (h = 1, 7) on the scaled features."""
+    from seriesforge.plans import train as TR
+    cfg = TR.TrainConfig(horizons=[1, 7], selection="none")
+    return TR.linear_baseline(features_table(spark, sf_dir, True), PANEL, cfg)

@@ -52,6 +52,28 @@ def candidate_models(profile: str = "full", seed: int = 42) -> dict:
     }
 
 
+def linear_baseline(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig | None = None) -> DataFrame:
+    """The linear-regression baseline per horizon - same split, scaling
+    and metrics as the competition. Returns (candidate, horizon, n, rmse,
+    mae, mape, r2)."""
+    cfg = cfg or TrainConfig(selection="none")
+    lab, feats, targets = prepare(features, spec, cfg)
+    lab = cut_lineage(lab.select(*spec.key_cols, spec.time, "is_train", *feats, *targets))
+    train = lab.where("is_train = 1")
+    scaled, _ = scale(lab, train, feats)
+    data = VectorAssembler(inputCols=feats, outputCol="features").transform(scaled)
+    tr, te = data.where("is_train = 1"), data.where("is_train = 0")
+    parts = []
+    for h, t in zip(cfg.horizons, targets):
+        m = LinearRegression(labelCol=t, featuresCol="features", predictionCol="y_pred").fit(tr)
+        parts.append(m.transform(te).select(F.lit("LinearRegression").alias("candidate"), F.lit(h).alias("horizon"),
+                                            F.col(t).cast("double").alias("y_true"), "y_pred"))
+    allp = parts[0]
+    for p in parts[1:]:
+        allp = allp.unionByName(p)
+    return EV.metrics(allp, ["candidate", "horizon"])
+
+
 def grid_candidates(base: dict, grid: dict) -> dict:
     """Expand candidates over a parameter grid (ParamGridBuilder); each
     combination competes as its own named candidate."""
@@ -170,7 +192,8 @@ def train_competition(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig |
         fit_on = tr
         if cfg.early_stopping and isinstance(e, GBTRegressor):
             fit_on = tr_val
-            e = e.setValidationIndicatorCol("__val").setValidationTol(cfg.validation_tol)
+            e = e.setValidationIndicatorCol("__val")
+            e = e.copy({e.validationTol: cfg.validation_tol})
         return (name, h), e.fit(fit_on)
 
     jobs = [(name, est, h, tcol) for h, tcol in zip(cfg.horizons, targets) for name, est in cands.items()]

@@ -45,3 +45,16 @@ def test_competition_registry_and_scoring(spark, tmpdir_path):
     fc = TR.score_latest(features_table(spark, SF_SMALL, False), PANEL, res).collect()
     assert len(fc) == 5 * 2 and all(r.predicted is not None for r in fc)
     assert all((r.target_date - r.origin_date).days == r.horizon for r in fc)
+
+
+def test_grid_and_early_stopping(spark):
+    base = TR.candidate_models("smoke")
+    g = TR.grid_candidates({"XGBoost": base["XGBoost"]}, {"XGBoost": {"maxDepth": [2, 3]}})
+    assert sorted(g) == ["XGBoost#0", "XGBoost#1"]
+    assert sorted(e.getOrDefault("maxDepth") for e in g.values()) == [2, 3]
+    f = features_table(spark, SF_SMALL, True)
+    cfg = TR.TrainConfig(horizons=[1], profile="smoke", selection="none", early_stopping=True)
+    res = TR.train_competition(f, PANEL, cfg)
+    assert res["metrics"].count() == 3
+    lin = TR.linear_baseline(f, PANEL, TR.TrainConfig(horizons=[1], selection="none")).collect()
+    assert len(lin) == 1 and lin[0].rmse > 0
