@@ -296,6 +296,7 @@ def score_latest(prod_features: DataFrame, spec: SeriesSpec, res: dict, as_of=No
              F.lit(1.0 if not mu_sd[c][1] else mu_sd[c][1])).alias(c) for c in feats]
     x = VectorAssembler(inputCols=feats, outputCol="features").transform(
         last.select(*spec.key_cols, spec.time, *cols))
+    x = cut_lineage(x)  # one row per series, read by every horizon's model
     win = {r["horizon"]: r["candidate"] for r in res["winners"].collect()}  # <= 7 rows
     parts = []
     for h, name in sorted(win.items()):
