@@ -82,9 +82,14 @@ def pivot_wide(long: DataFrame, values: list[str], date_col: str = "date_query",
                       S.tolerant_double(F.col(value_col)).alias("value"),
                       *([F.col(seq_col)] if seq_col else []))
           .dropna(subset=["date", "type", "value"]))
-    if seq_col:
-        df = keep_last(df, keys + ["date", "type"], seq_col)
     norm = [S.normalize_name_py(v) for v in values]
+    if seq_col:
+        # dedupe and pivot in one partial aggregation on the date: per pivot
+        # value, the value of the row with the highest sequence (rows of other
+        # types have a NULL ordering and are skipped by max_by)
+        t, seq = F.col("type"), F.col(seq_col)
+        return df.groupBy(*keys, "date").agg(
+            *[F.max_by("value", F.when(t == F.lit(v), seq)).alias(v) for v in norm])
     return df.groupBy(*keys, "date").pivot("type", norm).agg(F.max("value"))
 
 
