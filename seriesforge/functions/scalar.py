@@ -157,18 +157,26 @@ def tie_stable_round(x, scale: int) -> Column:
     return F.when(F.abs(x) < F.lit(1e15), r + F.lit(0.0)).otherwise(x)
 
 
+def tie_stable_round_sql(x: str, scale: int) -> str:
+    p = float(10 ** scale)  # D suffix: double literals (plain 10000.0 is a decimal in Spark SQL)
+    return (f"CASE WHEN abs({x}) < 1e15D THEN CAST(floor({x} * {p}D + 0.5D) AS DOUBLE) / {p}D + 0.0D "
+            f"ELSE {x} END")
+
+
 def round_doubles(df, scale: int = 4, scales: dict | None = None):
     """Output normalisation at the oracle boundary: decimals and floats to
-    rounded doubles (``+ 0.0`` turns -0.0 into 0.0), small ints to bigint.
-    ``scales`` overrides the scale per column."""
-    out = []
+    rounded doubles (:func:`tie_stable_round`), small ints to bigint. Built
+    as one ``selectExpr`` (one call into the JVM for all columns)."""
     scales = scales or {}
+    exprs = []
     for f in df.schema.fields:
         t = f.dataType.typeName()
+        q = f"`{f.name}`"
         if t in ("double", "float", "decimal"):
-            out.append(tie_stable_round(F.col(f.name).cast("double"), scales.get(f.name, scale)).alias(f.name))
+            x = f"CAST({q} AS DOUBLE)"
+            exprs.append(f"{tie_stable_round_sql(x, scales.get(f.name, scale))} AS {q}")
         elif t in ("integer", "short", "byte"):
-            out.append(F.col(f.name).cast("long").alias(f.name))
+            exprs.append(f"CAST({q} AS BIGINT) AS {q}")
         else:
-            out.append(F.col(f.name))
-    return df.select(*out)
+            exprs.append(q)
+    return df.selectExpr(*exprs)

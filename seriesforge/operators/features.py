@@ -111,8 +111,8 @@ def build_features(base: DataFrame, spec: SeriesSpec, *, training: bool = True,
 
     # Clip numeric columns at 0, except keys, time and targets.
     skip = set(keys) | {t} | set(targets)
-    df = df.select(*[S.clip_lower(c, 0).alias(c) if c in numeric_columns(df, skip) else F.col(c)
-                     for c in df.columns])
+    to_clip = set(numeric_columns(df, skip))
+    df = df.select(*[S.clip_lower(c, 0).alias(c) if c in to_clip else F.col(c) for c in df.columns])
 
     v = F.col(y)
     feats: list[Column] = []
@@ -121,7 +121,8 @@ def build_features(base: DataFrame, spec: SeriesSpec, *, training: bool = True,
     feats += [guarded_rolling(v, n, w, "std").alias(f"rolling_std_{n}") for n in std_windows]
     feats += [(v - F.lag(v, n).over(w)).alias(f"trend_{n}days") for n in diffs]
 
-    has_weather = all(src in df.columns for _, src in WEATHER_ALIASES)
+    present = set(df.columns)
+    has_weather = all(src in present for _, src in WEATHER_ALIASES)
     if has_weather:
         temp = F.col("temperature_2m_mean")
         rain_flag = S.flag_gt("precipitation_sum", 1.0)
@@ -159,15 +160,15 @@ def fill_with_means(df: DataFrame, spec: SeriesSpec, exclude=(), columns=None) -
     An unordered window over the series keys reuses the partitioning of the
     feature window, so this adds no exchange.
     """
-    p = series_partition(spec)
-    cols = columns or [f.name for f in df.schema.fields
-                       if f.dataType.typeName() in ("double", "float", "decimal")
-                       and f.name not in set(exclude)]
-
-    def mean(c):
-        return F.sum(c).over(p).cast("double") / F.count(c).over(p)
-    return df.select(*[F.coalesce(F.col(c).cast("double"), mean(c)).alias(c) if c in cols
-                       else F.col(c) for c in df.columns])
+    cols = set(columns or [f.name for f in df.schema.fields
+                           if f.dataType.typeName() in ("double", "float", "decimal")
+                           and f.name not in set(exclude)])
+    part = ", ".join(f"`{k}`" for k in spec.key_cols)
+    over = f"OVER (PARTITION BY {part})" if part else "OVER ()"
+    # one selectExpr: a single call into the JVM for all columns
+    return df.selectExpr(*[
+        f"coalesce(CAST(`{c}` AS DOUBLE), CAST(sum(`{c}`) {over} AS DOUBLE) / count(`{c}`) {over}) AS `{c}`"
+        if c in cols else f"`{c}`" for c in df.columns])
 
 
 def lag_features(df: DataFrame, spec: SeriesSpec, lags=LAGS, leads=range(1, HORIZONS + 1),
