@@ -43,8 +43,13 @@ def nearest_time_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts:
     """
     keys = list(keys or [])
     bs = F.lit(int(bucket_seconds))
-    lcols = [c for c in left.columns if c not in keys]
-    L = left.withColumn("__t", F.unix_seconds(F.date_trunc(truncate, F.col(left_ts)).cast("timestamp")))
+    # every left row of the same truncated time has the same answer: only the
+    # distinct (keys, target) pairs - bounded by keys x hours, whatever the
+    # number of raw rows of a hot key - go through the as-of step, and the raw
+    # rows join back on (keys, target) by an equi-join
+    left_t = left.withColumn("__t", F.unix_seconds(F.date_trunc(truncate, F.col(left_ts)).cast("timestamp")))
+    lcols = []
+    L = left_t.select(*keys, "__t").distinct()
     L = L.withColumn("__b", F.floor(F.col("__t") / bs))
     R = right.select(*keys, F.unix_seconds(F.col(right_ts).cast("timestamp")).alias("__r"))
     R = R.withColumn("__b", F.floor(F.col("__r") / bs))
@@ -79,10 +84,11 @@ def nearest_time_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts:
     t = F.col("__ts")
     chosen = (F.when(prev.isNull(), nxt).when(nxt.isNull(), prev)
               .when((t - prev) <= (nxt - t), prev).otherwise(nxt))
-    m = u.select(*keys, *lcols, chosen.alias("__m"))
+    m = u.select(*keys, F.col("__ts").alias("__t"), chosen.alias("__m"))
     rt = right.withColumn("__m", F.unix_seconds(F.col(right_ts).cast("timestamp")))
     rt = rt.withColumnRenamed(right_ts, out_ts)
-    return m.join(rt, [*keys, "__m"], "left").drop("__m")
+    matched = m.join(rt, [*keys, "__m"], "left").drop("__m")
+    return left_t.join(matched, [*keys, "__t"], "left").drop("__t")
 
 
 def attach_by_position(df: DataFrame, keys: list[str], order_col: str,
