@@ -1,13 +1,15 @@
 """Calendar tables (C1, C2) and calendar flags.
 
-The holiday table is built per year from a fixed list plus Easter-relative
-days, so its size is bounded by 13 rows per year of data; that proven bound is
-what makes the broadcast in :func:`holiday_flags` safe at any data volume.
+The default flags are per-row column expressions (fixed month/day pairs and
+Easter arithmetic on the row's year), so they need no lookup table at all. A
+user-supplied calendar table is joined instead; it is built per year, so its
+size is bounded by 13 rows per year, which makes its broadcast safe at any
+data volume.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # National holidays (public law). (month, day, name).
@@ -101,24 +103,75 @@ def calendar_flags(holidays: DataFrame) -> DataFrame:
                  F.max("is_bridge_day").alias("is_bridge_day")))
 
 
-# Default calendar span for flags: a fixed, generous range of years, so the
-# lookup table (13 rows per year) needs no pass over the data to size it.
-DEFAULT_YEARS = (1950, 2150)
-
-
-def default_calendar(spark: SparkSession) -> DataFrame:
-    return holiday_calendar(year_range(spark, *DEFAULT_YEARS))
+def easter_sunday(year) -> Column:
+    """Gregorian Easter Sunday of an integer year column, as Column maths
+    (same algorithm as :func:`easter_sunday_expr`)."""
+    y = F.col(year) if isinstance(year, str) else year
+
+    def div(a, b):
+        return F.floor(a / F.lit(b)).cast("int")
+    a = y % 19
+    b = div(y, 100)
+    c = y % 100
+    d = div(b, 4)
+    e = b % 4
+    f = div(b + 8, 25)
+    g = div(b - f + 1, 3)
+    h = (a * 19 + b - d - g + 15) % 30
+    i = div(c, 4)
+    k = c % 4
+    ll = (e * 2 + i * 2 - h - k + 32) % 7
+    m = div(a + h * 11 + ll * 22, 451)
+    n = h + ll - m * 7 + 114
+    return F.make_date(y, div(n, 31), n % 31 + 1)
+
+
+def is_holiday(date) -> Column:
+    """J4 as a per-row expression: 1 when ``date`` is a national holiday of
+    the default calendar (any year, no lookup table)."""
+    dcol = F.col(date) if isinstance(date, str) else date
+    y, m, dd = F.year(dcol), F.month(dcol), F.dayofmonth(dcol)
+    lo, hi = SUSPENDED_YEARS
+    suspended_year = y.between(lo, hi)
+    fixed = F.lit(False)
+    for mm, d, name in FIXED_HOLIDAYS:
+        hit = (m == mm) & (dd == d)
+        if name in SUSPENDED_NAMES:
+            hit = hit & ~suspended_year
+        fixed = fixed | hit
+    easter = easter_sunday(y)
+    movable = F.lit(False)
+    for off, name in EASTER_HOLIDAYS:
+        hit = dcol == F.date_add(easter, off)
+        if name in SUSPENDED_NAMES:
+            hit = hit & ~suspended_year
+        movable = movable | hit
+    return (fixed | movable).cast("int")
+
+
+def is_bridge_day(date) -> Column:
+    """J5 as a per-row expression: a Thursday before a holiday or a Tuesday
+    after one."""
+    dcol = F.col(date) if isinstance(date, str) else date
+    wd = F.weekday(dcol)
+    return (((wd == 3) & (is_holiday(F.date_add(dcol, 1)) == 1)) |
+            ((wd == 1) & (is_holiday(F.date_sub(dcol, 1)) == 1))).cast("int")
 
 
 def holiday_flags(df: DataFrame, time_col: str = "date",
                   holidays: DataFrame | None = None) -> DataFrame:
     """J4 + J5 as one broadcast lookup instead of a per-row loop.
 
-    ``holidays`` may be any (date, name) calendar; the default covers
-    ``DEFAULT_YEARS`` (bridge neighbours across year ends included).
+    Without ``holidays`` the default calendar is evaluated per row as
+    column expressions (:func:`is_holiday`, :func:`is_bridge_day`): no join,
+    no year range. ``holidays`` may be any (date, name) calendar table; it
+    is then turned into (date, flags) rows - at most 3 per holiday - and
+    broadcast.
     """
     if holidays is None:
-        holidays = default_calendar(df.sparkSession)
+        # default calendar: pure column expressions, no join and no broadcast
+        return df.select("*", is_holiday(time_col).alias("is_holiday"),
+                         is_bridge_day(time_col).alias("is_bridge_day"))
     flags = calendar_flags(holidays).withColumnRenamed("date", "__cal_date")
     out = (df.join(F.broadcast(flags), F.col(time_col) == F.col("__cal_date"), "left")
            .drop("__cal_date"))

@@ -40,3 +40,12 @@ def test_date_spine(spark):
     b = spark.createDataFrame([("a", dt.date(2024, 1, 30), dt.date(2024, 2, 2))], "k string, start date, end date")
     assert [r.date for r in CAL.date_spine(b).orderBy("date").collect()] == [
         dt.date(2024, 1, 30), dt.date(2024, 1, 31), dt.date(2024, 2, 1), dt.date(2024, 2, 2)]
+
+
+def test_expression_flags_equal_table_flags(spark):
+    days = spark.range(0, 366 * 62).select(F.date_add(F.lit("1989-01-01").cast("date"), F.col("id").cast("int")).alias("date"))
+    by_expr = CAL.holiday_flags(days)
+    by_table = CAL.holiday_flags(days, holidays=CAL.holiday_calendar(CAL.year_range(spark, 1988, 2052)))
+    diff = by_expr.exceptAll(by_table.select(*by_expr.columns))
+    assert diff.count() == 0
+    assert by_expr.where("is_holiday = 1").count() > 13 * 60
