@@ -70,7 +70,7 @@ def metrics(preds: DataFrame, by: list[str]) -> DataFrame:
               (F.avg(S.mape_term("y_true", "y_pred")) * F.lit(100.0)).alias("mape"),
               F.sum(e * e).alias("__sse"), F.var_pop("y_true").alias("__vp"))
     return r.select(*by, "n", F.sqrt("__mse").alias("rmse"), "mae", "mape",
-                    (F.lit(1.0) - F.col("__sse") / (F.col("n") * F.col("__vp"))).alias("r2"))
+                    (F.lit(1.0) - F.try_divide(F.col("__sse"), F.col("n") * F.col("__vp"))).alias("r2"))
 
 
 def pick_winner(m: DataFrame, by: list[str], order: list[str] = BASELINES,

@@ -28,6 +28,16 @@ def lookup_left(df: DataFrame, table: DataFrame, on, prefix: str | None = None)
     return df.join(table, on, "left")
 
 
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def _seconds(c) -> "F.Column":
+    """Seconds since 1970 of a wall-clock time, independent of the session
+    time zone (epoch seconds of a cast to TIMESTAMP would shift with it)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.timestamp_diff("SECOND", F.expr(_EPOCH), c.cast("timestamp_ntz"))
+
+
 def nearest_time_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str,
                       keys: list[str] | None = None, truncate: str = "hour",
                       bucket_seconds: int = 86400, out_ts: str = "matched_ts") -> DataFrame:
@@ -47,11 +57,11 @@ def nearest_time_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts:
     # distinct (keys, target) pairs - bounded by keys x hours, whatever the
     # number of raw rows of a hot key - go through the as-of step, and the raw
     # rows join back on (keys, target) by an equi-join
-    left_t = left.withColumn("__t", F.unix_seconds(F.date_trunc(truncate, F.col(left_ts)).cast("timestamp")))
+    left_t = left.withColumn("__t", _seconds(F.date_trunc(truncate, F.col(left_ts).cast("timestamp_ntz"))))
     lcols = []
     L = left_t.select(*keys, "__t").distinct()
     L = L.withColumn("__b", F.floor(F.col("__t") / bs))
-    R = right.select(*keys, F.unix_seconds(F.col(right_ts).cast("timestamp")).alias("__r"))
+    R = right.select(*keys, _seconds(right_ts).alias("__r"))
     R = R.withColumn("__b", F.floor(F.col("__r") / bs))
 
     # per-bucket summary (one row per key and bucket that holds left or right
@@ -85,7 +95,7 @@ def nearest_time_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts:
     chosen = (F.when(prev.isNull(), nxt).when(nxt.isNull(), prev)
               .when((t - prev) <= (nxt - t), prev).otherwise(nxt))
     m = u.select(*keys, F.col("__ts").alias("__t"), chosen.alias("__m"))
-    rt = right.withColumn("__m", F.unix_seconds(F.col(right_ts).cast("timestamp")))
+    rt = right.withColumn("__m", _seconds(right_ts))
     rt = rt.withColumnRenamed(right_ts, out_ts)
     matched = m.join(rt, [*keys, "__m"], "left").drop("__m")
     return left_t.join(matched, [*keys, "__t"], "left").drop("__t")

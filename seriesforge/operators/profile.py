@@ -114,9 +114,9 @@ def scalar_profile(df: DataFrame, spec: SeriesSpec) -> DataFrame:
               F.stddev_samp(y).alias("std"), F.min(y).cast("double").alias("min"),
               F.max(y).cast("double").alias("max"), F.count(y).alias("count"))
     return r.select("*", (F.col("max") - F.col("min")).alias("range"),
-                    (F.col("std") / F.col("mean") * F.lit(100.0)).alias("cv_pct"),
-                    (F.col("min") / F.col("mean") - F.lit(1.0)).alias("min_rel"),
-                    (F.col("max") / F.col("mean") - F.lit(1.0)).alias("max_rel"))
+                    (F.try_divide("std", "mean") * F.lit(100.0)).alias("cv_pct"),
+                    (F.try_divide("min", "mean") - F.lit(1.0)).alias("min_rel"),
+                    (F.try_divide("max", "mean") - F.lit(1.0)).alias("max_rel"))
 
 
 def describe(df: DataFrame, spec: SeriesSpec, columns: list[str] | None = None) -> DataFrame:
@@ -169,7 +169,7 @@ def zscore_outliers(df: DataFrame, spec: SeriesSpec, z: float = 3.0) -> DataFram
     """|x - mean| / population std > z, per series."""
     y = F.col(spec.value).cast("double")
     p = _part(spec)
-    zz = F.abs(y - F.avg(y).over(p)) / F.stddev_pop(y).over(p)
+    zz = F.try_divide(F.abs(y - F.avg(y).over(p)), F.stddev_pop(y).over(p))
     s = df.select(*_keys(spec), zz.alias("__z"))
     g = s.groupBy(*_keys(spec)) if spec.keys else s
     return g.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__z") > z).alias("n_outliers")) \
@@ -306,12 +306,13 @@ def kde(df: DataFrame, spec: SeriesSpec, points: int = 1000, cut: float = 12.0)
     e = j.where(lo <= hi).select(*keys, "__y", "h", "g0", "step", "n", "mn", "mx",
                                  F.explode(F.sequence(lo, hi)).alias("point"))
     gx = F.col("g0") + F.col("step") * F.col("point")
-    contrib = F.exp(-((gx - F.col("__y")) ** 2) / (2.0 * F.col("h") ** 2))
+    contrib = F.exp(-F.try_divide((gx - F.col("__y")) ** 2, 2.0 * F.col("h") ** 2))
     s = e.groupBy(*keys, "point").agg(F.sum(contrib).alias("__s"))
     grid = st.select(*keys, "n", "h", "g0", "step", "mn", "mx",
                      F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
     r = grid.join(s, [*keys, "point"], "left")
-    dens = F.coalesce(F.col("__s"), F.lit(0.0)) / (F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
+    dens = F.try_divide(F.coalesce(F.col("__s"), F.lit(0.0)),
+                        F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
     keys = _keys(spec)
     return r.select(*keys, "point", (F.col("g0") + F.col("step") * F.col("point")).alias("x"),
                     (dens * (F.col("mx") - F.col("mn"))).alias("density_scaled"))

@@ -26,7 +26,7 @@ def null_report(df: DataFrame, top: int | None = 20, only_missing: bool = True)
     long = agg.selectExpr("__n", _stack(cols, [f"__c{i}" for i in range(len(cols))],
                                         ("column", "null_count")))
     long = long.select("column", "null_count",
-                       (F.col("null_count") * F.lit(100.0) / F.col("__n")).alias("null_pct"))
+                       F.try_divide(F.col("null_count") * F.lit(100.0), F.col("__n")).alias("null_pct"))
     if only_missing:
         long = long.where(F.col("null_count") > 0)
     long = long.orderBy(F.desc("null_count"), F.asc("column"))
