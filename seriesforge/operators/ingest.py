@@ -37,14 +37,17 @@ def keep_last(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
 
 
 def land_row_json(payloads: DataFrame, date_col: str = "date_query",
-                  payload_col: str = "payload", seq_col: str | None = "ingest_seq") -> DataFrame:
+                  payload_col: str = "payload", seq_col: str | None = "ingest_seq",
+                  keep: list[str] | None = None) -> DataFrame:
     """S3: one JSON array of ``{"type", "daily_Accumulation"}`` objects per
-    date -> long rows (date_query, type, daily_accumulation[, ingest_seq]).
-    Items without a type or a value are dropped; type is lower-cased."""
-    keep = [F.col(date_col).alias("date_query")] + ([F.col(seq_col)] if seq_col else [])
-    items = payloads.select(*keep, F.explode(F.from_json(payload_col, ROW_PAYLOAD)).alias("it"))
+    date -> long rows ([keep...,] date_query, type, daily_accumulation
+    [, ingest_seq]). Items without a type or a value are dropped; type is
+    lower-cased."""
+    extra = list(keep or [])
+    cols = [*extra, F.col(date_col).alias("date_query")] + ([F.col(seq_col)] if seq_col else [])
+    items = payloads.select(*cols, F.explode(F.from_json(payload_col, ROW_PAYLOAD)).alias("it"))
     rows = items.select(
-        F.col("date_query"), F.lower(F.col("it.type")).alias("type"),
+        *extra, F.col("date_query"), F.lower(F.col("it.type")).alias("type"),
         S.tolerant_double(F.col("it.daily_Accumulation")).alias("daily_accumulation"),
         *([F.col(seq_col)] if seq_col else []))
     return rows.where(F.col("type").isNotNull() & F.col("daily_accumulation").isNotNull())

@@ -57,7 +57,7 @@ def linear_baseline(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig | No
     and metrics as the competition. Returns (candidate, horizon, n, rmse,
     mae, mape, r2)."""
     cfg = cfg or TrainConfig(selection="none")
-    lab, feats, targets = prepare(features, spec, cfg)
+    lab, feats, targets, _ = prepare(features, spec, cfg)
     lab = cut_lineage(lab.select(*spec.key_cols, spec.time, "is_train", *feats, *targets))
     train = lab.where("is_train = 1")
     scaled, _ = scale(lab, train, feats)
@@ -102,13 +102,21 @@ class TrainConfig:
 
 def prepare(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig):
     """P6 + P3 + P13 + O4: trailing window, feature/target split, split label.
-    Returns (labelled table, feature names, target names)."""
+    Returns (labelled table, feature names, target names, fill values)."""
     df = SP.trailing_window(features, spec, cfg.window_days)
     targets = [f"{TARGET_PREFIX}{h}" for h in cfg.horizons]
     df = df.dropna(how="any", subset=targets)
     feats = [c for c in numeric_columns(df, exclude={*spec.key_cols, spec.time})
              if not c.startswith(TARGET_PREFIX)]
-    return SP.label_split(df, spec.time, cfg.train_frac), feats, targets
+    lab = SP.label_split(df, spec.time, cfg.train_frac)
+    # a column that is empty for a whole series stays NULL after the
+    # per-series mean fill: it takes the mean of the training rows (0 when
+    # empty everywhere) - one aggregate row, k numbers
+    means = lab.where("is_train = 1").agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in feats]).first()
+    fill = {c: float(means[c] or 0.0) for c in feats}
+    lab = lab.select(*[F.coalesce(F.col(c).cast("double"), F.lit(fill[c])).alias(c)
+                       if c in feats else F.col(c) for c in lab.columns])
+    return lab, feats, targets, fill
 
 
 def scale(df: DataFrame, train: DataFrame, feats: list[str]):
@@ -159,7 +167,7 @@ def train_competition(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig |
     ``metrics``, ``winners``, ``features`` and fitted ``models``."""
     cfg = cfg or TrainConfig()
     spark = features.sparkSession
-    lab, feats, targets = prepare(features, spec, cfg)
+    lab, feats, targets, fill = prepare(features, spec, cfg)
     idx = None
     if spec.keys:
         # series keys as an indexed feature; alphabetical order so that the
@@ -214,7 +222,7 @@ def train_competition(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig |
     met = EV.metrics(allp, ["candidate", "horizon"])
     win = EV.pick_winner(met, ["horizon"], order=list(cands))
     res = {"predictions": allp, "metrics": met, "winners": win, "features": feats, "selection": sel,
-           "models": models, "scaler": scaler, "candidates": list(cands), "indexer": idx}
+           "models": models, "scaler": scaler, "candidates": list(cands), "indexer": idx, "fill": fill}
     if out_dir:
         save_models(res, out_dir)
     return res
@@ -292,6 +300,9 @@ def score_latest(prod_features: DataFrame, spec: SeriesSpec, res: dict, as_of=No
         last = res["indexer"].transform(last)  # the training mapping; unseen keys -> extra index
     feats = res["features"]
     mu_sd = res["scaler"]
+    fill = res.get("fill", {})
+    last = last.select(*[F.coalesce(F.col(c).cast("double"), F.lit(fill[c])).alias(c) if c in fill
+                         else F.col(c) for c in last.columns])
     cols = [((F.col(c).cast("double") - F.lit(mu_sd[c][0] or 0.0)) /
              F.lit(1.0 if not mu_sd[c][1] else mu_sd[c][1])).alias(c) for c in feats]
     x = VectorAssembler(inputCols=feats, outputCol="features").transform(
