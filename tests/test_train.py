@@ -58,3 +58,27 @@ def test_grid_and_early_stopping(spark):
     assert res["metrics"].count() == 3
     lin = TR.linear_baseline(f, PANEL, TR.TrainConfig(horizons=[1], selection="none")).collect()
     assert len(lin) == 1 and lin[0].rmse > 0
+
+
+def test_model_beats_persistence_on_weekly_series(spark):
+    import math
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for k in ("a", "b", "c"):
+        for i in range(420):
+            d = __import__("datetime").date(2020, 1, 6) + __import__("datetime").timedelta(days=i)
+            y = 100.0 + (30.0 if d.weekday() >= 5 else 0.0) + 5.0 * math.sin(i / 30.0) + rnd.gauss(0, 1.0)
+            rows.append((k, d, y))
+    base = spark.createDataFrame(rows, "series_id string, date date, y double")
+    from seriesforge.operators import features as FE
+    from seriesforge.spec import SeriesSpec
+    spec = SeriesSpec(("series_id",), "date", "y")
+    f = FE.build_features(base, spec, training=True, horizons=1)
+    cfg = TR.TrainConfig(horizons=[1], profile="smoke", selection="none")
+    res = TR.train_competition(f, spec, cfg)
+    best = res["winners"].first().rmse
+    p = res["predictions"].select("series_id", "date", "y_true").distinct()
+    persist = p.join(f.select("series_id", "date", F.col("y").alias("y_pred")), ["series_id", "date"])
+    pr = persist.select(F.sqrt(F.avg((F.col("y_true") - F.col("y_pred")) ** 2)).alias("r")).first().r
+    assert best < 0.5 * pr, (best, pr)
