@@ -30,6 +30,17 @@ def _part(spec: SeriesSpec, *extra):
     return Window.partitionBy(*cols) if cols else Window.partitionBy()
 
 
+def quantiles(c, ps, approx: int | None = None) -> Column:
+    """Exact linear-interpolation percentiles (T12) by default. The exact
+    aggregate keeps every distinct value of a group; for groups that are not
+    calendar-bounded pass ``approx`` (an accuracy such as 10000) to use the
+    mergeable ``percentile_approx`` sketch instead."""
+    c = S.col(c)
+    if approx:
+        return F.percentile_approx(c, ps, approx)
+    return F.percentile(c, ps)
+
+
 def mean(c) -> Column:
     """Mean as one division of the (exact, for decimals) sum."""
     c = S.col(c)
@@ -105,12 +116,12 @@ def weekend_effect(df: DataFrame, spec: SeriesSpec) -> DataFrame:
                                      F.col("weekday_mean")) * F.lit(100.0))
 
 
-def scalar_profile(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+def scalar_profile(df: DataFrame, spec: SeriesSpec, approx: int | None = None) -> DataFrame:
     """Mean, median, std, min, max, range, CV %, min and max relative to
     the mean - one aggregation."""
     y = F.col(spec.value)
     g = df.groupBy(*_keys(spec)) if spec.keys else df
-    r = g.agg(mean(y).alias("mean"), F.percentile(y.cast("double"), 0.5).alias("median"),
+    r = g.agg(mean(y).alias("mean"), quantiles(y.cast("double"), 0.5, approx).cast("double").alias("median"),
               F.stddev_samp(y).alias("std"), F.min(y).cast("double").alias("min"),
               F.max(y).cast("double").alias("max"), F.count(y).alias("count"))
     return r.select("*", (F.col("max") - F.col("min")).alias("range"),
@@ -119,7 +130,8 @@ def scalar_profile(df: DataFrame, spec: SeriesSpec) -> DataFrame:
                     (F.try_divide("max", "mean") - F.lit(1.0)).alias("max_rel"))
 
 
-def describe(df: DataFrame, spec: SeriesSpec, columns: list[str] | None = None) -> DataFrame:
+def describe(df: DataFrame, spec: SeriesSpec, columns: list[str] | None = None,
+             approx: int | None = None) -> DataFrame:
     """Count, mean, std, min, 25/50/75 %, max of every numeric column,
     per series. ``stack`` unpivots, one groupBy(series, column)."""
     from seriesforge.operators.features import numeric_columns
@@ -131,7 +143,7 @@ def describe(df: DataFrame, spec: SeriesSpec, columns: list[str] | None = None)
                          f"stack({len(cols)}, {pairs}) as (column, dvalue)")
     long = long.withColumn("value", F.col("dvalue").cast("double"))
     v = F.col("value")
-    q = F.percentile(v, [0.25, 0.5, 0.75])
+    q = quantiles(v, [0.25, 0.5, 0.75], approx)
     return (long.groupBy(*_keys(spec), "column")
             .agg(F.count(v).alias("count"), mean("dvalue").alias("mean"), F.stddev_samp(v).alias("std"),
                  F.min(v).alias("min"), q.alias("__q"), F.max(v).alias("max"))
@@ -140,11 +152,11 @@ def describe(df: DataFrame, spec: SeriesSpec, columns: list[str] | None = None)
                     F.col("__q")[2].alias("p75"), "max"))
 
 
-def iqr_outliers(df: DataFrame, spec: SeriesSpec, k: float = 1.5) -> DataFrame:
+def iqr_outliers(df: DataFrame, spec: SeriesSpec, k: float = 1.5, approx: int | None = None) -> DataFrame:
     """Q1, Q3, bounds Q -/+ k*IQR, low/high counts and %."""
     y = F.col(spec.value).cast("double")
     g = df.groupBy(*_keys(spec)) if spec.keys else df
-    qs = g.agg(F.percentile(y, [0.25, 0.75]).alias("__q"), F.count(y).alias("n"))
+    qs = g.agg(quantiles(y, [0.25, 0.75], approx).alias("__q"), F.count(y).alias("n"))
     qs = qs.select(*_keys(spec), "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("q3"))
     qs = qs.select("*", (F.col("q3") - F.col("q1")).alias("iqr"))
     qs = qs.select("*", (F.col("q1") - F.lit(k) * F.col("iqr")).alias("lower_bound"),
@@ -259,7 +271,8 @@ def histogram(df: DataFrame, spec: SeriesSpec, bins: int = 50) -> DataFrame:
                     (F.col("lo") + wdt * (F.col("bin") + 1)).alias("bin_end"), "count")
 
 
-def boxplot_stats(df: DataFrame, spec: SeriesSpec, by_month: bool = False, k: float = 1.5) -> DataFrame:
+def boxplot_stats(df: DataFrame, spec: SeriesSpec, by_month: bool = False, k: float = 1.5,
+                  approx: int | None = None) -> DataFrame:
     """Quartiles, whiskers (furthest points inside Q -/+ k*IQR), number
     of fliers, mean and std; per series, optionally per month."""
     y = F.col(spec.value).cast("double")
@@ -267,7 +280,7 @@ def boxplot_stats(df: DataFrame, spec: SeriesSpec, by_month: bool = False, k: fl
     s = df.select(*_keys(spec), *extra, y.alias("__y"), F.col(spec.value).alias("__y0"))
     grp = [*_keys(spec)] + (["month"] if by_month else [])
     p = Window.partitionBy(*grp) if grp else Window.partitionBy()
-    q = F.percentile(F.col("__y"), [0.25, 0.5, 0.75]).over(p)
+    q = quantiles("__y", [0.25, 0.5, 0.75], approx).over(p)
     s = s.select("*", q.alias("__q"))
     s = s.select(*grp, "__y", "__y0", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
                  F.col("__q")[2].alias("q3"))
@@ -324,14 +337,14 @@ def normal_quantiles(levels: int = 99) -> list[tuple[int, float, float]]:
     return [(k, (k - 0.5) / levels, nd.inv_cdf((k - 0.5) / levels)) for k in range(1, levels + 1)]
 
 
-def qq_points(df: DataFrame, spec: SeriesSpec, levels: int = 99) -> DataFrame:
+def qq_points(df: DataFrame, spec: SeriesSpec, levels: int = 99, approx: int | None = None) -> DataFrame:
     """A20 (re-aimed): sample quantiles at K levels against standard normal
     quantiles, plus the least-squares line through them."""
     qs = normal_quantiles(levels)
     y = F.col(spec.value).cast("double")
     keys = _keys(spec)
     g = df.groupBy(*keys) if keys else df
-    a = g.agg(F.percentile(y, [p for _, p, _ in qs]).alias("__q"))
+    a = g.agg(quantiles(y, [p for _, p, _ in qs], approx).alias("__q"))
     lit = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(z).alias("theoretical")) for k, _, z in qs])
     pts = a.select(*keys, "__q", F.inline(lit))
     pts = pts.select(*keys, "k", "theoretical", F.col("__q")[F.col("k") - 1].alias("sample"))

@@ -192,3 +192,10 @@ def test_t19_promotion_rules(spark):
     assert d == {1: (0, "rejected"), 2: (1, "promoted"), 3: (1, "promoted_first")}
     d2 = {r.horizon: r.action for r in EV.promote(new, reg, ["horizon"], allow_first=False).collect()}
     assert d2[3] == "rejected_unknown"
+
+
+def test_t12_approximate_option(spark):
+    df = frame(spark, list(range(1, 1001)))
+    exact = PR.scalar_profile(df, SPEC).first().median
+    approx = PR.scalar_profile(df, SPEC, approx=10000).first().median
+    assert exact == 500.5 and abs(approx - exact) <= 1.0
