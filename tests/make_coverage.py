@@ -67,6 +67,8 @@ M = {
  "M7": ("plans/train.py read_registry", ["m14_m7_missing_horizons"]),
  "M8": ("forecast.date_forecast, evaluate.baseline_forecast, train.score_latest", ["m8_j2_j3_forecast_latest", "m8_score_with_models"]),
  "M9": ("forecast.date_forecast(as_of=)", ["m9_forecast_as_of"]),
+ "F17": ("get_json_object / from_json (forecast.parse_forecast_document, ingest.land_*)", ["f16_f17_time_and_json", "s7_m11_o5_document_roundtrip"]),
+ "D8": ("groupBy(to_date(hour_ts)).sum over sources/tables.py hourly", ["d8_hourly_to_daily"]),
  "D9": ("plans/train.py grid_candidates (ParamGridBuilder)", ["tests/test_train.py::test_grid_and_early_stopping"]),
  "D10": ("plans/train.py TrainConfig(early_stopping) -> validationIndicatorCol", ["tests/test_train.py::test_grid_and_early_stopping"]),
 }
