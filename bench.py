@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -35,10 +34,8 @@ def main():
     from seriesforge.session import get_spark
     spark = get_spark(f"local[{cpus}]", int(cpus) * 2, "seriesforge-bench",
                       {"spark.driver.memory": "24g"})
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="sf-bench-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+    from seriesforge.session import checkpoint_dir
+    checkpoint_dir(spark)  # the configured shared folder; a local one only when none is named
     from seriesforge.plans.catalog import QUERIES, features_table, PANEL
 
     def run(df):

@@ -43,23 +43,25 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there. Only when it is unset (tests, local
-    runs) do we create one of our own, and only on a local master.
+    A cluster names a shared folder there (a static setting: it cannot be
+    changed at run time). Only when neither it nor the context's checkpoint
+    folder is set (tests, local runs) do we make one of our own, and only on
+    a local master.
     """
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
     if d:
-        spark.sparkContext.setCheckpointDir(d)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
         return d
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster job needs a shared "
             "folder there (never a machine-local temporary folder)")
     d = tempfile.mkdtemp(prefix="seriesforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    sc.setCheckpointDir(d)
     return d
 
 

@@ -23,11 +23,9 @@ def spark():
          .config("spark.driver.memory", "8g")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    # tests only: no cluster-provided shared folder, so name our own
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="sf-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    # tests only: name our own folder when the installation names none
+    from seriesforge.session import checkpoint_dir
+    checkpoint_dir(s)
     yield s
     s.stop()
 
