@@ -97,7 +97,7 @@ class TrainConfig:
     selection: str = "linear_shap"   # or "tree_importance", "none"
     early_stopping: bool = False     # D10: GBT validationIndicatorCol
     validation_tol: float = 0.01
-    parallelism: int = 4             # concurrent fits (Spark jobs from driver threads)
+    parallelism: int | None = None   # concurrent fits; default min(#fits, defaultParallelism)
 
 
 def prepare(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig):
@@ -206,7 +206,8 @@ def train_competition(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig |
 
     jobs = [(name, est, h, tcol) for h, tcol in zip(cfg.horizons, targets) for name, est in cands.items()]
     from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=max(1, cfg.parallelism)) as pool:
+    par = cfg.parallelism or min(len(jobs), spark.sparkContext.defaultParallelism)
+    with ThreadPoolExecutor(max_workers=max(1, par)) as pool:
         models = dict(pool.map(fit_one, jobs))
     preds = []
     for name, _, h, tcol in jobs:
