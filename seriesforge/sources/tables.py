@@ -113,3 +113,29 @@ def base_panel(spark: SparkSession, sf_dir: str, exact: bool = False) -> DataFra
     """Daily panel joined with the exogenous table on date."""
     from seriesforge.operators.joins import join_exogenous
     return join_exogenous(daily_panel(spark, sf_dir, exact), exog_daily(spark, sf_dir))
+
+
+def row_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw observations in landed row-JSON form (S3 input): one series
+    per order status, one JSON array per order row:
+    (series_id, date_query, ingest_seq, payload)."""
+    o = read_table(spark, sf_dir, "orders",
+                   ["o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "o_totalprice"])
+    item = F.struct(F.initcap("o_orderpriority").alias("type"), F.col("o_totalprice").alias("daily_Accumulation"))
+    return o.select(F.col("o_orderstatus").alias("series_id"), F.to_date("o_orderdate").alias("date_query"),
+                    F.col("o_orderkey").alias("ingest_seq"), F.to_json(F.array(item)).alias("payload"))
+
+
+def columnar_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exogenous table in landed columnar-JSON form (S4 input): one
+    {"daily": {"time": [...], <var>: [...]}} document per month (at most 31
+    entries each: a calendar bound)."""
+    ex = exog_daily(spark, sf_dir)
+    g = ex.groupBy(F.date_format("date", "yyyy-MM").alias("month")).agg(
+        F.array_sort(F.collect_list(F.struct("date", *WEATHER_COLUMNS))).alias("rows"))
+
+    def field(c):
+        return lambda r: r[c]
+    daily = F.struct(F.transform("rows", lambda r: F.date_format(r["date"], "yyyy-MM-dd")).alias("time"),
+                     *[F.transform("rows", field(c)).alias(c) for c in WEATHER_COLUMNS])
+    return g.select(F.to_json(F.struct(daily.alias("daily"))).alias("payload"))

@@ -16,18 +16,8 @@ from seriesforge.sources.tables import WEATHER_COLUMNS
 
 def test_full_pipeline(spark, tmpdir_path):
     raw = T.raw_long(spark, SF_SMALL)
-    # one series per order status, one JSON array per order row
-    o = T.read_table(spark, SF_SMALL, "orders", ["o_orderkey", "o_orderstatus"])
-    rows = raw.join(o.withColumnRenamed("o_orderkey", "ingest_seq"), "ingest_seq").select(
-        F.col("o_orderstatus").alias("series_id"), "date_query", "ingest_seq",
-        F.to_json(F.array(F.struct(F.initcap("type").alias("type"),
-                                   F.col("daily_accumulation").alias("daily_Accumulation")))).alias("payload"))
-    ex = T.exog_daily(spark, SF_SMALL)
-    docs = ex.groupBy(F.date_format("date", "yyyy-MM").alias("m")).agg(
-        F.array_sort(F.collect_list(F.struct("date", *WEATHER_COLUMNS))).alias("r"))
-    docs = docs.select(F.to_json(F.struct(F.struct(
-        F.transform("r", lambda x: F.date_format(x["date"], "yyyy-MM-dd")).alias("time"),
-        *[F.transform("r", (lambda c: (lambda x: x[c]))(c)).alias(c) for c in WEATHER_COLUMNS]).alias("daily"))).alias("payload"))
+    rows = T.row_payloads(spark, SF_SMALL)
+    docs = T.columnar_payloads(spark, SF_SMALL)
 
     p = Pipeline(os.path.join(tmpdir_path, "pipe"), wide_values=["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"],
                  target="1-urgent", exog_variables=WEATHER_COLUMNS)
@@ -37,8 +27,7 @@ def test_full_pipeline(spark, tmpdir_path):
     c2 = p.collect(spark, rows)  # re-sends old days too: only days after the mark land
     assert versions(p.path("raw")) == [1, 2]
     # latest record per (series, day, type): the distinct keys of all rows sent
-    assert read_latest(spark, p.path("raw")).count() == rows.select("series_id", "date_query",
-                                                                     "ingest_seq").join(
+    assert read_latest(spark, p.path("raw")).count() == rows.select("series_id", "date_query", "ingest_seq").join(
         raw.select("ingest_seq", "type"), "ingest_seq").select("series_id", "date_query", "type").distinct().count()
     assert read_latest(spark, p.path("base")).count() > 0
 
