@@ -103,59 +103,35 @@ def calendar_flags(holidays: DataFrame) -> DataFrame:
                  F.max("is_bridge_day").alias("is_bridge_day")))
 
 
-def easter_sunday(year) -> Column:
-    """Gregorian Easter Sunday of an integer year column, as Column maths
-    (same algorithm as :func:`easter_sunday_expr`)."""
-    y = F.col(year) if isinstance(year, str) else year
-
-    def div(a, b):
-        return F.floor(a / F.lit(b)).cast("int")
-    a = y % 19
-    b = div(y, 100)
-    c = y % 100
-    d = div(b, 4)
-    e = b % 4
-    f = div(b + 8, 25)
-    g = div(b - f + 1, 3)
-    h = (a * 19 + b - d - g + 15) % 30
-    i = div(c, 4)
-    k = c % 4
-    ll = (e * 2 + i * 2 - h - k + 32) % 7
-    m = div(a + h * 11 + ll * 22, 451)
-    n = h + ll - m * 7 + 114
-    return F.make_date(y, div(n, 31), n % 31 + 1)
-
-
-def is_holiday(date) -> Column:
-    """J4 as a per-row expression: 1 when ``date`` is a national holiday of
-    the default calendar (any year, no lookup table)."""
-    dcol = F.col(date) if isinstance(date, str) else date
-    y, m, dd = F.year(dcol), F.month(dcol), F.dayofmonth(dcol)
+def is_holiday_sql(date: str) -> str:
+    """SQL text of :func:`is_holiday` for a date expression ``date``."""
+    y = f"year({date})"
     lo, hi = SUSPENDED_YEARS
-    suspended_year = y.between(lo, hi)
-    fixed = F.lit(False)
+    susp = f"({y} BETWEEN {lo} AND {hi})"
+    terms = []
     for mm, d, name in FIXED_HOLIDAYS:
-        hit = (m == mm) & (dd == d)
-        if name in SUSPENDED_NAMES:
-            hit = hit & ~suspended_year
-        fixed = fixed | hit
-    easter = easter_sunday(y)
-    movable = F.lit(False)
+        t = f"(month({date}) = {mm} AND dayofmonth({date}) = {d})"
+        terms.append(f"({t} AND NOT {susp})" if name in SUSPENDED_NAMES else t)
+    easter = easter_sunday_expr(y)
     for off, name in EASTER_HOLIDAYS:
-        hit = dcol == F.date_add(easter, off)
-        if name in SUSPENDED_NAMES:
-            hit = hit & ~suspended_year
-        movable = movable | hit
-    return (fixed | movable).cast("int")
+        t = f"({date} = date_add({easter}, {off}))"
+        terms.append(f"({t} AND NOT {susp})" if name in SUSPENDED_NAMES else t)
+    return "CAST((" + " OR ".join(terms) + ") AS INT)"
 
 
-def is_bridge_day(date) -> Column:
+def is_holiday(date: str) -> Column:
+    """J4 as a per-row expression: 1 when the date column ``date`` is a
+    national holiday of the default calendar (any year, no lookup table).
+    Built as one SQL expression (one call into the JVM)."""
+    return F.expr(is_holiday_sql(f"`{date}`"))
+
+
+def is_bridge_day(date: str) -> Column:
     """J5 as a per-row expression: a Thursday before a holiday or a Tuesday
     after one."""
-    dcol = F.col(date) if isinstance(date, str) else date
-    wd = F.weekday(dcol)
-    return (((wd == 3) & (is_holiday(F.date_add(dcol, 1)) == 1)) |
-            ((wd == 1) & (is_holiday(F.date_sub(dcol, 1)) == 1))).cast("int")
+    d = f"`{date}`"
+    nxt, prv = is_holiday_sql(f"date_add({d}, 1)"), is_holiday_sql(f"date_sub({d}, 1)")
+    return F.expr(f"CAST(((weekday({d}) = 3 AND {nxt} = 1) OR (weekday({d}) = 1 AND {prv} = 1)) AS INT)")
 
 
 def holiday_flags(df: DataFrame, time_col: str = "date",
