@@ -143,3 +143,30 @@ def freshness(stages: dict[str, DataFrame], time_col: str, as_of) -> DataFrame:
     exp = F.date_sub(F.lit(as_of).cast("date") if not hasattr(as_of, "_jc") else as_of, 1)
     return u.select("stage", "last_date", exp.alias("expected"),
                     F.coalesce(F.col("last_date") != exp, F.lit(True)).cast("int").alias("stale"))
+
+
+def upsert_partitions(spark, table_path: str, new: DataFrame, keys: list[str], seq_col: str,
+                      time_col: str = "date_query", partition_col: str = "month") -> list[str]:
+    """I3 at scale: rewrite only the month partitions the new rows touch.
+
+    The affected months (a calendar-sized list) are read back with partition
+    pruning, upserted with the new rows, checkpointed into the shared folder
+    (so the overwrite never reads the files it replaces), then written with
+    dynamic partition overwrite: every other month is left untouched.
+    Returns the rewritten months.
+    """
+    import os
+    from seriesforge.session import cut_lineage
+    new = new.withColumn(partition_col, F.date_format(time_col, "yyyy-MM"))
+    months = sorted(r[0] for r in new.select(partition_col).distinct().collect())  # <= 12 per year
+    if not months:
+        return []
+    if os.path.isdir(table_path):
+        old = spark.read.parquet(table_path).where(F.col(partition_col).isin(months))
+        merged = keep_last(old.unionByName(new, allowMissingColumns=True), keys, seq_col)
+    else:
+        merged = keep_last(new, keys, seq_col)
+    merged = cut_lineage(merged.select(*new.columns))
+    (merged.repartition(partition_col).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(table_path))
+    return months
