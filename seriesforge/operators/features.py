@@ -46,10 +46,6 @@ def series_window(spec: SeriesSpec):
     return Window.partitionBy(*spec.key_cols).orderBy(spec.time)
 
 
-def series_partition(spec: SeriesSpec):
-    return Window.partitionBy(*spec.key_cols) if spec.keys else Window.partitionBy()
-
-
 def guarded_rolling(c: Column | str, w: int, wspec, fn: str = "avg",
                     lo: int | None = None, hi: int = -1) -> Column:
     """Rolling statistic over rows [lo, hi] (default the ``w`` previous rows)

@@ -19,15 +19,6 @@ def join_exogenous(panel: DataFrame, exog: DataFrame, time_col: str = "date",
     return panel.join(exog, time_col, how)
 
 
-def lookup_left(df: DataFrame, table: DataFrame, on, prefix: str | None = None) -> DataFrame:
-    """Left lookup; columns of ``table`` are NULL when no match."""
-    if prefix:
-        keys = [on] if isinstance(on, str) else list(on)
-        table = table.select(*keys, *[F.col(c).alias(prefix + c)
-                                      for c in table.columns if c not in keys])
-    return df.join(table, on, "left")
-
-
 _EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
 

@@ -21,17 +21,6 @@ def trailing_window(df: DataFrame, spec: SeriesSpec, days: int = 5475) -> DataFr
             .where(F.col(spec.time) >= F.date_sub("__mx", days)).drop("__mx"))
 
 
-def split_date(df: DataFrame, time_col: str = "date", train_frac: float = 0.8) -> DataFrame:
-    """One row (cut_date, n_dates, n_train): the first int(frac * n)
-    distinct dates train, the rest test."""
-    d = df.select(time_col).distinct()
-    w = Window.orderBy(time_col)  # calendar-sized: distinct dates only
-    r = d.select(time_col, F.row_number().over(w).alias("__pos"), F.count(F.lit(1)).over(Window.partitionBy()).alias("__n"))
-    ntr = F.floor(F.col("__n") * F.lit(float(train_frac))).cast("long")
-    return (r.where(F.col("__pos") == ntr + 1)
-            .select(F.col(time_col).alias("cut_date"), F.col("__n").alias("n_dates"), ntr.alias("n_train")))
-
-
 def date_positions(df: DataFrame, time_col: str = "date", train_frac: float = 0.8) -> DataFrame:
     """(date, is_train) for every distinct date; the first
     int(frac * n) dates train. Calendar-sized, joined back on the date."""

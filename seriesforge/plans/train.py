@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from seriesforge.operators import evaluate as EV
 from seriesforge.operators import split as SP
-from seriesforge.operators.features import TARGET_PREFIX, numeric_columns
+from seriesforge.operators.features import TARGET_PREFIX, numeric_columns, split_features_targets
 from seriesforge.session import cut_lineage
 from seriesforge.spec import SeriesSpec
 
@@ -106,8 +106,8 @@ def prepare(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig):
     df = SP.trailing_window(features, spec, cfg.window_days)
     targets = [f"{TARGET_PREFIX}{h}" for h in cfg.horizons]
     df = df.dropna(how="any", subset=targets)
-    feats = [c for c in numeric_columns(df, exclude={*spec.key_cols, spec.time})
-             if not c.startswith(TARGET_PREFIX)]
+    non_target, _ = split_features_targets(df)  # P3
+    feats = [c for c in numeric_columns(df.select(*non_target), exclude={*spec.key_cols, spec.time})]
     lab = SP.label_split(df, spec.time, cfg.train_frac)
     # a column that is empty for a whole series stays NULL after the
     # per-series mean fill: it takes the mean of the training rows (0 when
