@@ -112,6 +112,17 @@ class Pipeline:
             out["base"] = write_version(join_exogenous(wide, ex), self.path("base"))
         return out
 
+    def freshness(self, spark: SparkSession, as_of) -> DataFrame:
+        """I4: is the last stored date of each landed table the day before
+        ``as_of`` (reads only the date columns)."""
+        stages = {}
+        if os.path.isdir(self.path("raw")):
+            stages["raw"] = spark.read.parquet(self.path("raw")).select(F.col("date_query").alias("date"))
+        ex = read_latest(spark, self.path("exog"))
+        if ex is not None:
+            stages["exogenous"] = ex.select("date")
+        return IN.freshness(stages, "date", as_of)
+
     # ------------------------------------------------------------ features
     def features(self, spark: SparkSession) -> dict:
         """Training table (targets, rows with all targets) and production

@@ -30,6 +30,8 @@ def test_full_pipeline(spark, tmpdir_path):
     assert spark.read.parquet(p.path("raw")).count() == rows.select("series_id", "date_query", "ingest_seq").join(
         raw.select("ingest_seq", "type"), "ingest_seq").select("series_id", "date_query", "type").distinct().count()
     assert read_latest(spark, p.path("base")).count() > 0
+    fr = {r.stage: r.stale for r in p.freshness(spark, "2001-08-02").collect()}
+    assert fr == {"raw": 0, "exogenous": 1}  # orders end 2001-08-01, the exogenous table later
 
     p.features(spark)
     cfg = TR.TrainConfig(horizons=[1, 2], profile="smoke", top_k=8)
