@@ -153,24 +153,22 @@ def describe(df: DataFrame, spec: SeriesSpec, columns: list[str] | None = None,
 
 
 def iqr_outliers(df: DataFrame, spec: SeriesSpec, k: float = 1.5, approx: int | None = None) -> DataFrame:
-    """Q1, Q3, bounds Q -/+ k*IQR, low/high counts and %."""
+    """Q1, Q3, bounds Q -/+ k*IQR, low/high counts and %.
+
+    Quartiles come from a window over the series keys; the following
+    groupBy on the same keys reuses that partitioning (no join)."""
     y = F.col(spec.value).cast("double")
-    g = df.groupBy(*_keys(spec)) if spec.keys else df
-    qs = g.agg(quantiles(y, [0.25, 0.75], approx).alias("__q"), F.count(y).alias("n"))
-    qs = qs.select(*_keys(spec), "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("q3"))
-    qs = qs.select("*", (F.col("q3") - F.col("q1")).alias("iqr"))
-    qs = qs.select("*", (F.col("q1") - F.lit(k) * F.col("iqr")).alias("lower_bound"),
-                   (F.col("q3") + F.lit(k) * F.col("iqr")).alias("upper_bound"))
-    # bounds table has one row per series: joined back on the keys (a
-    # constant key stands in for the single-series case: still an equi-join)
-    keys = _keys(spec) or ["__all"]
-    src = df if spec.keys else df.withColumn("__all", F.lit(0))
-    qs = qs if spec.keys else qs.withColumn("__all", F.lit(0))
-    j = src.select(*keys, y.alias("__y")).join(qs, keys)
-    g2 = j.groupBy(*keys, "n", "q1", "q3", "iqr", "lower_bound", "upper_bound")
+    keys = _keys(spec)
+    p = _part(spec)
+    s = df.select(*keys, y.alias("__y"), quantiles(y, [0.25, 0.75], approx).over(p).alias("__q"),
+                  F.count(y).over(p).alias("n"))
+    s = s.select(*keys, "__y", "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("q3"))
+    s = s.select("*", (F.col("q3") - F.col("q1")).alias("iqr"))
+    s = s.select("*", (F.col("q1") - F.lit(k) * F.col("iqr")).alias("lower_bound"),
+                 (F.col("q3") + F.lit(k) * F.col("iqr")).alias("upper_bound"))
+    g2 = s.groupBy(*keys, "n", "q1", "q3", "iqr", "lower_bound", "upper_bound")
     r = g2.agg(F.count_if(F.col("__y") < F.col("lower_bound")).alias("n_low"),
                F.count_if(F.col("__y") > F.col("upper_bound")).alias("n_high"))
-    r = r if spec.keys else r.drop("__all")
     return r.select("*", (F.col("n_low") + F.col("n_high")).alias("n_outliers"),
                     (F.col("n_low") * 100.0 / F.col("n")).alias("pct_low"),
                     (F.col("n_high") * 100.0 / F.col("n")).alias("pct_high"),
@@ -304,29 +302,28 @@ def kde(df: DataFrame, spec: SeriesSpec, points: int = 1000, cut: float = 12.0)
     ``density_scaled`` = density * range (dimensionless).
     """
     y = F.col(spec.value).cast("double")
-    keys = _keys(spec) or ["__all"]
-    if not spec.keys:
-        df = df.withColumn("__all", F.lit(0))
-    st = df.groupBy(*keys).agg(F.count(y).alias("n"), F.stddev_samp(y).alias("sd"),
-                               F.min(y).alias("mn"), F.max(y).alias("mx"))
-    st = st.select(*keys, "n", "mn", "mx",
-                   (F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("h"),
-                   (F.col("mn") - (F.col("mx") - F.col("mn")) / 2.0).alias("g0"),
-                   ((F.col("mx") - F.col("mn")) * 2.0 / F.lit(float(points - 1))).alias("step"))
-    j = df.select(*keys, y.alias("__y")).join(st, keys)
+    keys = _keys(spec)
+    p = _part(spec)
+    # per-series statistics by a window over the keys: no join back
+    j = df.select(*keys, y.alias("__y"), F.count(y).over(p).alias("n"), F.stddev_samp(y).over(p).alias("sd"),
+                  F.min(y).over(p).alias("mn"), F.max(y).over(p).alias("mx"))
+    j = j.select(*keys, "__y", "n", "mn", "mx",
+                 (F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("h"),
+                 (F.col("mn") - (F.col("mx") - F.col("mn")) / 2.0).alias("g0"),
+                 ((F.col("mx") - F.col("mn")) * 2.0 / F.lit(float(points - 1))).alias("step"))
+    st_cols = ["n", "h", "g0", "step", "mn", "mx"]
     lo = F.greatest(F.lit(0), F.ceil((F.col("__y") - cut * F.col("h") - F.col("g0")) / F.col("step")).cast("int"))
     hi = F.least(F.lit(points - 1), F.floor((F.col("__y") + cut * F.col("h") - F.col("g0")) / F.col("step")).cast("int"))
-    e = j.where(lo <= hi).select(*keys, "__y", "h", "g0", "step", "n", "mn", "mx",
-                                 F.explode(F.sequence(lo, hi)).alias("point"))
+    e = j.where(lo <= hi).select(*keys, "__y", *st_cols, F.explode(F.sequence(lo, hi)).alias("point"))
     gx = F.col("g0") + F.col("step") * F.col("point")
     contrib = F.exp(-F.try_divide((gx - F.col("__y")) ** 2, 2.0 * F.col("h") ** 2))
-    s = e.groupBy(*keys, "point").agg(F.sum(contrib).alias("__s"))
-    grid = st.select(*keys, "n", "h", "g0", "step", "mn", "mx",
-                     F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-    r = grid.join(s, [*keys, "point"], "left")
+    sums = e.groupBy(*keys, "point").agg(F.sum(contrib).alias("__s"))
+    # the full grid per series (grid points no value reaches get density 0)
+    grid = (j.select(*keys, *st_cols).distinct()
+            .select(*keys, *st_cols, F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")))
+    r = grid.join(sums, [*keys, "point"], "left")
     dens = F.try_divide(F.coalesce(F.col("__s"), F.lit(0.0)),
                         F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
-    keys = _keys(spec)
     return r.select(*keys, "point", (F.col("g0") + F.col("step") * F.col("point")).alias("x"),
                     (dens * (F.col("mx") - F.col("mn"))).alias("density_scaled"))
 

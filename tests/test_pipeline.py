@@ -40,5 +40,7 @@ def test_full_pipeline(spark, tmpdir_path):
     path = p.predict(spark, res)
     docs_out = [json.loads(r.value) for r in spark.read.text(path).collect()]
     assert len(docs_out) == 3 and all(set(d["predictions"]) == {"day_1", "day_2"} for d in docs_out)
+    summ = p.summary(spark).collect()
+    assert len(summ) == 3 and all(r.n_models == 2 and r.n_rows > 0 for r in summ)
     prof = p.profile(spark)
     assert spark.read.parquet(prof["scalar"]).count() == 3
