@@ -18,5 +18,5 @@ def docs_of(spark):
     """documents with clashing extra columns from a list of texts or (id, text)."""
     def make(rows):
         rows = [r if isinstance(r, tuple) else (i, r) for i, r in enumerate(rows)]
-        return spark.createDataFrame([(i, t, "en", "s", None, 1, "x") for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, kept int, n bigint")
+        return spark.createDataFrame([(i, t, "en", "s", None, 1, 2) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, kept int, n bigint")
     return make
