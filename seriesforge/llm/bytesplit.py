@@ -113,17 +113,19 @@ def shingle_hashes(words_: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
-def shingle_sets(data: np.ndarray, off: np.ndarray, k: int = 5) -> list[np.ndarray]:
+def shingle_sets(data: np.ndarray, off: np.ndarray, k: int = 5, fewest_words: int = 1) -> list[np.ndarray]:
     """Sorted distinct ``k``-word shingle hashes of each text of a block. Texts
     are lower-cased (A-Z); one with fewer words has its whole sequence as the
-    only shingle, one without words has none."""
+    only shingle, one without words or with less than ``fewest_words`` has none."""
     data = LOWER[data]
     starts, ends, first = words(data, off)
     hashed = word_hashes(data, starts, ends)
     all_shingles = shingle_hashes(hashed, k)
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-        if b - a >= k:
+        if b - a < fewest_words:
+            out.append(np.empty(0, U64))
+        elif b - a >= k:
             out.append(np.unique(all_shingles[a:b - k + 1]))
         elif b > a:
             out.append(shingle_hashes(hashed[a:b], b - a))

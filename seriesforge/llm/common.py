@@ -10,6 +10,7 @@ adaptive execution split a hot key.
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,8 +19,18 @@ from pyspark.sql import functions as F
 from seriesforge.session import checkpoint_dir
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Local sessions: Python workers import this package from where it lies. On
+    a cluster it is installed, or shipped with --py-files."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    return spark
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:

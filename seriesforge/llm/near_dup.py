@@ -86,14 +86,19 @@ def _list_column(parts: list[np.ndarray], kind: np.dtype, arrow: pa.DataType) ->
     return pa.ListArray.from_arrays(pa.array(off), pa.array(flat, arrow))
 
 
-def _sketched(keep: int) -> callable:
+def _sketched(keep: int, t: int = T, rows: int = ROWS, fewest_words: int = 1, empty: bool = True) -> callable:
+    """Keeps the first ``keep`` columns; the next one is the text. A text of fewer
+    than ``fewest_words`` words has no set; with ``empty`` it has a row all the same."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, data, off in B.blocks(batch.column(keep)):
-                sets = B.shingle_sets(data, off, SHINGLE)
-                full = [s for s in sets if len(s)]
-                keys = iter(band_keys(np.array([sketch(s) for s in full]))) if full else iter(())
+                sets = B.shingle_sets(data, off, SHINGLE, fewest_words)
                 rest = batch.slice(at, len(sets))
+                if not empty:
+                    rest = rest.filter(pa.array([len(s) > 0 for s in sets]))
+                    sets = [s for s in sets if len(s)]
+                full = [s for s in sets if len(s)]
+                keys = iter(band_keys(np.array([sketch(s, t) for s in full]), rows)) if full else iter(())
                 yield pa.RecordBatch.from_arrays(
                     [*(rest.column(i) for i in range(keep)),
                      pa.array([len(s) for s in sets], pa.int64()),
@@ -153,17 +158,21 @@ def _rooted(nodes: DataFrame, roots: DataFrame | None) -> DataFrame:
     return nodes.join(named, "set_id", "left").withColumn("root", F.coalesce("r", "set_id")).drop("r")
 
 
-def linked_sets(sketched: DataFrame, texts: DataFrame, percent: int = PERCENT, pivot_rounds: int = 2) -> DataFrame:
+def linked_sets(sketched: DataFrame, texts: callable, percent: int = PERCENT, pivot_rounds: int = 2) -> DataFrame:
     """(node, root) over set_ids that have a verified link.
 
-    ``sketched``: distinct (set_id, n_shingles, bands). ``texts``: (set_id,
-    text bytes), one row for each set_id."""
+    ``sketched``: distinct (set_id, n_shingles, bands). ``texts`` gives (set_id,
+    text bytes) for a table of wanted set_ids."""
     keyed = sketched.select("set_id", "n_shingles", F.explode("bands").alias("key"))
     buckets = stored(keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "nd-buckets")
     members = stored(keyed.join(buckets, "key"), "nd-members")
+    # sets that agree in several bands share buckets: one of equal members is enough
+    a, b = F.xxhash64("set_id"), F.xxhash64("set_id", F.lit(1))
+    unlike = members.groupBy("key").agg(F.bit_xor(a).alias("a"), F.bit_xor(b).alias("b"), F.count("*").alias("n")).groupBy("a", "b", "n").agg(F.min("key").alias("key"))
+    members = stored(members.join(stored(unlike.select("key"), "nd-unlike"), "key", "left_semi"), "nd-members")
     score = stored(members.groupBy("set_id").agg(F.sum("members").alias("score")), "nd-score")
     members = stored(members.join(score, "set_id"), "nd-scored")
-    sets = texts.join(score, "set_id", "left_semi").select("set_id", "text").mapInArrow(_only_sets, "set_id binary, items array<bigint>")
+    sets = texts(score.select("set_id")).select("set_id", "text").mapInArrow(_only_sets, "set_id binary, items array<bigint>")
     sets = stored(sets.groupBy("set_id").agg(F.first("items").alias("items")), "nd-sets")  # a repeated row gives its set twice
     close = f"100 * least(n_shingles, n) >= {percent} * greatest(n_shingles, n)"
     links, roots, apart = [], None, members.withColumn("root", F.col("set_id"))
@@ -212,7 +221,7 @@ def _still_apart(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``docs`` with n_shingles, component_id and kept.
+    """(doc_id, n_shingles, component_id, kept, text_hash), a row for each row of ``docs``.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. Documents
     with 100 * |intersection| >= percent * |union| of their shingle sets are
@@ -221,8 +230,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     as its only shingle. Null or empty texts (no words) have an empty set and
     are linked with nothing. A null doc_id never names a component (a component
     of nothing else has component_id null and keeps all its rows). Rows of equal
-    doc_id that carry the component's smallest doc_id are all kept. Columns of
-    ``docs`` named like a result column are replaced.
+    doc_id that carry the component's smallest doc_id are all kept. text_hash is
+    xxhash64 of the text's bytes.
     """
     base = docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("text")).withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "text")
     kind = base.schema["doc_id"].dataType.simpleString()
@@ -230,15 +239,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     one = F.min(F.struct("doc_id", "text_hash")).alias("one")
     groups = rows.where("n_shingles > 0").groupBy("set_id").agg(one, F.min("doc_id").alias("smallest"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
     groups = stored(groups.select("set_id", "smallest", F.col("one.doc_id").alias("of_id"), F.col("one.text_hash").alias("of_hash"), "n_shingles", "bands"), "nd-groups")
-    texts = base.join(groups.select("set_id", "of_id", "of_hash"), F.expr("text_hash = of_hash and doc_id <=> of_id")).select("set_id", "text")
+
+    def texts(wanted: DataFrame) -> DataFrame:
+        of = groups.select("set_id", "of_id", "of_hash").join(wanted, "set_id", "left_semi")
+        return base.join(of, F.expr("text_hash = of_hash and doc_id <=> of_id")).select("set_id", "text")
+
     roots = linked_sets(groups.select("set_id", "n_shingles", "bands"), texts, percent)
     named = stored(_rooted(groups.select("set_id", "smallest"), roots), "nd-named")
     smallest = stored(named.groupBy("root").agg(F.min("smallest").alias("component_id")), "nd-smallest")
     labels = stored(named.join(smallest, "root").select("set_id", "component_id"), "nd-labels")
-    return rows.select("doc_id", "n_shingles", "set_id").join(labels, "set_id", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
-    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+    return rows.select("doc_id", "n_shingles", "set_id", "text_hash").join(labels, "set_id", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "text_hash"
+    ).select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"), "text_hash")
+
+
+def without_near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, ...) that are kept, all their columns."""
+    kept = stored(near_duplicates(docs, "doc_id", text, percent).where("kept").select("doc_id", "text_hash").distinct(), "nd-kept")
+    a, b = docs.alias("a"), kept.alias("b")
+    return a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.xxhash64(utf8(f"a.{text}")) == F.col("b.text_hash")), "left_semi")
 
 
 def op5_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read_table(spark, sf_dir, "documents"))
+    return near_duplicates(read_table(spark, sf_dir, "documents")).drop("text_hash")

@@ -10,7 +10,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 @pytest.fixture(scope="session", autouse=True)
 def _workers_import_the_package(spark):
-    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    from seriesforge.llm.common import importable
+    importable(spark)
 
 
 @pytest.fixture(scope="session")
