@@ -2,26 +2,29 @@
 
 from __future__ import annotations
 
-import os
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
+from seriesforge.llm import chat, decontaminate, url_filter, warc
+from seriesforge.llm.chat import op4_chat_formatting
+from seriesforge.llm.decontaminate import op3_benchmark_decontamination
 from seriesforge.llm.near_dup import op5_minhash_near_dup
-
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
-def _with_package(query: Callable) -> Callable:
-    """Local sessions: Python workers import this package from where it lies. On
-    a cluster it is installed, or shipped with --py-files."""
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
-        return query(spark, sf_dir)
-
-    return run
-
-
-QUERIES = {f.__name__: _with_package(f) for f in (op5_minhash_near_dup,)}
-
-ORACLE: dict[str, str] = {}
+from seriesforge.llm.packing import op9_best_fit_packing
+from seriesforge.llm.paragraphs import op2_paragraph_dedup
+from seriesforge.llm.pii import op10_weak_supervision_pii
+from seriesforge.llm.quality import op1_quality_rules
+from seriesforge.llm.suffix_dedup import op8_suffix_dedup
+from seriesforge.llm.url_filter import op6_url_filters
+from seriesforge.llm.warc import op7_warc_bundles
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_quality_rules, op2_paragraph_dedup, op3_benchmark_decontamination, op4_chat_formatting, op5_minhash_near_dup,
+              op6_url_filters, op7_warc_bundles, op8_suffix_dedup, op9_best_fit_packing, op10_weak_supervision_pii)
+}
+
+#: The others train a model, hash, sort or tokenise in ways SQL cannot say; their
+#: tests compare them with brute force.
+ORACLE = {
+    "op3_benchmark_decontamination": decontaminate.ORACLE_SQL,
+    "op4_chat_formatting": chat.ORACLE_SQL,
+    "op6_url_filters": url_filter.ORACLE_SQL,
+    "op7_warc_bundles": warc.ORACLE_SQL,
+}
