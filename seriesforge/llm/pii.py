@@ -53,7 +53,7 @@ LOOSE = {
 }
 LOOSE_NEEDS = {"email": r"(?i)[(\[]at[)\]]", "ip": r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:", "phone": r"[0-9]{3}[ .-][0-9]{4}"}
 SHAPE = {
-    "email": r"^[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}$",
+    "email": r"^[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,24}$",
     "ip": r"^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?:\.|$)){4}$",
     "card": r"^(?:[0-9]{16}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|3[47][0-9]{13})$",
     "phone": r"^(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}$",
@@ -108,13 +108,30 @@ def _sum(a: Column) -> Column:
     return F.aggregate(a, F.lit(0), lambda x, y: x + y)
 
 
-def _candidates(kind: str, strict: bool, between: Column, matched: Column) -> Column:
+def _steps(between: Column, matched: Column) -> Column:
+    """Code points from each match's gap to its end."""
+    return F.transform(matched, lambda m, i: F.length(between[i]) + F.length(m))
+
+
+def _stride(steps: Column) -> Column:
+    return F.ceil(F.sqrt(F.size(steps) + 1)).cast("int")
+
+
+def _strides(steps: Column) -> Column:
+    """Sums of runs of about the square root of their number, so that a place is
+    a sum of few of them and few steps, however many matches a text has."""
+    n = _stride(steps)
+    return F.transform(F.sequence(F.lit(0), (F.size(steps) / n).cast("int")), lambda j: _sum(F.slice(steps, j * n + 1, n)))
+
+
+def _candidates(kind: str, strict: bool, between: Column, matched: Column, steps: Column, strides: Column) -> Column:
     """Array of the candidates of one pattern; places in code points."""
-    between_n, matched_n = F.transform(between, F.length), F.transform(matched, F.length)
+    n = _stride(steps)
 
     def one(i: Column) -> Column:
         value = matched[i]
-        start = _sum(F.slice(between_n, F.lit(1), i + 1)) + _sum(F.slice(matched_n, F.lit(1), i))
+        run = F.floor(i / n).cast("int")
+        start = _sum(F.slice(strides, F.lit(1), run)) + _sum(F.slice(steps, run * n + 1, i - run * n)) + F.length(between[i])
         base = passes(kind, value) if strict else F.lit(False)
         # a card number of 13 to 15 digits is outside the base rule, which says nothing on it
         short = (F.length(_digits(value)) < 16) & _luhn(_digits(value)) if kind == "card" else F.lit(False)
@@ -127,8 +144,8 @@ def _candidates(kind: str, strict: bool, between: Column, matched: Column) -> Co
             vote(before.rlike(CUES), before.rlike(AGAINST) | after.rlike(UNITS)),
             vote(F.lit(False), after.rlike(GLUED) | F.right(before, F.lit(1)).rlike(GLUED)),
         )
-        return F.struct(F.lit(KINDS.index(kind)).alias("kind"), start.alias("start"), (start + matched_n[i]).alias("end"), base.alias("base"), votes.alias("votes"),
-                        F.least(F.floor(matched_n[i] / 4), F.lit(6)).cast("int").alias("size"), (F.length(_digits(value)) * 10 / matched_n[i]).cast("int").alias("digits"))
+        return F.struct(F.lit(KINDS.index(kind)).alias("kind"), start.alias("start"), (start + F.length(value)).alias("end"), base.alias("base"), votes.alias("votes"),
+                        F.least(F.floor(F.length(value) / 4), F.lit(6)).cast("int").alias("size"), (F.length(_digits(value)) * 10 / F.length(value)).cast("int").alias("digits"))
 
     some = F.filter(F.sequence(F.lit(0), F.size(matched) - 1), lambda i: _considered(kind, matched[i]))
     return F.when(F.size(matched) > 0, F.transform(some, one)).otherwise(F.expr(f"cast(array() as {CANDIDATES})"))
@@ -144,7 +161,10 @@ def candidates(docs: DataFrame, text: str, out: str) -> DataFrame:
     names = [hidden(docs, f"pii{i}") for i in range(len(patterns))]
     cut = docs.select("*", *(F.when(body.rlike(need), F.split(body, pattern, -1)).otherwise(none).alias(f"{n}_s") for n, (_, _, pattern, need) in zip(names, patterns)),
                       *(F.when(body.rlike(need), F.regexp_extract_all(body, F.lit(pattern), F.lit(0))).otherwise(none).alias(f"{n}_m") for n, (_, _, pattern, need) in zip(names, patterns)))
-    found = cut.select(*(F.col(f"`{c}`") for c in docs.columns), F.concat(*(_candidates(k, strict, F.col(f"{n}_s"), F.col(f"{n}_m")) for n, (k, strict, _, _) in zip(names, patterns))).cast(CANDIDATES).alias(out))
+    cut = cut.select("*", *(_steps(F.col(f"{n}_s"), F.col(f"{n}_m")).alias(f"{n}_p") for n in names))
+    cut = cut.select("*", *(_strides(F.col(f"{n}_p")).alias(f"{n}_q") for n in names))
+    arrays = [_candidates(k, strict, *(F.col(f"{n}_{x}") for x in "smpq")) for n, (k, strict, _, _) in zip(names, patterns)]
+    found = cut.select(*(F.col(f"`{c}`") for c in docs.columns), F.concat(*arrays).cast(CANDIDATES).alias(out))
     # a candidate beside the base rules must not touch a span of theirs
     free = F.filter(out, lambda c: c["base"] | ~F.exists(out, lambda b: b["base"] & (b["start"] < c["end"]) & (c["start"] < b["end"])))
     return found.withColumn(out, F.when(F.size(out) > 0, free).otherwise(F.col(out)))
