@@ -56,14 +56,13 @@ def stages(spark, sf_dir: str, times: dict, errors: dict) -> None:
     from seriesforge.sources import tables as T
     p = Pipeline(f"{checkpoint_dir(spark).rstrip('/')}/bench-{uuid.uuid4().hex}",
                  wide_values=["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
-                 target="1-urgent", exog_variables=T.WEATHER_COLUMNS)
+                 target="1-urgent", exog_variables=T.WEATHER_COLUMNS, default_start="1992-01-01")
     timed(times, errors, "stage_collect",
           lambda: p.collect(spark, T.row_payloads(spark, sf_dir), T.columnar_payloads(spark, sf_dir)))
     timed(times, errors, "stage_features", lambda: p.features(spark))
     cfg = TR.TrainConfig(horizons=list(range(1, 8)), profile="smoke")
-    res = timed(times, errors, "stage_train_smoke_21_fits", lambda: p.train(spark, cfg))
-    if res is not None:
-        timed(times, errors, "stage_predict_7_horizons", lambda: p.predict(spark, res))
+    if timed(times, errors, "stage_train_smoke_21_fits", lambda: p.train(spark, cfg)) is not None:
+        timed(times, errors, "stage_predict_7_horizons", lambda: p.predict(spark))
 
 
 def main():

@@ -27,10 +27,8 @@ def last_rows(df: DataFrame, spec: SeriesSpec, n: int = 1) -> DataFrame:
 
 def latest_row(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """The latest row per series as one aggregate (``max_by``)."""
-    rest = [c for c in df.columns if c not in spec.key_cols]
-    g = df.groupBy(*spec.key_cols) if spec.keys else df
-    return g.agg(F.max_by(F.struct(*rest), F.col(spec.time)).alias("__r")) \
-        .select(*spec.key_cols, *[F.col(f"__r.{c}").alias(c) for c in rest])
+    from seriesforge.operators.ingest import keep_last
+    return keep_last(df, list(spec.key_cols) if spec.keys else [], spec.time)
 
 
 def date_forecast(preds: DataFrame, origin_col: str = "date", as_of=None) -> DataFrame:
@@ -112,18 +110,22 @@ def history_and_forecast(hist: DataFrame, fc: DataFrame, spec: SeriesSpec, days:
 
 
 def forecast_document(fc: DataFrame, last: DataFrame, keys: list[str],
-                      metric_cols: list[str] = ("rmse", "mae", "mape", "r2")) -> DataFrame:
+                      metric_cols: list[str] = ("rmse", "mae", "mape", "r2"),
+                      weather_cols: list[str] = (), generated_at=None) -> DataFrame:
     """One JSON document per series:
-    {last_known: {date, consumption}, predictions: {day_h: {date, predicted, metrics}}}.
-    ``last`` holds (keys..., last_date, last_value)."""
+    {[generated_at,] last_known: {date, consumption}, predictions: {day_h: {date,
+    predicted, metrics[, weather]}}}. ``last`` holds (keys..., last_date,
+    last_value); ``weather_cols`` are the exogenous values of the forecast day."""
     entry = F.struct(F.concat(F.lit("day_"), F.col("horizon").cast("string")).alias("k"),
                      F.struct(F.date_format("target_date", "yyyy-MM-dd").alias("date"),
                               F.col("predicted").alias("predicted"),
-                              F.struct(*[F.col(c).alias(c.upper()) for c in metric_cols]).alias("metrics")
+                              F.struct(*[F.col(c).alias(c.upper()) for c in metric_cols]).alias("metrics"),
+                              *([F.struct(*weather_cols).alias("weather")] if weather_cols else [])
                               ).alias("v"))
     m = fc.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("predictions"))
     d = m.join(last, keys)
-    doc = F.struct(F.struct(F.date_format("last_date", "yyyy-MM-dd").alias("date"),
+    made = [] if generated_at is None else [generated_at.cast("string").alias("generated_at")]
+    doc = F.struct(*made, F.struct(F.date_format("last_date", "yyyy-MM-dd").alias("date"),
                             F.col("last_value").alias("consumption")).alias("last_known"),
                    F.col("predictions"))
     return d.select(*keys, F.to_json(doc).alias("document"))

@@ -4,7 +4,8 @@ I1-I4, U1, U2, F1, F2).
 Keep-last is an aggregate (``max_by`` over the ingest sequence), not a
 ``row_number`` window: the aggregate is computed partially inside every map
 task, so a key that holds a third of all rows is reduced to one row per task
-before the shuffle instead of being sorted in one task.
+before the shuffle instead of being sorted in one task. For fixed-width columns
+it is a hash aggregate.
 """
 
 from __future__ import annotations
@@ -22,30 +23,58 @@ WIDE_COLUMNS = [
     "consumo_bombagem", "consumo_armazenamento",
 ]
 
-ROW_PAYLOAD = T.ArrayType(T.StructType([
+# the items of an array stay JSON text first: one that is no object must not
+# make the parser give up on the others
+ROW_PAYLOAD = T.ArrayType(T.StringType())
+ROW_ITEM = T.StructType([
     T.StructField("type", T.StringType()),
-    # read as text: a quoted number is still a number to the reference's float()
+    # read as text: a quoted number is still a number
     T.StructField("daily_Accumulation", T.StringType()),
-]))
+])
+
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def keep_last(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
-    """One row per key, the one with the highest ``order_col``."""
+    """One row per key, the one with the highest ``order_col``.
+
+    A row without an order value comes before all others, so it is kept only
+    if its key has no other. Of rows with equal order values one whole row is
+    kept. Keys may be NULL; equal NULL keys are one key."""
     rest = [c for c in df.columns if c not in keys]
-    agg = F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("__last")
+    order = order_or_lowest(df, order_col)
+    if all(isinstance(df.schema[c].dataType, _FIXED_WIDTH) for c in rest):
+        return df.groupBy(*keys).agg(*[F.max_by(F.col(c), order).alias(c) for c in rest])
+    agg = F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("__last")
     return df.groupBy(*keys).agg(agg).select(*keys, *[F.col(f"__last.{c}").alias(c) for c in rest])
 
 
+def order_or_lowest(df: DataFrame, order_col: str):
+    """``order_col`` with NULL as the lowest value of its type (``max_by``
+    skips rows whose order is NULL)."""
+    kind, c = df.schema[order_col].dataType, F.col(order_col)
+    if isinstance(kind, T.IntegralType):
+        bits = {"byte": 8, "short": 16, "integer": 32, "long": 64}[kind.typeName()]
+        return F.coalesce(c, F.lit(-2 ** (bits - 1)).cast(kind))
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.coalesce(c, F.lit(float("-inf")).cast(kind))
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.coalesce(c, F.lit("0001-01-01").cast(kind))
+    return F.struct(c.isNotNull().alias("known"), c.alias("value"))
+
+
 def land_row_json(payloads: DataFrame, date_col: str = "date_query",
                   payload_col: str = "payload", seq_col: str | None = "ingest_seq",
                   keep: list[str] | None = None) -> DataFrame:
     """S3: one JSON array of ``{"type", "daily_Accumulation"}`` objects per
     date -> long rows ([keep...,] date_query, type, daily_accumulation
-    [, ingest_seq]). Items without a type or a value are dropped; type is
+    [, ingest_seq]). Items without a type or a value, and items that are no
+    objects (numbers, texts, nulls, arrays), are dropped one by one; type is
     lower-cased."""
     extra = list(keep or [])
     cols = [*extra, F.col(date_col).alias("date_query")] + ([F.col(seq_col)] if seq_col else [])
-    items = payloads.select(*cols, F.explode(F.from_json(payload_col, ROW_PAYLOAD)).alias("it"))
+    items = payloads.select(*cols, F.explode(F.from_json(payload_col, ROW_PAYLOAD)).alias("item"))
+    items = items.select("*", F.from_json("item", ROW_ITEM).alias("it"))
     rows = items.select(
         *extra, F.col("date_query"), F.lower(F.col("it.type")).alias("type"),
         S.tolerant_double(F.col("it.daily_Accumulation")).alias("daily_accumulation"),
@@ -90,7 +119,7 @@ def pivot_wide(long: DataFrame, values: list[str], date_col: str = "date_query",
         # dedupe and pivot in one partial aggregation on the date: per pivot
         # value, the value of the row with the highest sequence (rows of other
         # types have a NULL ordering and are skipped by max_by)
-        t, seq = F.col("type"), F.col(seq_col)
+        t, seq = F.col("type"), order_or_lowest(df, seq_col)
         return df.groupBy(*keys, "date").agg(
             *[F.max_by("value", F.when(t == F.lit(v), seq)).alias(v) for v in norm])
     return df.groupBy(*keys, "date").pivot("type", norm).agg(F.max("value"))
@@ -120,6 +149,36 @@ def high_water_mark(df: DataFrame, time_col: str, keys: list[str] | None = None,
     return (g.groupBy(*keys) if keys else g).agg(mark.alias("last_date"))
 
 
+def new_rows(landed: DataFrame, stored: DataFrame | None, time_col: str, keys: list[str],
+             default_start: str | None = None, end=None) -> DataFrame:
+    """I1/I2 per series: landed rows after the stored mark of their series, or
+    from ``default_start`` on (that day included) if it has no stored rows, up to
+    ``end`` (included)."""
+    mark = None
+    if stored is not None:
+        mark = high_water_mark(stored, time_col, keys)
+        landed = landed.join(mark, keys, "left")
+    else:
+        landed = landed.withColumn("last_date", F.lit(None).cast("date"))
+    if default_start:
+        landed = landed.withColumn("last_date", F.coalesce("last_date", F.date_sub(F.to_date(F.lit(default_start)), 1)))
+    bounded = delta_after(landed, time_col, F.coalesce("last_date", F.to_date(F.lit("0001-01-01"))),
+                          None if end is None else F.lit(end).cast("date"))
+    return bounded.drop("last_date")
+
+
+def require_values(long: DataFrame, wanted: list[str], required: list[str], type_col: str = "type") -> list[str]:
+    """P1/P2/U3 on landed long rows, before anything is written: the wanted
+    values that do not occur; raises if a required one is among them. Only the
+    wanted names are looked for, so the answer has at most as many rows."""
+    names = {S.normalize_name_py(v) for v in wanted}
+    seen = {r[0] for r in long.select(S.normalize_name(type_col).alias("t")).where(F.col("t").isin(list(names))).distinct().collect()}
+    absent = [v for v in required if S.normalize_name_py(v) not in seen]
+    if absent:
+        raise ValueError(f"required column(s) not found: {absent}")
+    return [v for v in wanted if S.normalize_name_py(v) not in seen]
+
+
 def delta_after(df: DataFrame, time_col: str, mark, end=None) -> DataFrame:
     """Rows after the mark up to the end date (both literals or columns)."""
     cond = F.col(time_col) > (F.lit(mark) if not hasattr(mark, "_jc") else mark)
@@ -155,18 +214,19 @@ def upsert_partitions(spark, table_path: str, new: DataFrame, keys: list[str], s
     dynamic partition overwrite: every other month is left untouched.
     Returns the rewritten months.
     """
-    import os
     from seriesforge.session import cut_lineage
+    from seriesforge.sources.store import exists
     new = new.withColumn(partition_col, F.date_format(time_col, "yyyy-MM"))
     months = sorted(r[0] for r in new.select(partition_col).distinct().collect())  # <= 12 per year
     if not months:
         return []
-    if os.path.isdir(table_path):
+    if exists(spark, table_path):
         old = spark.read.parquet(table_path).where(F.col(partition_col).isin(months))
         merged = keep_last(old.unionByName(new, allowMissingColumns=True), keys, seq_col)
     else:
         merged = keep_last(new, keys, seq_col)
     merged = cut_lineage(merged.select(*new.columns))
-    (merged.repartition(partition_col).write.mode("overwrite")
+    # rebalance: files of one size, a month of any size is split over tasks
+    (merged.hint("rebalance", partition_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(table_path))
     return months

@@ -7,7 +7,6 @@ stage boundary by the written table itself.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,32 +20,12 @@ from seriesforge.operators import profile as PR
 from seriesforge.operators import quality as QU
 from seriesforge.operators.joins import join_exogenous
 from seriesforge.functions.scalar import normalize_name_py
+from seriesforge.sources import store
 from seriesforge.sources.files import write_documents, write_table
+from seriesforge.sources.store import read_latest, write_version
 from seriesforge.spec import SeriesSpec
 
 
-def versions(folder: str) -> list[int]:
-    if not os.path.isdir(folder):
-        return []
-    return sorted(int(d.split("=", 1)[1]) for d in os.listdir(folder) if d.startswith("v="))
-
-
-def write_version(df: DataFrame, folder: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as the next version folder and return its path."""
-    vs = versions(folder)
-    path = os.path.join(folder, f"v={(vs[-1] + 1) if vs else 1}")
-    w = df.write.mode("error")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
-
-
-def read_latest(spark: SparkSession, folder: str) -> DataFrame | None:
-    vs = versions(folder)
-    return spark.read.parquet(os.path.join(folder, f"v={vs[-1]}")) if vs else None
-
-
 @dataclass
 class Pipeline:
     """Folders under ``root`` (shared storage on a cluster). The raw table is
@@ -60,7 +39,7 @@ class Pipeline:
     default_start: str = "2010-01-01"
 
     def path(self, name: str) -> str:
-        return os.path.join(self.root, name)
+        return store.join(self.root, name)
 
     # ------------------------------------------------------------- collect
     def collect(self, spark: SparkSession, row_payloads: DataFrame | None = None,
@@ -75,28 +54,25 @@ class Pipeline:
         keys = self.spec.key_cols
         out = {}
         raw_path = self.path("raw")
-        raw_old = spark.read.parquet(raw_path) if os.path.isdir(raw_path) else None
+        raw_old = spark.read.parquet(raw_path) if store.exists(spark, raw_path) else None
         if row_payloads is not None:
             land = IN.land_row_json(row_payloads, "date_query", "payload", "ingest_seq", keep=keys)
             land = land.select(*keys, "date_query", "type", "daily_accumulation", "ingest_seq")
-            if raw_old is not None:
-                # Only days after the stored mark of each series (2 columns read)
-                mark = IN.high_water_mark(raw_old, "date_query", keys, self.default_start)
-                land = (land.join(mark, keys, "left")
-                        .where(F.col("last_date").isNull() | (F.col("date_query") > F.col("last_date")))
-                        .drop("last_date"))
-            if end_date:
-                land = land.where(F.col("date_query") <= F.lit(end_date).cast("date"))
+            if raw_old is None:
+                # P1/P2/U3 before any write: nothing is stored without the target
+                IN.require_values(land, self.wide_values, [self.target])
+            # Only days after the stored mark of each series (2 columns read)
+            land = IN.new_rows(land, raw_old, "date_query", keys, self.default_start, end_date)
             # Month partitions touched by the delta are rewritten, the rest stay
             out["raw_months"] = IN.upsert_partitions(spark, raw_path, land, [*keys, "date_query", "type"],
                                                      "ingest_seq")
-            raw_old = spark.read.parquet(raw_path) if os.path.isdir(raw_path) else None
+            raw_old = spark.read.parquet(raw_path) if store.exists(spark, raw_path) else None
         if raw_old is not None:
+            out["missing_columns"] = IN.require_values(raw_old, self.wide_values, [self.target])
             wide = IN.pivot_wide(raw_old, self.wide_values, keys=keys)
             names = [normalize_name_py(v) for v in self.wide_values]  # F1, as in the pivot
-            wide, missing = IN.select_available(wide, names, required=[normalize_name_py(self.target)],
-                                                always=[*keys, "date"])
-            out["missing_columns"] = missing
+            wide, _ = IN.select_available(wide, names, required=[normalize_name_py(self.target)],
+                                          always=[*keys, "date"])
             out["wide"] = write_version(wide, self.path("wide"))
             write_table(FC.latest_row(read_latest(spark, self.path("wide")), self.spec), self.path("latest"))
         if columnar_payloads is not None:
@@ -116,7 +92,7 @@ class Pipeline:
         """I4: is the last stored date of each landed table the day before
         ``as_of`` (reads only the date columns)."""
         stages = {}
-        if os.path.isdir(self.path("raw")):
+        if store.exists(spark, self.path("raw")):
             stages["raw"] = spark.read.parquet(self.path("raw")).select(F.col("date_query").alias("date"))
         ex = read_latest(spark, self.path("exog"))
         if ex is not None:
@@ -140,22 +116,26 @@ class Pipeline:
         spec = self.spec.with_value(normalize_name_py(self.target))
         ft = read_latest(spark, self.path("features_train"))
         res = TR.train_competition(ft, spec, cfg, out_dir=self.path("models"))
-        res["decisions"] = TR.update_registry(spark, self.path("registry"), res["winners"], self.path("models"))
+        res["decisions"] = TR.update_registry(spark, self.path("registry"), res["winners"], res["run_path"])
         return res
 
-    def predict(self, spark: SparkSession, res: dict) -> str:
-        """M8 + J3 + S7: score the last day of every series, attach the
-        registry metrics and write one JSON document per series."""
+    def predict(self, spark: SparkSession, as_of=None) -> str:
+        """M8 + J2 + J3 + S7 from what is stored alone: the last day of every
+        series through the production models of the registry (with the
+        preprocessing saved beside each), their own metrics, and the exogenous
+        values of the forecast days; one JSON document per series."""
         from seriesforge.plans import train as TR
         spec = self.spec.with_value(normalize_name_py(self.target))
         fp = read_latest(spark, self.path("features_production"))
-        fc = TR.score_latest(fp, spec, res)
-        reg = TR.read_registry(spark, self.path("registry")).select("horizon", "rmse", "mae", "mape", "r2")
-        fc = fc.join(reg, "horizon", "left")
+        reg = TR.read_registry(spark, self.path("registry"))
+        fc = TR.score_production(fp, spec, reg, as_of)
+        exog = read_latest(spark, self.path("exog"))
+        fc = FC.attach_context(fc, reg.select("horizon", "rmse", "mae", "mape", "r2"), exog)
         last = FC.latest_row(fp.select(*spec.key_cols, spec.time, spec.value), spec).select(
             *spec.key_cols, F.col(spec.time).alias("last_date"), F.col(spec.value).cast("double").alias("last_value"))
-        path = os.path.join(self.path("forecast"), f"v={len(versions(self.path('forecast'))) + 1}")
-        write_documents(FC.forecast_document(fc, last, spec.key_cols), path)
+        path = store.next_version(spark, self.path("forecast"))
+        weather = [c for c in (exog.columns if exog is not None else []) if c != "date"]
+        write_documents(FC.forecast_document(fc, last, spec.key_cols, weather_cols=weather, generated_at=F.current_timestamp()), path)
         return path
 
     # -------------------------------------------------------------- profile
@@ -178,7 +158,7 @@ class Pipeline:
             tables["exog_trends"] = PR.exog_trends(base, spec, self.exog_variables)
         out = {}
         for name, df in tables.items():
-            p = os.path.join(self.path("profile"), name)
+            p = store.join(self.path("profile"), name)
             write_table(df, p)
             out[name] = p
         return out
@@ -200,6 +180,6 @@ class Pipeline:
         out = {"collect": self.collect(spark, row_payloads, columnar_payloads)}
         out["features"] = self.features(spark)
         res = self.train(spark, cfg)
-        out["forecast"] = self.predict(spark, res)
+        out["forecast"] = self.predict(spark)
         out["decisions"] = res["decisions"]
         return out

@@ -4,18 +4,21 @@ scoring (M1-M9, M14, A25, D9, D10, S8-S10).
 One distributed Spark ML fit per (candidate, horizon) on an assembled table
 that is checkpointed once into the shared checkpoint folder; horizons differ
 only in ``labelCol``. All series train together with the series key as an
-indexed feature. Models, the feature list and every registry version are
-written to new folders, never edited in place.
+indexed feature. Every training run has a folder of its own with its candidate
+models and its preprocessing (features, fill values, scaler, key index); the
+registry names the run folder of each production model. Nothing is edited in
+place, so a model can be loaded with exactly what it was trained with.
 """
 
 from __future__ import annotations
 
 import json
-import os
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +28,7 @@ from seriesforge.operators import evaluate as EV
 from seriesforge.operators import split as SP
 from seriesforge.operators.features import TARGET_PREFIX, numeric_columns, split_features_targets
 from seriesforge.session import cut_lineage
+from seriesforge.sources import store
 from seriesforge.spec import SeriesSpec
 
 # Candidate order of the competition (ties go to the earlier).
@@ -94,6 +98,9 @@ class TrainConfig:
     train_frac: float = 0.8
     window_days: int = 365 * 15
     top_k: int = 30
+    alias_corr: float = 0.999999     # M4: copies of a feature are not ranked twice
+    candidates: dict | None = None   # D9: estimators by name, instead of those of ``profile``
+    grid: dict | None = None         # D9: {candidate: {param: [values]}}, each combination competes
     selection: str = "linear_shap"   # or "tree_importance", "none"
     early_stopping: bool = False     # D10: GBT validationIndicatorCol
     validation_tol: float = 0.01
@@ -140,24 +147,60 @@ def select_features(train: DataFrame, feats: list[str], label: str, cfg: TrainCo
     aggregation; ``tree_importance``: a random forest's impurity importance.
     Returns (rank, feature, importance)."""
     spark = train.sparkSession
+    feats = distinct_features(train, feats, cfg.alias_corr)
     vec = VectorAssembler(inputCols=feats, outputCol="features")
     if cfg.selection == "tree_importance":
         m = RandomForestRegressor(numTrees=50, maxDepth=8, seed=42, labelCol=label).fit(vec.transform(train))
         imp = [(f, float(v)) for f, v in zip(feats, m.featureImportances.toArray())]
-        ranked = spark.createDataFrame(imp, "feature string, importance double")
     else:
         lr = LinearRegression(labelCol=label, regParam=0.0, standardization=False).fit(vec.transform(train))
-        beta = list(map(float, lr.coefficients))
-        mean = F.struct(*[F.avg(F.col(c).cast("double")).alias(c) for c in feats])
-        mu = train.agg(mean.alias("m")).first()["m"]
-        phi = F.array(*[F.struct(F.lit(c).alias("feature"),
-                                 (F.lit(b) * (F.col(c).cast("double") - F.lit(mu[c] or 0.0))).alias("phi"))
-                        for c, b in zip(feats, beta)])
-        ranked = (train.select(F.inline(phi)).groupBy("feature")
-                  .agg(F.avg(F.abs("phi")).alias("importance")))
+        mu = train.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in feats]).first()
+        # |phi| = |beta| |x - mean|: one aggregate row over the training rows
+        spread = train.agg(*[F.avg(F.abs(F.col(c).cast("double") - F.lit(mu[c] or 0.0))).alias(c) for c in feats]).first()
+        imp = [(c, abs(float(b)) * float(spread[c] or 0.0)) for c, b in zip(feats, lr.coefficients)]
+    imp.sort(key=lambda x: (-x[1], x[0]))
+    return spark.createDataFrame([(i + 1, *x) for i, x in enumerate(imp[:cfg.top_k])],
+                                 "rank int, feature string, importance double")
+
+
+def distinct_features(train: DataFrame, feats: list[str], alias_corr: float) -> list[str]:
+    """Without constant features, and of features that are all but copies of
+    each other (|r| >= ``alias_corr``) only the first: a linear model cannot
+    tell such copies apart, so their shares would be arbitrary. One pass for the
+    correlation matrix (features x features)."""
+    vec = VectorAssembler(inputCols=feats, outputCol="features").transform(train).select("features")
+    r = Correlation.corr(vec, "features").first()[0].toArray()
+    kept: list[int] = []
+    for j in range(len(feats)):
+        constant = r[j][j] != r[j][j] or all(x != x for i, x in enumerate(r[j]) if i != j)
+        if len(feats) > 1 and constant:
+            continue
+        if not any(abs(r[i][j]) >= alias_corr for i in kept):
+            kept.append(j)
+    return [feats[j] for j in kept] or feats[:1]
+
+
+def index_keys(df: DataFrame, spec: SeriesSpec, mapping: dict[str, DataFrame] | None = None):
+    """Series keys as numbers from 0 in their order, in a table (key, index) for
+    each key column; keys that the table does not have get the number past the
+    last. Returns (df with ``<key>__idx`` columns, tables). The tables are joined,
+    never collected: there may be any number of series."""
     from pyspark.sql import Window
-    w = Window.orderBy(F.desc("importance"), "feature")  # one row per feature: bounded
-    return ranked.select(F.row_number().over(w).alias("rank"), "feature", "importance").where(F.col("rank") <= cfg.top_k)
+    tables = {}
+    for k in spec.key_cols:
+        table = (mapping or {}).get(k)
+        if table is None:
+            keys = df.select(k).distinct().where(F.col(k).isNotNull())
+            # numbers by range partitions: a running count over partitions plus the place inside
+            part = keys.repartitionByRange(k).sortWithinPartitions(k).withColumn("__id", F.monotonically_increasing_id())
+            part = cut_lineage(part.select(k, F.shiftright("__id", 33).alias("__part"), F.expr("__id & 8589934591L").alias("__nth")))
+            before = part.groupBy("__part").count().withColumn(
+                "__before", F.coalesce(F.sum("count").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+            table = cut_lineage(part.join(before, "__part").select(k, (F.col("__before") + F.col("__nth")).cast("double").alias(f"{k}__idx")))
+        tables[k] = table
+        past = float(table.agg(F.max(f"{k}__idx")).first()[0] or 0.0) + 1.0
+        df = df.join(table, k, "left").withColumn(f"{k}__idx", F.coalesce(f"{k}__idx", F.lit(past)))
+    return df, tables
 
 
 def train_competition(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig | None = None,
@@ -168,13 +211,11 @@ def train_competition(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig |
     cfg = cfg or TrainConfig()
     spark = features.sparkSession
     lab, feats, targets, fill = prepare(features, spec, cfg)
-    idx = None
+    idx = {}
     if spec.keys:
-        # series keys as an indexed feature; alphabetical order so that the
-        # index of a series does not depend on how many rows it has
-        idx = StringIndexer(inputCols=spec.key_cols, outputCols=[f"{k}__idx" for k in spec.key_cols],
-                            handleInvalid="keep", stringOrderType="alphabetAsc").fit(lab)
-        lab = idx.transform(lab)
+        # series keys as an indexed feature; in key order, so that the index of
+        # a series does not depend on how many rows it has
+        lab, idx = index_keys(lab, spec)
         feats = feats + [f"{k}__idx" for k in spec.key_cols]
     lab = cut_lineage(lab.select(*spec.key_cols, spec.time, "is_train", *feats, *targets))
     train = lab.where("is_train = 1")
@@ -188,7 +229,9 @@ def train_competition(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig |
     data = vec.transform(scaled).select(*spec.key_cols, spec.time, "is_train", "features", *targets)
     data = data.persist()
     tr, te = data.where("is_train = 1"), data.where("is_train = 0")
-    cands = candidate_models(cfg.profile)
+    cands = cfg.candidates or candidate_models(cfg.profile)
+    if cfg.grid:
+        cands = grid_candidates(cands, cfg.grid)
     if cfg.early_stopping:
         # The last dates of the training rows validate the boosting rounds
         tr_val = SP.label_split(tr.drop("is_train"), spec.time, 0.9) \
@@ -221,7 +264,7 @@ def train_competition(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig |
     allp = cut_lineage(allp)
     data.unpersist()
     met = EV.metrics(allp, ["candidate", "horizon"])
-    win = EV.pick_winner(met, ["horizon"], order=list(cands))
+    win = cut_lineage(EV.pick_winner(met, ["horizon"], order=list(cands)))
     res = {"predictions": allp, "metrics": met, "winners": win, "features": feats, "selection": sel,
            "models": models, "scaler": scaler, "candidates": list(cands), "indexer": idx, "fill": fill}
     if out_dir:
@@ -229,95 +272,116 @@ def train_competition(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig |
     return res
 
 
-def save_models(res: dict, out_dir: str):
-    """Every candidate model, the scaler and the feature list."""
-    for (name, h), m in res["models"].items():
-        m.write().overwrite().save(os.path.join(out_dir, "candidates", f"{name}_h{h}"))
+def save_models(res: dict, out_dir: str) -> str:
+    """A new run folder with every candidate model, the feature list,
+    the fill values, the scaler and the key index. Returns its path, which the
+    result also carries as ``run_path``."""
+    run = store.join(out_dir, f"run={uuid.uuid4().hex}")
     spark = res["metrics"].sparkSession
+    for (name, h), m in res["models"].items():
+        m.write().save(_model_path(run, name, h))
     spark.createDataFrame([(i + 1, f) for i, f in enumerate(res["features"])], "rank int, feature string") \
-        .write.mode("overwrite").parquet(os.path.join(out_dir, "selected_features"))
+        .write.parquet(store.join(run, "selected_features"))
     spark.createDataFrame([(k, float(v[0] or 0.0), float(v[1] or 0.0)) for k, v in res["scaler"].items()],
-                          "feature string, mu double, sd double") \
-        .write.mode("overwrite").parquet(os.path.join(out_dir, "scaler"))
+                          "feature string, mu double, sd double").write.parquet(store.join(run, "scaler"))
+    spark.createDataFrame(list(res["fill"].items()), "feature string, value double").write.parquet(store.join(run, "fill"))
+    for k, table in res["indexer"].items():
+        table.write.parquet(store.join(run, "index", k))
+    res["run_path"] = run
+    return run
+
+
+def _model_path(run: str, candidate: str, horizon: int) -> str:
+    return store.join(run, "candidates", f"{candidate.replace('#', '-')}_h{horizon}")
+
+
+def load_preprocessing(spark: SparkSession, run: str) -> dict:
+    """What :func:`save_models` saved beside the models of a run."""
+    feats = [r["feature"] for r in spark.read.parquet(store.join(run, "selected_features")).orderBy("rank").collect()]
+    scaler = {r["feature"]: (r["mu"], r["sd"]) for r in spark.read.parquet(store.join(run, "scaler")).collect()}
+    fill = {r["feature"]: r["value"] for r in spark.read.parquet(store.join(run, "fill")).collect()}
+    index = {k: spark.read.parquet(store.join(run, "index", k)) for k in store.names(spark, store.join(run, "index"))}
+    return {"features": feats, "scaler": scaler, "fill": fill, "indexer": index}
 
 
 # ---------------------------------------------------------------- registry
-def registry_versions(root: str) -> list[int]:
-    if not os.path.isdir(root):
-        return []
-    return sorted(int(d.split("=")[1]) for d in os.listdir(root) if d.startswith("v="))
+REGISTRY = "horizon int, rmse double, mae double, mape double, r2 double, candidate string, run_path string, model_path string"
 
 
 def read_registry(spark: SparkSession, root: str) -> DataFrame:
     """The latest registry version (empty when none)."""
-    vs = registry_versions(root)
-    schema = "horizon int, rmse double, mae double, mape double, r2 double, candidate string, model_path string"
+    vs = store.versions(spark, root)
     if not vs:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(os.path.join(root, f"v={vs[-1]}"))
+        return spark.createDataFrame([], REGISTRY)
+    return spark.read.schema(REGISTRY).parquet(store.join(root, f"v={vs[-1]}"))
 
 
-def update_registry(spark: SparkSession, root: str, winners: DataFrame, model_dir: str) -> DataFrame:
+def update_registry(spark: SparkSession, root: str, winners: DataFrame, run: str) -> DataFrame:
     """Promote per horizon on strictly lower RMSE (first registration
-    when the horizon is absent), write the next version folder and copy the
-    promoted models into ``production``. Returns the decision table."""
-    old = read_registry(spark, root)
+    when the horizon is absent) and write the next version, which names the run
+    folder and model of each horizon. Returns the decision table."""
+    old = cut_lineage(read_registry(spark, root))
     new = winners.select("horizon", "rmse", "mae", "mape", "r2", "candidate")
-    dec = EV.promote(new, old, ["horizon"])
-    rows = dec.collect()  # one row per horizon: bounded
-    prod = os.path.join(model_dir, "production")
-    for r in rows:
-        if r["promoted"]:
-            src = os.path.join(model_dir, "candidates", f"{r['candidate']}_h{r['horizon']}")
-            _load_any(src).write().overwrite().save(os.path.join(prod, f"h{r['horizon']}"))
+    dec = cut_lineage(EV.promote(new, old, ["horizon"]))
     newrows = dec.where("promoted = 1").select(
-        "horizon", F.col("new_rmse").alias("rmse"), "mae", "mape", "r2", "candidate",
-        F.concat(F.lit(prod + "/h"), F.col("horizon").cast("string")).alias("model_path"))
+        "horizon", F.col("new_rmse").alias("rmse"), "mae", "mape", "r2", "candidate", F.lit(run).alias("run_path"),
+        F.concat(F.lit(store.join(run, "candidates") + "/"), F.regexp_replace("candidate", "#", "-"), F.lit("_h"), F.col("horizon").cast("string")).alias("model_path"))
     kept = old.join(newrows.select("horizon"), "horizon", "left_anti")
-    nxt = kept.unionByName(newrows)
-    vs = registry_versions(root)
-    nxt.coalesce(1).write.mode("error").parquet(os.path.join(root, f"v={(vs[-1] + 1) if vs else 1}"))
+    store.write_version(kept.unionByName(newrows).coalesce(1), root)
     return dec
 
 
-def _load_any(path: str):
+def _load_any(spark: SparkSession, path: str):
     from pyspark.ml.regression import (GBTRegressionModel, LinearRegressionModel,
                                        RandomForestRegressionModel)
-    spark = SparkSession.getActiveSession()
-    meta = json.loads(spark.read.text(os.path.join(path, "metadata")).first()[0])
+    meta = json.loads(spark.read.text(store.join(path, "metadata")).first()[0])
     cls = meta.get("class", "")
     for c in (RandomForestRegressionModel, GBTRegressionModel, LinearRegressionModel, PipelineModel):
         if cls.endswith(c.__name__):
             return c.load(path)
-    return GBTRegressionModel.load(path)
+    raise ValueError(f"unknown model class {cls} in {path}")
 
 
-def score_latest(prod_features: DataFrame, spec: SeriesSpec, res: dict, as_of=None) -> DataFrame:
-    """M8/M9: the last row of every series through each horizon's winning
-    model; target date = last date + h (or as_of + h - 1)."""
+def _prepared_latest(prod_features: DataFrame, spec: SeriesSpec, pre: dict) -> DataFrame:
+    """The last row of every series, filled, scaled and assembled as in training."""
     from seriesforge.operators.forecast import last_rows
     last = last_rows(prod_features, spec, 1)
-    if res.get("indexer") is not None:
-        last = res["indexer"].transform(last)  # the training mapping; unseen keys -> extra index
-    feats = res["features"]
-    mu_sd = res["scaler"]
-    fill = res.get("fill", {})
+    if pre["indexer"]:
+        last, _ = index_keys(last, spec, pre["indexer"])  # the training mapping; unseen keys -> extra index
+    feats, mu_sd, fill = pre["features"], pre["scaler"], pre["fill"]
     last = last.select(*[F.coalesce(F.col(c).cast("double"), F.lit(fill[c])).alias(c) if c in fill
                          else F.col(c) for c in last.columns])
     cols = [((F.col(c).cast("double") - F.lit(mu_sd[c][0] or 0.0)) /
              F.lit(1.0 if not mu_sd[c][1] else mu_sd[c][1])).alias(c) for c in feats]
-    x = VectorAssembler(inputCols=feats, outputCol="features").transform(
-        last.select(*spec.key_cols, spec.time, *cols))
-    x = cut_lineage(x)  # one row per series, read by every horizon's model
-    win = {r["horizon"]: r["candidate"] for r in res["winners"].collect()}  # <= 7 rows
-    parts = []
-    for h, name in sorted(win.items()):
-        m = res["models"][(name, h)]
+    x = VectorAssembler(inputCols=feats, outputCol="features").transform(last.select(*spec.key_cols, spec.time, *cols))
+    return cut_lineage(x)  # one row per series, read by every horizon's model
+
+
+def _scored(parts: list, spec: SeriesSpec, as_of) -> DataFrame:
+    """``parts``: (horizon, candidate, model, prepared rows) of every horizon."""
+    from seriesforge.operators.forecast import date_forecast
+    out = None
+    for h, name, m, x in parts:
         p = m.transform(x).select(*spec.key_cols, F.col(spec.time).alias("origin_date"),
                                   F.lit(h).alias("horizon"), F.lit(name).alias("candidate"), "y_pred")
-        parts.append(p)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    from seriesforge.operators.forecast import date_forecast
+        out = p if out is None else out.unionByName(p)
     return date_forecast(out, "origin_date", as_of)
+
+
+def score_latest(prod_features: DataFrame, spec: SeriesSpec, res: dict, as_of=None) -> DataFrame:
+    """M8/M9 with a training result at hand: the last row of every series
+    through each horizon's winner; target date = last date + h (or as_of + h - 1)."""
+    x = _prepared_latest(prod_features, spec, res)
+    win = {r["horizon"]: r["candidate"] for r in res["winners"].collect()}  # <= 7 rows
+    return _scored([(h, name, res["models"][(name, h)], x) for h, name in sorted(win.items())], spec, as_of)
+
+
+def score_production(prod_features: DataFrame, spec: SeriesSpec, registry: DataFrame, as_of=None) -> DataFrame:
+    """M8/M9 from storage: each horizon's production model, loaded with the
+    preprocessing of the run that trained it."""
+    spark = prod_features.sparkSession
+    rows = sorted(registry.collect(), key=lambda r: r["horizon"])  # one row per horizon
+    if not rows:
+        raise ValueError("no model is registered")
+    prepared = {run: _prepared_latest(prod_features, spec, load_preprocessing(spark, run)) for run in {r["run_path"] for r in rows}}
+    return _scored([(r["horizon"], r["candidate"], _load_any(spark, r["model_path"]), prepared[r["run_path"]]) for r in rows], spec, as_of)

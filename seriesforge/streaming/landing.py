@@ -12,16 +12,15 @@ task, so a hot key never lands whole in one task.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesforge.operators.ingest import ROW_PAYLOAD, keep_last, land_row_json
+from seriesforge.operators.ingest import keep_last, land_row_json
+from seriesforge.sources import store
 
 DOC_SCHEMA = T.StructType([T.StructField("date_query", T.StringType()),
-                           T.StructField("items", ROW_PAYLOAD)])
+                           T.StructField("items", T.StringType())])
 KEYS = ["date_query", "type"]
 
 
@@ -29,7 +28,7 @@ def parse_documents(lines: DataFrame) -> DataFrame:
     """JSON lines -> long rows (date_query DATE, type, daily_accumulation)."""
     d = lines.select(F.from_json("value", DOC_SCHEMA).alias("d"))
     d = d.select(F.try_to_date(F.col("d.date_query")).alias("date_query"),
-                 F.to_json(F.col("d.items")).alias("payload"))
+                 F.col("d.items").alias("payload"))
     return land_row_json(d, "date_query", "payload", seq_col=None).where(F.col("date_query").isNotNull())
 
 
@@ -37,7 +36,7 @@ def _append_batch(log_dir: str):
     def write(batch: DataFrame, batch_id: int):
         rows = batch.select("*", F.lit(batch_id).cast("long").alias("ingest_batch"),
                             F.monotonically_increasing_id().alias("ingest_row"))
-        rows.write.mode("overwrite").parquet(os.path.join(log_dir, f"batch={batch_id}"))
+        rows.write.mode("overwrite").parquet(store.join(log_dir, f"batch={batch_id}"))
     return write
 
 
@@ -66,7 +65,7 @@ def current_table(spark: SparkSession, log_dir: str) -> DataFrame:
 
 def high_water_mark(spark: SparkSession, log_dir: str, default_start: str) -> DataFrame:
     """I1 on the log: last landed date (one column read)."""
-    if not os.path.isdir(log_dir):
+    if not store.exists(spark, log_dir):
         return spark.createDataFrame([(default_start,)], "last_date string") \
             .select(F.to_date("last_date").alias("last_date"))
     return log_table(spark, log_dir).agg(
@@ -76,4 +75,4 @@ def high_water_mark(spark: SparkSession, log_dir: str, default_start: str) -> Da
 def compact(spark: SparkSession, log_dir: str, out_dir: str) -> None:
     """Write the current table to a new folder, partitioned by month."""
     cur = current_table(spark, log_dir).withColumn("month", F.date_format("date_query", "yyyy-MM"))
-    cur.repartition("month").write.mode("error").partitionBy("month").parquet(out_dir)
+    cur.hint("rebalance", "month").write.mode("error").partitionBy("month").parquet(out_dir)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from seriesforge.plans import train as TR
 from seriesforge.plans.catalog import PANEL, features_table
+from seriesforge.sources import store
 
 
 def test_competition_registry_and_scoring(spark, tmpdir_path):
@@ -25,26 +26,50 @@ def test_competition_registry_and_scoring(spark, tmpdir_path):
     sel = res["selection"].orderBy("rank").collect()
     assert 1 <= len(sel) <= 10 and sel[0].rank == 1
 
-    root = os.path.join(tmpdir_path, "registry")
-    d1 = {r.horizon: r.action for r in TR.update_registry(spark, root, res["winners"],
-                                                          os.path.join(tmpdir_path, "models")).collect()}
+    prod = features_table(spark, SF_SMALL, False)
+    fc = {(r.series_id, r.horizon): r for r in TR.score_latest(prod, PANEL, res).collect()}
+    assert len(fc) == 5 * 2 and all(r.predicted is not None for r in fc.values())
+    assert all((r.target_date - r.origin_date).days == r.horizon for r in fc.values())
+
+    root = "file://" + os.path.join(tmpdir_path, "registry")
+    run = res["run_path"]
+    d1 = {r.horizon: r.action for r in TR.update_registry(spark, root, res["winners"], run).collect()}
     assert set(d1.values()) == {"promoted_first"}
-    # the same metrics again: equal is not better
-    d2 = {r.horizon: r.action for r in TR.update_registry(spark, root, res["winners"],
-                                                          os.path.join(tmpdir_path, "models")).collect()}
-    assert set(d2.values()) == {"rejected"}
-    assert TR.registry_versions(root) == [1, 2]
-    assert TR.read_registry(spark, root).count() == 2
+    # a later run with equal metrics: equal is not better, the registry keeps the first run's models
+    later = {**res, "models": {k: res["models"][(k[0], 3 - k[1])] for k in res["models"]}}
+    second = TR.save_models(later, os.path.join(tmpdir_path, "models"))
+    d2 = {r.horizon: r.action for r in TR.update_registry(spark, root, res["winners"], second).collect()}
+    assert set(d2.values()) == {"rejected"} and second != run
+    assert store.versions(spark, root) == [1, 2]
+    reg = TR.read_registry(spark, root)
+    assert reg.count() == 2 and {r.run_path for r in reg.collect()} == {run}
+
+    # scores from storage alone equal those of the live objects, in a fresh session too
+    fresh = spark.newSession()
+    again = TR.score_production(features_table(fresh, SF_SMALL, False), PANEL, TR.read_registry(fresh, root))
+    assert {(r.series_id, r.horizon): r.y_pred for r in again.collect()} == {k: r.y_pred for k, r in fc.items()}
+
+
+def test_ranking_ignores_copies(spark):
+    import random
+    rnd = random.Random(5)
+    rows = []
+    for i in range(600):
+        a, b, c = (rnd.gauss(0, 1) for _ in range(3))
+        rows.append((a, a * 2 + 1, b, c, 3.0, 5 * a + 2 * b + rnd.gauss(0, 0.1)))
+    df = spark.createDataFrame(rows, "a double, a_copy double, b double, c double, one double, y double")
+    cfg = TR.TrainConfig(top_k=10)
+    full = [(r.feature, round(r.importance, 6)) for r in TR.select_features(df, ["a", "a_copy", "b", "c", "one"], "y", cfg).collect()]
+    less = [(r.feature, round(r.importance, 6)) for r in TR.select_features(df, ["a", "b", "c", "one"], "y", cfg).collect()]
+    assert full == less and [f for f, _ in full] == ["a", "b", "c"]
 
-    # a saved model reloads to the same predictions
-    name = res["winners"].where("horizon = 1").first().candidate
-    m = res["models"][(name, 1)]
-    m2 = TR._load_any(os.path.join(tmpdir_path, "models", "candidates", f"{name}_h1"))
-    assert m2.numFeatures == m.numFeatures
 
-    fc = TR.score_latest(features_table(spark, SF_SMALL, False), PANEL, res).collect()
-    assert len(fc) == 5 * 2 and all(r.predicted is not None for r in fc)
-    assert all((r.target_date - r.origin_date).days == r.horizon for r in fc)
+def test_key_index_is_a_table(spark):
+    df = spark.createDataFrame([(f"k{i % 37:02d}", i) for i in range(500)], "series_id string, v int").repartition(7)
+    out, tables = TR.index_keys(df, PANEL)
+    assert {r.series_id: r["series_id__idx"] for r in out.collect()} == {f"k{i:02d}": float(i) for i in range(37)}
+    new = spark.createDataFrame([("k05", 1), ("zz", 2), (None, 3)], "series_id string, v int")
+    assert sorted(r["series_id__idx"] for r in TR.index_keys(new, PANEL, tables)[0].collect()) == [5.0, 37.0, 37.0]
 
 
 def test_grid_and_early_stopping(spark):
@@ -56,6 +81,8 @@ def test_grid_and_early_stopping(spark):
     cfg = TR.TrainConfig(horizons=[1], profile="smoke", selection="none", early_stopping=True)
     res = TR.train_competition(f, PANEL, cfg)
     assert res["metrics"].count() == 3
+    grid = TR.TrainConfig(horizons=[1], selection="none", candidates={"XGBoost": base["XGBoost"]}, grid={"XGBoost": {"maxDepth": [2, 3]}})
+    assert sorted(r.candidate for r in TR.train_competition(f, PANEL, grid)["metrics"].collect()) == ["XGBoost#0", "XGBoost#1"]
     lin = TR.linear_baseline(f, PANEL, TR.TrainConfig(horizons=[1], selection="none")).collect()
     assert len(lin) == 1 and lin[0].rmse > 0
 
