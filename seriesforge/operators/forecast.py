@@ -52,6 +52,17 @@ def attach_context(fc: DataFrame, registry: DataFrame | None = None, exog: DataF
     return out
 
 
+# The longest forecasts that the views allow.
+MAX_DAYS, MAX_DAYS_LONG = 7, 16
+
+
+def first_days(fc: DataFrame, days: int, most: int = MAX_DAYS) -> DataFrame:
+    """The forecast limited to its first ``days`` horizons, 1 to ``most``."""
+    if not isinstance(days, int) or not 1 <= days <= most:
+        raise ValueError(f"days must be within 1..{most}")
+    return fc.where(F.col("horizon") <= days)
+
+
 def next_day(fc: DataFrame, mae_col: str = "mae") -> DataFrame:
     """Horizon 1 with predicted -/+ MAE (default 5.0)."""
     lo, hi = S.interval_bounds("predicted", mae_col, DEFAULT_MAE)

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 def join_exogenous(panel: DataFrame, exog: DataFrame, time_col: str = "date",
                    how: str = "inner") -> DataFrame:
-    """Panel (keys, date, ...) inner-joined with a per-date table."""
-    return panel.join(exog, time_col, how)
+    """Panel (keys, date, ...) joined with a per-date table, which has at most
+    one row per calendar day and so may be sent to every task; the panel, of any
+    size, is not shuffled."""
+    return panel.join(F.broadcast(exog), time_col, how)
 
 
 _EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
@@ -40,7 +42,10 @@ def nearest_time_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts:
     finds the neighbours; a neighbour outside the bucket comes from a small
     per-bucket summary (min/max right time per bucket), windowed per key. No
     cross join, no single-partition window over raw rows.
-    ``right`` must be unique on (keys, right_ts).
+    ``right`` counts as unique on (keys, right_ts): of rows equal there one is
+    used. Without keys the answers are one row per truncated time, at most the
+    hours of the calendar, and are sent to every task; the raw rows stay where
+    they are.
     """
     keys = list(keys or [])
     bs = F.lit(int(bucket_seconds))
@@ -86,10 +91,10 @@ def nearest_time_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts:
     chosen = (F.when(prev.isNull(), nxt).when(nxt.isNull(), prev)
               .when((t - prev) <= (nxt - t), prev).otherwise(nxt))
     m = u.select(*keys, F.col("__ts").alias("__t"), chosen.alias("__m"))
-    rt = right.withColumn("__m", _seconds(right_ts))
+    rt = right.withColumn("__m", _seconds(right_ts)).dropDuplicates([*keys, "__m"])
     rt = rt.withColumnRenamed(right_ts, out_ts)
     matched = m.join(rt, [*keys, "__m"], "left").drop("__m")
-    return left_t.join(matched, [*keys, "__t"], "left").drop("__t")
+    return left_t.join(matched if keys else F.broadcast(matched), [*keys, "__t"], "left").drop("__t")
 
 
 def attach_by_position(df: DataFrame, keys: list[str], order_col: str,

@@ -219,9 +219,9 @@ def target_correlations(df: DataFrame, spec: SeriesSpec, columns: list[str] | No
 
 
 def correlation_matrix(df: DataFrame, spec: SeriesSpec, columns: list[str]) -> DataFrame:
-    """Pairwise Pearson r (NULL-pairwise like pandas), lower triangle
-    with the diagonal, one aggregation."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i + 1]]
+    """Pairwise Pearson r (NULL-pairwise like pandas), strict lower
+    triangle, one aggregation."""
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
     g = df.groupBy(*_keys(spec)) if spec.keys else df
     wide = g.agg(*[F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(f"__c{i}")
                    for i, (a, b) in enumerate(pairs)])
@@ -255,18 +255,20 @@ def trend_lines(trends: DataFrame, keys: list[str], points: int = 100) -> DataFr
 
 
 def histogram(df: DataFrame, spec: SeriesSpec, bins: int = 50) -> DataFrame:
-    """Equal-width bins over [min, max] per series (last bin closed)."""
+    """Equal-width bins over [min, max] per series (last bin closed), with
+    the series' mean and median as marks beside every bin."""
     y = F.col(spec.value).cast("double")
     p = _part(spec)
     lo, hi = F.min(y).over(p), F.max(y).over(p)
-    s = df.select(*_keys(spec), y.alias("__y"), lo.alias("lo"), hi.alias("hi"))
+    marks = (F.sum(spec.value).over(p).cast("double") / F.count(spec.value).over(p)).alias("mean"), F.percentile(y, 0.5).over(p).alias("median")
+    s = df.select(*_keys(spec), y.alias("__y"), lo.alias("lo"), hi.alias("hi"), *marks)
     wdt = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     b = F.least(F.floor((F.col("__y") - F.col("lo")) / wdt), F.lit(bins - 1))
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(b).cast("long")
-    s = s.select(*_keys(spec), "lo", "hi", b.alias("bin"))
-    h = s.groupBy(*_keys(spec), "lo", "hi", "bin").agg(F.count(F.lit(1)).alias("count"))
+    s = s.select(*_keys(spec), "lo", "hi", "mean", "median", b.alias("bin"))
+    h = s.groupBy(*_keys(spec), "lo", "hi", "mean", "median", "bin").agg(F.count(F.lit(1)).alias("count"))
     return h.select(*_keys(spec), "bin", (F.col("lo") + wdt * F.col("bin")).alias("bin_start"),
-                    (F.col("lo") + wdt * (F.col("bin") + 1)).alias("bin_end"), "count")
+                    (F.col("lo") + wdt * (F.col("bin") + 1)).alias("bin_end"), "count", "mean", "median")
 
 
 def boxplot_stats(df: DataFrame, spec: SeriesSpec, by_month: bool = False, k: float = 1.5,
@@ -292,40 +294,33 @@ def boxplot_stats(df: DataFrame, spec: SeriesSpec, by_month: bool = False, k: fl
                  F.count(F.lit(1)).alias("n"))
 
 
-def kde(df: DataFrame, spec: SeriesSpec, points: int = 1000, cut: float = 12.0) -> DataFrame:
+def kde(df: DataFrame, spec: SeriesSpec, points: int = 1000) -> DataFrame:
     """Gaussian kernel density on an even grid of ``points`` over
     [min - range/2, max + range/2], Scott bandwidth h = std * n^(-1/5).
 
-    No grid x data cross product: each value is exploded only onto the grid
-    points within ``cut`` bandwidths (kernel weight below exp(-cut^2/2)
-    elsewhere, i.e. under 1e-31 of the peak), then summed per grid point.
-    ``density_scaled`` = density * range (dimensionless).
+    One aggregation gathers a series' daily values (bounded by its calendar);
+    every value counts at every grid point, summed inside arrays, so no row is
+    multiplied. ``density_scaled`` = density * range (dimensionless).
     """
     y = F.col(spec.value).cast("double")
     keys = _keys(spec)
-    p = _part(spec)
-    # per-series statistics by a window over the keys: no join back
-    j = df.select(*keys, y.alias("__y"), F.count(y).over(p).alias("n"), F.stddev_samp(y).over(p).alias("sd"),
-                  F.min(y).over(p).alias("mn"), F.max(y).over(p).alias("mx"))
-    j = j.select(*keys, "__y", "n", "mn", "mx",
+    g = df.groupBy(*keys) if keys else df
+    j = g.agg(F.sort_array(F.collect_list(y)).alias("ys"), F.stddev_samp(y).alias("sd"))
+    j = j.where(F.size("ys") > 0).select(*keys, "ys", "sd", F.size("ys").alias("n"), F.element_at("ys", 1).alias("mn"), F.element_at("ys", -1).alias("mx"))
+    j = j.select(*keys, "ys", "n", "mn", "mx",
                  (F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("h"),
                  (F.col("mn") - (F.col("mx") - F.col("mn")) / 2.0).alias("g0"),
                  ((F.col("mx") - F.col("mn")) * 2.0 / F.lit(float(points - 1))).alias("step"))
-    st_cols = ["n", "h", "g0", "step", "mn", "mx"]
-    lo = F.greatest(F.lit(0), F.ceil((F.col("__y") - cut * F.col("h") - F.col("g0")) / F.col("step")).cast("int"))
-    hi = F.least(F.lit(points - 1), F.floor((F.col("__y") + cut * F.col("h") - F.col("g0")) / F.col("step")).cast("int"))
-    e = j.where(lo <= hi).select(*keys, "__y", *st_cols, F.explode(F.sequence(lo, hi)).alias("point"))
-    gx = F.col("g0") + F.col("step") * F.col("point")
-    contrib = F.exp(-F.try_divide((gx - F.col("__y")) ** 2, 2.0 * F.col("h") ** 2))
-    sums = e.groupBy(*keys, "point").agg(F.sum(contrib).alias("__s"))
-    # the full grid per series (grid points no value reaches get density 0)
-    grid = (j.select(*keys, *st_cols).distinct()
-            .select(*keys, *st_cols, F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")))
-    r = grid.join(sums, [*keys, "point"], "left")
-    dens = F.try_divide(F.coalesce(F.col("__s"), F.lit(0.0)),
-                        F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
-    return r.select(*keys, "point", (F.col("g0") + F.col("step") * F.col("point")).alias("x"),
-                    (dens * (F.col("mx") - F.col("mn"))).alias("density_scaled"))
+    # the kernel exponent per unit squared, once per series
+    j = j.withColumn("k", F.try_divide(F.lit(-1.0), 2.0 * F.col("h") ** 2))
+
+    def at(point):
+        x = F.col("g0") + F.col("step") * point
+        s = F.aggregate("ys", F.lit(0.0), lambda acc, v: acc + F.exp((x - v) * (x - v) * F.col("k")))
+        dens = F.try_divide(s, F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
+        return F.struct(point.alias("point"), x.alias("x"), (dens * (F.col("mx") - F.col("mn"))).alias("density_scaled"))
+
+    return j.select(*keys, F.inline(F.transform(F.sequence(F.lit(0), F.lit(points - 1)), at)))
 
 
 def normal_quantiles(levels: int = 99) -> list[tuple[int, float, float]]:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from seriesforge.functions.scalar import round_doubles
 from seriesforge.plans import oracle_views as V
+from seriesforge.session import cut_lineage
 from seriesforge.sources import tables as T
 from seriesforge.spec import SeriesSpec
 
@@ -573,14 +574,14 @@ def q_target_corr(spark, sf_dir):
     return out(PR.target_correlations(T.base_panel(spark, sf_dir, exact=True), PANEL, WEATHER_COLUMNS, 20))
 
 
-_CORR_COLS = ["y", "temperature_2m_mean", "precipitation_sum", "relative_humidity_2m_mean", "wind_speed_10m_mean"]
+_CORR_COLS = ["y", *WEATHER_COLUMNS]
 
 
 @query("a15_correlation_matrix", V.with_(V.DAILY_PANEL_X, V.EXOG_DAILY, _BASE_X) + " UNION ALL ".join(
     f"SELECT series_id, '{a}' AS \"row\", '{b}' AS col, " + V.r(f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))", "r") +
-    " FROM b GROUP BY 1" for i, a in enumerate(_CORR_COLS) for b in _CORR_COLS[:i + 1]))
+    " FROM b GROUP BY 1" for i, a in enumerate(_CORR_COLS) for b in _CORR_COLS[:i]))
 def q_corr_matrix(spark, sf_dir):
-    """Lower triangle of pairwise correlations, one aggregation."""
+    """Strict lower triangle of all pairwise correlations, one aggregation."""
     return out(PR.correlation_matrix(T.base_panel(spark, sf_dir, exact=True), PANEL, _CORR_COLS))
 
 
@@ -614,11 +615,13 @@ def q_trend_lines(spark, sf_dir):
 @query("a17_histogram", V.with_(V.DAILY_PANEL_X, """s AS (SELECT series_id, CAST(y AS DOUBLE) AS v,
   min(CAST(y AS DOUBLE)) OVER (PARTITION BY series_id) AS lo, max(CAST(y AS DOUBLE)) OVER (PARTITION BY series_id) AS hi FROM daily_panel)""",
   """b AS (SELECT series_id, lo, hi, (hi - lo) / 50.0 AS w,
-  CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((v - lo) / ((hi - lo) / 50.0)), 49) END AS BIGINT) AS bin FROM s)""") +
+  CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((v - lo) / ((hi - lo) / 50.0)), 49) END AS BIGINT) AS bin FROM s)""",
+  """k AS (SELECT series_id, CAST(sum(y) AS DOUBLE) / count(y) AS mean, quantile_cont(CAST(y AS DOUBLE), 0.5) AS median FROM daily_panel GROUP BY 1)""") +
        "SELECT series_id, bin, " + V.r("lo + w * bin", "bin_start") + ", " + V.r("lo + w * (bin + 1)", "bin_end") +
-       ", count(*) AS count FROM b GROUP BY series_id, lo, hi, w, bin")
+       ", count(*) AS count, " + V.r("mean", "mean") + ", " + V.r("median", "median") +
+       " FROM b JOIN k USING (series_id) GROUP BY series_id, lo, hi, w, bin, mean, median")
 def q_histogram(spark, sf_dir):
-    """50 equal-width bins per series."""
+    """50 equal-width bins per series, with mean and median marks."""
     return out(PR.histogram(_panel(spark, sf_dir), PANEL, 50))
 
 
@@ -659,7 +662,7 @@ def q_box_month(spark, sf_dir):
        "SELECT series_id, CAST(point AS BIGINT) AS point, " + V.r("x", "x") + ", " +
        V.r("s / (n * h * 2.5066282746310002) * (mx - mn)", "density_scaled") + " FROM d")
 def q_kde(spark, sf_dir):
-    """Gaussian KDE on 1000 points (bandwidth-local contributions)."""
+    """Gaussian KDE on 1000 points, every value at every point."""
     return out(PR.kde(_panel(spark, sf_dir), PANEL, 1000))
 
 
@@ -726,28 +729,28 @@ def q_ffill(spark, sf_dir):
     return out(QU.forward_fill(T.daily_single(spark, sf_dir, exact=True), PANEL, ["y"]))
 
 
-_IMPUTE_COLS = ["lag_1", "lag_7", "rolling_mean_7"]
+_IMPUTE_COLS = [c for c in _LAG_COLS if c not in ("series_id", "date")]
 
 
 @query("a22_q2_median_impute", V.with_(V.DAILY_PANEL_X, _LAG_CTE) + "SELECT series_id, date, " + ", ".join(
-    V.r(f"coalesce(CAST({c} AS DOUBLE), quantile_cont(CAST({c} AS DOUBLE), 0.5) OVER (PARTITION BY series_id))", c)
+    V.r(f"coalesce(CAST({c} AS DOUBLE), quantile_cont(CAST({c} AS DOUBLE), 0.5) OVER (PARTITION BY series_id))", c, 2 if c in STD_COLS else 4)
     for c in _IMPUTE_COLS) + " FROM lf")
 def q_median_impute(spark, sf_dir):
     """NULL -> per-series median."""
     lf = _lag_table(spark, sf_dir).select("series_id", "date", *_IMPUTE_COLS)
-    return out(QU.median_impute(lf, PANEL, _IMPUTE_COLS))
+    return out(QU.median_impute(lf, PANEL, _IMPUTE_COLS), coarse=STD_COLS)
 
 
-_FILL_COLS = ["lag_1", "lag_30", "rolling_mean_3", "rolling_mean_30", "trend_7days"]
+_FILL_COLS = [c for c in _LAG_COLS if c not in ("series_id", "date")]
 
 
 @query("a23_mean_fill", V.with_(V.DAILY_PANEL_X, _LAG_CTE) + "SELECT series_id, date, " + ", ".join(
     V.r(f"coalesce(CAST({c} AS DOUBLE), CAST(sum({c}) OVER (PARTITION BY series_id) AS DOUBLE) / "
-        f"count({c}) OVER (PARTITION BY series_id))", c) for c in _FILL_COLS) + " FROM lf")
+        f"count({c}) OVER (PARTITION BY series_id))", c, 2 if c in STD_COLS else 4) for c in _FILL_COLS) + " FROM lf")
 def q_mean_fill(spark, sf_dir):
     """NULL -> per-series mean of the rows present."""
     lf = _lag_table(spark, sf_dir).select("series_id", "date", *_FILL_COLS)
-    return out(FE.fill_with_means(lf, PANEL, columns=_FILL_COLS))
+    return out(FE.fill_with_means(lf, PANEL, columns=_FILL_COLS), coarse=STD_COLS)
 
 
 @query("p6_trailing_window", V.with_(V.DAILY_PANEL_X, V.EXOG_DAILY, _BASE_X) + "SELECT series_id, date, " + V.r("y", "y") +
@@ -768,7 +771,7 @@ def q_split(spark, sf_dir):
     return out(SP.label_split(_panel(spark, sf_dir), "date", 0.8))
 
 
-_SCALE_COLS = ["y", "temperature_2m_mean", "precipitation_sum", "wind_speed_10m_mean"]
+_SCALE_COLS = ["y", *WEATHER_COLUMNS]
 
 
 @query("f15_standardize", V.with_(V.DAILY_PANEL_X, V.EXOG_DAILY, _BASE_X,
@@ -919,13 +922,14 @@ def q_missing_horizons(spark, sf_dir):
 
 
 @query("d2_expanding_folds", V.with_(V.DAILY_PANEL_X, _baseline_cte(),
-                                     "fm AS (" + _metrics_raw_sql("(SELECT *, year(date) AS fold FROM pr WHERE year(date) >= 1996)",
+                                     "fm AS (" + _metrics_raw_sql("(SELECT *, year(date) AS fold FROM pr)",
                                                                   "candidate, horizon, fold") + ")") +
        f"""SELECT candidate, horizon, count(rmse) AS n_folds, {V.r('avg(rmse)', 'rmse_mean', 2)}, {V.r('stddev_samp(rmse)', 'rmse_std', 2)},
   {V.r('min(rmse)', 'rmse_min', 2)}, {V.r('max(rmse)', 'rmse_max', 2)} FROM fm GROUP BY 1, 2""")
 def q_folds(spark, sf_dir):
-    """Validation year Y (training years < Y), RMSE spread over folds."""
-    f = EV.expanding_folds(_preds(spark, sf_dir), "date", 1996)
+    """Validation year Y (training years < Y), RMSE spread over all years
+    (the predictors here need no training year before them)."""
+    f = EV.expanding_folds(_preds(spark, sf_dir), "date")
     fm = EV.metrics(f, ["candidate", "horizon", "fold"])
     return out(EV.fold_summary(fm, ["candidate", "horizon"]), coarse=["rmse_mean", "rmse_std", "rmse_min", "rmse_max"])
 
@@ -940,7 +944,7 @@ def q_mape_tier(spark, sf_dir):
 
 
 def _segments(spark, sf_dir):
-    p = _preds(spark, sf_dir).where(F.col("horizon") == 1)
+    p = _preds(spark, sf_dir)
     p = CAL.holiday_flags(p, "target_date")
     segs = F.array(F.struct(F.lit("season").alias("segment_type"), EV.season_of("target_date").alias("segment")),
                    F.struct(F.lit("day_group").alias("segment_type"), EV.day_group("target_date").alias("segment")),
@@ -957,14 +961,14 @@ _DAYG = ("CASE WHEN isodow(target_date) <= 4 THEN 'mon-thu' WHEN isodow(target_d
 
 @query("d5_error_by_segment", V.with_(V.DAILY_PANEL_X, _baseline_cte(), V.holidays_sql("daily_panel"),
                                       """h1 AS (SELECT pr.*, coalesce(c.is_holiday, 0) AS is_holiday FROM pr
-  LEFT JOIN cal_flags c ON c.date = pr.target_date WHERE horizon = 1)""",
+  LEFT JOIN cal_flags c ON c.date = pr.target_date)""",
                                       f"""sg AS (SELECT *, 'season' AS segment_type, {_SEASON} AS segment FROM h1
   UNION ALL SELECT *, 'day_group', {_DAYG} FROM h1
   UNION ALL SELECT *, 'holiday', CASE WHEN is_holiday = 1 THEN 'holiday' ELSE 'normal' END FROM h1)""") +
-       _metrics_sql("sg", "candidate, segment_type, segment"))
+       _metrics_sql("sg", "candidate, horizon, segment_type, segment"))
 def q_segments(spark, sf_dir):
-    """Error by season, day group and holiday vs normal day (h = 1)."""
-    return out(EV.metrics(_segments(spark, sf_dir), ["candidate", "segment_type", "segment"]), coarse=_MCOARSE)
+    """Error by season, day group and holiday vs normal day, every horizon."""
+    return out(EV.metrics(_segments(spark, sf_dir), ["candidate", "horizon", "segment_type", "segment"]), coarse=_MCOARSE)
 
 
 @query("d6_residual_profile", V.with_(V.DAILY_PANEL_X, _baseline_cte(), """src AS (SELECT candidate || '|' || horizon AS series_id,
@@ -1184,18 +1188,11 @@ def q_nearest_hour(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Trained models (rows-only checks: no SQL equivalent of a fitted forest)
 # --------------------------------------------------------------------------
-_TRAINED: dict = {}
-
-
 def trained(spark, sf_dir):
-    """M1-M5 run over all 7 horizons with the ``smoke`` model sizes,
-    memoised per session and input."""
+    """M1-M5 over all 7 horizons with the ``standard`` model sizes."""
     from seriesforge.plans import train as TR
-    key = (id(spark), sf_dir)
-    if key not in _TRAINED:
-        cfg = TR.TrainConfig(horizons=list(range(1, 8)), profile="smoke")
-        _TRAINED[key] = TR.train_competition(features_table(spark, sf_dir, True), PANEL, cfg)
-    return _TRAINED[key]
+    cfg = TR.TrainConfig(horizons=list(range(1, 8)), profile="standard")
+    return TR.train_competition(features_table(spark, sf_dir, True), PANEL, cfg)
 
 
 @query("m1_m2_m3_m5_train_competition")
@@ -1208,15 +1205,44 @@ def q_train(spark, sf_dir):
 @query("m4_a25_feature_selection")
 def q_selection(spark, sf_dir):
     """M4/A25 (re-aimed): mean |linear Shapley value| per feature, top 30."""
-    return trained(spark, sf_dir)["selection"]
+    from seriesforge.plans import train as TR
+    cfg = TR.TrainConfig(horizons=[1])
+    lab, feats, targets, _ = TR.prepare(features_table(spark, sf_dir, True), PANEL, cfg)
+    return TR.select_features(cut_lineage(lab.where("is_train = 1").select(*feats, *targets)), feats, targets[0], cfg)
 
 
 @query("m8_score_with_models")
 def q_score_models(spark, sf_dir):
-    """M8: the last day of every series through each horizon's winner."""
+    """Models trained, saved and registered, then the last day of
+    every series scored from what is stored alone."""
+    import uuid
     from seriesforge.plans import train as TR
-    return TR.score_latest(features_table(spark, sf_dir, False), PANEL, trained(spark, sf_dir))
-
+    from seriesforge.session import checkpoint_dir
+    root = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex}"
+    res = trained(spark, sf_dir)
+    TR.update_registry(spark, root + "/registry", res["winners"], TR.save_models(res, root + "/runs"))
+    return TR.score_production(features_table(spark, sf_dir, False), PANEL, TR.read_registry(spark, root + "/registry"))
+
+
+# one feature, one pooled line per horizon: least squares that SQL can say too
+_OLS_SQL = V.with_(V.DAILY_PANEL_X, "lf0 AS (SELECT series_id, date, CAST(y AS DOUBLE) AS y, " + ", ".join(
+    f"CAST(lead(y, {h}) OVER (PARTITION BY series_id ORDER BY date) AS DOUBLE) AS t{h}" for h in range(1, 8)) + " FROM daily_panel)",
+    "w AS (SELECT * FROM lf0 QUALIFY date >= max(date) OVER (PARTITION BY series_id) - INTERVAL 5475 DAY)",
+    "c AS (SELECT * FROM w WHERE t7 IS NOT NULL)",
+    "d AS (SELECT date, row_number() OVER (ORDER BY date) AS pos, count(*) OVER () AS n FROM (SELECT DISTINCT date FROM c))",
+    "l AS (SELECT c.*, d.pos <= floor(d.n * 0.8) AS tr FROM c JOIN d USING (date))",
+    "x AS (" + " UNION ALL ".join(f"SELECT {h} AS horizon, tr, y, t{h} AS t FROM l" for h in range(1, 8)) + ")",
+    "f AS (SELECT horizon, regr_slope(t, y) AS b, regr_intercept(t, y) AS a FROM x WHERE tr GROUP BY 1)",
+    "p AS (SELECT 'LinearRegression' AS candidate, horizon, t AS y_true, a + b * y AS y_pred FROM x JOIN f USING (horizon) WHERE NOT tr)")
+
+
+@query("d1_linear_regression_one_feature", _OLS_SQL + _metrics_sql("p", "candidate, horizon"))
+def q_linear_one(spark, sf_dir):
+    """The linear baseline on today's value alone, where SQL can check it."""
+    from seriesforge.plans import train as TR
+    cfg = TR.TrainConfig(horizons=list(range(1, 8)), selection="none")
+    cols = ["series_id", "date", "y", *[f"target_next_day_{h}" for h in range(1, 8)]]
+    return out(TR.linear_baseline(FE.lag_features(_panel(spark, sf_dir), PANEL).select(*cols), PANEL, cfg), coarse=_MCOARSE)
 
 
 # --------------------------------------------------------------------------
@@ -1253,10 +1279,7 @@ def q_date_range(spark, sf_dir):
        + V.r("predicted", "predicted") + " FROM prod WHERE horizon <= 3")
 def q_first_days(spark, sf_dir):
     """The forecast limited to the first ``days`` horizons (1..7 checked)."""
-    days = 3
-    if not 1 <= days <= 7:
-        raise ValueError("days must be within 1..7")
-    p = _production_forecast(spark, sf_dir, False).where(F.col("horizon") <= days)
+    p = FC.first_days(_production_forecast(spark, sf_dir, False), 3)
     return out(p.select("series_id", "horizon", "target_date", "predicted"))
 
 

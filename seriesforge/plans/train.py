@@ -37,7 +37,9 @@ CANDIDATE_ORDER = ["RandomForest", "LightGBM", "XGBoost"]
 
 def candidate_models(profile: str = "full", seed: int = 42) -> dict:
     """M2/M3: the three candidates. ``full`` mirrors the reference sizes
-    (300 trees depth 15; 500 boosting rounds at 0.05); ``smoke`` is for tests.
+    (300 trees depth 15; 500 boosting rounds at 0.05); ``standard`` is the size
+    of the registered queries (30 trees depth 8; 20 rounds at 0.2, where a round
+    is a Spark job); ``smoke`` is for tests.
     The boosting libraries are re-aimed onto two GBTRegressor profiles."""
     if profile == "full":
         return {
@@ -48,6 +50,13 @@ def candidate_models(profile: str = "full", seed: int = 42) -> dict:
             "XGBoost": GBTRegressor(maxIter=500, stepSize=0.05, maxDepth=8, minInstancesPerNode=3,
                                     maxBins=256, seed=seed),
         }
+    if profile == "standard":
+        return {
+            "RandomForest": RandomForestRegressor(numTrees=30, maxDepth=8, minInstancesPerNode=2,
+                                                  featureSubsetStrategy="all", seed=seed),
+            "LightGBM": GBTRegressor(maxIter=20, stepSize=0.2, maxDepth=4, minInstancesPerNode=20, maxBins=64, seed=seed),
+            "XGBoost": GBTRegressor(maxIter=20, stepSize=0.2, maxDepth=5, minInstancesPerNode=3, maxBins=64, seed=seed),
+        }
     return {
         "RandomForest": RandomForestRegressor(numTrees=10, maxDepth=5, minInstancesPerNode=2,
                                               featureSubsetStrategy="all", seed=seed),

@@ -43,9 +43,10 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
                 sort_by: list[str] | None = None) -> None:
-    """Overwrite a folder (sorted within partitions when asked, O1)."""
+    """Overwrite a folder; with ``sort_by`` (O1) its files taken in the
+    order of their names are sorted as a whole."""
     if sort_by:
-        df = df.sortWithinPartitions(*sort_by)
+        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
