@@ -391,12 +391,12 @@ def q_time_json(spark, sf_dir):
                     F.get_json_object("props", "$.k").cast("long").alias("k"))
 
 
-@query("w7_centred_moving_averages", V.with_(V.DAILY_SINGLE_X) + "SELECT series_id, date, " + V.r("y", "y") + ", " +
+@query("w7_centred_moving_averages", V.with_(V.DAILY_PANEL_X) + "SELECT series_id, date, " + V.r("y", "y") + ", " +
        V.r(V.guarded("avg", "y", 30, lo=-15, hi=14), "ma_30") + ", " +
-       V.r(V.guarded("avg", "y", 365, lo=-182, hi=182), "ma_365") + " FROM daily_single")
+       V.r(V.guarded("avg", "y", 365, lo=-182, hi=182), "ma_365") + " FROM daily_panel")
 def q_moving_avg(spark, sf_dir):
-    """Centred 30- and 365-row means (all rows present)."""
-    return out(FE.moving_averages(T.daily_single(spark, sf_dir, exact=True), PANEL))
+    """Centred 30- and 365-row means (all rows present), per series."""
+    return out(FE.moving_averages(T.daily_panel(spark, sf_dir, exact=True), PANEL))
 
 
 # --------------------------------------------------------------------------
@@ -718,15 +718,15 @@ def q_dup_keys(spark, sf_dir):
     return QU.duplicate_keys(T.raw_long(spark, sf_dir), ["date_query", "type"])
 
 
-@query("q4_forward_fill", V.with_(V.DAILY_SINGLE_X, """sp AS (SELECT series_id,
-  CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM daily_single GROUP BY 1)""",
-  "j AS (SELECT sp.series_id, sp.date, d.y, d.y IS NULL AND d.date IS NULL AS ins FROM sp LEFT JOIN daily_single d USING (series_id, date))")
+@query("q4_forward_fill", V.with_(V.SPARSE_PANEL_X, """sp AS (SELECT series_id,
+  CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM sparse_panel GROUP BY 1)""",
+  "j AS (SELECT sp.series_id, sp.date, d.y, d.y IS NULL AND d.date IS NULL AS ins FROM sp LEFT JOIN sparse_panel d USING (series_id, date))")
        + "SELECT series_id, date, " + V.r("last_value(y IGNORE NULLS) OVER (PARTITION BY series_id ORDER BY date "
                                           "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)", "y") +
        ", CAST(ins AS BIGINT) AS filled FROM j")
 def q_ffill(spark, sf_dir):
-    """Q4: daily spine, last value carried forward into missing days."""
-    return out(QU.forward_fill(T.daily_single(spark, sf_dir, exact=True), PANEL, ["y"]))
+    """Q4: daily spine, last value carried forward into missing days, per series."""
+    return out(QU.forward_fill(T.sparse_panel(spark, sf_dir, exact=True), PANEL, ["y"]))
 
 
 _IMPUTE_COLS = [c for c in _LAG_COLS if c not in ("series_id", "date")]
