@@ -43,7 +43,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def drop_stored(*tables: DataFrame) -> None:
+    """Deletes tables that :func:`stored` returned and nothing will read again."""
+    for table in tables:
+        jvm, conf = table.sparkSession._jvm, table.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Frees the shuffle files of finished jobs now. Spark's cleaner removes them
+    once the driver's garbage collection finds that nothing refers to them; a
+    driver with memory to spare may not collect for the whole run."""
+    spark.sparkContext._jvm.System.gc()
 
 
 def utf8(text: str) -> Column:

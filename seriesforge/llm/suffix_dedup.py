@@ -7,16 +7,19 @@ brought together by what any two of them share:
 1. Anchors. Every ``match``-byte window has an anchor, the ``GRAM``-byte string
    in it with the smallest hash (the leftmost of equals). Equal windows have
    equal anchors at equal distance. Consecutive windows with one anchor are a
-   run, one row. Runs whose anchor occurs nowhere else hold nothing repeated.
-2. Runs whose whole content occurs elsewhere are repeated altogether; counts of
-   content hashes with map-side combination tell.
-3. What is left, mostly the edges of shared passages, is decided window by
-   window, against each other and one run of each repeated content. Each task sorts the suffixes of its windows: mergesort inside each
-   class of equal anchor and distance, two suffixes compared by a binary search
-   for their common extension over prefix polynomial hashes. Neighbours that
-   agree in ``match`` bytes are verified byte by byte; a class with a hash
-   collision is sorted again by its bytes. One window of each kind leaves the
-   task with a 128-bit hash, and an aggregation merges the tasks' sorted lists.
+   run, one row. Runs whose anchor occurs nowhere else hold nothing repeated;
+   runs whose whole content occurs elsewhere are repeated altogether.
+2. What is left, mostly the edges of shared passages, is cut into pieces of
+   ``PIECE`` windows by their distance to the anchor, and asked the same: the
+   bytes common to all windows of a piece take the anchor's place.
+3. What is still left is decided window by window, against each other and one
+   piece of each repeated content. Each task sorts the suffixes of its windows:
+   mergesort inside each class of equal anchor and distance, two suffixes
+   compared by a binary search for their common extension over prefix polynomial
+   hashes. Neighbours that agree in ``match`` bytes are verified byte by byte; a
+   class with a hash collision is sorted again by its bytes. One window of each
+   kind leaves the task with a 128-bit hash, and an aggregation merges the tasks'
+   sorted lists.
 
 No step gathers a key in one task: whether something occurs at two places is the
 smallest and the largest place, which combine map-side, and the joins back read
@@ -31,14 +34,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesforge.llm import bytesplit as B
-from seriesforge.llm.common import read_table, stored, utf8
+from seriesforge.llm.common import drop_stored, read_table, release, stored, utf8
 
 MATCH = 200
 GRAM = 32
+PIECE = 16
 U64 = np.uint64
 BLOCK = 512 << 10
 BASE2 = U64(0xD1342543DE82EF95)
@@ -198,40 +202,67 @@ def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(begin - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
 
 
+def _todo(batch: pa.RecordBatch, limit: int, match: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """tid, text, todo -> tids, bytes, offsets, and text, first byte and number of windows of each run to do."""
+    ids, todo = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2)
+    for at, data, off in B.blocks(batch.column(1), limit):
+        own = [np.asarray(todo[at + i].values) for i in range(len(off) - 1)]
+        text = np.repeat(np.arange(len(own)), [len(x) for x in own])
+        packed = np.concatenate(own).astype(np.int64)
+        if len(packed):
+            yield ids[at:at + len(own)], data, off, text, packed // (match + 1) + off[text], packed % (match + 1)
+
+
+def _piece_rows(match: int, gram: int, piece: int) -> callable:
+    """Pieces of runs, as runs: tid, run, hash of the bytes that all windows of a
+    piece share (with its distance to the anchor), hash of all its bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ids, data, off, text, first, count in _todo(batch, 2 * BLOCK, match):
+                prefix, inverse = prefix_hashes(data), B.powers(len(data) + 1, inverse=True)
+                anchors = _anchors(prefix, inverse, first, count, match, gram)
+                nearest, farthest = (anchors - first - count + 1) // piece, (anchors - first) // piece
+                number = farthest - nearest + 1
+                which = np.repeat(np.arange(len(first)), number)
+                anchor, nth = anchors[which], _ranges(nearest, number)
+                lo = np.maximum(first[which], anchor - (nth + 1) * piece + 1)
+                hi = np.minimum(first[which] + count[which] - 1, anchor - nth * piece)  # first and last window
+                at, end = anchor - nth * piece, anchor - (nth + 1) * piece + 1 + match
+                shared = B.mix(((prefix[end] - prefix[at]) * inverse[at]) ^ nth.astype(U64))
+                whole = B.mix(((prefix[hi + match] - prefix[lo]) * inverse[lo]) ^ ((anchor - lo).astype(U64) << U64(40)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[text[which]]), pa.array((lo - off[text[which]]) * (match + 1) + hi - lo + 1), pa.array(shared.view(np.int64)), pa.array(whole.view(np.int64))],
+                    names=["tid", "run", "anchor", "content"])
+    return run
+
+
 def _window_rows(match: int, gram: int) -> callable:
-    """(tid, start, hi, lo): a window of each kind in a block, with its hash. Those
-    found twice in the block also come with their other places, without a hash."""
+    """(tid, run, hi, lo): a window of each kind in a block, as a run of one, with
+    its hash. Those found twice in the block also come as runs without a hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, todo = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2)
-            for at, data, off in B.blocks(batch.column(1), 2 * BLOCK):
-                own = [np.asarray(todo[at + i].values) for i in range(len(off) - 1)]
-                text = np.repeat(np.arange(len(own)), [len(x) for x in own])
-                packed = np.concatenate(own)
-                first, count = packed // (match + 1) + off[text], packed % (match + 1)
-                starts = _ranges(first, count)
-                text = np.repeat(text, count)
-                if not len(starts):
-                    continue
+            for ids, data, off, text, first, count in _todo(batch, 2 * BLOCK, match):
+                starts, text = _ranges(first, count), np.repeat(text, count)
                 # equal windows have equal anchors at equal distance: classes to sort in
                 prefix, inverse = prefix_hashes(data), B.powers(len(data) + 1, inverse=True)
-                anchors = _anchors(prefix, inverse, first, count, match, gram)
-                anchor = np.repeat(anchors, count)
+                anchor = np.repeat(_anchors(prefix, inverse, first, count, match, gram), count)
                 grams = (prefix[anchor + gram] - prefix[anchor]) * inverse[anchor]
                 classes = B.mix(grams ^ B.mix((anchor - starts).astype(U64)))
                 number = Suffixes(data, starts, classes, match).groups()
                 one = np.unique(number, return_index=True)[1]
-                many = np.bincount(number)[number] > 1
-                again = np.flatnonzero(many)
                 s = starts[one]
                 hi = B.mix((prefix[s + match] - prefix[s]) * inverse[s])
                 prefix2 = np.zeros(len(data) + 1, U64)
                 np.cumsum((data.astype(U64) + U64(1)) * _powers2(len(data)), out=prefix2[1:])
                 lo = B.mix((prefix2[s + match] - prefix2[s]) * _powers2(len(data) + 1, True)[s])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[at + text[one]]), pa.array(s - off[text[one]]), pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64))], names=["tid", "start", "hi", "lo"])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[at + text[again]]), pa.array(starts[again] - off[text[again]]), pa.nulls(len(again), pa.int64()), pa.nulls(len(again), pa.int64())], names=["tid", "start", "hi", "lo"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[text[one]]), pa.array((s - off[text[one]]) * (match + 1) + 1), pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64))], names=["tid", "run", "hi", "lo"])
+                again = np.flatnonzero(np.bincount(number)[number] > 1)
+                again = again[np.argsort(starts[again])]
+                if len(again):
+                    s, t = starts[again], text[again]
+                    head = np.flatnonzero(np.concatenate(([True], (np.diff(s) > 1) | (np.diff(t) != 0) | (np.arange(1, len(s)) % match == 0))))
+                    size = s[np.append(head[1:], len(s)) - 1] - s[head] + 1
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[t[head]]), pa.array((s[head] - off[t[head]]) * (match + 1) + size), pa.nulls(len(head), pa.int64()), pa.nulls(len(head), pa.int64())], names=["tid", "run", "hi", "lo"])
     return run
 
 
@@ -257,25 +288,29 @@ def _powers2(n: int, inverse: bool = False) -> np.ndarray:
     return have[:n]
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """tid, text, spans (from, to) -> tid, sha, kept text, n_removed, n_spans."""
-    for batch in batches:
-        kept, removed, spans, sha = [], [], [], []
-        for value, own in zip(batch.column(1), batch.column(2)):
-            text = value.as_py()
-            lo, hi = (np.asarray(own.values.field(i)) for i in (0, 1))
-            order = np.argsort(lo, kind="stable")
-            lo, reach = lo[order], np.maximum.accumulate(hi[order])
-            new = np.ones(len(lo), bool)
-            new[1:] = lo[1:] > reach[:-1]
-            begin = lo[new].tolist()
-            end = reach[np.append(np.flatnonzero(new)[1:] - 1, len(lo) - 1)].tolist()
-            kept.append(b"".join(text[a:b] for a, b in zip([0, *end], [*begin, len(text)])))
-            removed.append(sum(end) - sum(begin))
-            spans.append([x for s in zip(begin, end) for x in s])
-            sha.append(hashlib.sha256(kept[-1]).hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(sha, pa.string()), pa.array(kept, pa.binary())],
-                                         names=["tid", "n_removed", "removed", "kept_sha256", "kept_text"])
+def _cut(match: int) -> callable:
+    """tid, text, runs of repeated windows -> tid, n_removed, removed, kept_sha256, kept_text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, removed, spans, sha = [], [], [], []
+            for value, own in zip(batch.column(1), batch.column(2)):
+                text, packed = value.as_py(), np.asarray(own.values)
+                lo = packed // (match + 1)
+                hi = lo + packed % (match + 1) - 1 + match
+                order = np.argsort(lo, kind="stable")
+                lo, reach = lo[order], np.maximum.accumulate(hi[order])
+                new = np.ones(len(lo), bool)
+                new[1:] = lo[1:] > reach[:-1]
+                begin = lo[new].tolist()
+                end = reach[np.append(np.flatnonzero(new)[1:] - 1, len(lo) - 1)].tolist()
+                kept.append(b"".join(text[a:b] for a, b in zip([0, *end], [*begin, len(text)])))
+                removed.append(sum(end) - sum(begin))
+                spans.append([x for s in zip(begin, end) for x in s])
+                sha.append(hashlib.sha256(kept[-1]).hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(sha, pa.string()), pa.array(kept, pa.binary())],
+                                             names=["tid", "n_removed", "removed", "kept_sha256", "kept_text"])
+
+    return run
 
 
 def _twice(df: DataFrame, *key: str) -> DataFrame:
@@ -283,8 +318,30 @@ def _twice(df: DataFrame, *key: str) -> DataFrame:
     return df.groupBy(*key).agg(F.min("place").alias("p"), F.max("place").alias("q")).where("p <> q").select(*key, "p")
 
 
-def _spans(first: str, size: str) -> Column:
-    return F.struct(F.expr(first).cast("long").alias("from"), F.expr(f"{first} + {size}").cast("long").alias("to")).alias("span")
+def _narrowed(found: DataFrame, label: str) -> DataFrame:
+    """Judges runs (tid, run, anchor, content): those whose anchor occurs at one
+    place are left out; the others come as (tid, run, whole, todo). whole: its
+    content occurs at two places or more. todo: its windows are still to be
+    looked at, as runs that are not whole, or, for comparison with those of its
+    anchor, as one run of each repeated content."""
+    found = stored(found, f"sd-{label}-runs")
+    spark = found.sparkSession
+    placed = found.withColumn("place", F.xxhash64("tid", "run"))
+    anchors = stored(_twice(placed, "anchor").select("anchor"), f"sd-{label}-anchors")
+    release(spark)
+    maybe = placed.join(anchors, "anchor").groupBy("place").agg(*(F.first(c).alias(c) for c in ("tid", "run", "anchor", "content")))
+    maybe = stored(maybe, f"sd-{label}-maybe")
+    drop_stored(found, anchors)
+    release(spark)
+    contents = stored(_twice(maybe, "content", "anchor"), f"sd-{label}-contents")
+    judged = maybe.join(contents, ["content", "anchor"], "left").select("tid", "run", "anchor", F.col("p").isNotNull().alias("whole"), (F.col("p") == F.col("place")).alias("one_of_kind"))
+    judged = stored(judged, f"sd-{label}-judged")
+    open_ = stored(judged.where("not whole").select("anchor").distinct().withColumn("open", F.lit(True)), f"sd-{label}-open")
+    out = judged.join(open_, "anchor", "left").withColumn("todo", ~F.col("whole") | F.coalesce(F.col("one_of_kind") & F.col("open"), F.lit(False)))
+    out = stored(out.select("tid", "run", "whole", "todo"), f"sd-{label}-todo")
+    drop_stored(maybe, contents, judged, open_)
+    release(spark)
+    return out
 
 
 def deduplicate(docs: DataFrame, match: int = MATCH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -300,30 +357,25 @@ def deduplicate(docs: DataFrame, match: int = MATCH, doc_id: str = "doc_id", tex
     base = docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("text")).withColumn("tid", F.xxhash64("text"))
     rows = stored(base.select("doc_id", "tid", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "sd-rows")
     groups = stored(rows.where(f"n_bytes >= {match}").groupBy("tid").agg(F.min("doc_id").alias("one"), (F.count("*") > 1).alias("copied")), "sd-groups")
-    found = base.where(F.octet_length("text") >= match).select("tid", "text").mapInArrow(_run_rows(match), "tid bigint, run bigint, anchor bigint, content bigint")
-    found = stored(found, "sd-runs").withColumn("place", F.xxhash64("tid", "run"))
-    anchors = stored(_twice(found, "anchor").select("anchor"), "sd-anchors")
-    maybe = found.join(anchors, "anchor").groupBy("place").agg(*(F.first(c).alias(c) for c in ("tid", "run", "anchor", "content")))
-    maybe = stored(maybe, "sd-maybe")
-    contents = stored(_twice(maybe, "content", "anchor"), "sd-contents")
-    judged = maybe.join(contents, ["content", "anchor"], "left").select("tid", "run", "anchor", F.col("p").isNotNull().alias("whole"), (F.col("p") == F.col("place")).alias("one_of_kind"))
-    judged = stored(judged, "sd-judged")
-    # windows one by one: runs that occur once, and one run of each kind they could share windows with
-    open_ = stored(judged.where("not whole").select("anchor").distinct().withColumn("open", F.lit(True)), "sd-open")
-    judged = judged.join(open_, "anchor", "left").withColumn("todo", ~F.col("whole") | F.coalesce(F.col("one_of_kind") & F.col("open"), F.lit(False)))
-    judged = stored(judged.select("tid", "run", "whole", "todo"), "sd-todo")
-    size = match + 1  # run = first window * size + windows
-    todo = judged.groupBy("tid").agg(F.collect_list(F.when(F.col("todo"), F.col("run"))).alias("todo"))  # bounded by the text
+    kinds = "tid bigint, run bigint, anchor bigint, content bigint"
+    runs_ = _narrowed(base.where(F.octet_length("text") >= match).select("tid", "text").mapInArrow(_run_rows(match), kinds), "run")
+    todo = runs_.groupBy("tid").agg(F.collect_list(F.when(F.col("todo"), F.col("run"))).alias("todo"))  # bounded by the text
     wanted = stored(todo.join(groups, "tid").where("size(todo) > 0 or not copied"), "sd-wanted")
     texts = base.withColumnRenamed("tid", "t").join(wanted, F.expr("t = tid and doc_id <=> one")).select("tid", "copied", "todo", "text")
     texts = stored(texts, "sd-texts")
-    windows = texts.where("size(todo) > 0").select("tid", "text", "todo").mapInArrow(_window_rows(match, GRAM), "tid bigint, start bigint, hi bigint, lo bigint")
-    windows = stored(windows, "sd-windows").withColumn("place", F.xxhash64("tid", "start"))
-    kinds = stored(_twice(windows.where("hi is not null"), "hi", "lo").select("hi", "lo"), "sd-kinds")
-    again = windows.where("hi is not null").join(kinds, ["hi", "lo"]).select("tid", "start").unionByName(windows.where("hi is null").select("tid", "start"))
-    whole = judged.where("whole").select("tid", _spans(f"run div {size}", f"run % {size} - 1 + {match}"))
-    spans = whole.unionByName(again.select("tid", _spans("start", str(match)))).groupBy("tid").agg(F.collect_list("span").alias("spans"))
-    cut = texts.where("not copied").select("tid", "text").join(spans, "tid").mapInArrow(_cut, "tid bigint, n_removed bigint, removed array<bigint>, kept_sha256 string, kept_text binary")
+    release(docs.sparkSession)
+    pieces = _narrowed(texts.where("size(todo) > 0").select("tid", "text", "todo").mapInArrow(_piece_rows(match, GRAM, PIECE), kinds), "piece")
+    todo = stored(pieces.where("todo").groupBy("tid").agg(F.collect_list("run").alias("todo")), "sd-todo")
+    windows = texts.select("tid", "text").join(todo, "tid").select("tid", "text", "todo").mapInArrow(_window_rows(match, GRAM), "tid bigint, run bigint, hi bigint, lo bigint")
+    windows = stored(windows, "sd-windows")
+    release(docs.sparkSession)
+    hashed = windows.where("hi is not null").withColumn("place", F.xxhash64("tid", "run"))
+    twice = stored(_twice(hashed, "hi", "lo").select("hi", "lo"), "sd-twice")
+    again = hashed.join(twice, ["hi", "lo"]).select("tid", "run").unionByName(windows.where("hi is null").select("tid", "run"))
+    repeated = runs_.where("whole").select("tid", "run").unionByName(pieces.where("whole").select("tid", "run")).unionByName(again)
+    spans = stored(repeated.groupBy("tid").agg(F.collect_list("run").alias("runs")), "sd-spans")
+    release(docs.sparkSession)
+    cut = texts.where("not copied").select("tid", "text").join(spans, "tid").mapInArrow(_cut(match), "tid bigint, n_removed bigint, removed array<bigint>, kept_sha256 string, kept_text binary")
     parts = stored(cut.dropDuplicates(["tid"]), "sd-cut")
     copied = groups.where("copied").select("tid", F.lit(True).alias("copied"))
     out = rows.join(stored(parts.join(copied, "tid", "full"), "sd-parts"), "tid", "left")
