@@ -264,6 +264,21 @@ def q_upsert(spark, sf_dir):
     return out(IN.upsert(old, new, ["date_query", "type"], "ingest_seq"))
 
 
+@query("i3_stored_upsert", _UPSERT_SQL + "SELECT date_query, type, " +
+       V.r("arg_max(daily_accumulation, ingest_seq)", "daily_accumulation") +
+       ", max(ingest_seq) AS ingest_seq FROM u GROUP BY date_query, type")
+def q_stored_upsert(spark, sf_dir):
+    """I3/U1 on the stored table: two collections into a new month-partitioned
+    folder below the shared checkpoint folder, read back."""
+    import uuid
+    from seriesforge.session import checkpoint_dir
+    from seriesforge.sources import store
+    path = store.join(checkpoint_dir(spark), f"raw-{uuid.uuid4().hex}")
+    for part in _upsert_parts(spark, sf_dir):
+        IN.upsert_partitions(spark, path, part, ["date_query", "type"], "ingest_seq")
+    return out(spark.read.parquet(path).drop("month"))
+
+
 @query("i2_delta_after_mark", V.with_(V.RAW_LONG, f"old AS (SELECT * FROM raw_long WHERE date_query < DATE '{UPSERT_CUT}')")
        + "SELECT date_query, type, " + V.r("daily_accumulation", "daily_accumulation") + ", ingest_seq FROM raw_long "
        f"WHERE date_query > (SELECT max(date_query) FROM old) AND date_query <= DATE '{AS_OF}'")

@@ -11,11 +11,11 @@ M = {
  "S5": ("sources/files.py write_table", ["s5_s1_o1_csv_sink_roundtrip"]),
  "S6": ("operators/forecast.py latest_row, sources/files.py write_latest", ["s6_latest_row"]),
  "S7": ("operators/forecast.py forecast_document / parse_forecast_document", ["s7_m11_o5_document_roundtrip", "tests/test_pipeline.py"]),
- "S8": ("plans/train.py read_registry / update_registry (version folders)", ["tests/test_train.py"]),
- "S9": ("plans/train.py save_models / _load_any", ["tests/test_train.py"]),
- "S10": ("plans/train.py save_models (selected_features)", ["tests/test_train.py"]),
- "P1": ("operators/ingest.py select_available", ["p1_select_available"]),
- "P2": ("operators/ingest.py select_available(required=...)", ["p1_select_available"]),
+ "S8": ("plans/train.py read_registry / update_registry, sources/store.py (version folders on any file system)", ["m8_score_with_models", "tests/test_train.py"]),
+ "S9": ("plans/train.py save_models / load_preprocessing / score_production", ["m8_score_with_models", "tests/test_train.py"]),
+ "S10": ("plans/train.py save_models (selected_features)", ["m8_score_with_models", "tests/test_train.py"]),
+ "P1": ("operators/ingest.py select_available, require_values", ["p1_select_available", "tests/test_pipeline.py"]),
+ "P2": ("operators/ingest.py select_available(required=...), require_values", ["p1_select_available", "tests/test_pipeline.py"]),
  "P3": ("operators/features.py split_features_targets, plans/train.py prepare", ["m1_m2_m3_m5_train_competition"]),
  "P4": ("operators/ingest.py pivot_wide (dropna)", ["a1_pivot_wide", "tests/test_traps.py::t6_t7"]),
  "P5": ("operators/features.py build_features(training=True)", ["features_train"]),
@@ -25,7 +25,7 @@ M = {
  "P9": ("aliases throughout (features.py WEATHER_ALIASES)", ["features_train"]),
  "P10": ("operators/profile.py find_columns", ["a16_exog_trends"]),
  "P11": ("operators/forecast.py display_rows", ["s7_m11_o5_document_roundtrip"]),
- "P12": ("catalog q_first_days (argument check + filter)", ["p12_forecast_first_days"]),
+ "P12": ("operators/forecast.py first_days", ["p12_forecast_first_days"]),
  "P13": ("plans/train.py prepare (select of features)", ["m1_m2_m3_m5_train_competition"]),
  "J1": ("operators/joins.py join_exogenous", ["j1_base_join", "features_train"]),
  "J2": ("operators/forecast.py attach_context(exog=)", ["m8_j2_j3_forecast_latest"]),
@@ -53,7 +53,7 @@ M = {
  "O5": ("operators/forecast.py display_rows", ["s7_m11_o5_document_roundtrip"]),
  "U1": ("operators/ingest.py upsert (unionByName)", ["i3_u1_upsert"]),
  "U2": ("operators/ingest.py keep_last", ["w10_u2_keep_last"]),
- "U3": ("operators/ingest.py select_available (missing list)", ["p1_select_available"]),
+ "U3": ("operators/ingest.py select_available / require_values (missing list)", ["p1_select_available", "tests/test_pipeline.py"]),
  "F1": ("functions/scalar.py normalize_name", ["a1_pivot_wide", "tests/test_traps.py::t6_t7"]),
  "F2": ("functions/scalar.py tolerant_date", ["a1_pivot_wide", "tests/test_traps.py::t10"]),
  "F6": ("date_add / date_sub in forecast.date_forecast, split.trailing_window", ["m8_j2_j3_forecast_latest", "m9_forecast_as_of"]),
