@@ -31,81 +31,126 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seriesforge.llm.bytesplit import blocks
+from seriesforge.llm import bytesplit as B
 from seriesforge.llm.common import read_table, stored, utf8
 
 CAPACITY = 2048
 END_ID = 0
-CACHED_WORDS = 400_000  # of one Python worker
-_LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+CACHED_WORDS = 2_000_000  # of one Python worker, about 100 MB
+U64 = np.uint64
+ASCII_LETTERS = np.zeros(256, bool)
+ASCII_LETTERS[list(range(65, 91)) + list(range(97, 123))] = True
+#: Byte-level pieces write a byte that is no printable Latin-1 character as one
+#: from U+0100 on, in order.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+PIECE_CHARS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - _PRINTABLE))}
 
 
 class WordIds:
-    """Token ids of words that white space separates, each encoded once.
+    """Token ids of words that white space separates, each encoded once a worker.
 
-    Right for tokenizers that drop white space and split at it. A word that
-    ends in a letter and one '.' or ',' is the word and the mark, and A-Z equals
-    a-z in words of ASCII alone (but not in strings like special tokens)."""
+    For tokenizers that drop white space, split at it and mark the end of a word,
+    with byte-level pieces and lower case. Whole blocks of texts are cut into words
+    and looked up by 64-bit hashes with array operations; only words not met
+    before go to the tokenizer. A word that ends in a letter and one '.' or ','
+    is looked up as the word and the mark, and A-Z equal a-z in plain words: of
+    ASCII and the letters of Latin-1 that are one character (nothing there
+    composes), and without '<', which may begin a special token."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end: int):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.end = end
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[bytes, int] = {}
+        self.keys, self.slots = np.empty(0, U64), np.empty(0, np.int64)  # sorted hashes, and the slot of each
         self.starts, self.lengths, self.ids = array("q"), array("q"), array("I")
-        self.cores: dict[bytes, list[int]] = {}
-
-    @staticmethod
-    def parts(word: bytes) -> tuple[bytes, bytes]:
-        mark = b""
-        if len(word) > 1 and word[-1] in b".,":
-            if word[-2] in _LETTERS or len(word) > 2 and word[-3] == 0xC3 and word[-2] not in (0x97, 0xB7):
-                word, mark = word[:-1], word[-1:]
-        return (word.lower() if word.isascii() and b"<|" not in word else word), mark
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.at) > CACHED_WORDS:
-            self.clear()
-        new = [(w, *self.parts(w)) for w in words if w not in self.at]
-        cores = list({c for _, core, mark in new for c in (core, mark) if c and c not in self.cores})
-        for at in range(0, len(cores), 4096):
-            some = cores[at:at + 4096]
-            for core, enc in zip(some, self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in some], add_special_tokens=False)):
-                self.cores[core] = enc.ids
-        for w, core, mark in new:
-            ids = self.cores[core] + self.cores[mark] if mark else self.cores[core]
-            self.at[w] = len(self.starts)
+        self._add([[self.end], *(e.ids for e in self.tokenizer.encode_batch([".", ","], add_special_tokens=False))])  # slots 0, 1, 2
+
+    def _add(self, lists: list[list[int]]) -> None:
+        for ids in lists:
             self.starts.append(len(self.ids))
             self.lengths.append(len(ids))
             self.ids.extend(ids)
 
-    def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, each text's followed by ``end``, and the offsets of the texts."""
-        split = [t.split() for t in texts]
-        self.learn(set().union(*split) | {b"a"})
-        counts = np.array([len(s) for s in split])
-        which = np.fromiter((self.at[w] for s in split for w in s), np.int64, int(counts.sum()))
-        lengths = np.frombuffer(self.lengths, np.int64)[which]
-        ends = np.concatenate(([0], np.cumsum(lengths)))
-        flat = np.frombuffer(self.ids, np.uint32)
-        ids = flat[np.repeat(np.frombuffer(self.starts, np.int64)[which] - ends[:-1], lengths) + np.arange(ends[-1])]
-        off = ends[np.concatenate(([0], np.cumsum(counts)))]
-        return np.insert(ids, off[1:], np.uint32(end)), off + np.arange(len(off))
-
-
-_encoders: dict[str, WordIds] = {}
+    def _encoded(self, words: list[tuple[bytes, bool]]) -> list[list[int]]:
+        """Ids of (word, plain) each. Plain words of letters alone are one piece,
+        so the tokenizer's merges can be asked directly."""
+        out: list = [None] * len(words)
+        rest = []
+        for i, (word, plain) in enumerate(words):
+            text = word.decode("utf-8", "replace").lower() if plain else ""
+            if text.isalpha():
+                out[i] = [t.id for t in self.model.tokenize(text if text.isascii() else text.encode().decode("latin-1").translate(PIECE_CHARS))]
+            else:
+                rest.append(i)
+        for at in range(0, len(rest), 4096):
+            some = rest[at:at + 4096]
+            for i, e in zip(some, self.tokenizer.encode_batch_fast([words[i][0].decode("utf-8", "replace") for i in some], add_special_tokens=False)):
+                out[i] = e.ids
+        return out
+
+    def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a block, each text's followed by ``end``, and the offsets of the texts."""
+        starts, ends, first = B.words(data, off)
+        n = len(starts)
+        mark = np.zeros(n, np.int64)
+        slot = np.empty(0, np.int64)
+        if n:
+            before = np.concatenate(([0], data[:-1]))
+            odd = (data >= 0x80) & (data != 0xC3) & (before != 0xC3) | (data == ord("<"))
+            odd = np.concatenate(([0], np.cumsum(odd)))
+            plain = odd[ends] == odd[starts]
+            last, size = data[ends - 1], ends - starts
+            prev, third = data[np.maximum(ends - 2, 0)], data[np.maximum(ends - 3, 0)]
+            letter = (size > 1) & ASCII_LETTERS[prev] | (size > 2) & (third == 0xC3) & (prev >= 0x80) & (prev != 0x97) & (prev != 0xB7)
+            mark = np.where(plain & letter, (last == ord(".")) + 2 * (last == ord(",")), 0)
+            core = ends - (mark > 0)
+            hashed = B.word_hashes(B.LOWER[data], starts, core)
+            other = np.flatnonzero(~plain)
+            if len(other):
+                hashed[other] = B.mix(B.word_hashes(data, starts[other], ends[other]) ^ U64(1))
+            unique, where, inverse = np.unique(hashed, return_index=True, return_inverse=True)
+            if len(self.keys) > CACHED_WORDS:
+                self.clear()
+            at = np.searchsorted(self.keys, unique)
+            new = np.ones(len(unique), bool)
+            if len(self.keys):
+                new = self.keys[np.minimum(at, len(self.keys) - 1)] != unique
+            if new.any():
+                content, which = data.tobytes(), where[new]
+                made = self._encoded([(content[x:y], z) for x, y, z in zip(starts[which].tolist(), core[which].tolist(), plain[which].tolist())])
+                self.slots = np.insert(self.slots, at[new], np.arange(len(self.starts), len(self.starts) + len(made)))
+                self.keys = np.insert(self.keys, at[new], unique[new])
+                self._add(made)
+            slot = self.slots[np.searchsorted(self.keys, unique)][inverse]
+        # words, their marks and the texts' ends, all in order
+        texts = len(off) - 1
+        marks = np.concatenate(([0], np.cumsum(mark > 0)))
+        place = np.arange(n) + marks[:-1] + np.repeat(np.arange(texts), np.diff(first))
+        end = first[1:] + marks[first[1:]] + np.arange(texts)
+        units = np.zeros(n + int(marks[-1]) + texts, np.int64)  # slot 0: the end
+        units[place] = slot
+        units[place[mark > 0] + 1] = mark[mark > 0]
+        lengths = np.frombuffer(self.lengths, np.int64)[units]
+        at_id = np.concatenate(([0], np.cumsum(lengths)))
+        shift = np.frombuffer(self.starts, np.int64)[units] - at_id[:-1]
+        ids = np.frombuffer(self.ids, np.uint32)[np.repeat(shift, lengths) + np.arange(at_id[-1])]
+        return ids, np.concatenate(([0], at_id[end + 1]))
+
+
+_encoders: dict[tuple[str, int], WordIds] = {}
 
 
 def _pieces(path: str, capacity: int, end: int, with_ids: bool) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.setdefault(path, None) or WordIds(path)
-        _encoders[path] = encoder  # the next task of this worker knows the words
+        encoder = _encoders.get((path, end)) or WordIds(path, end)
+        _encoders[path, end] = encoder  # the next task of this worker knows the words
         for batch in batches:
-            for at, data, off in blocks(batch.column(1)):
-                content = data.tobytes()
-                ids, at_id = encoder.encode([content[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist())], end)
+            for at, data, off in B.blocks(batch.column(1)):
+                ids, at_id = encoder.encode(data, off)
                 ids = ids.astype("<u4")
                 row, piece, start, length, crc, lists = [], [], [], [], [], []
                 for i, (a, b) in enumerate(zip(at_id[:-1].tolist(), at_id[1:].tolist())):
