@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -107,6 +107,7 @@ class TrainConfig:
     train_frac: float = 0.8
     window_days: int = 365 * 15
     top_k: int = 30
+    validation_year: int | None = None  # D2: train on the years before it, test on it, instead of train_frac
     alias_corr: float = 0.999999     # M4: copies of a feature are not ranked twice
     candidates: dict | None = None   # D9: estimators by name, instead of those of ``profile``
     grid: dict | None = None         # D9: {candidate: {param: [values]}}, each combination competes
@@ -124,7 +125,11 @@ def prepare(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig):
     df = df.dropna(how="any", subset=targets)
     non_target, _ = split_features_targets(df)  # P3
     feats = [c for c in numeric_columns(df.select(*non_target), exclude={*spec.key_cols, spec.time})]
-    lab = SP.label_split(df, spec.time, cfg.train_frac)
+    if cfg.validation_year is None:
+        lab = SP.label_split(df, spec.time, cfg.train_frac)
+    else:
+        lab = df.where(F.year(spec.time) <= cfg.validation_year) \
+            .withColumn("is_train", (F.year(spec.time) < cfg.validation_year).cast("int"))
     # a column that is empty for a whole series stays NULL after the
     # per-series mean fill: it takes the mean of the training rows (0 when
     # empty everywhere) - one aggregate row, k numbers
@@ -281,6 +286,22 @@ def train_competition(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig |
     return res
 
 
+def expanding_folds(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig | None = None,
+                    years: list[int] | None = None) -> DataFrame:
+    """One competition for each validation year, trained on all years
+    before it. Returns the metrics with their ``fold``; :func:`evaluate.fold_summary`
+    sums them up. Without ``years`` every year but the first."""
+    cfg = cfg or TrainConfig()
+    if years is None:
+        years = sorted(r[0] for r in features.select(F.year(spec.time)).distinct().collect())[1:]  # calendar years
+    out = None
+    for year in years:
+        met = train_competition(features, spec, replace(cfg, validation_year=year))["metrics"]
+        met = cut_lineage(met.withColumn("fold", F.lit(year)))
+        out = met if out is None else out.unionByName(met)
+    return out
+
+
 def save_models(res: dict, out_dir: str) -> str:
     """A new run folder with every candidate model, the feature list,
     the fill values, the scaler and the key index. Returns its path, which the

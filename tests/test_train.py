@@ -109,3 +109,18 @@ def test_model_beats_persistence_on_weekly_series(spark):
     persist = p.join(f.select("series_id", "date", F.col("y").alias("y_pred")), ["series_id", "date"])
     pr = persist.select(F.sqrt(F.avg((F.col("y_true") - F.col("y_pred")) ** 2)).alias("r")).first().r
     assert best < 0.5 * pr, (best, pr)
+
+
+def test_expanding_folds_train_on_the_years_before(spark):
+    from seriesforge.operators import evaluate as EV
+    f = features_table(spark, SF_SMALL, True)
+    cfg = TR.TrainConfig(horizons=[1], selection="none", candidates={"XGBoost": TR.candidate_models("smoke")["XGBoost"]})
+    met = TR.expanding_folds(f, PANEL, cfg, [1996, 1997])
+    rows = {r.fold: r for r in met.collect()}
+    for year in (1996, 1997):
+        lab, _, targets, _ = TR.prepare(f, PANEL, TR.replace(cfg, validation_year=year))
+        n = {(r.is_train, r.y): r["count"] for r in lab.groupBy("is_train", F.year("date").alias("y")).count().collect()}
+        assert max(y for t, y in n if t) < year and {y for t, y in n if not t} == {year}
+        assert rows[year].n == n[0, year]
+    total = EV.fold_summary(met, ["candidate", "horizon"]).collect()
+    assert len(total) == 1 and total[0].n_folds == 2
