@@ -42,3 +42,20 @@ def test_date_filter_and_columns_reach_the_scan(spark):
 def test_keep_last_is_a_partial_aggregate(spark):
     p = plan(QUERIES["w10_u2_keep_last"](spark, SF_SMALL))
     assert "partial_max_by" in p and "Window" not in p
+
+
+def test_panel_and_raw_rows_stay_where_they_are(spark):
+    """J1 and the keyless J6 send the calendar-sized side, not the large one."""
+    base = plan(T.base_panel(spark, SF_SMALL, exact=True))
+    assert "BroadcastHashJoin" in base and "SortMergeJoin" not in base
+    # the topmost join is the one of the raw rows
+    p = plan(QUERIES["j6_f16_nearest_hour_lookup"](spark, SF_SMALL))
+    assert "BroadcastHashJoin" in next(line for line in p.splitlines() if "Join" in line)
+
+
+def test_latest_and_keep_last_hash(spark):
+    for name in ["s6_latest_row", "w10_u2_keep_last", "i3_u1_upsert"]:
+        df = QUERIES[name](spark, SF_SMALL)
+        assert "max_by" in plan(df)
+    kept = QUERIES["w10_u2_keep_last"](spark, SF_SMALL)
+    assert "HashAggregate" in plan(kept)
