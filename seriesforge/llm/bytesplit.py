@@ -15,7 +15,7 @@ import pyarrow as pa
 U64 = np.uint64
 BASE = U64(0x9E3779B97F4A7C15 | 1)
 BASE_INV = U64(pow(int(BASE), -1, 1 << 64))
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, 9, 10, 11, 12, 13]] = True
@@ -113,22 +113,29 @@ def shingle_hashes(words_: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
-def shingle_sets(data: np.ndarray, off: np.ndarray, k: int = 5, fewest_words: int = 1) -> list[np.ndarray]:
-    """Sorted distinct ``k``-word shingle hashes of each text of a block. Texts
-    are lower-cased (A-Z); one with fewer words has its whole sequence as the
-    only shingle, one without words or with less than ``fewest_words`` has none."""
+def shingle_sets(data: np.ndarray, off: np.ndarray, k: int = 5, fewest_words: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ``k``-word shingle hashes of the texts of a block, sorted in each
+    text, and the bounds of the texts in them. Texts are lower-cased (A-Z); one
+    with fewer words has its whole sequence as the only shingle, one without
+    words or with less than ``fewest_words`` has none."""
     data = LOWER[data]
     starts, ends, first = words(data, off)
+    texts, size = len(off) - 1, np.diff(first)
+    if not len(starts):
+        return np.empty(0, U64), np.zeros(texts + 1, np.int64)
     hashed = word_hashes(data, starts, ends)
-    all_shingles = shingle_hashes(hashed, k)
-    out = []
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-        if b - a < fewest_words:
-            out.append(np.empty(0, U64))
-        elif b - a >= k:
-            out.append(np.unique(all_shingles[a:b - k + 1]))
-        elif b > a:
-            out.append(shingle_hashes(hashed[a:b], b - a))
-        else:
-            out.append(np.empty(0, U64))
-    return out
+    text = np.repeat(np.arange(texts), size)
+    inside = np.flatnonzero((text[:max(0, len(text) - k + 1)] == text[k - 1:]) & (size[text[k - 1:]] >= fewest_words))
+    values, rows = [shingle_hashes(hashed, k)[inside]], [text[inside]]
+    for m in range(max(1, fewest_words), k):
+        short = np.flatnonzero(size == m)
+        if len(short):
+            values.append(shingle_hashes(hashed, m)[first[short]])
+            rows.append(short)
+    value, row = np.concatenate(values), np.concatenate(rows)
+    order = np.lexsort((value, row))
+    value, row = value[order], row[order]
+    new = np.ones(len(value), bool)
+    new[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
+    value, row = value[new], row[new]
+    return value, np.searchsorted(row, np.arange(texts + 1))

@@ -27,12 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesforge.llm import bytesplit as B
-from seriesforge.llm.common import read_table, stored, utf8
+from seriesforge.llm.common import drop_stored, read_table, release, stored, utf8
 from seriesforge.llm.components import components
 
 T = 130  # coordinates of a sketch
@@ -45,45 +44,48 @@ EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 SALTS = B.mix(np.arange(2 * T, dtype=U64) * U64(0x9E3779B97F4A7C15) + U64(0x632BE59BD9B4E019))
 
 
-def sketch(items: np.ndarray, t: int = T) -> np.ndarray:
-    """Fast similarity sketch of a set of 64-bit hashes (not empty)."""
-    out = np.full(t, EMPTY)
-    n, i = len(items), 0
-    many = max(1, min(2 * t, 2 * t // n))
-    while i < 2 * t:
-        rounds = np.arange(i, min(2 * t, i + many), dtype=U64)[:, None]
-        h = B.mix(items[None, :] ^ SALTS[i:i + len(rounds), None])
-        if i + many <= t:
-            bins = (h >> U64(40)) * U64(t) >> U64(24)
-        else:  # from round t on the bin is the round's own
-            bins = np.where(rounds < t, (h >> U64(40)) * U64(t) >> U64(24), rounds - U64(t) * (rounds >= t))
-        value = (rounds << U64(40)) | (h & U64((1 << 40) - 1))
-        np.minimum.at(out, bins.astype(np.int64).ravel(), value.ravel())
-        if not (out == EMPTY).any():
+def sketches(values: np.ndarray, bounds: np.ndarray, t: int = T) -> np.ndarray:
+    """Fast similarity sketch of each of several sets of 64-bit hashes, a row
+    each; the row of an empty set stays ``EMPTY``."""
+    size = np.diff(bounds)
+    out = np.full((len(size), t), EMPTY)
+    flat = out.ravel()
+    items, row = values, np.repeat(np.arange(len(size)), size)
+    for i in range(2 * t):
+        if not len(items):
             break
-        i += many
+        h = B.mix(items ^ SALTS[i])
+        # from round t on the bin is the round's own
+        bins = ((h >> U64(40)) * U64(t) >> U64(24)).astype(np.int64) if i < t else i - t
+        np.minimum.at(flat, row * t + bins, U64(i << 40) | (h & U64((1 << 40) - 1)))
+        open_ = (out == EMPTY).any(axis=1)[row]
+        items, row = items[open_], row[open_]
     return out
 
 
-def band_keys(sketches: np.ndarray, rows: int = ROWS) -> np.ndarray:
+def band_keys(sketches_: np.ndarray, rows: int = ROWS) -> np.ndarray:
     """One 64-bit key for each band of each sketch (a row); the band's number is part of it."""
-    table = sketches.reshape(len(sketches), -1, rows)
+    table = sketches_.reshape(len(sketches_), sketches_.shape[1] // rows, rows)
     key = np.broadcast_to(np.arange(1, table.shape[1] + 1, dtype=U64) * U64(0xD6E8FEB86659FD93), table.shape[:2])
     for j in range(rows):
         key = B.mix(key ^ table[:, :, j])
     return key
 
 
-def digest(items: np.ndarray) -> bytes:
-    """128-bit digest of a sorted set; sets of equal digest count as equal."""
-    return xxhash.xxh3_128_digest(items.tobytes())
+def digests(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """128-bit digest of each set: two sums of mixed members. Sets of equal digest
+    count as equal."""
+    sums = []
+    for salt in (0x8EBC6AF09C88C6E3, 0x589965CC75374CC3):
+        total = np.zeros(len(values) + 1, U64)
+        np.cumsum(B.mix(values ^ U64(salt)), out=total[1:])
+        sums.append(B.mix((total[bounds[1:]] - total[bounds[:-1]]) ^ np.diff(bounds).astype(U64)))
+    packed = np.stack(sums, axis=1).tobytes()
+    return [packed[i:i + 16] for i in range(0, len(packed), 16)]
 
 
-def _list_column(parts: list[np.ndarray], kind: np.dtype, arrow: pa.DataType) -> pa.Array:
-    off = np.zeros(len(parts) + 1, np.int32)
-    np.cumsum([len(p) for p in parts], out=off[1:])
-    flat = np.concatenate(parts).view(kind) if parts else np.empty(0, kind)
-    return pa.ListArray.from_arrays(pa.array(off), pa.array(flat, arrow))
+def _lists(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(np.ascontiguousarray(flat).view(np.int64)))
 
 
 def _sketched(keep: int, t: int = T, rows: int = ROWS, fewest_words: int = 1, empty: bool = True) -> callable:
@@ -92,18 +94,18 @@ def _sketched(keep: int, t: int = T, rows: int = ROWS, fewest_words: int = 1, em
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, data, off in B.blocks(batch.column(keep)):
-                sets = B.shingle_sets(data, off, SHINGLE, fewest_words)
-                rest = batch.slice(at, len(sets))
+                values, bounds = B.shingle_sets(data, off, SHINGLE, fewest_words)
+                rest, full = batch.slice(at, len(off) - 1), np.diff(bounds) > 0
+                ids = digests(values, bounds)
                 if not empty:
-                    rest = rest.filter(pa.array([len(s) > 0 for s in sets]))
-                    sets = [s for s in sets if len(s)]
-                full = [s for s in sets if len(s)]
-                keys = iter(band_keys(np.array([sketch(s, t) for s in full]), rows)) if full else iter(())
+                    rest, ids = rest.filter(pa.array(full)), [d for d, f in zip(ids, full.tolist()) if f]
+                    bounds = np.append(bounds[:-1][full], bounds[-1])
+                    full = np.ones(len(ids), bool)
+                keys = band_keys(sketches(values, bounds, t)[full], rows)
+                places = np.concatenate(([0], np.cumsum(full))) * (t // rows)
                 yield pa.RecordBatch.from_arrays(
-                    [*(rest.column(i) for i in range(keep)),
-                     pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([digest(s) if len(s) else None for s in sets], pa.binary()),
-                     _list_column([next(keys) if len(s) else np.empty(0, U64) for s in sets], np.int64, pa.int64())],
+                    [*(rest.column(i) for i in range(keep)), pa.array(np.diff(bounds).astype(np.int64)),
+                     pa.array([d if f else None for d, f in zip(ids, full.tolist())], pa.binary()), _lists(keys.ravel(), places)],
                     names=[*rest.schema.names[:keep], "n_shingles", "set_id", "bands"])
     return run
 
@@ -111,8 +113,8 @@ def _sketched(keep: int, t: int = T, rows: int = ROWS, fewest_words: int = 1, em
 def _only_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at, data, off in B.blocks(batch.column(1)):
-            sets = B.shingle_sets(data, off, SHINGLE)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), _list_column(sets, np.int64, pa.int64())], names=["set_id", "items"])
+            values, bounds = B.shingle_sets(data, off, SHINGLE)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(off) - 1), _lists(values, bounds)], names=["set_id", "items"])
 
 
 def _block_links(percent: int) -> callable:
@@ -158,22 +160,34 @@ def _rooted(nodes: DataFrame, roots: DataFrame | None) -> DataFrame:
     return nodes.join(named, "set_id", "left").withColumn("root", F.coalesce("r", "set_id")).drop("r")
 
 
-def linked_sets(sketched: DataFrame, texts: callable, percent: int = PERCENT, pivot_rounds: int = 2) -> DataFrame:
+def linked_sets(rows: DataFrame, sets_of: DataFrame, texts: callable, percent: int = PERCENT, pivot_rounds: int = 2) -> DataFrame:
     """(node, root) over set_ids that have a verified link.
 
-    ``sketched``: distinct (set_id, n_shingles, bands). ``texts`` gives (set_id,
-    text bytes) for a table of wanted set_ids."""
-    keyed = sketched.select("set_id", "n_shingles", F.explode("bands").alias("key"))
-    buckets = stored(keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "nd-buckets")
-    members = stored(keyed.join(buckets, "key"), "nd-members")
+    ``rows`` (set_id, bands) may hold a set any number of times; ``sets_of``
+    (set_id, n_shingles) holds it once. ``texts`` gives (set_id, text bytes) for a
+    table of wanted set_ids. Bands travel with 64 bits of the set_id; what they
+    propose is looked up by them again, so equal ones only propose more."""
+    spark, sid = rows.sparkSession, F.xxhash64("set_id").alias("sid")
+    keyed = rows.select(sid, F.explode("bands").alias("key"))
+    buckets = keyed.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("key")
+    buckets = stored(buckets, "nd-buckets")
+    release(spark)
+    found = stored(keyed.join(buckets, "key"), "nd-found")
+    release(spark)
+    shared = stored(found.distinct(), "nd-shared")
+    drop_stored(found)
     # sets that agree in several bands share buckets: one of equal members is enough
-    a, b = F.xxhash64("set_id"), F.xxhash64("set_id", F.lit(1))
-    unlike = members.groupBy("key").agg(F.bit_xor(a).alias("a"), F.bit_xor(b).alias("b"), F.count("*").alias("n")).groupBy("a", "b", "n").agg(F.min("key").alias("key"))
-    members = stored(members.join(stored(unlike.select("key"), "nd-unlike"), "key", "left_semi"), "nd-members")
+    unlike = shared.groupBy("key").agg(F.bit_xor("sid").alias("a"), F.bit_xor(F.xxhash64("sid")).alias("b"), F.count("*").alias("members"))
+    unlike = stored(unlike.groupBy("a", "b", "members").agg(F.min("key").alias("key")).select("key", "members"), "nd-unlike")
+    members = shared.join(unlike, "key").join(sets_of.select(sid, "set_id", "n_shingles"), "sid").drop("sid")
+    members = stored(members, "nd-members")
+    drop_stored(shared)
+    release(spark)
     score = stored(members.groupBy("set_id").agg(F.sum("members").alias("score")), "nd-score")
     members = stored(members.join(score, "set_id"), "nd-scored")
     sets = texts(score.select("set_id")).select("set_id", "text").mapInArrow(_only_sets, "set_id binary, items array<bigint>")
     sets = stored(sets.groupBy("set_id").agg(F.first("items").alias("items")), "nd-sets")  # a repeated row gives its set twice
+    release(spark)
     close = f"100 * least(n_shingles, n) >= {percent} * greatest(n_shingles, n)"
     links, roots, apart = [], None, members.withColumn("root", F.col("set_id"))
     for turn in range(pivot_rounds):
@@ -188,6 +202,7 @@ def linked_sets(sketched: DataFrame, texts: callable, percent: int = PERCENT, pi
                     .withColumn("both", F.size(F.array_intersect("x", "y")).cast("long"))
                     .where(f"100 * both >= {percent} * (size(x) + size(y) - both)"))
         links.append(stored(verified.select(F.col("set_id").alias("a"), F.col("pivot").alias("b")), "nd-links"))
+        release(spark)
         roots = _all_components(links)
         apart = _still_apart(members, roots)
     # what remains apart, exactly
@@ -198,11 +213,14 @@ def linked_sets(sketched: DataFrame, texts: callable, percent: int = PERCENT, pi
              .withColumn("block", F.pmod(F.xxhash64("set_id"), F.ceil(F.col("m") / BLOCK)).cast("long"))
              .withColumn("outside", F.col("root") != F.col("main")))
     dealt = stored(dealt.join(sets, "set_id").select("key", "block", "outside", "set_id", "root", "items"), "nd-dealt")
+    release(spark)
     entry = F.collect_list(F.struct("set_id", "root", "items"))
     some = stored(dealt.where("outside").groupBy("key", "block").agg(entry.alias("some")).drop("block"), "nd-some")
     every = stored(dealt.groupBy("key", "block").agg(entry.alias("every")).drop("block"), "nd-every")
     found = some.join(every, "key").select("some", "every").mapInArrow(_block_links(percent), "a binary, b binary")
     links.append(stored(found, "nd-links"))
+    drop_stored(members, sets, dealt, some, every)
+    release(spark)
     return _all_components(links)
 
 
@@ -237,14 +255,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kind = base.schema["doc_id"].dataType.simpleString()
     rows = stored(base.mapInArrow(_sketched(2), f"doc_id {kind}, text_hash bigint, n_shingles bigint, set_id binary, bands array<bigint>"), "nd-sketch")
     one = F.min(F.struct("doc_id", "text_hash")).alias("one")
-    groups = rows.where("n_shingles > 0").groupBy("set_id").agg(one, F.min("doc_id").alias("smallest"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
-    groups = stored(groups.select("set_id", "smallest", F.col("one.doc_id").alias("of_id"), F.col("one.text_hash").alias("of_hash"), "n_shingles", "bands"), "nd-groups")
+    groups = rows.where("n_shingles > 0").groupBy("set_id").agg(one, F.min("doc_id").alias("smallest"), F.max("n_shingles").alias("n_shingles"))
+    groups = stored(groups.select("set_id", "smallest", F.col("one.doc_id").alias("of_id"), F.col("one.text_hash").alias("of_hash"), "n_shingles"), "nd-groups")
 
     def texts(wanted: DataFrame) -> DataFrame:
         of = groups.select("set_id", "of_id", "of_hash").join(wanted, "set_id", "left_semi")
         return base.join(of, F.expr("text_hash = of_hash and doc_id <=> of_id")).select("set_id", "text")
 
-    roots = linked_sets(groups.select("set_id", "n_shingles", "bands"), texts, percent)
+    roots = linked_sets(rows.select("set_id", "bands"), groups, texts, percent)
     named = stored(_rooted(groups.select("set_id", "smallest"), roots), "nd-named")
     smallest = stored(named.groupBy("root").agg(F.min("smallest").alias("component_id")), "nd-smallest")
     labels = stored(named.join(smallest, "root").select("set_id", "component_id"), "nd-labels")
@@ -262,3 +280,17 @@ def without_near_duplicates(docs: DataFrame, text: str = "text", percent: int =
 
 def op5_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+#: The same by a join of all shingles and a walk from every document.
+ORACLE_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM t WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(g) AS n FROM t LEFT JOIN s USING (doc_id) GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s AS a JOIN s AS b USING (g) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach(doc_id, root) AS (SELECT doc_id, doc_id FROM n UNION SELECT l.b, reach.root FROM reach JOIN l ON reach.doc_id = l.a)
+SELECT n.doc_id, n.n AS n_shingles, min(root) AS component_id, min(root) = n.doc_id AS kept FROM n JOIN reach USING (doc_id) GROUP BY n.doc_id, n.n
+"""

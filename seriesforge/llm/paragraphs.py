@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from seriesforge.llm.common import read_table, stored
 from seriesforge.llm.near_dup import _rooted, _sketched, linked_sets
 
-FEWEST_WORDS = 20
+FEWEST_WORDS = 10
 PERCENT = 80
-ROWS = 4
+ROWS = 3
 MISS = 1e-3
 
 
@@ -43,14 +43,14 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, fewest_words: i
     rows = base.mapInArrow(_sketched(3, bands * ROWS, ROWS, fewest_words, False), f"doc_id {kind}, doc_hash bigint, line int, n_shingles bigint, set_id binary, bands array<bigint>")
     rows = stored(rows, "para-sketch")
     place = F.struct("doc_id", "line", "doc_hash")
-    groups = rows.groupBy("set_id").agg(F.min(place).alias("one"), F.max(place).alias("last"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+    groups = rows.groupBy("set_id").agg(F.min(place).alias("one"), F.max(place).alias("last"), F.max("n_shingles").alias("n_shingles"))
     groups = stored(groups, "para-groups")
 
     def texts(wanted: DataFrame) -> DataFrame:
         of = groups.join(wanted, "set_id", "left_semi").select("set_id", F.col("one.doc_id").alias("of_id"), F.col("one.doc_hash").alias("of_hash"), F.col("one.line").alias("of_line"))
         return base.join(of, F.expr("doc_hash = of_hash and line = of_line and doc_id <=> of_id")).select("set_id", "text")
 
-    roots = linked_sets(groups.select("set_id", "n_shingles", "bands"), texts, percent)
+    roots = linked_sets(rows.select("set_id", "bands"), groups, texts, percent)
     named = stored(_rooted(groups.select("set_id", "one", "last"), roots), "para-named")
     first = named.groupBy("root").agg(F.min("one").alias("first"), F.max("last").alias("last")).where("first <> last or (first.doc_id is null) <> (last.doc_id is null)")
     labels = stored(named.join(stored(first.drop("last"), "para-first"), "root").select("set_id", "first"), "para-labels")

@@ -52,6 +52,11 @@ def test_documents_against_brute_force(spark):
     assert result(out) == brute(rows)
 
 
+def test_sql(spark):
+    from oracle_harness import compare
+    assert compare(spark, "op5", N.op5_minhash_near_dup, N.ORACLE_SQL, SF) == []
+
+
 def test_large_group_that_straddles_the_threshold(docs_of):
     """Copies with one to four changed words: some pairs link, some don't, one bucket holds them all."""
     rng = random.Random(7)
@@ -80,13 +85,23 @@ def test_empty_table(docs_of):
     assert N.near_duplicates(docs_of([])).collect() == []
 
 
+def one(items, t=N.T):
+    return N.sketches(np.sort(items), np.array([0, len(items)]), t)[0]
+
+
 def test_sketch_fills_and_estimates():
     rng = np.random.default_rng(1)
-    for n in (1, 2, 7, 60, 500):
-        assert not (N.sketch(rng.integers(0, 2**63, n).astype(np.uint64)) == N.EMPTY).any()
+    sets = [rng.integers(0, 2**63, n).astype(np.uint64) for n in (1, 2, 7, 60, 500)]
+    for x in sets:
+        assert not (one(x) == N.EMPTY).any() and not (one(x, 30) == N.EMPTY).any()
+    # together as alone, an empty set between them
+    bounds = np.cumsum([0, 1, 0, 2, 7, 60, 500])
+    both = N.sketches(np.concatenate(sets), bounds)
+    assert (both[1] == N.EMPTY).all() and all((both[i] == one(x)).all() for i, x in zip((0, 2, 3, 4, 5), sets))
+    assert len(set(N.digests(np.concatenate(sets), bounds))) == 6
     agree = []
     for _ in range(60):
         x = rng.integers(0, 2**63, 300).astype(np.uint64)
         y = np.concatenate([x[:270], rng.integers(0, 2**63, 30).astype(np.uint64)])
-        agree.append((N.sketch(x) == N.sketch(y)).mean())
+        agree.append((one(x) == one(y)).mean())
     assert abs(np.mean(agree) - 270 / 330) < 0.03

@@ -11,7 +11,7 @@ from seriesforge.llm.common import read_table
 SF = "/root/testdata/sf0.01"
 
 
-def brute(rows, percent=80, fewest=20):
+def brute(rows, percent=80, fewest=10):
     paras = [(doc, i, line) for doc, text in rows for i, line in enumerate((text or "").split("\n")) if len(line.split()) >= fewest]
     parent, seen, sets = list(range(len(paras))), {}, [shingles(p[2]) for p in paras]
 
