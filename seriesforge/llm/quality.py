@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesforge.llm import bytesplit as B
-from seriesforge.llm.common import hidden, read_table, stored, utf8
+from seriesforge.llm.common import read_table, stored, utf8
 from seriesforge.session import cut_lineage
 
 BITS = 16
@@ -153,7 +153,7 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 @F.udf(VectorUDT())
-def _vector(indices: list[int], values: list[float]) -> SparseVector:
+def _vector(indices, values):
     return SparseVector(2 << BITS, indices, values)
 
 
@@ -211,17 +211,17 @@ def _scored(shared, at: int) -> callable:
 def _accepting(shared, at: int) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, data, off in B.blocks(batch.column(at)):
+            for first, data, off in B.blocks(batch.column(at).fill_null(b"")):
                 good = _verdict(shared.value, data, off)[3]
-                rows = batch.slice(first, len(good)).filter(pa.array(good))
-                yield rows.select(rows.schema.names[:at])
+                yield batch.slice(first, len(good)).filter(pa.array(good))
     return run
 
 
 def accepted(docs: DataFrame, model: QualityModel | None, text: str = "text") -> DataFrame:
     """The rows of ``docs``, all their columns, that :func:`score` would keep."""
-    flat = docs.select("*", utf8(text).alias(hidden(docs, "content")))
-    return flat.mapInArrow(_accepting(docs.sparkSession.sparkContext.broadcast(model), len(docs.columns)), docs.schema)
+    flat = docs.withColumn(text, F.col(f"`{text}`").cast("binary"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return flat.mapInArrow(_accepting(shared, docs.columns.index(text)), flat.schema).withColumn(text, F.col(f"`{text}`").cast("string"))
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from seriesforge.llm import chat, decontaminate, url_filter, warc
+from seriesforge.llm import chat, decontaminate, near_dup, url_filter, warc
 from seriesforge.llm.chat import op4_chat_formatting
 from seriesforge.llm.decontaminate import op3_benchmark_decontamination
 from seriesforge.llm.near_dup import op5_minhash_near_dup
@@ -25,6 +25,7 @@ QUERIES = {
 ORACLE = {
     "op3_benchmark_decontamination": decontaminate.ORACLE_SQL,
     "op4_chat_formatting": chat.ORACLE_SQL,
+    "op5_minhash_near_dup": near_dup.ORACLE_SQL,
     "op6_url_filters": url_filter.ORACLE_SQL,
     "op7_warc_bundles": warc.ORACLE_SQL,
 }

@@ -9,7 +9,7 @@ domain, host with leading path segments) an interval must hold the day.
 Captures are judged once for each distinct (url, day); the join is an equi-join
 on the key with the day as a condition. Both of its sides are shuffled by the
 key, so a host that holds a third of all captures is split by adaptive
-execution. Nothing is broadcast.
+execution. No side is hinted for broadcast.
 """
 
 from __future__ import annotations
