@@ -14,7 +14,7 @@ Work on a group of copies of any size:
 * documents with equal sets are collapsed first (one aggregation with map-side
   combination); all that follows sees each set once;
 * inside a bucket all members are compared with one pivot, the member that
-  shares most buckets, and after that round only what is not yet connected;
+  shares most buckets, and after that only what is not yet connected;
 * what is still apart inside a bucket is compared exactly in blocks: the members
   outside the bucket's largest component against all blocks of the bucket.
   Rows are blocks of at most about ``BLOCK`` sets; pairs exist only as matrix
@@ -160,7 +160,7 @@ def _rooted(nodes: DataFrame, roots: DataFrame | None) -> DataFrame:
     return nodes.join(named, "set_id", "left").withColumn("root", F.coalesce("r", "set_id")).drop("r")
 
 
-def linked_sets(rows: DataFrame, sets_of: DataFrame, texts: callable, percent: int = PERCENT, pivot_rounds: int = 2) -> DataFrame:
+def linked_sets(rows: DataFrame, sets_of: DataFrame, texts: callable, percent: int = PERCENT, pivot_rounds: int = 1) -> DataFrame:
     """(node, root) over set_ids that have a verified link.
 
     ``rows`` (set_id, bands) may hold a set any number of times; ``sets_of``
