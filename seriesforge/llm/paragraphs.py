@@ -7,7 +7,9 @@ recall: with ``ROWS`` coordinates in a band, as many bands as it takes to miss
 pairs at the threshold with a probability of at most ``MISS``. Colliding
 paragraphs are joined and verified by exact Jaccard similarity, and clusters are
 the components of the verified links. Every cluster keeps its first paragraph,
-the one of the smallest (doc_id, line); the others are removed.
+the one of the smallest (doc_id, line); the others are removed. In what is left,
+runs of words repeated inside longer or across shorter lines are found as passages
+(see ``passages``); all but the first place of each are cut.
 """
 
 from __future__ import annotations
@@ -17,8 +19,9 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import read_table, stored
+from seriesforge.llm.common import drop_stored, read_table, release, stored
 from seriesforge.llm.near_dup import _rooted, _sketched, linked_sets
+from seriesforge.llm.passages import PASSAGE, cut, repeated_passages
 
 FEWEST_WORDS = 10
 PERCENT = 80
@@ -65,27 +68,57 @@ def _removed(found: DataFrame) -> DataFrame:
     return stored(found.distinct().groupBy("doc_id", "doc_hash").agg(F.array_sort(F.collect_list(one)).alias("found")), "para-removed")  # bounded by the text
 
 
+def _rest(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) and doc_hash, the removed paragraphs cut out of the texts."""
+    gone = found.select(F.col("doc_id").alias("d"), F.col("doc_hash").alias("h"), F.transform(F.filter("found", lambda p: p["removed"]), lambda p: p["line"]).alias("gone"))
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("doc_hash")).join(gone, F.expr("doc_hash = h and doc_id <=> d"), "left")
+    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("gone", i))
+    return rows.select("doc_id", "doc_hash", F.when(F.size("gone") > 0, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("text"))
+
+
+def _passages(rest: DataFrame) -> DataFrame:
+    """(d, h, runs): the repeated passages of what is left of the texts."""
+    long = rest.where(F.octet_length("text") >= 2 * PASSAGE - 1)
+    return repeated_passages(long.withColumn("text", F.col("text").cast("binary"))).withColumnsRenamed({"doc_id": "d", "doc_hash": "h"})
+
+
 def deduplicate(docs: DataFrame, percent: int = PERCENT, fewest_words: int = FEWEST_WORDS) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_lines, n_repeated (paragraphs in
     clusters), n_removed, and the lists removed (line numbers from 0) and classes
-    (doc_id:line of the first paragraph of each repeated one, in order of lines). A
-    null or empty text has no paragraphs; lines of fewer words are left alone."""
-    found = _removed(repeated_paragraphs(docs, percent, fewest_words)).withColumnsRenamed({"doc_id": "d", "doc_hash": "h"})
+    (doc_id:line of the first paragraph of each repeated one, in order of lines);
+    then n_passages, n_cut and passages: the runs of words (from:to, from 0, in the
+    text without its removed lines) that lie in repeated passages and are cut, their
+    number and their words. A null or empty text has no paragraphs; lines of fewer
+    words are no paragraphs, but their words count in passages."""
+    found = _removed(repeated_paragraphs(docs, percent, fewest_words))
+    release(docs.sparkSession)
+    rest = stored(_rest(docs, found), "para-rest")
+    runs = _passages(rest)
+    drop_stored(rest)
     rows = docs.select("doc_id", F.xxhash64("text").alias("doc_hash"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
-    rows = rows.join(found, F.expr("doc_hash = h and doc_id <=> d"), "left")
+    for more in (found.withColumnsRenamed({"doc_id": "d", "doc_hash": "h"}), runs):
+        rows = rows.join(more, F.expr("doc_hash = h and doc_id <=> d"), "left").drop("d", "h")
     gone = F.filter("found", lambda p: p["removed"])
+    pairs = F.transform(F.sequence(F.lit(0), F.size("runs") - 2, F.lit(2)), lambda i: F.struct(F.get("runs", i).alias("lo"), F.get("runs", i + 1).alias("hi")))
+    rows = rows.withColumn("runs", F.when(F.size("runs") > 0, pairs))
     return rows.select(
         "doc_id", "n_lines", F.coalesce(F.size("found"), F.lit(0)).cast("long").alias("n_repeated"), F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce(F.array_join(F.transform(gone, lambda p: p["line"].cast("string")), ","), F.lit("")).alias("removed"),
-        F.coalesce(F.array_join(F.transform("found", lambda p: F.concat_ws(":", p["class_doc"].cast("string"), p["class_line"].cast("string"))), ","), F.lit("")).alias("classes"))
+        F.coalesce(F.array_join(F.transform("found", lambda p: F.concat_ws(":", p["class_doc"].cast("string"), p["class_line"].cast("string"))), ","), F.lit("")).alias("classes"),
+        F.coalesce(F.size("runs"), F.lit(0)).cast("long").alias("n_passages"),
+        F.coalesce(F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["hi"] - r["lo"]), F.lit(0).cast("long")).alias("n_cut"),
+        F.coalesce(F.array_join(F.transform("runs", lambda r: F.concat_ws(":", r["lo"].cast("string"), r["hi"].cast("string"))), ","), F.lit("")).alias("passages"))
 
 
 def without_repeats(docs: DataFrame, percent: int = PERCENT, fewest_words: int = FEWEST_WORDS) -> DataFrame:
-    """``docs`` (doc_id, text) with the removed paragraphs cut out of the texts."""
-    found = _removed(repeated_paragraphs(docs, percent, fewest_words)).select(F.col("doc_id").alias("d"), F.col("doc_hash").alias("h"), F.transform(F.filter("found", lambda p: p["removed"]), lambda p: p["line"]).alias("gone"))
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("doc_hash")).join(found, F.expr("doc_hash = h and doc_id <=> d"), "left")
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("gone", i))
-    return rows.select("doc_id", F.when(F.size("gone") > 0, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("text"))
+    """``docs`` (doc_id, text) with the removed paragraphs, and then the repeated
+    passages of the rest, cut out of the texts."""
+    found = _removed(repeated_paragraphs(docs, percent, fewest_words))
+    rest = stored(_rest(docs, found), "para-rest")
+    rows = rest.join(_passages(rest), F.expr("doc_hash = h and doc_id <=> d"), "left")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    cuts = rows.select("doc_id", F.col("text").cast("binary").alias("text"), "runs").mapInArrow(cut(1), f"doc_id {kind}, text binary")
+    return cuts.withColumn("text", F.col("text").cast("string"))
 
 
 def op2_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,3 +82,30 @@ def test_empty_table(docs_of):
 def test_bands_reach_the_recall(percent):
     b = P.tuned_bands(percent)
     assert (1 - (percent / 100) ** P.ROWS) ** b <= P.MISS < (1 - (percent / 100) ** P.ROWS) ** (b - 1)
+
+
+def passages_brute(rows, n=50):
+    """{doc: words that lie in a run of n words whose first place is another}"""
+    first, words = {}, {doc: text.lower().split() for doc, text in rows}
+    for doc in sorted(words):
+        for i in range(len(words[doc]) - n + 1):
+            first.setdefault(tuple(words[doc][i:i + n]), (doc, i))
+    return {doc: {p for i in range(len(w) - n + 1) if first[tuple(w[i:i + n])] != (doc, i) for p in range(i, i + n)} for doc, w in words.items()}
+
+
+def test_passages_inside_longer_lines(docs_of):
+    """60 words in the middle of lines of 150 with other surroundings."""
+    rng = random.Random(5)
+    prose = lambda n: " ".join(f"w{rng.randrange(900)}" for _ in range(n))
+    passage, shorter, words = prose(60), prose(49), prose(55).split()
+    rows = [(i, prose(45) + " " + (passage if i % 2 else passage.upper()) + " " + prose(45)) for i in range(30)]
+    rows += [(40 + i, prose(20) + " " + shorter + " " + prose(20)) for i in range(3)]
+    rows += [(50, " ".join(["same"] * 120)), (51, prose(700) + " " + passage[:-1]), (52, " ".join(words) + " " + prose(9) + " " + " ".join(words)), (53, passage.replace(" ", "\n"))]
+    out = {r.doc_id: r for r in P.deduplicate(docs_of(rows)).collect()}
+    want = passages_brute(rows)
+    for doc, r in out.items():
+        runs = [tuple(map(int, x.split(":"))) for x in r.passages.split(",") if x]
+        assert {p for lo, hi in runs for p in range(lo, hi)} == want[doc] and r.n_cut == len(want[doc]) and r.n_passages == len(runs), doc
+    assert out[7].passages == "45:105" and out[0].n_cut == out[41].n_cut == 0 and out[53].n_cut == 60 and out[52].passages == "64:119"
+    kept = {r.doc_id: r.text for r in P.without_repeats(docs_of(rows)).collect()}
+    assert kept[0] == rows[0][1] and kept[7].split() == rows[7][1].split()[:45] + rows[7][1].split()[105:] and kept[53] == ""
