@@ -191,38 +191,55 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, most_
                        F.array_join(F.col("runs").cast("array<string>"), ",").alias("runs"))
 
 
-def _remover(parts: list[Automaton], at: int, flag: str) -> callable:
-    """Rewrites the text in column ``at`` until no hit is left; column at + 1 is
-    whether a document that had hits still has words."""
-    def clean(content: bytes) -> tuple[bytes, bool]:
-        hit = False
-        while True:
-            normal = content.translate(NORMAL)
-            words = normal.split()
-            runs: list[tuple[int, int]] = []
-            for auto in parts:
-                runs = _merged(runs, auto.hits(words)[0])
-            if not runs:
-                return content, bool(words) or not hit
-            hit = True
-            spans = [m.span() for m in WORD.finditer(normal)]
-            pieces, last = [], 0
-            for lo, hi in runs:
-                pieces.append(content[last:spans[lo][0]])
-                last = spans[hi - 1][1]
-            pieces.append(content[last:])
-            content = b"\n".join(pieces)
+def _cut(content: bytes, runs: list[tuple[int, int]]) -> bytes:
+    """``content`` with a newline in place of each of the runs of words."""
+    spans = [m.span() for m in WORD.finditer(content.translate(NORMAL))]
+    pieces, last = [], 0
+    for lo, hi in runs:
+        pieces.append(content[last:spans[lo][0]])
+        last = spans[hi - 1][1]
+    return b"\n".join([*pieces, content[last:]])
+
+
+def _remover(auto: Automaton, at: int) -> callable:
+    """Rewrites the text in column ``at`` until no hit of the one automaton is left;
+    column at + 1 is whether it has been cut."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, hits = [], []
+            for value, before in zip(batch.column(at), batch.column(at + 1)):
+                text, hit = value.as_py(), before.as_py()
+                while text is not None and (runs := auto.hits(text.translate(NORMAL).split())[0]):
+                    text, hit = _cut(text, runs), True
+                texts.append(text)
+                hits.append(hit)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(at)), pa.array(texts, pa.binary()), pa.array(hits, pa.bool_())], names=batch.schema.names)
+    return run
+
+
+def _gather(auto: Automaton, at: int) -> callable:
+    """Adds to the runs in column at + 2 the hits in the text in column ``at``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for value, before in zip(batch.column(at), batch.column(at + 2)):
+                text, runs = value.as_py(), before.as_py()
+                hits = [] if text is None else auto.hits(text.translate(NORMAL).split())[0]
+                out.append([x for r in _merged(hits, list(zip(runs[::2], runs[1::2]))) for x in r])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(at + 2)), pa.array(out, pa.list_(pa.int64()))], names=batch.schema.names)
+    return run
+
 
+def _cutter(at: int) -> callable:
+    """Cuts the gathered runs; the text is marked as cut if there are any."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, keeps = [], []
-            for value in batch.column(at):
-                text = value.as_py()
-                cleaned, keep = (None, True) if text is None else clean(text)
-                texts.append(cleaned)
-                keeps.append(keep)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(at)), pa.array(texts, pa.binary()), pa.array(keeps, pa.bool_())],
-                                             names=[*batch.schema.names[:at + 1], flag])
+            texts, hits = [], []
+            for value, before, found in zip(batch.column(at), batch.column(at + 1), batch.column(at + 2)):
+                runs = found.as_py()
+                texts.append(_cut(value.as_py(), list(zip(runs[::2], runs[1::2]))) if runs else value.as_py())
+                hits.append(before.as_py() or bool(runs))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(at)), pa.array(texts, pa.binary()), pa.array(hits, pa.bool_())], names=batch.schema.names[:at + 2])
     return run
 
 
@@ -230,17 +247,38 @@ def without_benchmark(docs: DataFrame, items: DataFrame, text: str = "text", win
     """``docs`` with every hit run of words cut out of its text (a newline in its
     place), again until none is left; documents of which no word is left go.
     All other documents, null and empty ones too, stay as they are. If there is
-    an integer column n_chars it is set to the new number of code points."""
+    an integer column n_chars it is set to the new number of code points.
+
+    With several automata the hits of all of them are gathered on the same text and
+    cut together, round by round until a round finds none, as one automaton would."""
     if text not in docs.columns:
         raise ValueError(f"no column {text}")
-    body, flag = hidden(docs, "body"), hidden(docs, "stays")
-    out = docs
-    for auto in automata(items, window=window, most_words=most_words):
-        rest = [c for c in docs.columns if c != text]
-        flat = out.select(*rest, F.col(text).cast("binary").alias(body))
-        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in flat.schema.fields)
-        out = flat.mapInArrow(_remover([auto], len(rest), flag), f"{kinds}, `{flag}` boolean")
-        out = out.where(F.col(flag)).withColumn(body, F.col(body).cast("string")).withColumnRenamed(body, text).select(*docs.columns)
+    body, flag, found = hidden(docs, "body"), hidden(docs, "hit"), hidden(docs, "found")
+    rest = [c for c in docs.columns if c != text]
+    at = len(rest)
+    flat = docs.select(*rest, F.col(text).cast("binary").alias(body), F.lit(False).alias(flag))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in flat.schema.fields)
+    parts = list(automata(items, window=window, most_words=most_words))
+    if len(parts) == 1:
+        out = flat.mapInArrow(_remover(parts[0], at), kinds)
+    else:
+        out, done = None, []
+        while True:
+            runs = flat.withColumn(found, F.expr("cast(array() as array<bigint>)"))
+            for auto in parts:
+                runs = stored(runs.mapInArrow(_gather(auto, at), f"{kinds}, `{found}` array<bigint>"), "decontaminate")
+            # documents without a hit of any share are done, the others are cut and looked at again
+            done.append(runs.where(F.size(found) == 0).drop(found))
+            hit = runs.where(F.size(found) > 0)
+            if hit.isEmpty():
+                break
+            flat = stored(hit.mapInArrow(_cutter(at), kinds), "decontaminate")
+        for one in done:
+            out = one if out is None else out.unionByName(one)
+    # a document that had no hit stays, with or without words
+    out = out.withColumn(body, F.col(body).cast("string"))
+    some = F.length(F.regexp_replace(body, r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", "")) > 0
+    out = out.where(~F.col(flag) | some).withColumnRenamed(body, text).select(*docs.columns)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col(text).isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType))
     return out

@@ -92,3 +92,18 @@ def test_removal_leaves_nothing(docs_of, items_of):
     assert got[1].text == "Keep, this! \n; and that." and got[8].text == "a \n b" and got[4].text == "clean" and got[5].text is None and got[6].text == ""
     assert 2 not in got and 7 not in got and got[9].text == "!!!" and got[1].n_chars == len(got[1].text)
     assert all(not r.contaminated for r in D.contamination(out, items_of(items)).collect())
+
+
+def test_removal_with_several_automata_is_that_of_one(docs_of, items_of):
+    """Items that share a question or an answer, dealt to different automata."""
+    question, answers = " ".join(f"q{i}" for i in range(12)), [" ".join(f"a{k}x{i}" for i in range(8)) for k in range(8)]
+    items = [(k, f"{question} {a}") for k, a in enumerate(answers)]
+    docs = [(k, f"before it {question} {a} after it") for k, a in enumerate(answers)]
+    # a cut by one share joins words into an item of another
+    w, inner = answers[0].split() + answers[1].split(), " ".join(f"n{i}" for i in range(11))
+    items += [(20, " ".join(w)), (21, inner)]
+    docs += [(20, f"keep {' '.join(w[:7])} {inner} {' '.join(w[7:])} keep"), (21, " ".join(w[:7]) + " " + inner + " " + " ".join(w[7:])), (22, "clean"), (23, None), (24, "!!!")]
+    assert len(list(D.automata(items_of(items), most_words=40))) > 3
+    one, several = ({r.doc_id: (r.text, r.n_chars) for r in D.without_benchmark(docs_of(docs), items_of(items), most_words=n).collect()} for n in (D.MOST_WORDS, 40))
+    assert one == several
+    assert several[3][0].split() == ["before", "it", "after", "it"] and several[20][0].split() == ["keep", "keep"] and 21 not in several and several[24][0] == "!!!"
