@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesforge.llm import bytesplit as B
-from seriesforge.llm.common import drop_stored, read_table, release, stored, utf8
+from seriesforge.llm.common import drop_stored, hidden, read_table, release, stored, utf8
 from seriesforge.llm.components import components
 
 T = 130  # coordinates of a sketch
@@ -247,10 +247,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     whether the row has it. A text of one to four words has its whole sequence
     as its only shingle. Null or empty texts (no words) have an empty set and
     are linked with nothing. A null doc_id never names a component (a component
-    of nothing else has component_id null and keeps all its rows). Rows of equal
-    doc_id that carry the component's smallest doc_id are all kept. text_hash is
+    of nothing else has component_id null and marks all its rows kept). Rows of equal
+    doc_id that carry the component's smallest doc_id are all marked kept. text_hash is
     xxhash64 of the text's bytes.
     """
+    rows = _labelled(docs, doc_id, text, percent)
+    return rows.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"), "text_hash")
+
+
+def _labelled(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
+    """(doc_id, n_shingles, text_hash, component_id, root): root is the same for all
+    rows of a component, of null ids too, and null for an empty set."""
     base = docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("text")).withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "text")
     kind = base.schema["doc_id"].dataType.simpleString()
     rows = stored(base.mapInArrow(_sketched(2), f"doc_id {kind}, text_hash bigint, n_shingles bigint, set_id binary, bands array<bigint>"), "nd-sketch")
@@ -265,17 +272,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     roots = linked_sets(rows.select("set_id", "bands"), groups, texts, percent)
     named = stored(_rooted(groups.select("set_id", "smallest"), roots), "nd-named")
     smallest = stored(named.groupBy("root").agg(F.min("smallest").alias("component_id")), "nd-smallest")
-    labels = stored(named.join(smallest, "root").select("set_id", "component_id"), "nd-labels")
+    labels = stored(named.join(smallest, "root").select("set_id", "component_id", "root"), "nd-labels")
     return rows.select("doc_id", "n_shingles", "set_id", "text_hash").join(labels, "set_id", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "text_hash"
-    ).select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"), "text_hash")
+        "doc_id", "n_shingles", "text_hash", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "root")
 
 
 def without_near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text, ...) that are kept, all their columns."""
-    kept = stored(near_duplicates(docs, "doc_id", text, percent).where("kept").select("doc_id", "text_hash").distinct(), "nd-kept")
-    a, b = docs.alias("a"), kept.alias("b")
-    return a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.xxhash64(utf8(f"a.{text}")) == F.col("b.text_hash")), "left_semi")
+    """One row of ``docs`` (doc_id, text, ...) for each component, all its columns: of
+    the smallest (doc_id, text hash), null ids last; of rows equal in both any one.
+    Rows without words are in no component and all stay."""
+    rows = stored(_labelled(docs, "doc_id", text, percent), "nd-labelled")
+    copies = rows.where("n_shingles > 0").groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    least = copies.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")).alias("one")).select("one.doc_id", "one.text_hash", "one.n")
+    empty = rows.where("n_shingles = 0").select("doc_id", "text_hash", F.lit(1).cast("long").alias("n")).distinct()
+    kept = stored(least.unionByName(empty), "nd-kept")
+
+    def of(keys: DataFrame) -> DataFrame:
+        return docs.alias("a").join(keys.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.xxhash64(utf8(f"a.{text}")) == F.col("b.text_hash")), "left_semi")
+
+    repeated = kept.where("n > 1")
+    if repeated.isEmpty():
+        return of(kept)
+    mark = hidden(docs, "text_hash")
+    one = of(repeated).withColumn(mark, F.xxhash64(utf8(text))).dropDuplicates(["doc_id", mark]).drop(mark)
+    return of(kept.where("n = 1")).unionByName(one)
 
 
 def op5_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

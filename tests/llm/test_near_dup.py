@@ -105,3 +105,14 @@ def test_sketch_fills_and_estimates():
         y = np.concatenate([x[:270], rng.integers(0, 2**63, 30).astype(np.uint64)])
         agree.append((one(x) == one(y)).mean())
     assert abs(np.mean(agree) - 270 / 330) < 0.03
+
+
+def test_one_row_of_each_group_stays(docs_of):
+    """Rows loaded twice, near copies under one id, copies without ids."""
+    words = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    rows = [(1, words("a")), (1, words("a")), (1, words("a")), (2, words("a")), (3, words("b")), (3, words("b") + " end"), (4, words("b")),
+            (None, words("c")), (None, words("c")), (None, words("c") + " end"), (None, words("d")), (9, words("d")), (5, None), (6, ""), (6, ""), (7, words("e"))]
+    out = N.without_near_duplicates(docs_of(rows))
+    assert out.columns == docs_of(rows).columns
+    got = sorted((str(r.doc_id), (r.text or "")[:1]) for r in out.collect())
+    assert got == [("1", "a"), ("3", "b"), ("5", ""), ("6", ""), ("6", ""), ("7", "e"), ("9", "d"), ("None", "c")]
