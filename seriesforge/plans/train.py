@@ -37,9 +37,9 @@ CANDIDATE_ORDER = ["RandomForest", "LightGBM", "XGBoost"]
 
 def candidate_models(profile: str = "full", seed: int = 42) -> dict:
     """M2/M3: the three candidates. ``full`` mirrors the reference sizes
-    (300 trees depth 15; 500 boosting rounds at 0.05); ``standard`` is the size
-    of the registered queries (30 trees depth 8; 20 rounds at 0.2, where a round
-    is a Spark job); ``smoke`` is for tests.
+    (300 trees depth 15; 500 boosting rounds at 0.05) and is what the registered
+    queries train; ``standard`` (30 trees depth 8; 20 rounds at 0.2, where a round
+    is a Spark job) and ``smoke`` are smaller, for trials and tests.
     The boosting libraries are re-aimed onto two GBTRegressor profiles."""
     if profile == "full":
         return {

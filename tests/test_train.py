@@ -124,3 +124,17 @@ def test_expanding_folds_train_on_the_years_before(spark):
         assert rows[year].n == n[0, year]
     total = EV.fold_summary(met, ["candidate", "horizon"]).collect()
     assert len(total) == 1 and total[0].n_folds == 2
+
+
+def test_registered_queries_train_the_full_sizes(monkeypatch):
+    """M2/M3: 300 trees of depth 15 and 500 rounds at 0.05 in m1_... and m8_..."""
+    from seriesforge.plans import catalog, train
+    seen = []
+    monkeypatch.setattr(catalog, "features_table", lambda *a: None)
+    monkeypatch.setattr(train, "train_competition", lambda features, spec, cfg: seen.append(cfg))
+    catalog.trained(None, "")
+    monkeypatch.setattr(train, "RandomForestRegressor", lambda **k: k)
+    monkeypatch.setattr(train, "GBTRegressor", lambda **k: k)
+    models = train.candidate_models(seen[0].profile)
+    assert (models["RandomForest"]["numTrees"], models["RandomForest"]["maxDepth"]) == (300, 15)
+    assert all((models[m]["maxIter"], models[m]["stepSize"]) == (500, 0.05) for m in ("LightGBM", "XGBoost"))
