@@ -7,7 +7,8 @@ recall: with ``ROWS`` coordinates in a band, as many bands as it takes to miss
 pairs at the threshold with a probability of at most ``MISS``. Colliding
 paragraphs are joined and verified by exact Jaccard similarity, and clusters are
 the components of the verified links. Every cluster keeps its first paragraph,
-the one of the smallest (doc_id, line); the others are removed. In what is left,
+the one of the smallest (doc_id, line); the others are removed. Shorter lines
+are joined with their neighbours and removed where equal words came before. In what is left,
 runs of words repeated inside longer or across shorter lines are found as passages
 (see ``passages``); all but the first place of each are cut.
 """
@@ -15,7 +16,9 @@ runs of words repeated inside longer or across shorter lines are found as passag
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,17 +71,57 @@ def _removed(found: DataFrame) -> DataFrame:
     return stored(found.distinct().groupBy("doc_id", "doc_hash").agg(F.array_sort(F.collect_list(one)).alias("found")), "para-removed")  # bounded by the text
 
 
+def _short(fewest_words: int) -> callable:
+    """Short paragraphs of each text: consecutive lines of fewer words, joined until
+    they have ``fewest_words``; blank lines between them do not count."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, lines, words = [], [], []
+            for row, text in enumerate(batch.column(2)):
+                at, have = [], []
+                for i, line in enumerate([*text.as_py().split(b"\n"), None]):
+                    # more pieces than this is a longer line, which ends the paragraph
+                    w = line.split(None, fewest_words) if line is not None else []
+                    long = line is None or len(w) >= fewest_words
+                    if w and not long:
+                        at.append(i)
+                        have += w
+                    if at and (long or len(have) >= fewest_words):
+                        rows.append(row)
+                        lines.append(at)
+                        words.append(b" ".join(have).lower())
+                        at, have = [], []
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pa.array(rows, pa.int64())) for i in range(2)), pa.array(lines, pa.list_(pa.int32())), pa.array(words, pa.binary())],
+                                             names=["doc_id", "doc_hash", "lines", "words"])
+    return run
+
+
+def _short_removed(docs: DataFrame, fewest_words: int) -> DataFrame:
+    """(d, h, short): of each document the lines of the short paragraphs whose words
+    have their first place elsewhere."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = docs.where(F.octet_length("text") > 0).select("doc_id", F.xxhash64("text").alias("doc_hash"), F.col("text").cast("binary").alias("text"))
+    rows = stored(texts.mapInArrow(_short(fewest_words), f"doc_id {kind}, doc_hash bigint, lines array<int>, words binary"), "para-short")
+    place = F.struct("doc_id", F.get("lines", F.lit(0)).alias("line"), "doc_hash")
+    first = stored(rows.groupBy("words").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("not (first <=> last)").drop("last"), "para-short-first")
+    later = rows.join(first, "words").where(~place.eqNullSafe(F.col("first")))
+    gone = later.groupBy("doc_id", "doc_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("lines")))).alias("short"))  # bounded by the text
+    out = stored(gone.withColumnsRenamed({"doc_id": "d", "doc_hash": "h"}), "para-short-removed")
+    drop_stored(rows, first)
+    return out
+
+
 def _rest(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) and doc_hash, the removed paragraphs cut out of the texts."""
+    """``docs`` (doc_id, text) and doc_hash, the removed paragraphs (lines ``gone``) cut out of the texts."""
     gone = found.select(F.col("doc_id").alias("d"), F.col("doc_hash").alias("h"), F.transform(F.filter("found", lambda p: p["removed"]), lambda p: p["line"]).alias("gone"))
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("doc_hash")).join(gone, F.expr("doc_hash = h and doc_id <=> d"), "left")
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("gone", i))
-    return rows.select("doc_id", "doc_hash", F.when(F.size("gone") > 0, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("text"))
+    return rows.select("doc_id", "doc_hash", F.when(F.size("gone") > 0, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("text"), "gone")
 
 
 def _passages(rest: DataFrame) -> DataFrame:
     """(d, h, runs): the repeated passages of what is left of the texts."""
-    long = rest.where(F.octet_length("text") >= 2 * PASSAGE - 1)
+    long = rest.drop("gone").where(F.octet_length("text") >= 2 * PASSAGE - 1)
     return repeated_passages(long.withColumn("text", F.col("text").cast("binary"))).withColumnsRenamed({"doc_id": "d", "doc_hash": "h"})
 
 
@@ -88,15 +131,16 @@ def deduplicate(docs: DataFrame, percent: int = PERCENT, fewest_words: int = FEW
     (doc_id:line of the first paragraph of each repeated one, in order of lines);
     then n_passages, n_cut and passages: the runs of words (from:to, from 0, in the
     text without its removed lines) that lie in repeated passages and are cut, their
-    number and their words. A null or empty text has no paragraphs; lines of fewer
-    words are no paragraphs, but their words count in passages."""
+    number and their words; and n_short and short, the removed lines of fewer words
+    (see ``_short``: equal words only). A null or empty text has no paragraphs."""
     found = _removed(repeated_paragraphs(docs, percent, fewest_words))
     release(docs.sparkSession)
+    short = _short_removed(docs, fewest_words)
     rest = stored(_rest(docs, found), "para-rest")
     runs = _passages(rest)
     drop_stored(rest)
     rows = docs.select("doc_id", F.xxhash64("text").alias("doc_hash"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
-    for more in (found.withColumnsRenamed({"doc_id": "d", "doc_hash": "h"}), runs):
+    for more in (found.withColumnsRenamed({"doc_id": "d", "doc_hash": "h"}), short, runs):
         rows = rows.join(more, F.expr("doc_hash = h and doc_id <=> d"), "left").drop("d", "h")
     gone = F.filter("found", lambda p: p["removed"])
     pairs = F.transform(F.sequence(F.lit(0), F.size("runs") - 2, F.lit(2)), lambda i: F.struct(F.get("runs", i).alias("lo"), F.get("runs", i + 1).alias("hi")))
@@ -107,7 +151,8 @@ def deduplicate(docs: DataFrame, percent: int = PERCENT, fewest_words: int = FEW
         F.coalesce(F.array_join(F.transform("found", lambda p: F.concat_ws(":", p["class_doc"].cast("string"), p["class_line"].cast("string"))), ","), F.lit("")).alias("classes"),
         F.coalesce(F.size("runs"), F.lit(0)).cast("long").alias("n_passages"),
         F.coalesce(F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["hi"] - r["lo"]), F.lit(0).cast("long")).alias("n_cut"),
-        F.coalesce(F.array_join(F.transform("runs", lambda r: F.concat_ws(":", r["lo"].cast("string"), r["hi"].cast("string"))), ","), F.lit("")).alias("passages"))
+        F.coalesce(F.array_join(F.transform("runs", lambda r: F.concat_ws(":", r["lo"].cast("string"), r["hi"].cast("string"))), ","), F.lit("")).alias("passages"),
+        F.coalesce(F.size("short"), F.lit(0)).cast("long").alias("n_short"), F.coalesce(F.array_join(F.col("short").cast("array<string>"), ","), F.lit("")).alias("short"))
 
 
 def without_repeats(docs: DataFrame, percent: int = PERCENT, fewest_words: int = FEWEST_WORDS) -> DataFrame:
@@ -115,9 +160,12 @@ def without_repeats(docs: DataFrame, percent: int = PERCENT, fewest_words: int =
     passages of the rest, cut out of the texts."""
     found = _removed(repeated_paragraphs(docs, percent, fewest_words))
     rest = stored(_rest(docs, found), "para-rest")
-    rows = rest.join(_passages(rest), F.expr("doc_hash = h and doc_id <=> d"), "left")
+    rows = rest
+    for more in (_passages(rest), _short_removed(docs, fewest_words)):
+        rows = rows.join(more, F.expr("doc_hash = h and doc_id <=> d"), "left").drop("d", "h")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    cuts = rows.select("doc_id", F.col("text").cast("binary").alias("text"), "runs").mapInArrow(cut(1), f"doc_id {kind}, text binary")
+    moved = F.expr("transform(short, l -> cast(l - size(filter(coalesce(gone, array()), g -> g < l)) as int))")
+    cuts = rows.select("doc_id", F.col("text").cast("binary").alias("text"), "runs", moved.alias("lines")).mapInArrow(cut(1), f"doc_id {kind}, text binary")
     return cuts.withColumn("text", F.col("text").cast("string"))
 
 

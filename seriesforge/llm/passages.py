@@ -134,18 +134,22 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def cut(at: int) -> callable:
-    """Cuts the runs of words in column at + 1, if any, out of the text in column ``at``."""
+    """Cuts the runs of words in column at + 1 and the lines in column at + 2, if any,
+    out of the text in column ``at``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, runs in zip(batch.column(at), batch.column(at + 1)):
-                body, places = text.as_py(), runs.as_py()
-                if places:
+            for text, runs, lines in zip(batch.column(at), batch.column(at + 1), batch.column(at + 2)):
+                body, places, gone = text.as_py(), runs.as_py() or [], lines.as_py() or []
+                if places or gone:
                     starts, ends, _ = B.words(np.frombuffer(body, np.uint8), np.array([0, len(body)]))
+                    spans = [(int(starts[lo]), int(ends[hi - 1])) for lo, hi in zip(places[::2], places[1::2])]
+                    breaks = [-1, *(i for i, c in enumerate(body) if c == 10), len(body)] if gone else []
+                    spans += [(breaks[i] + 1, min(breaks[i + 1] + 1, len(body))) for i in gone]
                     pieces, last = [], 0
-                    for lo, hi in zip(places[::2], places[1::2]):
-                        pieces.append(body[last:starts[lo]])
-                        last = ends[hi - 1]
+                    for lo, hi in sorted(spans):
+                        pieces.append(body[last:max(lo, last)])
+                        last = max(hi, last)
                     body = b"".join([*pieces, body[last:]])
                 texts.append(body)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(at)), pa.array(texts, pa.binary())], names=batch.schema.names[:at + 1])

@@ -109,3 +109,19 @@ def test_passages_inside_longer_lines(docs_of):
     assert out[7].passages == "45:105" and out[0].n_cut == out[41].n_cut == 0 and out[53].n_cut == 60 and out[52].passages == "64:119"
     kept = {r.doc_id: r.text for r in P.without_repeats(docs_of(rows)).collect()}
     assert kept[0] == rows[0][1] and kept[7].split() == rows[7][1].split()[:45] + rows[7][1].split()[105:] and kept[53] == ""
+
+
+def test_short_lines(docs_of):
+    """Equal short lines, alone and joined, and 60 words broken into lines of 6."""
+    rng = random.Random(9)
+    prose = lambda n: " ".join(f"w{rng.randrange(900)}" for _ in range(n))
+    nine, broken = prose(9), "\n".join(prose(6) for _ in range(10))
+    rows = [(i, prose(20) + "\n" + (nine.upper() if i == 2 else nine) + "\n\n" + prose(20)) for i in range(4)]
+    rows += [(10, prose(15) + "\n" + broken + "\n" + prose(15)), (11, prose(12) + "\n" + broken + "\n" + prose(12)), (12, prose(12) + "\nodd one\n" + broken), (13, ""), (14, None)]
+    out = {r.doc_id: r for r in P.deduplicate(docs_of(rows)).collect()}
+    assert [out[i].short for i in range(4)] == ["", "1", "1", "1"] and out[10].short == "" and out[10].n_cut == 0
+    assert out[11].short == "1,2,3,4,5,6,7,8,9,10" and out[13].n_short == out[14].n_short == 0
+    assert all(r.n_repeated == 0 for r in out.values())
+    kept = {r.doc_id: r.text for r in P.without_repeats(docs_of(rows)).collect()}
+    assert kept[0] == rows[0][1] and kept[10] == rows[4][1] and kept[2].split() == rows[2][1].split()[:20] + rows[2][1].split()[29:]
+    assert not set(broken.split("\n")) & set(kept[11].split("\n")) and not set(broken.split("\n")) & set(kept[12].split("\n"))
