@@ -3,7 +3,7 @@ smoke data; the fitted-model queries against what must hold for any model."""
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from seriesforge.plans.catalog import ORACLE, QUERIES
 import oracle_harness as H
 

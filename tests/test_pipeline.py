@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from seriesforge.plans import train as TR
 from seriesforge.plans.pipeline import Pipeline
 from seriesforge.sources import store

@@ -3,7 +3,7 @@ no Python on the data path, filters and columns pushed to the scan."""
 
 import re
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from seriesforge.operators import features as FE
 from seriesforge.operators import profile as PR
 from seriesforge.plans.catalog import PANEL, QUERIES

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from seriesforge.plans.catalog import ORACLE, QUERIES
 import oracle_harness as H
 
