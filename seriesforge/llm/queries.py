@@ -5,6 +5,7 @@ from __future__ import annotations
 from seriesforge.llm import chat, decontaminate, merkle, near_dup, url_filter, warc
 from seriesforge.llm.chat import op4_chat_formatting
 from seriesforge.llm.decontaminate import op3_benchmark_decontamination
+from seriesforge.llm.langid import op12_language_id
 from seriesforge.llm.merkle import op11_merkle_manifest
 from seriesforge.llm.near_dup import op5_minhash_near_dup
 from seriesforge.llm.packing import op9_best_fit_packing
@@ -18,7 +19,8 @@ from seriesforge.llm.warc import op7_warc_bundles
 QUERIES = {
     f.__name__: f
     for f in (op1_quality_rules, op2_paragraph_dedup, op3_benchmark_decontamination, op4_chat_formatting, op5_minhash_near_dup,
-              op6_url_filters, op7_warc_bundles, op8_suffix_dedup, op9_best_fit_packing, op10_weak_supervision_pii, op11_merkle_manifest)
+              op6_url_filters, op7_warc_bundles, op8_suffix_dedup, op9_best_fit_packing, op10_weak_supervision_pii, op11_merkle_manifest,
+              op12_language_id)
 }
 
 #: The others train a model, hash, sort or tokenise in ways SQL cannot say; their
