@@ -4,8 +4,12 @@ writes them. Only names are listed here, never data."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from seriesforge.session import checkpoint_dir
+
 
 def join(root: str, *names: str) -> str:
     return "/".join([root.rstrip("/"), *names])
@@ -52,3 +56,21 @@ def read_latest(spark: SparkSession, folder: str) -> DataFrame | None:
     """The last complete version, None if there is none."""
     vs = versions(spark, folder)
     return spark.read.parquet(join(folder, f"v={vs[-1]}")) if vs else None
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to a new folder below the shared checkpoint folder and read it
+    back: lineage is cut, and nothing is computed twice. ``path_of`` names the folder."""
+    spark = df.sparkSession
+    path = join(checkpoint_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.path_of = path
+    return table
+
+
+def remove(*tables: DataFrame) -> None:
+    """Delete tables of :func:`staged` that nothing reads any more."""
+    for table in tables:
+        p, fs = _path(table.sparkSession, table.path_of)
+        fs.delete(p, True)
