@@ -1204,15 +1204,27 @@ def q_nearest_hour(spark, sf_dir):
 # Trained models (rows-only checks: no SQL equivalent of a fitted forest)
 # --------------------------------------------------------------------------
 def trained(spark, sf_dir):
-    """M1-M5 over all 7 horizons with the reference's model sizes (``full``)."""
+    """M1-M5 over all 7 horizons with the reference's model sizes (``full``), and
+    the folder of the run: trained once in an application, later calls read what
+    the first one stored."""
+    import hashlib
     from seriesforge.plans import train as TR
-    cfg = TR.TrainConfig(horizons=list(range(1, 8)), profile="full")
-    return TR.train_competition(features_table(spark, sf_dir, True), PANEL, cfg)
+    from seriesforge.session import checkpoint_dir
+    from seriesforge.sources import store
+    root = store.join(checkpoint_dir(spark), f"competition-{spark.sparkContext.applicationId}-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}")
+    if not store.exists(spark, store.join(root, "metrics", "_SUCCESS")):
+        cfg = TR.TrainConfig(horizons=list(range(1, 8)), profile="full")
+        res = TR.train_competition(features_table(spark, sf_dir, True), PANEL, cfg)
+        run = TR.save_models(res, store.join(root, "runs"))
+        res["winners"].withColumn("run_path", F.lit(run)).write.mode("overwrite").parquet(store.join(root, "winners"))
+        res["predictions"].write.mode("overwrite").parquet(store.join(root, "predictions"))
+        res["metrics"].coalesce(1).write.mode("overwrite").parquet(store.join(root, "metrics"))
+    return {x: spark.read.parquet(store.join(root, x)) for x in ("metrics", "winners", "predictions")}
 
 
 @query("m1_m2_m3_m5_train_competition")
 def q_train(spark, sf_dir):
-    """M1/M2/M3/M5: one fit per (candidate, horizon) on all series, holdout
+    """M1/M2/M3/M5: every candidate for every horizon on all series, holdout
     metrics per candidate."""
     return trained(spark, sf_dir)["metrics"]
 
@@ -1228,15 +1240,15 @@ def q_selection(spark, sf_dir):
 
 @query("m8_score_with_models")
 def q_score_models(spark, sf_dir):
-    """Models trained, saved and registered, then the last day of
-    every series scored from what is stored alone."""
+    """The trained run registered, then the last day of every series
+    scored from what is stored alone."""
     import uuid
     from seriesforge.plans import train as TR
     from seriesforge.session import checkpoint_dir
-    root = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex}"
-    res = trained(spark, sf_dir)
-    TR.update_registry(spark, root + "/registry", res["winners"], TR.save_models(res, root + "/runs"))
-    return TR.score_production(features_table(spark, sf_dir, False), PANEL, TR.read_registry(spark, root + "/registry"))
+    root = f"{checkpoint_dir(spark).rstrip('/')}/registry-{uuid.uuid4().hex}"
+    winners = trained(spark, sf_dir)["winners"]
+    TR.update_registry(spark, root, winners.drop("run_path"), winners.first()["run_path"])
+    return TR.score_production(features_table(spark, sf_dir, False), PANEL, TR.read_registry(spark, root))
 
 
 # one feature, one pooled line per horizon: least squares that SQL can say too

@@ -1,68 +1,59 @@
 """Direct multi-horizon training by competition, the model registry and
 scoring (M1-M9, M14, A25, D9, D10, S8-S10).
 
-One distributed Spark ML fit per (candidate, horizon) on an assembled table
-that is checkpointed once into the shared checkpoint folder; horizons differ
-only in ``labelCol``. All series train together with the series key as an
-indexed feature. Every training run has a folder of its own with its candidate
-models and its preprocessing (features, fill values, scaler, key index); the
-registry names the run folder of each production model. Nothing is edited in
-place, so a model can be loaded with exactly what it was trained with.
+Every candidate is a set of histogram trees (:mod:`seriesforge.plans.trees`). The
+table is binned once; the fits of all candidates and horizons run together. All
+series train together with the series key as an indexed feature. Every training run
+has a folder of its own with its trees and its preprocessing (features, bins, fill
+values, scaler, key index); the registry names the run folder of each production
+model. Nothing is edited in place, so a model can be loaded with exactly what it was
+trained with.
 """
 
 from __future__ import annotations
 
-import json
+import itertools
 import uuid
 from dataclasses import dataclass, field, replace
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.stat import Correlation
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesforge.operators import evaluate as EV
 from seriesforge.operators import split as SP
 from seriesforge.operators.features import TARGET_PREFIX, numeric_columns, split_features_targets
+from seriesforge.operators.histogram import Trees
+from seriesforge.plans import trees as TT
 from seriesforge.session import cut_lineage
 from seriesforge.sources import store
 from seriesforge.spec import SeriesSpec
 
 # Candidate order of the competition (ties go to the earlier).
-CANDIDATE_ORDER = ["RandomForest", "LightGBM", "XGBoost"]
+CANDIDATE_ORDER = ["RandomForest", "LeafwiseBoosting", "DepthwiseBoosting"]
 
+# Sizes of the candidates and of the feature selector (M2, M3, M4).
+FULL = {
+    "RandomForest": Trees("forest", trees=300, max_depth=15, min_split=5, min_leaf=2),
+    "LeafwiseBoosting": Trees("boost", trees=500, learning_rate=0.05, max_depth=8, max_leaves=31, min_leaf=20),
+    "DepthwiseBoosting": Trees("boost", trees=500, learning_rate=0.05, max_depth=8, min_leaf=3, l2=1.0),
+}
+SELECTOR = Trees("boost", trees=400, learning_rate=0.1, max_depth=16, max_leaves=60, min_leaf=20)
 
-def candidate_models(profile: str = "full", seed: int = 42) -> dict:
-    """M2/M3: the three candidates. ``full`` mirrors the reference sizes
-    (300 trees depth 15; 500 boosting rounds at 0.05) and is what the registered
-    queries train; ``standard`` (30 trees depth 8; 20 rounds at 0.2, where a round
-    is a Spark job) and ``smoke`` are smaller, for trials and tests.
-    The boosting libraries are re-aimed onto two GBTRegressor profiles."""
+
+def candidate_models(profile: str = "full", seed: int = 42) -> dict[str, Trees]:
+    """M2/M3: the three candidates: a forest, boosting that splits the best leaf
+    first, and boosting that splits whole levels. ``full`` has the sizes above and is
+    what the registered queries train; ``smoke`` is for trials and tests."""
     if profile == "full":
-        return {
-            "RandomForest": RandomForestRegressor(numTrees=300, maxDepth=15, minInstancesPerNode=2,
-                                                  featureSubsetStrategy="all", seed=seed),
-            "LightGBM": GBTRegressor(maxIter=500, stepSize=0.05, maxDepth=5, minInstancesPerNode=20,
-                                     maxBins=256, seed=seed),
-            "XGBoost": GBTRegressor(maxIter=500, stepSize=0.05, maxDepth=8, minInstancesPerNode=3,
-                                    maxBins=256, seed=seed),
-        }
-    if profile == "standard":
-        return {
-            "RandomForest": RandomForestRegressor(numTrees=30, maxDepth=8, minInstancesPerNode=2,
-                                                  featureSubsetStrategy="all", seed=seed),
-            "LightGBM": GBTRegressor(maxIter=20, stepSize=0.2, maxDepth=4, minInstancesPerNode=20, maxBins=64, seed=seed),
-            "XGBoost": GBTRegressor(maxIter=20, stepSize=0.2, maxDepth=5, minInstancesPerNode=3, maxBins=64, seed=seed),
-        }
-    return {
-        "RandomForest": RandomForestRegressor(numTrees=10, maxDepth=5, minInstancesPerNode=2,
-                                              featureSubsetStrategy="all", seed=seed),
-        "LightGBM": GBTRegressor(maxIter=5, stepSize=0.3, maxDepth=3, minInstancesPerNode=20, seed=seed),
-        "XGBoost": GBTRegressor(maxIter=5, stepSize=0.3, maxDepth=4, minInstancesPerNode=3, seed=seed),
-    }
+        return {k: replace(v, seed=seed) for k, v in FULL.items()}
+    if profile == "smoke":
+        return {"RandomForest": replace(FULL["RandomForest"], trees=10, max_depth=5, seed=seed),
+                "LeafwiseBoosting": replace(FULL["LeafwiseBoosting"], trees=5, learning_rate=0.3, max_depth=4, max_leaves=8, seed=seed),
+                "DepthwiseBoosting": replace(FULL["DepthwiseBoosting"], trees=5, learning_rate=0.3, max_depth=4, seed=seed)}
+    raise ValueError(f"no profile {profile}")
 
 
 def linear_baseline(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig | None = None) -> DataFrame:
@@ -87,16 +78,17 @@ def linear_baseline(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig | No
     return EV.metrics(allp, ["candidate", "horizon"])
 
 
-def grid_candidates(base: dict, grid: dict) -> dict:
-    """Expand candidates over a parameter grid (ParamGridBuilder); each
+def grid_candidates(base: dict[str, Trees], grid: dict) -> dict[str, Trees]:
+    """Expand candidates over a grid {candidate: {size: [values]}}; each
     combination competes as its own named candidate."""
     out = {}
-    for name, est in base.items():
-        b = ParamGridBuilder()
-        for pname, values in grid.get(name, {}).items():
-            b = b.addGrid(est.getParam(pname), values)
-        for i, pm in enumerate(b.build() or [{}]):
-            out[f"{name}#{i}" if pm else name] = est.copy(pm)
+    for name, trees in base.items():
+        sizes = grid.get(name, {})
+        combos = list(itertools.product(*sizes.values())) if sizes else []
+        for i, combo in enumerate(combos):
+            out[f"{name}#{i}"] = replace(trees, **dict(zip(sizes, combo)))
+        if not combos:
+            out[name] = trees
     return out
 
 
@@ -109,12 +101,12 @@ class TrainConfig:
     top_k: int = 30
     validation_year: int | None = None  # D2: train on the years before it, test on it, instead of train_frac
     alias_corr: float = 0.999999     # M4: copies of a feature are not ranked twice
-    candidates: dict | None = None   # D9: estimators by name, instead of those of ``profile``
-    grid: dict | None = None         # D9: {candidate: {param: [values]}}, each combination competes
-    selection: str = "linear_shap"   # or "tree_importance", "none"
-    early_stopping: bool = False     # D10: GBT validationIndicatorCol
-    validation_tol: float = 0.01
-    parallelism: int | None = None   # concurrent fits; default min(#fits, defaultParallelism)
+    candidates: dict | None = None   # D9: sizes by name, instead of those of ``profile``
+    grid: dict | None = None         # D9: {candidate: {size: [values]}}, each combination competes
+    selection: str = "linear_shap"   # or "none"
+    patience: int = 0                # D10: boosting stops after so many rounds without a lower validation error
+    validation_frac: float = 0.1     # D10: the last dates of the training rows validate
+    in_task_rows: int = TT.IN_TASK_ROWS
 
 
 def prepare(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig):
@@ -158,20 +150,15 @@ def select_features(train: DataFrame, feats: list[str], label: str, cfg: TrainCo
     """M4/A25 (re-aimed): importance per feature from the training rows of
     the first horizon, top k. ``linear_shap``: exact Shapley values of a linear
     model, phi_j = beta_j (x_j - mean_j), averaged in absolute value by one
-    aggregation; ``tree_importance``: a random forest's impurity importance.
-    Returns (rank, feature, importance)."""
+    aggregation. Returns (rank, feature, importance)."""
     spark = train.sparkSession
     feats = distinct_features(train, feats, cfg.alias_corr)
     vec = VectorAssembler(inputCols=feats, outputCol="features")
-    if cfg.selection == "tree_importance":
-        m = RandomForestRegressor(numTrees=50, maxDepth=8, seed=42, labelCol=label).fit(vec.transform(train))
-        imp = [(f, float(v)) for f, v in zip(feats, m.featureImportances.toArray())]
-    else:
-        lr = LinearRegression(labelCol=label, regParam=0.0, standardization=False).fit(vec.transform(train))
-        mu = train.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in feats]).first()
-        # |phi| = |beta| |x - mean|: one aggregate row over the training rows
-        spread = train.agg(*[F.avg(F.abs(F.col(c).cast("double") - F.lit(mu[c] or 0.0))).alias(c) for c in feats]).first()
-        imp = [(c, abs(float(b)) * float(spread[c] or 0.0)) for c, b in zip(feats, lr.coefficients)]
+    lr = LinearRegression(labelCol=label, regParam=0.0, standardization=False).fit(vec.transform(train))
+    mu = train.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in feats]).first()
+    # |phi| = |beta| |x - mean|: one aggregate row over the training rows
+    spread = train.agg(*[F.avg(F.abs(F.col(c).cast("double") - F.lit(mu[c] or 0.0))).alias(c) for c in feats]).first()
+    imp = [(c, abs(float(b)) * float(spread[c] or 0.0)) for c, b in zip(feats, lr.coefficients)]
     imp.sort(key=lambda x: (-x[1], x[0]))
     return spark.createDataFrame([(i + 1, *x) for i, x in enumerate(imp[:cfg.top_k])],
                                  "rank int, feature string, importance double")
@@ -220,8 +207,9 @@ def index_keys(df: DataFrame, spec: SeriesSpec, mapping: dict[str, DataFrame] |
 def train_competition(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig | None = None,
                       out_dir: str | None = None):
     """M1/M5: fit every candidate for every horizon, score the holdout, pick
-    the lowest RMSE per horizon. Returns dict with ``predictions`` (long),
-    ``metrics``, ``winners``, ``features`` and fitted ``models``."""
+    the lowest RMSE per horizon. Returns dict with ``predictions`` (long, stored),
+    ``metrics``, ``winners``, ``features``, the ``trees`` of all models, ``rounds``
+    (validation errors with ``patience``) and the preprocessing."""
     cfg = cfg or TrainConfig()
     spark = features.sparkSession
     lab, feats, targets, fill = prepare(features, spec, cfg)
@@ -239,48 +227,30 @@ def train_competition(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig |
         chosen = [r["feature"] for r in sel.orderBy("rank").collect()]  # at most top_k names
         feats = chosen + [f for f in feats if f.endswith("__idx") and f not in chosen]
     scaled, scaler = scale(lab, train, feats)
-    vec = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="error")
-    data = vec.transform(scaled).select(*spec.key_cols, spec.time, "is_train", "features", *targets)
-    data = data.persist()
-    tr, te = data.where("is_train = 1"), data.where("is_train = 0")
     cands = cfg.candidates or candidate_models(cfg.profile)
     if cfg.grid:
         cands = grid_candidates(cands, cfg.grid)
-    if cfg.early_stopping:
+    cuts = TT.cut_points(scaled.where("is_train = 1"), feats)
+    part = F.when(F.col("is_train") == 1, F.lit(0))
+    if cfg.patience:
         # The last dates of the training rows validate the boosting rounds
-        tr_val = SP.label_split(tr.drop("is_train"), spec.time, 0.9) \
-            .withColumn("__val", F.col("is_train") == 0).drop("is_train")
-
-    def fit_one(job):
-        name, est, h, tcol = job
-        e = est.copy().setLabelCol(tcol).setFeaturesCol("features").setPredictionCol("y_pred")
-        fit_on = tr
-        if cfg.early_stopping and isinstance(e, GBTRegressor):
-            fit_on = tr_val
-            e = e.setValidationIndicatorCol("__val")
-            e = e.copy({e.validationTol: cfg.validation_tol})
-        return (name, h), e.fit(fit_on)
-
-    jobs = [(name, est, h, tcol) for h, tcol in zip(cfg.horizons, targets) for name, est in cands.items()]
-    from concurrent.futures import ThreadPoolExecutor
-    par = cfg.parallelism or min(len(jobs), spark.sparkContext.defaultParallelism)
-    with ThreadPoolExecutor(max_workers=max(1, par)) as pool:
-        models = dict(pool.map(fit_one, jobs))
-    preds = []
-    for name, _, h, tcol in jobs:
-        p = models[(name, h)].transform(te).select(
-            *spec.key_cols, spec.time, F.lit(h).alias("horizon"), F.lit(name).alias("candidate"),
-            F.col(tcol).cast("double").alias("y_true"), F.col("y_pred"))
-        preds.append(p)
-    allp = preds[0]
-    for p in preds[1:]:
-        allp = allp.unionByName(p)
-    allp = cut_lineage(allp)
-    data.unpersist()
+        cands = {k: replace(v, patience=cfg.patience) if v.kind == "boost" else v for k, v in cands.items()}
+        last = SP.date_positions(lab.where("is_train = 1"), spec.time, 1 - cfg.validation_frac).withColumnRenamed("is_train", "__early")
+        scaled = scaled.join(last, spec.time, "left")
+        part = F.when(F.col("is_train") == 1, F.when(F.col("__early") == 1, F.lit(0)).otherwise(F.lit(1)))
+    rows = scaled.withColumn("__row", F.xxhash64(*spec.key_cols, spec.time)).withColumn("__part", part) \
+        .withColumn("__y", F.array(*[F.col(t).cast("double") for t in targets]))
+    table = TT.binned(rows, cuts, [*spec.key_cols, spec.time, "is_train", "__row", "__part", "__y"])
+    table = store.staged(table.withColumnsRenamed({"__row": "row", "__part": "part", "__y": "y"}), "binned")
+    fit = TT.fitted(table, cands, cfg.horizons, in_task_rows=cfg.in_task_rows)
+    # every candidate and horizon on the rows held out
+    scored = TT.predictions(table.where("is_train = 0"), fit.trees, [*spec.key_cols, spec.time, "y"])
+    truth = F.element_at("y", F.array_position(F.array(*map(F.lit, cfg.horizons)), F.col("horizon")).cast("int"))
+    allp = store.staged(scored.select(*spec.key_cols, spec.time, "horizon", "candidate", truth.alias("y_true"), "y_pred"), "predictions")
     met = EV.metrics(allp, ["candidate", "horizon"])
     win = cut_lineage(EV.pick_winner(met, ["horizon"], order=list(cands)))
-    res = {"predictions": allp, "metrics": met, "winners": win, "features": feats, "selection": sel,
-           "models": models, "scaler": scaler, "candidates": list(cands), "indexer": idx, "fill": fill}
+    res = {"predictions": allp, "metrics": met, "winners": win, "features": feats, "selection": sel, "trees": fit.trees, "rounds": fit.rounds,
+           "cuts": cuts, "scaler": scaler, "candidates": list(cands), "indexer": idx, "fill": fill}
     if out_dir:
         save_models(res, out_dir)
     return res
@@ -303,35 +273,28 @@ def expanding_folds(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig | No
 
 
 def save_models(res: dict, out_dir: str) -> str:
-    """A new run folder with every candidate model, the feature list,
-    the fill values, the scaler and the key index. Returns its path, which the
-    result also carries as ``run_path``."""
+    """A new run folder with the trees of every candidate, the feature list
+    with its bins and scaler, the fill values and the key index. Returns its path,
+    which the result also carries as ``run_path``."""
     run = store.join(out_dir, f"run={uuid.uuid4().hex}")
     spark = res["metrics"].sparkSession
-    for (name, h), m in res["models"].items():
-        m.write().save(_model_path(run, name, h))
-    spark.createDataFrame([(i + 1, f) for i, f in enumerate(res["features"])], "rank int, feature string") \
-        .write.parquet(store.join(run, "selected_features"))
-    spark.createDataFrame([(k, float(v[0] or 0.0), float(v[1] or 0.0)) for k, v in res["scaler"].items()],
-                          "feature string, mu double, sd double").write.parquet(store.join(run, "scaler"))
-    spark.createDataFrame(list(res["fill"].items()), "feature string, value double").write.parquet(store.join(run, "fill"))
+    res["trees"].repartition("candidate", "horizon").write.partitionBy("candidate", "horizon").parquet(store.join(run, "trees"))
+    prep = [(i + 1, f, float(res["scaler"][f][0] or 0.0), float(res["scaler"][f][1] or 0.0), [float(x) for x in res["cuts"][f]]) for i, f in enumerate(res["features"])]
+    spark.createDataFrame(prep, "rank int, feature string, mu double, sd double, cuts array<double>").coalesce(1).write.parquet(store.join(run, "selected_features"))
+    spark.createDataFrame(list(res["fill"].items()), "feature string, value double").coalesce(1).write.parquet(store.join(run, "fill"))
     for k, table in res["indexer"].items():
         table.write.parquet(store.join(run, "index", k))
     res["run_path"] = run
     return run
 
 
-def _model_path(run: str, candidate: str, horizon: int) -> str:
-    return store.join(run, "candidates", f"{candidate.replace('#', '-')}_h{horizon}")
-
-
 def load_preprocessing(spark: SparkSession, run: str) -> dict:
     """What :func:`save_models` saved beside the models of a run."""
-    feats = [r["feature"] for r in spark.read.parquet(store.join(run, "selected_features")).orderBy("rank").collect()]
-    scaler = {r["feature"]: (r["mu"], r["sd"]) for r in spark.read.parquet(store.join(run, "scaler")).collect()}
+    rows = spark.read.parquet(store.join(run, "selected_features")).orderBy("rank").collect()  # a row for each feature
     fill = {r["feature"]: r["value"] for r in spark.read.parquet(store.join(run, "fill")).collect()}
     index = {k: spark.read.parquet(store.join(run, "index", k)) for k in store.names(spark, store.join(run, "index"))}
-    return {"features": feats, "scaler": scaler, "fill": fill, "indexer": index}
+    return {"features": [r["feature"] for r in rows], "scaler": {r["feature"]: (r["mu"], r["sd"]) for r in rows},
+            "cuts": {r["feature"]: list(r["cuts"]) for r in rows}, "fill": fill, "indexer": index}
 
 
 # ---------------------------------------------------------------- registry
@@ -355,25 +318,14 @@ def update_registry(spark: SparkSession, root: str, winners: DataFrame, run: str
     dec = cut_lineage(EV.promote(new, old, ["horizon"]))
     newrows = dec.where("promoted = 1").select(
         "horizon", F.col("new_rmse").alias("rmse"), "mae", "mape", "r2", "candidate", F.lit(run).alias("run_path"),
-        F.concat(F.lit(store.join(run, "candidates") + "/"), F.regexp_replace("candidate", "#", "-"), F.lit("_h"), F.col("horizon").cast("string")).alias("model_path"))
+        F.concat(F.lit(store.join(run, "trees") + "/candidate="), "candidate", F.lit("/horizon="), F.col("horizon").cast("string")).alias("model_path"))
     kept = old.join(newrows.select("horizon"), "horizon", "left_anti")
     store.write_version(kept.unionByName(newrows).coalesce(1), root)
     return dec
 
 
-def _load_any(spark: SparkSession, path: str):
-    from pyspark.ml.regression import (GBTRegressionModel, LinearRegressionModel,
-                                       RandomForestRegressionModel)
-    meta = json.loads(spark.read.text(store.join(path, "metadata")).first()[0])
-    cls = meta.get("class", "")
-    for c in (RandomForestRegressionModel, GBTRegressionModel, LinearRegressionModel, PipelineModel):
-        if cls.endswith(c.__name__):
-            return c.load(path)
-    raise ValueError(f"unknown model class {cls} in {path}")
-
-
 def _prepared_latest(prod_features: DataFrame, spec: SeriesSpec, pre: dict) -> DataFrame:
-    """The last row of every series, filled, scaled and assembled as in training."""
+    """The last row of every series, filled, scaled and binned as in training."""
     from seriesforge.operators.forecast import last_rows
     last = last_rows(prod_features, spec, 1)
     if pre["indexer"]:
@@ -383,35 +335,37 @@ def _prepared_latest(prod_features: DataFrame, spec: SeriesSpec, pre: dict) -> D
                          else F.col(c) for c in last.columns])
     cols = [((F.col(c).cast("double") - F.lit(mu_sd[c][0] or 0.0)) /
              F.lit(1.0 if not mu_sd[c][1] else mu_sd[c][1])).alias(c) for c in feats]
-    x = VectorAssembler(inputCols=feats, outputCol="features").transform(last.select(*spec.key_cols, spec.time, *cols))
-    return cut_lineage(x)  # one row per series, read by every horizon's model
+    rows = last.select(*spec.key_cols, spec.time, *cols)
+    return TT.binned(rows, {f: pre["cuts"][f] for f in feats}, [*spec.key_cols, spec.time])
 
 
-def _scored(parts: list, spec: SeriesSpec, as_of) -> DataFrame:
-    """``parts``: (horizon, candidate, model, prepared rows) of every horizon."""
+def _scored(rows: DataFrame, trees: DataFrame, spec: SeriesSpec, as_of) -> DataFrame:
     from seriesforge.operators.forecast import date_forecast
-    out = None
-    for h, name, m, x in parts:
-        p = m.transform(x).select(*spec.key_cols, F.col(spec.time).alias("origin_date"),
-                                  F.lit(h).alias("horizon"), F.lit(name).alias("candidate"), "y_pred")
-        out = p if out is None else out.unionByName(p)
-    return date_forecast(out, "origin_date", as_of)
+    p = TT.predictions(rows, trees, [*spec.key_cols, spec.time])
+    return date_forecast(p.select(*spec.key_cols, F.col(spec.time).alias("origin_date"), "horizon", "candidate", "y_pred"), "origin_date", as_of)
 
 
 def score_latest(prod_features: DataFrame, spec: SeriesSpec, res: dict, as_of=None) -> DataFrame:
     """M8/M9 with a training result at hand: the last row of every series
     through each horizon's winner; target date = last date + h (or as_of + h - 1)."""
-    x = _prepared_latest(prod_features, spec, res)
-    win = {r["horizon"]: r["candidate"] for r in res["winners"].collect()}  # <= 7 rows
-    return _scored([(h, name, res["models"][(name, h)], x) for h, name in sorted(win.items())], spec, as_of)
+    best = res["trees"].join(F.broadcast(res["winners"].select("candidate", "horizon")), ["candidate", "horizon"])  # a row for each horizon
+    return _scored(_prepared_latest(prod_features, spec, res), best, spec, as_of)
 
 
 def score_production(prod_features: DataFrame, spec: SeriesSpec, registry: DataFrame, as_of=None) -> DataFrame:
     """M8/M9 from storage: each horizon's production model, loaded with the
-    preprocessing of the run that trained it."""
+    preprocessing of the run that trained it. One pass for each run that the
+    registry names; its models are read together."""
     spark = prod_features.sparkSession
-    rows = sorted(registry.collect(), key=lambda r: r["horizon"])  # one row per horizon
-    if not rows:
+    runs: dict[str, list] = {}
+    for r in registry.collect():  # one row per horizon
+        runs.setdefault(r["run_path"], []).append(r)
+    if not runs:
         raise ValueError("no model is registered")
-    prepared = {run: _prepared_latest(prod_features, spec, load_preprocessing(spark, run)) for run in {r["run_path"] for r in rows}}
-    return _scored([(r["horizon"], r["candidate"], _load_any(spark, r["model_path"]), prepared[r["run_path"]]) for r in rows], spec, as_of)
+    out = None
+    for run, rows in sorted(runs.items()):
+        chosen = spark.createDataFrame([(r["candidate"], r["horizon"]) for r in rows], "candidate string, horizon int")
+        trees = spark.read.schema(TT.TREE).parquet(store.join(run, "trees")).join(F.broadcast(chosen), ["candidate", "horizon"])
+        part = _scored(_prepared_latest(prod_features, spec, load_preprocessing(spark, run)), trees, spec, as_of)
+        out = part if out is None else out.unionByName(part)
+    return out

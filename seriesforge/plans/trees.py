@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from seriesforge.operators import histogram as H
 from seriesforge.operators.histogram import Trees
+from seriesforge.session import for_workers
 from seriesforge.sources import store
 
 IN_TASK_ROWS = 100_000
@@ -65,6 +66,7 @@ def _binner(cuts: list[np.ndarray], kept: int) -> callable:
 def binned(df: DataFrame, cuts: dict[str, list[float]], keep: list[str]) -> DataFrame:
     """``keep`` columns and bins: a byte for each feature, in the order of ``cuts``.
     A null feature counts as below all others."""
+    for_workers(df.sparkSession)
     feats = list(cuts)
     rows = df.select(*keep, *[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("-inf"))).alias(f"__{i}") for i, c in enumerate(feats)])
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:len(keep)])
@@ -99,6 +101,7 @@ def fitted(rows: DataFrame, candidates: dict[str, Trees], horizons: list[int], l
     every row that does not depend on how the table is read), bins, ``label`` (an array
     with a target for each horizon) and ``seen`` (0: training, 1: validation; other rows
     are not looked at). Should be a stored table; it is read once a job."""
+    for_workers(rows.sparkSession)
     rows = rows.where(F.col(seen).isin(0, 1)).select("row", "bins", F.col(label).alias("y"), (F.col(seen) == 1).alias("valid"))
     train = rows.where(~F.col("valid"))
     spans = train.agg(F.count("*").alias("n"), *[x for i in range(len(horizons)) for x in (
@@ -373,7 +376,7 @@ def predictions(rows: DataFrame, trees: DataFrame, keep: list[str]) -> DataFrame
     """(keep..., candidate, horizon, y_pred): every row of ``rows`` (keep..., bins)
     through every model of ``trees``, as many models at a time as make up
     ``MODEL_BYTES`` (one may be larger)."""
-    spark = rows.sparkSession
+    spark = for_workers(rows.sparkSession)
     sizes = trees.groupBy("candidate", "horizon").agg(F.sum(F.size("left")).alias("nodes")).collect()  # a row for each model
     if not sizes:
         raise ValueError("no trees")

@@ -65,6 +65,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def for_workers(spark: SparkSession) -> SparkSession:
+    """Python workers import this package from where it lies, unless the session
+    says otherwise. On a cluster it is installed, or shipped with --py-files."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    return spark
+
+
 def cut_lineage(df, spark: SparkSession | None = None):
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     spark = spark or df.sparkSession

@@ -13,7 +13,7 @@ from seriesforge.sources import store
 
 def test_competition_registry_and_scoring(spark, tmpdir_path):
     f = features_table(spark, SF_SMALL, True)
-    cfg = TR.TrainConfig(horizons=[1, 2], profile="smoke", top_k=10, parallelism=3)
+    cfg = TR.TrainConfig(horizons=[1, 2], profile="smoke", top_k=10)
     res = TR.train_competition(f, PANEL, cfg, out_dir=os.path.join(tmpdir_path, "models"))
     met = res["metrics"].collect()
     assert len(met) == 6 and all(m.rmse > 0 and m.n > 0 for m in met)
@@ -36,7 +36,7 @@ def test_competition_registry_and_scoring(spark, tmpdir_path):
     d1 = {r.horizon: r.action for r in TR.update_registry(spark, root, res["winners"], run).collect()}
     assert set(d1.values()) == {"promoted_first"}
     # a later run with equal metrics: equal is not better, the registry keeps the first run's models
-    later = {**res, "models": {k: res["models"][(k[0], 3 - k[1])] for k in res["models"]}}
+    later = {**res, "trees": res["trees"].withColumn("horizon", 3 - F.col("horizon"))}
     second = TR.save_models(later, os.path.join(tmpdir_path, "models"))
     d2 = {r.horizon: r.action for r in TR.update_registry(spark, root, res["winners"], second).collect()}
     assert set(d2.values()) == {"rejected"} and second != run
@@ -49,6 +49,16 @@ def test_competition_registry_and_scoring(spark, tmpdir_path):
     again = TR.score_production(features_table(fresh, SF_SMALL, False), PANEL, TR.read_registry(fresh, root))
     assert {(r.series_id, r.horizon): r.y_pred for r in again.collect()} == {k: r.y_pred for k, r in fc.items()}
 
+    # the metrics, recomputed in SQL from the stored predictions
+    import duckdb
+    sql = duckdb.sql(f"""SELECT candidate, horizon, count(*) AS n, sqrt(avg((y_true - y_pred) ** 2)) AS rmse, avg(abs(y_true - y_pred)) AS mae,
+      1 - sum((y_true - y_pred) ** 2) / (count(*) * var_pop(y_true)) AS r2 FROM read_parquet('{res["predictions"].path_of.replace("file:", "")}/*.parquet') GROUP BY ALL""").fetchall()
+    want = {(c, h): (n, rmse, mae, r2) for c, h, n, rmse, mae, r2 in sql}
+    assert len(want) == len(met)
+    for m in met:
+        n, rmse, mae, r2 = want[m.candidate, m.horizon]
+        assert m.n == n and abs(m.rmse / rmse - 1) < 1e-9 and abs(m.mae / mae - 1) < 1e-9 and abs(m.r2 - r2) < 1e-9
+
 
 def test_ranking_ignores_copies(spark):
     import random
@@ -72,17 +82,19 @@ def test_key_index_is_a_table(spark):
     assert sorted(r["series_id__idx"] for r in TR.index_keys(new, PANEL, tables)[0].collect()) == [5.0, 37.0, 37.0]
 
 
-def test_grid_and_early_stopping(spark):
-    base = TR.candidate_models("smoke")
-    g = TR.grid_candidates({"XGBoost": base["XGBoost"]}, {"XGBoost": {"maxDepth": [2, 3]}})
-    assert sorted(g) == ["XGBoost#0", "XGBoost#1"]
-    assert sorted(e.getOrDefault("maxDepth") for e in g.values()) == [2, 3]
+def test_grid_and_patience(spark):
+    base = TR.candidate_models("smoke")["DepthwiseBoosting"]
+    g = TR.grid_candidates({"DepthwiseBoosting": base, "x": base}, {"DepthwiseBoosting": {"max_depth": [2, 3], "trees": [4]}})
+    assert sorted(g) == ["DepthwiseBoosting#0", "DepthwiseBoosting#1", "x"]
+    assert [g[f"DepthwiseBoosting#{i}"].max_depth for i in (0, 1)] == [2, 3] and g["DepthwiseBoosting#0"].trees == 4
     f = features_table(spark, SF_SMALL, True)
-    cfg = TR.TrainConfig(horizons=[1], profile="smoke", selection="none", early_stopping=True)
-    res = TR.train_competition(f, PANEL, cfg)
-    assert res["metrics"].count() == 3
-    grid = TR.TrainConfig(horizons=[1], selection="none", candidates={"XGBoost": base["XGBoost"]}, grid={"XGBoost": {"maxDepth": [2, 3]}})
-    assert sorted(r.candidate for r in TR.train_competition(f, PANEL, grid)["metrics"].collect()) == ["XGBoost#0", "XGBoost#1"]
+    grid = TR.TrainConfig(horizons=[1], selection="none", candidates={"b": base}, grid={"b": {"max_depth": [2, 3]}}, patience=2)
+    res = TR.train_competition(f, PANEL, grid)
+    assert sorted(r.candidate for r in res["metrics"].collect()) == ["b#0", "b#1"]
+    # kept rounds: up to the lowest validation error
+    for name in ("b#0", "b#1"):
+        errors = [r.validation_rmse for r in sorted(res["rounds"].where(F.col("candidate") == name).collect(), key=lambda r: r["round"])]
+        assert res["trees"].where((F.col("candidate") == name) & (F.col("tree") >= 0)).count() == errors.index(min(errors)) + 1
     lin = TR.linear_baseline(f, PANEL, TR.TrainConfig(horizons=[1], selection="none")).collect()
     assert len(lin) == 1 and lin[0].rmse > 0
 
@@ -114,7 +126,7 @@ def test_model_beats_persistence_on_weekly_series(spark):
 def test_expanding_folds_train_on_the_years_before(spark):
     from seriesforge.operators import evaluate as EV
     f = features_table(spark, SF_SMALL, True)
-    cfg = TR.TrainConfig(horizons=[1], selection="none", candidates={"XGBoost": TR.candidate_models("smoke")["XGBoost"]})
+    cfg = TR.TrainConfig(horizons=[1], selection="none", candidates={"b": TR.candidate_models("smoke")["DepthwiseBoosting"]})
     met = TR.expanding_folds(f, PANEL, cfg, [1996, 1997])
     rows = {r.fold: r for r in met.collect()}
     for year in (1996, 1997):
@@ -126,15 +138,9 @@ def test_expanding_folds_train_on_the_years_before(spark):
     assert len(total) == 1 and total[0].n_folds == 2
 
 
-def test_registered_queries_train_the_full_sizes(monkeypatch):
-    """M2/M3: 300 trees of depth 15 and 500 rounds at 0.05 in m1_... and m8_..."""
-    from seriesforge.plans import catalog, train
-    seen = []
-    monkeypatch.setattr(catalog, "features_table", lambda *a: None)
-    monkeypatch.setattr(train, "train_competition", lambda features, spec, cfg: seen.append(cfg))
-    catalog.trained(None, "")
-    monkeypatch.setattr(train, "RandomForestRegressor", lambda **k: k)
-    monkeypatch.setattr(train, "GBTRegressor", lambda **k: k)
-    models = train.candidate_models(seen[0].profile)
-    assert (models["RandomForest"]["numTrees"], models["RandomForest"]["maxDepth"]) == (300, 15)
-    assert all((models[m]["maxIter"], models[m]["stepSize"]) == (500, 0.05) for m in ("LightGBM", "XGBoost"))
+def test_full_sizes():
+    """M2/M3: 300 trees of depth 15 and 500 rounds at 0.05, which m1_... and m8_... train."""
+    models = TR.candidate_models("full")
+    assert (models["RandomForest"].trees, models["RandomForest"].max_depth, models["RandomForest"].min_split, models["RandomForest"].min_leaf) == (300, 15, 5, 2)
+    assert all((models[m].trees, models[m].learning_rate, models[m].max_depth) == (500, 0.05, 8) for m in ("LeafwiseBoosting", "DepthwiseBoosting"))
+    assert models["LeafwiseBoosting"].max_leaves == 31 and models["LeafwiseBoosting"].min_leaf == 20 and models["DepthwiseBoosting"].min_leaf == 3
