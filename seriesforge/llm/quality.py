@@ -1,12 +1,15 @@
 """Quality rules: fixed base rules and a calibrated n-gram classifier (operator 1).
 
-The classifier is a logistic regression (Spark ML) over hashed word n-grams and
-hashed character n-grams, each as shares of the text's n-grams. It is trained on
-a bounded sample of the labelled rows, ``sample`` of each class, the smallest
-hashes of doc_id; a quarter of them is held out to calibrate the margin to a
-probability (Platt scaling, weighted to the classes' shares among all labels).
-Documents are scored in Arrow batches, a document is read once; what is sent to
-the tasks is the weight vector, ``2**BITS`` floats for each kind of n-gram.
+The classifier is a logistic regression over hashed word n-grams and hashed
+character n-grams, each as shares of the text's n-grams. It is trained on a bounded
+sample of the labelled rows, ``sample`` of each class, the smallest hashes of
+doc_id and one row of each id; a quarter of them is held out to calibrate the margin
+to a probability (Platt scaling, weighted to the classes' shares among all labels;
+on the training rows where too few are left to hold any out). The sample's sparse
+features, at most ``2 * sample`` rows, are gathered in one task, which minimises the
+regularised loss by L-BFGS. Documents are scored in Arrow batches, a document is
+read once; what is sent to the tasks is the weight vector, ``2**BITS`` floats for
+each kind of n-gram.
 """
 
 from __future__ import annotations
@@ -16,21 +19,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesforge.llm import bytesplit as B
 from seriesforge.llm.common import read_table, stored, utf8
-from seriesforge.session import cut_lineage
 
 BITS = 16
 WORD_N = (1, 2)
 CHAR_N = (2, 3, 4)
 SCALE = 100.0  # shares are in per cent
 SAMPLE = 2000  # labelled rows of each class
+STEPS = 60  # of L-BFGS
+PENALTY = 0.01  # on the weights of features scaled to variance 1
 KEEP_AT = 0.5  # calibrated probability of good quality
 FEWEST_WORDS = 20
 REPEAT_PERCENT = 30
@@ -142,25 +143,118 @@ class QualityModel:
     offset: float
 
 
+def _one_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the rows (doc_id, text hash, ...) of a task one for each of the sample's
+    ids, that of the smallest hash: as many as the sample has at most."""
+    best: dict = {}
+    for batch in batches:
+        for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+            if key[0] not in best or key[1] < best[key[0]][0]:
+                best[key[0]] = key[1], pa.RecordBatch.from_arrays([pa.concat_arrays([c.slice(i, 1)]) for c in batch.columns], schema=batch.schema)
+    for _, row in best.values():
+        yield row
+
+
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at, data, off in B.blocks(batch.column(0)):
             made = features(data, off)
             n = len(made)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i).slice(at, n) for i in (1, 2, 3)), pa.array([x[0] for x in made], pa.list_(pa.int32())), pa.array([x[1] for x in made], pa.list_(pa.float64()))],
+                [*(batch.column(i).slice(at, n) for i in (1, 2, 3)), pa.array([x[0] for x in made], pa.list_(pa.int32())), pa.array([x[1].astype(np.float32) for x in made], pa.list_(pa.float32()))],
                 names=["label", "weight", "held_out", "indices", "values"])
 
 
-@F.udf(VectorUDT())
-def _vector(indices, values):
-    return SparseVector(2 << BITS, indices, values)
+def minimised(value_and_slope: callable, x: np.ndarray, steps: int, memory: int = 10) -> np.ndarray:
+    """The minimum of a smooth convex function by L-BFGS with backtracking."""
+    value, slope = value_and_slope(x)
+    moves: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(steps):
+        way, alphas = slope.copy(), []
+        for s, y, r in reversed(moves):
+            alphas.append(r * (s @ way))
+            way -= alphas[-1] * y
+        if moves:
+            s, y, _ = moves[-1]
+            way *= (s @ y) / (y @ y)
+        for (s, y, r), alpha in zip(moves, reversed(alphas)):
+            way += s * (alpha - r * (y @ way))
+        down, length = slope @ way, 1.0 if moves else 1.0 / max(1e-12, np.abs(slope).sum())
+        for _ in range(30):
+            at = x - length * way
+            there, steep = value_and_slope(at)
+            if there <= value - 1e-4 * length * down:
+                break
+            length /= 2
+        else:
+            break
+        s, y = at - x, steep - slope
+        if s @ y > 1e-12:
+            moves = [*moves[1 - memory:], (s, y, 1 / (s @ y))]
+        done = value - there < 1e-9 * max(1.0, abs(value))
+        x, value, slope = at, there, steep
+        if done:
+            break
+    return x
+
+
+def _logistic(z: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray]:
+    """Weighted loss, and its slope in z."""
+    return float(weight @ (np.logaddexp(0, z) - label * z)), weight * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - label)
+
+
+def fit(row: np.ndarray, index: np.ndarray, value: np.ndarray, label: np.ndarray, size: int) -> tuple[np.ndarray, float]:
+    """Weights and bias from sparse features (row, index, value) of labelled rows."""
+    n = len(label)
+    mean, square = np.bincount(index, value, size) / n, np.bincount(index, value * value, size) / n
+    spread = np.sqrt(np.maximum(square - mean * mean, 0) * n / max(1, n - 1))
+    scale = np.where(spread > 0, 1 / np.where(spread > 0, spread, 1), 0.0)
+    value, each = value * scale[index], np.full(n, 1 / n)
+
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        z = np.bincount(row, value * x[index], n) + x[-1]
+        total, slope = _logistic(z, label, each)
+        down = np.append(np.bincount(index, value * slope[row], size) + PENALTY * x[:-1], slope.sum())
+        return total + 0.5 * PENALTY * float(x[:-1] @ x[:-1]), down
+
+    share = label.mean()
+    x = minimised(loss, np.append(np.zeros(size), np.log(share / (1 - share))), STEPS)
+    return x[:-1] * scale, float(x[-1])
+
+
+def _fitted(rows: pa.Table) -> pa.Table:
+    """The model of the sample, one row, or none if a class is missing."""
+    rows = rows.sort_by([("id", "ascending")])
+    label, weight = rows.column("label").to_numpy().astype(float), rows.column("weight").to_numpy()
+    held = rows.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+    names, kinds = ["weights", "bias", "slope", "offset"], [pa.binary(), pa.float64(), pa.float64(), pa.float64()]
+    if set(label[~held]) != {0.0, 1.0}:
+        return pa.table([pa.array([], k) for k in kinds], names=names)
+    lists = rows.column("indices").combine_chunks()
+    row = np.repeat(np.arange(len(label)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    index, value = lists.flatten().to_numpy(), rows.column("values").combine_chunks().flatten().to_numpy().astype(float)
+    train = ~held[row]
+    place = np.cumsum(~held) - 1
+    weights, bias = fit(place[row[train]], index[train], value[train], label[~held], 2 << BITS)
+    weights = weights.astype(np.float32)
+    margin = np.bincount(row, value * weights[index], len(label)) + bias
+    if set(label[held]) != {0.0, 1.0}:
+        held = np.ones(len(label), bool)
+    m, y, w = margin[held], label[held], weight[held] / weight[held].sum()
+
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        total, slope = _logistic(x[0] * m + x[1], y, w)
+        return total + 0.5e-4 * x[0] ** 2, np.array([slope @ m + 1e-4 * x[0], slope.sum()])
+
+    slope, offset = minimised(loss, np.array([1.0, 0.0]), 200)
+    return pa.table([pa.array([weights.tobytes()]), *(pa.array([float(v)]) for v in (bias, slope, offset))], names=names)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityModel | None:
     """A model from ``labels`` (doc_id, quality 0 or 1) of ``docs`` (doc_id, text);
     None if a class has no labelled document. At most ``sample`` documents of each
-    class are read. A doc_id with several labels has the lowest."""
+    class train; of rows that repeat a doc_id that with the smallest hash of its text.
+    A doc_id with several labels has the lowest."""
     known = stored(labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("label")), "quality-labels")
     totals = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
@@ -168,20 +262,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityMo
     chosen = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).withColumn("weight", F.lit(n / min(n, sample) / sum(totals.values()))) for k, n in totals.items()]
     rows = chosen[0].unionByName(chosen[1]).withColumn("held_out", F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(4)) == 0)
     # at most 2 * sample rows of four small columns: bounded, so it may be broadcast
-    texts = docs.select(F.col("doc_id"), utf8("text").alias("text")).join(F.broadcast(rows), "doc_id").select("text", "label", "weight", "held_out")
-    made = texts.mapInArrow(_feature_rows, "label int, weight double, held_out boolean, indices array<int>, values array<double>")
-    fitted = cut_lineage(stored(made, "quality-features").select(F.col("label").cast("double").alias("label"), "weight", "held_out", _vector("indices", "values").alias("features")))
-    if {r["label"] for r in fitted.where("not held_out").select("label").distinct().collect()} != {0.0, 1.0}:
+    texts = docs.select(F.col("doc_id"), utf8("text").alias("text")).join(F.broadcast(rows), "doc_id")
+    texts = texts.select("doc_id", F.xxhash64("text").alias("hash"), "text", "label", "weight", "held_out")
+    # one row of an id, however many there are: of each task, then of all
+    texts = texts.mapInArrow(_one_each, texts.schema).groupBy("doc_id").agg(F.min_by(F.struct("text", "label", "weight", "held_out"), "hash").alias("row"))
+    made = texts.select("row.text", "row.label", "row.weight", "row.held_out").mapInArrow(_feature_rows, "label int, weight double, held_out boolean, indices array<int>, values array<float>")
+    made = stored(made.withColumn("id", F.xxhash64("label", "indices", "values")), "quality-features")
+    model = made.withColumn("one", F.lit(True)).groupBy("one").applyInArrow(_fitted, "weights binary, bias double, slope double, offset double").first()
+    if model is None:
         return None
-    model = LogisticRegression(maxIter=40, regParam=0.01, aggregationDepth=2).fit(fitted.where("not held_out").select("label", "features"))
-    weights = model.coefficients.toArray().astype(np.float32)
-    margin = model.setPredictionCol("").setProbabilityCol("").setRawPredictionCol("raw").transform(fitted)
-    margin = margin.select("label", "weight", "held_out", vector_to_array("raw")[1].alias("margin"))
-    held = margin.where("held_out")
-    if {r["label"] for r in held.select("label").distinct().collect()} != {0.0, 1.0}:
-        held = margin  # too few labels to hold any out
-    platt = LogisticRegression(weightCol="weight", regParam=1e-4, standardization=False).fit(held.select("label", "weight", array_to_vector(F.array("margin")).alias("features")))
-    return QualityModel(weights, float(model.intercept), float(platt.coefficients[0]), float(platt.intercept))
+    return QualityModel(np.frombuffer(model["weights"], np.float32), model["bias"], model["slope"], model["offset"])
 
 
 def _verdict(model: QualityModel | None, data: np.ndarray, off: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray | None, np.ndarray]:

@@ -81,3 +81,34 @@ def test_margins_equal_features(texts):
     made = Q.features(data, off)
     assert np.allclose(Q.margins(data, off, weights), [weights[i] @ v for i, v in made])
     assert all((np.diff(i) > 0).all() for i, _ in made) and B.blocks
+
+
+def test_one_row_of_an_id_trains(spark, docs_of, monkeypatch):
+    """A doc_id on very many rows is one row of the sample, and always the same."""
+    good, bad = "plain words in a calm sentence that says a thing well " * 3, "$$$ buy *** now |||| click <<< " * 5
+    rows = [(i, f"{good} {i}") for i in range(12)] + [(100 + i, f"{bad} {i}") for i in range(12)] + [(3, f"{good} copy {i}") for i in range(300)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(12)] + [(100 + i, 0, 0) for i in range(12)], "doc_id bigint, quality int, toxic int")
+    seen = []
+    real = Q.stored
+    monkeypatch.setattr(Q, "stored", lambda df, label: seen.append((label, real(df, label))) or seen[-1][1])
+    a = Q.train(docs_of(rows).repartition(5), labels)
+    made = dict(seen)["quality-features"]
+    assert made.count() == 24
+    b = Q.train(docs_of(rows).repartition(3), labels, sample=5)
+    assert dict(seen)["quality-features"].count() == 10
+    again = Q.train(docs_of(rows[::-1]), labels)
+    assert (a.weights == again.weights).all() and b is not None
+    out = {r.doc_id: r.probability for r in Q.score(docs_of([(1, good), (2, bad)]), a).collect()}
+    assert out[1] > out[2]
+
+
+def test_minimum():
+    """The fitted weights have no slope left: the regularised loss is at its minimum."""
+    rng = np.random.default_rng(5)
+    dense = rng.normal(size=(80, 6)) * (rng.random((80, 6)) < 0.5)
+    label = (dense[:, 0] - dense[:, 1] + rng.normal(size=80) > 0).astype(float)
+    row, index = np.nonzero(dense)
+    w, b = Q.fit(row, index, dense[row, index], label, 6)
+    sd = dense.std(axis=0, ddof=1)
+    r = 1 / (1 + np.exp(-(dense @ w + b))) - label
+    assert np.abs((dense / sd).T @ r / 80 + Q.PENALTY * w * sd).max() < 1e-3 and abs(r.mean()) < 1e-3
