@@ -259,6 +259,10 @@ def grow(bins: np.ndarray, g: np.ndarray, w: np.ndarray | None, p: Trees, order:
         frontier = [i for i in tree.worth(frontier, p.max_leaves) if tree.n[i] >= max(p.min_split, 2 * p.min_leaf, 2)]
         if not frontier:
             break
+        more = CACHED // max(1, parts[0][0].shape[1]) // step
+        if more > 1 and len(parts) > 1:  # fewer rows are left: more features at a time
+            parts = [[np.concatenate(x) for x in zip(*parts[i:i + more])] for i in range(0, len(parts), more)]
+            step *= more
         compact = np.full(len(tree.n), 65535, np.uint16)
         compact[frontier] = np.arange(len(frontier))
         node = compact.take(node_of)

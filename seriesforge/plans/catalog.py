@@ -75,7 +75,7 @@ from seriesforge.sources.tables import WEATHER_COLUMNS  # noqa: E402
 _INT_FEATS = ["rain_flag", "weekday", "month", "is_weekend", "is_holiday", "is_bridge_day"]
 
 
-def _features_sql(training: bool) -> str:
+def _features_sql(training: bool, rounded: bool = True) -> str:
     wc = WEATHER_COLUMNS
     base = ("base AS (SELECT p.series_id, p.date, p.y, " + ", ".join(f"e.{c}" for c in wc) +
             " FROM daily_panel p JOIN exog_daily e USING (date))")
@@ -114,8 +114,8 @@ def _features_sql(training: bool) -> str:
              "temp_x_rain", "temp_x_humidity", "temp_x_wind", "weekday_sin", "weekday_cos", "month_sin", "month_cos"])
     p = "OVER (PARTITION BY series_id)"
     sel = ["series_id", "date"]
-    sel += [V.r(f"coalesce(CAST({c} AS DOUBLE), CAST(sum({c}) {p} AS DOUBLE) / count({c}) {p})", c,
-                2 if c.startswith("rolling_std") else 4) for c in frac]
+    filled = {c: f"coalesce(CAST({c} AS DOUBLE), CAST(sum({c}) {p} AS DOUBLE) / count({c}) {p})" for c in frac}
+    sel += [V.r(x, c, 2 if c.startswith("rolling_std") else 4) if rounded else f"{x} AS {c}" for c, x in filled.items()]
     sel += [f"CAST({c} AS BIGINT) AS {c}" for c in _INT_FEATS]
     return (V.with_(V.DAILY_PANEL_X, V.EXOG_DAILY, base, V.holidays_sql("base"), t1, t2, t3, t4, t5)
             + "SELECT " + ", ".join(sel) + " FROM t5")
@@ -1206,14 +1206,15 @@ def q_nearest_hour(spark, sf_dir):
 def trained(spark, sf_dir):
     """M1-M5 over all 7 horizons with the reference's model sizes (``full``), and
     the folder of the run: trained once in an application, later calls read what
-    the first one stored."""
+    the first one stored. Features are ranked by the linear values here; the boosted
+    selector is a query of its own (``m4_a25_feature_selection``)."""
     import hashlib
     from seriesforge.plans import train as TR
     from seriesforge.session import checkpoint_dir
     from seriesforge.sources import store
     root = store.join(checkpoint_dir(spark), f"competition-{spark.sparkContext.applicationId}-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}")
     if not store.exists(spark, store.join(root, "metrics", "_SUCCESS")):
-        cfg = TR.TrainConfig(horizons=list(range(1, 8)), profile="full")
+        cfg = TR.TrainConfig(horizons=list(range(1, 8)), profile="full", selection="linear_shap")
         res = TR.train_competition(features_table(spark, sf_dir, True), PANEL, cfg)
         run = TR.save_models(res, store.join(root, "runs"))
         res["winners"].withColumn("run_path", F.lit(run)).write.mode("overwrite").parquet(store.join(root, "winners"))
@@ -1231,7 +1232,8 @@ def q_train(spark, sf_dir):
 
 @query("m4_a25_feature_selection")
 def q_selection(spark, sf_dir):
-    """M4/A25 (re-aimed): mean |linear Shapley value| per feature, top 30."""
+    """Mean |Shapley value| per feature of the boosted selector (400 trees, 60
+    leaves) over the training rows, top 30."""
     from seriesforge.plans import train as TR
     cfg = TR.TrainConfig(horizons=[1])
     lab, feats, targets, _ = TR.prepare(features_table(spark, sf_dir, True), PANEL, cfg)
@@ -1251,6 +1253,33 @@ def q_score_models(spark, sf_dir):
     return TR.score_production(features_table(spark, sf_dir, False), PANEL, TR.read_registry(spark, root))
 
 
+@query("d10_patience")
+def q_patience(spark, sf_dir):
+    """Both boosted candidates for every horizon with a patience of 50 rounds on
+    the last dates of the training rows: rounds run, the best of them by the stored
+    errors, and the rounds that the stored models keep."""
+    from pyspark.sql import Window
+    from seriesforge.plans import train as TR
+    sizes = {k: v for k, v in TR.candidate_models("full").items() if v.kind == "boost"}
+    cfg = TR.TrainConfig(horizons=list(range(1, 8)), candidates=sizes, patience=50, selection="linear_shap")
+    res = TR.train_competition(features_table(spark, sf_dir, True), PANEL, cfg)
+    order = Window.partitionBy("candidate", "horizon").orderBy("validation_rmse", "round")
+    best = res["rounds"].withColumn("rn", F.row_number().over(order)).withColumn("rounds_run", F.count("*").over(Window.partitionBy("candidate", "horizon"))).where("rn = 1")
+    kept = res["trees"].where("tree >= 0").groupBy("candidate", "horizon").agg(F.count("*").alias("rounds_kept"))
+    return best.join(kept, ["candidate", "horizon"]).select("candidate", "horizon", "rounds_run", (F.col("round") + 1).alias("best_round"), "rounds_kept", "validation_rmse")
+
+
+@query("d9_grid")
+def q_grid(spark, sf_dir):
+    """Learning rate x leaves of the leaf-wise candidate for the next day, as
+    candidates of one competition (patience 50): holdout metrics of each."""
+    from seriesforge.plans import train as TR
+    name = "LeafwiseBoosting"
+    cfg = TR.TrainConfig(horizons=[1], candidates={name: TR.candidate_models("full")[name]}, patience=50, selection="linear_shap",
+                         grid={name: {"learning_rate": [0.01, 0.05, 0.1], "max_leaves": [15, 31, 63]}})
+    return TR.train_competition(features_table(spark, sf_dir, True), PANEL, cfg)["metrics"]
+
+
 # one feature, one pooled line per horizon: least squares that SQL can say too
 _OLS_SQL = V.with_(V.DAILY_PANEL_X, "lf0 AS (SELECT series_id, date, CAST(y AS DOUBLE) AS y, " + ", ".join(
     f"CAST(lead(y, {h}) OVER (PARTITION BY series_id ORDER BY date) AS DOUBLE) AS t{h}" for h in range(1, 8)) + " FROM daily_panel)",
@@ -1311,9 +1340,52 @@ def q_first_days(spark, sf_dir):
 
 
 
-@query("d1_linear_regression_baseline")
+_LINEAR_FEATS = [*(["y"] + WEATHER_COLUMNS), *[f"consumption_lag_{k}" for k in FE.LAGS], *[f"rolling_mean_{n}" for n in FE.ROLLING_MEAN_WINDOWS],
+                 *[f"rolling_std_{n}" for n in FE.ROLLING_STD_WINDOWS], *[f"trend_{n}days" for n in FE.DIFFS], "temp", "temp_lag_1", "temp_squared",
+                 "humidity", "rain_amount", "rain_flag", "wind_speed", "solar_radiation", "temp_x_rain", "temp_x_humidity", "temp_x_wind", "weekday", "month",
+                 "is_weekend", "weekday_sin", "weekday_cos", "month_sin", "month_cos", "is_holiday", "is_bridge_day"]
+
+
+def _linear_sql(part: str) -> str:
+    """Least squares of every part on the parts before it: products of all pairs of
+    columns by a join, elimination column by column in a recursive query."""
+    k = len(_LINEAR_FEATS)
+    feats = ", ".join(f"CAST({c} AS DOUBLE)" for c in _LINEAR_FEATS)
+    targets = ", ".join(f"CAST(target_next_day_{h} AS DOUBLE)" for h in range(1, 8))
+    return f"""WITH RECURSIVE f AS ({_features_sql(True, rounded=False)}),
+w AS (SELECT * FROM f QUALIFY date >= max(date) OVER (PARTITION BY series_id) - INTERVAL 5475 DAY),
+days AS (SELECT date, row_number() OVER (ORDER BY date) AS pos, count(*) OVER () AS n FROM (SELECT DISTINCT date FROM w)),
+x AS (SELECT row_number() OVER () AS rid, CAST({part} AS INTEGER) AS part, [{feats}] AS v, [{targets}] AS t FROM w JOIN days USING (date)),
+s AS (SELECT j, avg(val) AS mu, stddev_pop(val) AS sd FROM (SELECT unnest(range(1, {k + 1})) AS j, unnest(v) AS val FROM x) GROUP BY j),
+st AS (SELECT list(mu ORDER BY j) AS mu, list(CASE WHEN sd > 0 THEN sd ELSE 1.0 END ORDER BY j) AS sd FROM s),
+z AS (SELECT rid, part, list_concat([1.0::DOUBLE], list_transform(range(1, {k + 1}), lambda i: coalesce((v[i] - mu[i]) / sd[i], 0.0))) AS z, t FROM x, st),
+cells AS (SELECT rid, part, unnest(range(1, {k + 9})) AS j, unnest(list_concat(z, t)) AS val FROM z),
+g AS (SELECT a.part, a.j AS i, b.j AS j, sum(a.val * b.val) AS s FROM cells a JOIN cells b USING (rid) WHERE a.j <= {k + 1} GROUP BY ALL),
+pg AS (SELECT p.part AS fold, i, j, sum(s) AS s FROM (SELECT DISTINCT part FROM z) p JOIN g ON g.part < p.part GROUP BY ALL),
+m0 AS (SELECT fold, list(r ORDER BY i) AS m FROM (SELECT fold, i, list(s ORDER BY j) AS r FROM pg GROUP BY ALL) GROUP BY fold),
+elim AS (
+  SELECT fold, 1 AS k, m, list_transform(range(1, {k + 2}), lambda i: m[i][i]) AS d, []::BOOLEAN[] AS kept FROM m0
+  UNION ALL
+  SELECT fold, k + 1, CASE WHEN m[k][k] > 1e-9 * d[k] THEN list_transform(range(1, {k + 2}), lambda i: list_transform(range(1, {k + 9}),
+      lambda j: CASE WHEN i = k THEN m[k][j] / m[k][k] ELSE m[i][j] - m[i][k] * (m[k][j] / m[k][k]) END)) ELSE m END, d, list_append(kept, m[k][k] > 1e-9 * d[k])
+  FROM elim WHERE k <= {k + 1}),
+coef AS (SELECT fold, list_transform(range(1, 8), lambda h: list_transform(range(1, {k + 2}), lambda i: CASE WHEN kept[i] THEN m[i][{k + 1} + h] ELSE 0.0 END)) AS b FROM elim WHERE k = {k + 2}),
+p AS (SELECT fold, 'LinearRegression' AS candidate, h AS horizon, t[h] AS y_true, list_dot_product(z, b[h]) AS y_pred
+  FROM z JOIN coef ON z.part = coef.fold, (SELECT unnest(range(1, 8)) AS h))
+"""
+
+
+@query("d1_linear_regression_baseline", _linear_sql("pos > floor(n * 0.8)") + _metrics_sql("p", "candidate, horizon"))
 def q_linear_baseline(spark, sf_dir):
-    """Linear regression per horizon (h = 1..7) on the scaled features."""
+    """Linear regression per horizon (h = 1..7) on all features."""
     from seriesforge.plans import train as TR
     cfg = TR.TrainConfig(horizons=list(range(1, 8)), selection="none")
-    return TR.linear_baseline(features_table(spark, sf_dir, True), PANEL, cfg)
+    return out(TR.linear_baseline(features_table(spark, sf_dir, True), PANEL, cfg), coarse=_MCOARSE)
+
+
+@query("d2_fitted_folds", _linear_sql("year(date)") + _metrics_sql("p", "fold, candidate, horizon"))
+def q_fitted_folds(spark, sf_dir):
+    """Linear models of all features fitted on the years before each year, which
+    they predict: metrics of every fold and horizon."""
+    from seriesforge.plans import train as TR
+    return out(TR.fitted_folds(features_table(spark, sf_dir, True), PANEL), coarse=_MCOARSE)

@@ -22,7 +22,9 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesforge.operators import attribution as AT
 from seriesforge.operators import evaluate as EV
+from seriesforge.operators import linear as LN
 from seriesforge.operators import split as SP
 from seriesforge.operators.features import TARGET_PREFIX, numeric_columns, split_features_targets
 from seriesforge.operators.histogram import Trees
@@ -57,25 +59,33 @@ def candidate_models(profile: str = "full", seed: int = 42) -> dict[str, Trees]:
 
 
 def linear_baseline(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig | None = None) -> DataFrame:
-    """The linear-regression baseline per horizon - same split, scaling
-    and metrics as the competition. Returns (candidate, horizon, n, rmse,
-    mae, mape, r2)."""
+    """The linear-regression baseline per horizon, on the rows and the split of
+    the competition. Returns (candidate, horizon, n, rmse, mae, mape, r2)."""
     cfg = cfg or TrainConfig(selection="none")
     lab, feats, targets, _ = prepare(features, spec, cfg)
-    lab = cut_lineage(lab.select(*spec.key_cols, spec.time, "is_train", *feats, *targets))
-    train = lab.where("is_train = 1")
-    scaled, _ = scale(lab, train, feats)
-    data = VectorAssembler(inputCols=feats, outputCol="features").transform(scaled)
-    tr, te = data.where("is_train = 1"), data.where("is_train = 0")
-    parts = []
-    for h, t in zip(cfg.horizons, targets):
-        m = LinearRegression(labelCol=t, featuresCol="features", predictionCol="y_pred").fit(tr)
-        parts.append(m.transform(te).select(F.lit("LinearRegression").alias("candidate"), F.lit(h).alias("horizon"),
-                                            F.col(t).cast("double").alias("y_true"), "y_pred"))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    return EV.metrics(allp, ["candidate", "horizon"])
+    rows = lab.withColumn("__part", 1 - F.col("is_train"))
+    return EV.metrics(_linear(rows, spec, feats, targets, cfg), ["candidate", "horizon"])
+
+
+def fitted_folds(features: DataFrame, spec: SeriesSpec, cfg: TrainConfig | None = None, per_series: bool = False) -> DataFrame:
+    """The linear model of every expanding fold: each calendar year but the first
+    is predicted by the fit of all years before it, all folds from one pass over the
+    rows. ``per_series``: a fit for each series. Returns (fold, candidate, horizon, n,
+    rmse, mae, mape, r2), with ``per_series`` for each series."""
+    cfg = cfg or TrainConfig(selection="none")
+    targets = [f"{TARGET_PREFIX}{h}" for h in cfg.horizons]
+    df = SP.trailing_window(features, spec, cfg.window_days).dropna(how="any", subset=targets)
+    feats = numeric_columns(df.select(*split_features_targets(df)[0]), exclude={*spec.key_cols, spec.time})
+    keys = spec.key_cols if per_series else []
+    preds = _linear(df.withColumn("__part", F.year(spec.time)), spec, feats, targets, cfg, keys)
+    return EV.metrics(preds.withColumnRenamed("__part", "fold"), [*keys, "fold", "candidate", "horizon"])
+
+
+def _linear(rows: DataFrame, spec: SeriesSpec, feats: list[str], targets: list[str], cfg: TrainConfig, by: list[str] | None = None) -> DataFrame:
+    rows = cut_lineage(rows.select(*spec.key_cols, spec.time, "__part", *feats, *targets))
+    p = LN.fold_predictions(rows, feats, targets, "__part", [*spec.key_cols, spec.time], by)
+    horizon = F.element_at(F.array(*map(F.lit, cfg.horizons)), F.col("target") + 1)
+    return p.select(*spec.key_cols, spec.time, "__part", F.lit("LinearRegression").alias("candidate"), horizon.alias("horizon"), "y_true", "y_pred")
 
 
 def grid_candidates(base: dict[str, Trees], grid: dict) -> dict[str, Trees]:
@@ -103,7 +113,8 @@ class TrainConfig:
     alias_corr: float = 0.999999     # M4: copies of a feature are not ranked twice
     candidates: dict | None = None   # D9: sizes by name, instead of those of ``profile``
     grid: dict | None = None         # D9: {candidate: {size: [values]}}, each combination competes
-    selection: str = "linear_shap"   # or "none"
+    selection: str = "tree_shap"     # or "linear_shap", "none"
+    selector: Trees = SELECTOR
     patience: int = 0                # D10: boosting stops after so many rounds without a lower validation error
     validation_frac: float = 0.1     # D10: the last dates of the training rows validate
     in_task_rows: int = TT.IN_TASK_ROWS
@@ -147,11 +158,21 @@ def scale(df: DataFrame, train: DataFrame, feats: list[str]):
 
 
 def select_features(train: DataFrame, feats: list[str], label: str, cfg: TrainConfig) -> DataFrame:
-    """M4/A25 (re-aimed): importance per feature from the training rows of
-    the first horizon, top k. ``linear_shap``: exact Shapley values of a linear
-    model, phi_j = beta_j (x_j - mean_j), averaged in absolute value by one
-    aggregation. Returns (rank, feature, importance)."""
+    """Importance per feature from the training rows of the first horizon, top
+    k. ``tree_shap``: exact Shapley values of a boosted model fitted to the unscaled
+    features. ``linear_shap``: those of a linear model, phi_j = beta_j (x_j - mean_j),
+    averaged in absolute value by one aggregation; copies of a feature are left out.
+    Returns (rank, feature, importance)."""
     spark = train.sparkSession
+    if cfg.selection == "tree_shap":
+        cuts = TT.cut_points(train, feats)
+        rows = train.withColumn("__row", F.xxhash64(*feats)).withColumn("__y", F.array(F.col(label).cast("double")))
+        table = TT.binned(rows, cuts, ["__row", "__y"]).withColumnsRenamed({"__row": "row", "__y": "y"}).withColumn("part", F.lit(0))
+        table = store.staged(table, "selector")
+        fit = TT.fitted(table, {"selector": cfg.selector}, [1], in_task_rows=cfg.in_task_rows)
+        # the rows cost much more than their bytes say: spread them over all cores
+        spread = table.repartition(spark.sparkContext.defaultParallelism, "row")
+        return AT.mean_absolute(AT.attributions(spread, fit.trees, len(feats), []), feats, cfg.top_k)
     feats = distinct_features(train, feats, cfg.alias_corr)
     vec = VectorAssembler(inputCols=feats, outputCol="features")
     lr = LinearRegression(labelCol=label, regParam=0.0, standardization=False).fit(vec.transform(train))

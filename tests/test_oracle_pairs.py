@@ -20,7 +20,7 @@ def test_pair(spark, con, name):
 
 def test_models_have_checks():
     assert set(QUERIES) - set(ORACLE) == {"m1_m2_m3_m5_train_competition", "m4_a25_feature_selection", "m8_score_with_models",
-                                          "d1_linear_regression_baseline"}
+                                          "d9_grid", "d10_patience"}
 
 
 def test_competition_metrics(spark):
@@ -32,6 +32,13 @@ def test_competition_metrics(spark):
     assert sorted(r.horizon for r in linear) == list(range(1, 8)) and {r.n for r in linear} == {r.n for r in rows}
 
 
+def test_patience_and_grid(spark):
+    rows = QUERIES["d10_patience"](spark, SF_SMALL).collect()
+    assert len(rows) == 14 and all(r.rounds_kept == r.best_round and (r.rounds_run == r.best_round + 50 or r.rounds_run == 500) for r in rows)
+    grid = QUERIES["d9_grid"](spark, SF_SMALL).collect()
+    assert sorted(r.candidate for r in grid) == [f"LeafwiseBoosting#{i}" for i in range(9)] and len({r.n for r in grid}) == 1
+
+
 def test_ranking(spark):
     rows = sorted(QUERIES["m4_a25_feature_selection"](spark, SF_SMALL).collect(), key=lambda r: r["rank"])
     assert [r["rank"] for r in rows] == list(range(1, len(rows) + 1)) and 1 < len(rows) <= 30
