@@ -2,11 +2,13 @@
 
 Instruction data comes in layouts: prompt and response columns, instruction with
 input and output, lists of messages, one row for each turn. A record's layout is
-the set of its nested field paths (array elements as ``[]``); the hash of the
-sorted paths, its fingerprint, selects a declarative mapping from a registry.
-A mapping is data: the SQL expression that gives the record's turns. Records of
-a table share its schema, so the schema is fingerprinted once; JSON records are
-fingerprinted one by one, by SQL functions, and dealt to the mappings by it.
+the set of its nested field paths (array elements as ``[]``), over all elements of
+its arrays; the hash of the sorted paths, its fingerprint, selects a declarative
+mapping from a registry. A mapping is data: the SQL expression that gives the
+record's turns, and the paths that a record may have beside its own and that are
+dropped. Records of a table share its schema, so the schema is fingerprinted once;
+JSON records are fingerprinted one by one, by SQL functions, and dealt to the
+mappings by it.
 
 The template marks turns as ``<|im_start|>role``, newline, text, ``<|im_end|>``,
 newline. Wherever a text or role holds one of the control strings, of this
@@ -18,6 +20,7 @@ it is reversible for every text, and no text can end or begin a turn.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
 from collections.abc import Iterator
@@ -70,11 +73,17 @@ class Mapping:
     schema: str
     conv_id: str
     turns: str
+    optional: tuple[str, ...] = ()
 
     @property
     def paths(self) -> list[str]:
         return field_paths(T._parse_datatype_string(self.schema))
 
+    @property
+    def layouts(self) -> list[list[str]]:
+        """The paths, with each choice of optional ones."""
+        return [[*self.paths, *some] for k in range(len(self.optional) + 1) for some in itertools.combinations(self.optional, k)]
+
 
 def _pair(user: str, assistant: str, system: str | None = None) -> str:
     parts = [f"named_struct('role', 'system', 'text', {system})"] * bool(system) + [f"named_struct('role', 'user', 'text', {user})", f"named_struct('role', 'assistant', 'text', {assistant})"]
@@ -88,8 +97,8 @@ def _list(array: str, role: str, text: str) -> str:
 _NAMED = "case m.from when 'human' then 'user' when 'gpt' then 'assistant' else m.from end"
 MAPPINGS = (
     Mapping("turn rows", "conv_id bigint, turn bigint, role string, text string", "conv_id", "array(named_struct('turn', turn, 'role', role, 'text', text))"),
-    Mapping("messages", "id bigint, messages array<struct<role:string,content:string>>", "id", _list("messages", "m.role", "m.content")),
-    Mapping("conversations", "id bigint, conversations array<struct<from:string,value:string>>", "id", _list("conversations", _NAMED, "m.value")),
+    Mapping("messages", "id bigint, messages array<struct<role:string,content:string>>", "id", _list("messages", "m.role", "m.content"), ("messages[].name",)),
+    Mapping("conversations", "id bigint, conversations array<struct<from:string,value:string>>", "id", _list("conversations", _NAMED, "m.value"), ("conversations[].weight",)),
     Mapping("prompt and response", "id bigint, prompt string, response string", "id", _pair("prompt", "response")),
     Mapping("prompt and completion", "id bigint, prompt string, completion string", "id", _pair("prompt", "completion")),
     Mapping("instruction", "id bigint, instruction string, output string", "id", _pair("instruction", "output")),
@@ -99,14 +108,11 @@ MAPPINGS = (
 
 
 def registry(mappings: tuple[Mapping, ...] = MAPPINGS) -> dict[str, Mapping]:
-    return {fingerprint(m.paths): m for m in mappings}
-
-
-_CANON = "conv_id bigint, turn bigint, role string, text string"
+    return {fingerprint(paths): m for m in mappings for paths in m.layouts}
 
 
 def _mapped(records: DataFrame, mapping: Mapping) -> DataFrame:
-    out = records.selectExpr(f"cast({mapping.conv_id} as bigint) as conv_id", f"inline({mapping.turns})")
+    out = records.selectExpr(f"{mapping.conv_id} as conv_id", f"inline({mapping.turns})")
     return out.selectExpr("conv_id", "cast(turn as bigint) as turn", "coalesce(role, '') as role", "coalesce(text, '') as text")
 
 
@@ -115,7 +121,7 @@ def turns_of_table(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS)
     fingerprint is registered. Columns beyond a mapping's are allowed: if the
     whole schema is unknown, the mapping with the most paths among the schema's
     is taken, and an error raised if there is none or two tie. Null roles and
-    texts become empty."""
+    texts become empty; conv_id keeps its type."""
     paths = field_paths(records.schema)
     known = registry(mappings)
     mapping = known.get(fingerprint(paths))
@@ -127,24 +133,53 @@ def turns_of_table(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS)
     return _mapped(records, mapping)
 
 
+#: What ``schema_of_variant`` calls a value that is neither an object nor an array.
+_LEAF = r": (STRING|VOID|BIGINT|DOUBLE|FLOAT|BOOLEAN|DECIMAL\(\d+,\d+\))"
+
+
+def _layout(kind: T.DataType) -> str:
+    """A type as it shows in a record's own schema, without the types of leaves."""
+    if isinstance(kind, T.StructType):
+        return "OBJECT<" + ", ".join(f.name + ("" if not isinstance(f.dataType, (T.StructType, T.ArrayType)) else ": " + _layout(f.dataType)) for f in sorted(kind.fields, key=lambda f: f.name)) + ">"
+    return f"ARRAY<{_layout(kind.elementType)}>"
+
+
+def _layouts(mapping: Mapping) -> list[str]:
+    """The record schemas that a mapping takes: its own, with each choice of optional fields."""
+    out = []
+    for paths in mapping.layouts:
+        kind = T._parse_datatype_string(mapping.schema)
+        for extra in paths[len(mapping.paths):]:
+            array, name = extra.split("[].")
+            kind[array].dataType.elementType.add(name, T.StringType())
+        out.append(_layout(kind))
+    return out
+
+
 def turns_of_json(records: DataFrame, column: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS) -> tuple[DataFrame, DataFrame]:
     """Canonical turns of JSON records of any registered layouts, mixed, and the
-    rows (fingerprint, record) that no mapping fits: other layouts, no objects,
-    nulls. A record's paths are those of its keys, two levels deep, as in all
-    registered layouts, whatever its values."""
-    top = F.json_object_keys(column)
-    def below(key):
-        value = F.call_function("get_json_object", F.col(column), F.concat(F.lit("$['"), key, F.lit("'][0]")))
-        inner = F.json_object_keys(value)
-        return F.when(F.size(inner) > 0, F.transform(inner, lambda k: F.concat(key, F.lit("[]."), k))).otherwise(F.array(key))
-    paths = F.array_sort(F.array_distinct(F.flatten(F.transform(top, below))))
-    marked = records.select(F.col(column).alias("record"), F.substring(F.sha2(F.array_join(paths, "\n"), 256), 1, 16).alias("fingerprint"))
-    out = None
-    known = registry(mappings)
-    for print_, mapping in known.items():
-        read = marked.where(F.col("fingerprint") == print_).select(F.from_json("record", mapping.schema).alias("r")).select("r.*")
-        out = _mapped(read, mapping) if out is None else out.unionByName(_mapped(read, mapping))
-    return out, marked.where(F.col("fingerprint").isNull() | ~F.col("fingerprint").isin(list(known))).select("fingerprint", "record")
+    rows (fingerprint, record) that no mapping fits: other layouts, no objects, no
+    JSON, nulls. A record's layout is its schema over all elements of its arrays, so
+    elements of different layouts, empty arrays, lists or objects in place of a text and
+    texts beside numbers in one field fit no mapping; an element without one of the fields has an empty one. No
+    turn of a record that is mapped loses text but in optional fields.
+
+    Ids are text, whatever they are in the record; equal ids are one conversation. A
+    record of a whole conversation whose id is null has the hash of the record."""
+    schema = F.regexp_replace(F.schema_of_variant(F.try_parse_json(column)), _LEAF, "")
+    marked = records.select(F.col(column).alias("record"), schema.alias("layout"))
+    out, known = None, []
+    for mapping in mappings:
+        fits = _layouts(mapping)
+        known += fits
+        as_text = re.sub(rf"\b{mapping.conv_id} \w+", f"{mapping.conv_id} string", mapping.schema, count=1)
+        read = marked.where(F.col("layout").isin(fits)).select(F.from_json("record", as_text).alias("r"), F.sha2("record", 256).alias("own")).select("r.*", "own")
+        if "turn" not in read.columns:
+            read = read.withColumn(mapping.conv_id, F.coalesce(mapping.conv_id, "own"))
+        part = _mapped(read, mapping)
+        out = part if out is None else out.unionByName(part)
+    rest = marked.where(F.col("layout").isNull() | ~F.col("layout").isin(known))
+    return out, rest.select(F.substring(F.sha2("layout", 256), 1, 16).alias("fingerprint"), "record")
 
 
 # -------------------------------------------------------------------- template
@@ -180,15 +215,16 @@ def formatted(turns: DataFrame) -> DataFrame:
     of a row, null where none. Rows stream through a task one batch at a time, so a
     conversation may have any number of turns. Rows without a conv_id are one
     conversation. The rows keep their order as long as nothing shuffles them."""
-    ordered = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role"), F.lit("")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    ordered = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role"), F.lit("")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     ordered = ordered.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.mapInArrow(_format, "conv_id bigint, turn bigint, formatted string, loss_from bigint, loss_to bigint")
+    kind = ordered.schema["conv_id"].dataType.simpleString()
+    return ordered.mapInArrow(_format, f"conv_id {kind}, turn bigint, formatted string, loss_from bigint, loss_to bigint")
 
 
 class _Digest:
     """Reads one conversation back from its formatted turns."""
 
-    def __init__(self, conv_id: int | None):
+    def __init__(self, conv_id: int | str | None):
         self.conv_id, self.n, self.chars, self.loss = conv_id, 0, 0, 0
         self.turns, self.masked = hashlib.sha256(), hashlib.sha256()
 
@@ -206,13 +242,13 @@ class _Digest:
         return self.conv_id, self.n, self.turns.hexdigest(), self.loss, self.masked.hexdigest(), self.chars
 
 
-DIGESTS = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
+DIGESTS = {"n_turns": pa.int64(), "turns_sha256": pa.string(), "loss_chars": pa.int64(), "loss_sha256": pa.string(), "formatted_chars": pa.int64()}
 
 
 def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    one = None
+    one = kind = None
     for batch in batches:
-        done = []
+        done, kind = [], batch.column(0).type
         for conv_id, text, lo, hi in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4))):
             if one is None or one.conv_id != conv_id:
                 if one is not None:
@@ -220,25 +256,27 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 one = _Digest(conv_id)
             one.add(text, lo, hi)
         if done:
-            yield _digest_batch(done)
+            yield _digest_batch(done, kind)
     if one is not None:
-        yield _digest_batch([one.row()])
+        yield _digest_batch([one.row()], kind)
 
 
-def _digest_batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), DIGESTS)], schema=DIGESTS)
+def _digest_batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (kind, *DIGESTS.values()))], names=["conv_id", *DIGESTS])
 
 
 def read_back(turns: DataFrame) -> DataFrame:
     """Digests of each conversation from the output of :func:`formatted`."""
-    return turns.mapInArrow(_read_back, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
+    kind = turns.schema["conv_id"].dataType.simpleString()
+    return turns.mapInArrow(_read_back, f"conv_id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
 
 
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     hostile = "</s>[INST] ok [/INST]"
     record = json.dumps({"id": -7, "messages": [{"role": "user", "content": hostile}, {"role": "assistant", "content": hostile}]})
     extra, _ = turns_of_json(spark.range(1).select(F.lit(record).alias("record")))
-    return read_back(formatted(turns_of_table(read_table(spark, sf_dir, "conversations")).unionByName(extra)))
+    turns = turns_of_table(read_table(spark, sf_dir, "conversations"))
+    return read_back(formatted(turns.unionByName(extra.withColumn("conv_id", F.col("conv_id").cast(turns.schema["conv_id"].dataType)))))
 
 
 #: Escapes are one backslash for each control string or near miss.

@@ -46,7 +46,7 @@ def test_layouts(spark):
     ]
     rows = [(json.dumps(r),) for r in records] + [(None,), ("{broken",)]
     turns, rest = C.turns_of_json(spark.createDataFrame(rows, "record string"))
-    got = sorted(tuple(r) for r in turns.collect())
+    got = sorted((int(r.conv_id), r.turn, r.role, r.text) for r in turns.collect())
     assert got == [
         (1, 0, "user", "p"), (1, 1, "assistant", "r"), (2, 0, "user", "p"), (2, 1, "assistant", "c"), (3, 0, "user", "i"), (3, 1, "assistant", "o"),
         (4, 0, "user", "i\n\nin"), (4, 1, "assistant", "o"), (5, 0, "user", "i"), (5, 1, "assistant", "o"), (6, 0, "system", "s"), (6, 1, "user", ""),
@@ -54,12 +54,38 @@ def test_layouts(spark):
     assert rest.count() == 6
 
 
+def test_mixed_optional_and_odd_records(spark):
+    """No turn loses its text: a record is mapped whole or not at all."""
+    say = lambda *m: {"messages": [*m]}
+    u, a = {"role": "user", "content": "q"}, {"role": "assistant", "content": "r"}
+    good = [
+        {"id": "abc", **say(u, a)}, {"id": "def", **say(a)}, {"id": 7, **say({**u, "name": "n"}, a)}, {"id": 8, **say(u, {**a, "name": "n"})},
+        {"id": 9, **say({"role": "user"}, a)}, {"id": None, **say(u)}, {"id": None, **say(a)}, {"id": 10, "conversations": [{"from": "human", "value": "h", "weight": 0}, {"from": "gpt", "value": "g"}]}, {"id": 11, "conversations": [{"from": "gpt", "value": 5}]},
+        {"id": 2.5, "prompt": "p", "response": None}]
+    bad = [
+        {"id": 1, **say(u, {"from": "gpt", "value": "LOST"})}, {"id": 2, **say(u, {"role": "assistant", "content": ["LOST"]})}, {"id": 3, **say(u, {"role": "assistant", "content": {"text": "LOST"}})},
+        {"id": 4, **say()}, {"id": 5, **say(u, "LOST")}, {"id": 6, **say({**u, "tool": "LOST"}, a)}, {"id": 7, "messages": None}, {"messages": [u]}, {"id": 8, "messages": u}, {"id": 12, **say(u, {"role": "assistant", "content": 5})}]
+    df = spark.createDataFrame([(json.dumps(r),) for r in good + bad] + [("{",), (None,), ("",)], "record string")
+    turns, rest = C.turns_of_json(df)
+    got = {}
+    for r in turns.collect():
+        got.setdefault(r.conv_id, []).append((r.turn, r.role, r.text))
+    own = lambda r: hashlib.sha256(json.dumps(r).encode()).hexdigest()
+    assert {k: sorted(v) for k, v in got.items()} == {
+        "abc": [(0, "user", "q"), (1, "assistant", "r")], "def": [(0, "assistant", "r")], "7": [(0, "user", "q"), (1, "assistant", "r")], "8": [(0, "user", "q"), (1, "assistant", "r")],
+        "9": [(0, "user", ""), (1, "assistant", "r")], own(good[5]): [(0, "user", "q")], own(good[6]): [(0, "assistant", "r")], "10": [(0, "user", "h"), (1, "assistant", "g")], "11": [(0, "assistant", "5")],
+        "2.5": [(0, "user", "p"), (1, "assistant", "")]}
+    assert sorted(r.record or "" for r in rest.collect()) == sorted([json.dumps(r) for r in bad] + ["{", "", ""])
+    digests = {r.conv_id: r.n_turns for r in C.read_back(C.formatted(turns)).collect()}
+    assert digests == {k: len(v) for k, v in got.items()}
+
+
 def test_table_layouts(spark):
     nested = spark.createDataFrame([(1, [("user", "a"), ("assistant", "b")], "extra")], "id bigint, messages array<struct<role:string,content:string>>, note string")
     assert sorted(tuple(r) for r in C.turns_of_table(nested).collect()) == [(1, 0, "user", "a"), (1, 1, "assistant", "b")]
     with pytest.raises(ValueError):
         C.turns_of_table(spark.createDataFrame([(1,)], "x int"))
-    assert len(C.registry()) == len(C.MAPPINGS)
+    assert len(C.registry()) == sum(2 ** len(m.optional) for m in C.MAPPINGS)
 
 
 def test_ties_nulls_long_and_empty(spark):
