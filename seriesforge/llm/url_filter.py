@@ -17,19 +17,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import read_table, stored
+from seriesforge.llm.common import hidden, read_table, stored
 
-_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
+_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]*)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)"
 OPEN = "9999-12-31"
 
 
 def host_of(url: str) -> Column:
-    return F.lower(F.regexp_extract(F.col(url), _HOST, 1))
+    """The host in lower case, without the dots of a full name at its end; an address
+    in brackets keeps them."""
+    return F.lower(F.regexp_replace(F.regexp_extract(F.col(f"`{url}`"), _HOST, 1), r"\.+$", ""))
 
 
 def segments_of(url: str) -> Column:
-    return F.filter(F.split(F.regexp_extract(F.col(url), _PATH, 1), "/"), lambda s: s != "")
+    return F.filter(F.split(F.regexp_extract(F.col(f"`{url}`"), _PATH, 1), "/"), lambda s: s != "")
 
 
 def keys_of(url: str, deepest: int) -> Column:
@@ -57,15 +59,17 @@ def intervals(events: DataFrame) -> DataFrame:
 def judge(captures: DataFrame, events: DataFrame, url: str = "url", day: str = "fetched") -> DataFrame:
     """``captures`` with n_active (active entries that match), lists (their lists,
     sorted, comma-joined) and blocked. A capture without a URL, a host or a day
-    matches nothing. Columns of these names are replaced."""
+    matches nothing. Columns of these names are replaced, all others stay."""
     active = stored(intervals(events), "url-intervals")
     depth = active.where("key like 'path:%'").agg(F.max(F.size(F.split("key", "/")) - 1).alias("n")).first()["n"] or 0
-    distinct = captures.select(F.col(url).alias("u"), F.col(day).cast("date").alias("t")).where("u is not null and t is not null").distinct()
+    distinct = captures.select(F.col(f"`{url}`").alias("u"), F.col(f"`{day}`").cast("date").alias("t")).where("u is not null and t is not null").distinct()
     keyed = distinct.select("u", "t", F.explode(F.array_distinct(keys_of("u", depth))).alias("key"))
     hits = keyed.join(active, "key").where("valid_from <= t and t < valid_to")
-    verdict = stored(hits.groupBy("u", "t").agg(F.count("*").alias("n_active"), F.array_join(F.array_sort(F.collect_set("list")), ",").alias("lists")), "url-verdicts")
+    own_url, own_day = hidden(captures, "url"), hidden(captures, "day")
+    verdict = hits.groupBy(F.col("u").alias(own_url), F.col("t").alias(own_day)).agg(F.count("*").alias("n_active"), F.array_join(F.array_sort(F.collect_set("list")), ",").alias("lists"))
+    verdict = stored(verdict, "url-verdicts")
     rest = captures.drop("n_active", "lists", "blocked")
-    out = rest.join(verdict, (rest[url] == verdict["u"]) & (rest[day].cast("date") == verdict["t"]), "left").drop("u", "t")
+    out = rest.join(verdict, (rest[url] == verdict[own_url]) & (rest[day].cast("date") == verdict[own_day]), "left").drop(own_url, own_day)
     return out.withColumns({"n_active": F.coalesce("n_active", F.lit(0)).cast("long"), "lists": F.coalesce("lists", F.lit("")), "blocked": F.coalesce(F.col("n_active") > 0, F.lit(False))})
 
 

@@ -41,3 +41,12 @@ def test_empty(spark):
     events = spark.createDataFrame([], "list string, key string, day date, seq int, added boolean")
     assert [r.blocked for r in U.judge(captures, events).collect()] == [False]
     assert U.judge(captures.limit(0), events).collect() == []
+
+
+def test_other_columns_stay_and_odd_hosts(spark):
+    events = spark.createDataFrame([("a", "domain:b.com", d(0), 0, True), ("b", "host:[::1]", d(0), 0, True), ("c", "path:b.com/x", d(0), 0, True)], "list string, key string, day date, seq int, added boolean")
+    rows = [("http://A.B.com./", "a"), ("http://[::1]/q", "b"), ("http://[::1]:80", "b"), ("http://b.com../x", "a,c"), ("http://[::2]/", ""), ("http://.../", "")]
+    captures = spark.createDataFrame([(u, d(1), "mine", 7, i) for i, (u, _) in enumerate(rows)], "url string, fetched date, u string, t int, _url int")
+    out = U.judge(captures, events)
+    assert out.columns == ["url", "fetched", "u", "t", "_url", "n_active", "lists", "blocked"]
+    assert [(r.u, r.t, r.lists) for r in sorted(out.collect(), key=lambda r: r["_url"])] == [("mine", 7, lists) for _, lists in rows]
