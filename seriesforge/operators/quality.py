@@ -89,3 +89,9 @@ def forward_fill(df: DataFrame, spec: SeriesSpec, columns: list[str] | None = No
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return j.select(*k, t, *[F.last(c, ignorenulls=True).over(w).alias(c) for c in columns],
                     F.when(F.col("__present").isNull(), 1).otherwise(0).alias("filled"))
+
+
+def with_one_row(df: DataFrame, one: DataFrame) -> DataFrame:
+    """``df`` with the columns of ``one``, an aggregate of one row: an equi-join on a
+    constant key, that row being sent to the tasks. Nothing runs before the result does."""
+    return df.withColumn("__one", F.lit(1)).join(F.broadcast(one.withColumn("__one", F.lit(1))), "__one").drop("__one")

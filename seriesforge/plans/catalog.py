@@ -1159,12 +1159,10 @@ def q_summary(spark, sf_dir):
     span = QU.date_span(panel, PANEL).select("series_id", "n_rows", "first_date", "last_date")
     m = EV.metrics(_preds(spark, sf_dir), ["candidate", "horizon"])
     reg = EV.pick_winner(m, ["horizon"]).agg(F.count(F.lit(1)).alias("n_models"), F.avg("rmse").alias("avg_rmse"))
-    nm = reg.first()  # one row: counts over at most 7 horizons
     nd = (_production_forecast(spark, sf_dir, False).where("horizon = 1")
           .select("series_id", F.col("predicted").alias("next_day_forecast")))
-    return out(span.join(nd, "series_id", "left").select(
-        "series_id", "n_rows", "first_date", "last_date", F.lit(nm["n_models"]).alias("n_models"),
-        F.lit(nm["avg_rmse"]).alias("avg_rmse"), "next_day_forecast"), coarse=["avg_rmse"])
+    return out(QU.with_one_row(span.join(nd, "series_id", "left"), reg).select(
+        "series_id", "n_rows", "first_date", "last_date", "n_models", "avg_rmse", "next_day_forecast"), coarse=["avg_rmse"])
 
 
 @query("j7_attach_by_position", V.with_(*_FC_CTE, """lk AS (SELECT series_id, max(date) AS last_date FROM daily_panel GROUP BY 1)""",

@@ -166,14 +166,13 @@ class Pipeline:
     def summary(self, spark: SparkSession) -> DataFrame:
         """Per series the stored span and row count, with the number of
         production models and their mean RMSE from the registry (<= 7 rows,
-        aggregated to one row and attached as literals)."""
+        aggregated to one row that is joined)."""
         from seriesforge.plans import train as TR
         spec = self.spec.with_value(normalize_name_py(self.target))
         span = QU.date_span(read_latest(spark, self.path("base")), spec)
         reg = TR.read_registry(spark, self.path("registry")).agg(
-            F.count(F.lit(1)).alias("n_models"), F.avg("rmse").alias("avg_rmse")).first()  # <= 7 rows -> 1
-        return span.select("*", F.lit(reg["n_models"]).alias("n_models"),
-                           F.lit(reg["avg_rmse"]).cast("double").alias("avg_rmse"))
+            F.count(F.lit(1)).alias("n_models"), F.avg("rmse").alias("avg_rmse"))
+        return QU.with_one_row(span, reg)
 
     def run_full(self, spark: SparkSession, row_payloads=None, columnar_payloads=None, cfg=None) -> dict:
         """collect -> features -> train -> predict (the daily batch)."""
