@@ -68,7 +68,7 @@ def test_ranking_ignores_copies(spark):
         a, b, c = (rnd.gauss(0, 1) for _ in range(3))
         rows.append((a, a * 2 + 1, b, c, 3.0, 5 * a + 2 * b + rnd.gauss(0, 0.1)))
     df = spark.createDataFrame(rows, "a double, a_copy double, b double, c double, one double, y double")
-    cfg = TR.TrainConfig(top_k=10)
+    cfg = TR.TrainConfig(top_k=10, selection="linear_shap")
     full = [(r.feature, round(r.importance, 6)) for r in TR.select_features(df, ["a", "a_copy", "b", "c", "one"], "y", cfg).collect()]
     less = [(r.feature, round(r.importance, 6)) for r in TR.select_features(df, ["a", "b", "c", "one"], "y", cfg).collect()]
     assert full == less and [f for f, _ in full] == ["a", "b", "c"]
