@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from seriesforge.functions import scalar as S
 from seriesforge.functions.calendar import holiday_flags
+from seriesforge.operators import ranks
 from seriesforge.spec import SeriesSpec
 
 # Feature parameters of the reference configuration.
@@ -167,19 +168,42 @@ def fill_with_means(df: DataFrame, spec: SeriesSpec, exclude=(), columns=None) -
         if c in cols else f"`{c}`" for c in df.columns])
 
 
+def _lag_columns(spec: SeriesSpec, w, lags, leads, mean_windows, std_windows, diffs) -> list[Column]:
+    v = F.col(spec.value)
+    return [*[F.lag(v, k).over(w).alias(f"lag_{k}") for k in lags],
+            *[F.lead(v, h).over(w).alias(f"{TARGET_PREFIX}{h}") for h in leads],
+            *[guarded_rolling(v, n, w, "avg").alias(f"rolling_mean_{n}") for n in mean_windows],
+            *[guarded_rolling(v, n, w, "std").alias(f"rolling_std_{n}") for n in std_windows],
+            *[(v - F.lag(v, n).over(w)).alias(f"trend_{n}days") for n in diffs]]
+
+
 def lag_features(df: DataFrame, spec: SeriesSpec, lags=LAGS, leads=range(1, HORIZONS + 1),
                  mean_windows=ROLLING_MEAN_WINDOWS, std_windows=ROLLING_STD_WINDOWS,
                  diffs=DIFFS) -> DataFrame:
     """W1-W5 on the bare value column (no clipping, no fill)."""
-    w = series_window(spec)
-    v = F.col(spec.value)
-    return df.select(
-        "*",
-        *[F.lag(v, k).over(w).alias(f"lag_{k}") for k in lags],
-        *[F.lead(v, h).over(w).alias(f"{TARGET_PREFIX}{h}") for h in leads],
-        *[guarded_rolling(v, n, w, "avg").alias(f"rolling_mean_{n}") for n in mean_windows],
-        *[guarded_rolling(v, n, w, "std").alias(f"rolling_std_{n}") for n in std_windows],
-        *[(v - F.lag(v, n).over(w)).alias(f"trend_{n}days") for n in diffs])
+    return df.select("*", *_lag_columns(spec, series_window(spec), lags, leads, mean_windows, std_windows, diffs))
+
+
+def lag_features_in_buckets(df: DataFrame, spec: SeriesSpec, bucket_rows: int = 100_000, lags=LAGS,
+                            leads=range(1, HORIZONS + 1), mean_windows=ROLLING_MEAN_WINDOWS,
+                            std_windows=ROLLING_STD_WINDOWS, diffs=DIFFS) -> DataFrame:
+    """W1-W5 for series longer than a task should sort (sub-daily grain): the rows
+    of :func:`lag_features`, but windows run over buckets of ``bucket_rows``
+    consecutive rows and the few rows around them that the shifts reach. Rows are
+    numbered by range partitions, so no window holds a whole series, and
+    an un-keyed series is spread as well."""
+    back, ahead = max([0, *lags, *mean_windows, *std_windows, *diffs]), max([0, *leads])
+    if bucket_rows < max(1, back, ahead):
+        raise ValueError("a bucket must hold as many rows as the longest shift")
+    rows = ranks.row_positions(df, spec.key_cols, [spec.time], "__position")
+    home = F.floor(F.col("__position") / F.lit(bucket_rows)).cast("long")
+    place = F.col("__position") % F.lit(bucket_rows)
+    # the last rows also go before the next bucket, the first ones behind the bucket before
+    copies = F.array_compact(F.array(home, F.when(place >= bucket_rows - back, home + 1), F.when((place < ahead) & (home > 0), home - 1)))
+    rows = rows.select("*", home.alias("__home"), F.explode(copies).alias("__bucket"))
+    w = Window.partitionBy(*spec.key_cols, "__bucket").orderBy("__position")
+    out = rows.select("*", *_lag_columns(spec, w, lags, leads, mean_windows, std_windows, diffs))
+    return out.where("__home = __bucket").drop("__position", "__home", "__bucket")
 
 
 def moving_averages(df: DataFrame, spec: SeriesSpec, windows=(30, 365)) -> DataFrame:

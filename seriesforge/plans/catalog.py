@@ -41,6 +41,7 @@ def out(df: DataFrame, scale: int = 4, coarse=()) -> DataFrame:
 # Lags, leads, guarded rolling mean/std, differences per series
 # --------------------------------------------------------------------------
 from seriesforge.operators import features as FE  # noqa: E402
+from seriesforge.operators import ranks as RK  # noqa: E402
 
 _W = "OVER (PARTITION BY series_id ORDER BY date)"
 STD_COLS = [f"rolling_std_{w}" for w in FE.ROLLING_STD_WINDOWS]
@@ -61,6 +62,12 @@ def q_lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(FE.lag_features(T.daily_panel(spark, sf_dir, exact=True), PANEL), coarse=STD_COLS)
 
 
+@query("w1_w5_lags_of_long_series", V.with_(V.SPARSE_PANEL_X) + "SELECT " + _lag_sql("sparse_panel"))
+def q_bucket_lags(spark, sf_dir):
+    """W1-W5 on the gappy panel by buckets of 365 rows with the rows around them."""
+    return out(FE.lag_features_in_buckets(T.sparse_panel(spark, sf_dir, exact=True), PANEL, bucket_rows=365), coarse=STD_COLS)
+
+
 @query("w_sparse_panel_lags", V.with_(V.SPARSE_PANEL_X) + "SELECT " + _lag_sql("sparse_panel"))
 def q_sparse_lags(spark, sf_dir):
     """T5 on a gappy panel: shifts are by row position, not by calendar."""
@@ -701,6 +708,65 @@ def q_qq(spark, sf_dir):
     return out(PR.qq_points(_panel(spark, sf_dir), PANEL, 99), coarse=["slope", "intercept"])
 
 
+_ORDERS = "src AS (SELECT o_orderpriority AS series_id, CAST(o_totalprice AS DOUBLE) AS x FROM orders)"
+
+
+def _orders(spark, sf_dir):
+    return T.read_table(spark, sf_dir, "orders", ["o_orderpriority", "o_totalprice"]).select(
+        F.col("o_orderpriority").alias("series_id"), F.col("o_totalprice").cast("double").alias("x"))
+
+
+def _normal_sql(p: str) -> str:
+    """Normal quantile of the SQL expression ``p``, as in operators.ranks."""
+    def ratio(table, r):
+        return "(" + ") / (".join(_horner(side, r) for side in table) + ")"
+
+    def _horner(side, r):
+        text = f"CAST({side[7]!r} AS DOUBLE)"
+        for a in side[6::-1]:
+            text = f"({text} * ({r}) + CAST({a!r} AS DOUBLE))"
+        return text
+
+    far = f"sqrt(-ln(least({p}, 1.0 - {p})))"
+    outer = f"CASE WHEN {far} <= 5 THEN {ratio(RK.MIDDLE, far + ' - 1.6')} ELSE {ratio(RK.TAIL, far + ' - 5.0')} END"
+    return (f"CASE WHEN abs({p} - 0.5) <= 0.425 THEN ({p} - 0.5) * {ratio(RK.CENTRE, f'0.180625 - ({p} - 0.5) * ({p} - 0.5)')} "
+            f"WHEN {p} < 0.5 THEN -({outer}) ELSE {outer} END")
+
+
+_SCORES = ("k AS (SELECT series_id, x, row_number() OVER (PARTITION BY series_id ORDER BY x) AS position, "
+           "count(*) OVER (PARTITION BY series_id) AS n FROM src)",
+           "p AS (SELECT *, CAST(position - 0.375 AS DOUBLE) / CAST(n + 0.25 AS DOUBLE) AS p FROM k)",
+           f"z AS (SELECT series_id, position, n, x AS sample, {_normal_sql('p')} AS theoretical FROM p)")
+
+
+@query("a20_qq_points_by_row", V.with_(_ORDERS, *_SCORES) + "SELECT series_id, position, " + V.r("sample", "sample") + ", " +
+       V.r("theoretical", "theoretical") + " FROM z")
+def q_qq_rows(spark, sf_dir):
+    """One Q-Q point for every order of a priority, ranked by range partitions."""
+    return out(RK.qq_rows(_orders(spark, sf_dir), ["series_id"], "x"))
+
+
+@query("a21_order_statistic_normality", V.with_(_ORDERS, *_SCORES, """s AS (SELECT series_id, count(*) AS n, pow(corr(sample, theoretical), 2) AS w,
+  regr_slope(sample, theoretical) AS slope, regr_intercept(sample, theoretical) AS intercept, ln(CAST(count(*) AS DOUBLE)) AS l FROM z GROUP BY 1)""",
+  """t AS (SELECT *, (ln(1.0 - w) - (1.0521 * (ln(l) - l) - 1.2725)) / (1.0308 - 0.26758 * (ln(l) + 2.0 / l)) AS z FROM s)""") +
+       "SELECT series_id, n, " + V.r("w", "w") + ", " + V.r("z", "z", 2) + ", CAST(z <= 1.6448536269514722 AS BIGINT) AS is_normal, " +
+       V.r("slope", "slope", 2) + ", " + V.r("intercept", "intercept", 2) + " FROM t")
+def q_order_normality(spark, sf_dir):
+    """Shapiro-Francia on all orders of a priority, no sample."""
+    return out(RK.order_normality(_orders(spark, sf_dir), ["series_id"], "x"), coarse=["z", "slope", "intercept"])
+
+
+_LEVELS = [0.01, 0.25, 0.5, 0.75, 0.99]
+
+
+@query("a7_quantiles_of_large_groups", V.with_(_ORDERS, f"q AS (SELECT series_id, count(x) AS n, quantile_cont(x, {_LEVELS}) AS q FROM src GROUP BY 1)") +
+       "SELECT series_id, n, " + ", ".join(V.r(f"q[{i + 1}]", f"q{round(100 * p)}") for i, p in enumerate(_LEVELS)) + " FROM q")
+def q_large_quantiles(spark, sf_dir):
+    """Exact quantiles of raw rows by their ranks; no group's values in one task."""
+    q = RK.exact_quantiles(RK.value_ranks(_orders(spark, sf_dir), ["series_id"], "x"), ["series_id"], "x", _LEVELS)
+    return out(q.select("series_id", "n", *[F.col("q")[i].alias(f"q{round(100 * p)}") for i, p in enumerate(_LEVELS)]))
+
+
 # --------------------------------------------------------------------------
 # Quality, splits, scaling
 # --------------------------------------------------------------------------
@@ -786,6 +852,13 @@ def q_split(spark, sf_dir):
     return out(SP.label_split(_panel(spark, sf_dir), "date", 0.8))
 
 
+@query("o4_time_split_any_grain", """WITH d AS (SELECT ts, row_number() OVER (ORDER BY ts) AS pos, count(*) OVER () AS n
+  FROM (SELECT DISTINCT ts FROM events)) SELECT event_id, CAST(d.pos <= floor(d.n * 0.8) AS BIGINT) AS is_train FROM events e JOIN d USING (ts)""")
+def q_split_any_grain(spark, sf_dir):
+    """O4 on the events' own times: their ranks come from range partitions."""
+    return out(RK.cut_by_rank(T.read_table(spark, sf_dir, "events", ["event_id", "ts"]), "ts").select("event_id", "is_train"))
+
+
 _SCALE_COLS = ["y", *WEATHER_COLUMNS]
 
 

@@ -35,13 +35,13 @@ M = {
  "J6": ("operators/joins.py nearest_time_join", ["j6_f16_nearest_hour_lookup", "tests/test_properties.py"]),
  "J7": ("operators/joins.py next_rows_by_position, attach_by_position", ["j7_attach_by_position"]),
  "A1": ("operators/ingest.py pivot_wide", ["a1_pivot_wide", "tests/test_properties.py"]),
- "A21": ("operators/profile.py shape (Jarque-Bera, re-aimed)", ["a13_a21_shape_normality"]),
+ "A21": ("operators/ranks.py order_normality (Shapiro-Francia on all rows); operators/profile.py shape (Jarque-Bera)", ["a21_order_statistic_normality", "a13_a21_shape_normality", "tests/test_ranks.py"]),
  "A25": ("operators/attribution.py mean_absolute; plans/train.py select_features", ["m4_a25_feature_selection", "tests/test_attribution.py"]),
- "W1": ("operators/features.py build_features / lag_features", ["w1_w5_lag_rolling_features", "features_train"]),
- "W2": ("operators/features.py (lead targets)", ["w1_w5_lag_rolling_features", "features_train"]),
- "W3": ("operators/features.py guarded_rolling avg", ["w1_w5_lag_rolling_features", "tests/test_traps.py::t3"]),
- "W4": ("operators/features.py guarded_rolling std", ["w1_w5_lag_rolling_features", "tests/test_traps.py::t3"]),
- "W5": ("operators/features.py (trend_Ndays)", ["w1_w5_lag_rolling_features"]),
+ "W1": ("operators/features.py build_features / lag_features", ["w1_w5_lag_rolling_features", "w1_w5_lags_of_long_series", "features_train"]),
+ "W2": ("operators/features.py (lead targets)", ["w1_w5_lag_rolling_features", "w1_w5_lags_of_long_series", "features_train"]),
+ "W3": ("operators/features.py guarded_rolling avg", ["w1_w5_lag_rolling_features", "w1_w5_lags_of_long_series", "tests/test_traps.py::t3"]),
+ "W4": ("operators/features.py guarded_rolling std", ["w1_w5_lag_rolling_features", "w1_w5_lags_of_long_series", "tests/test_traps.py::t3"]),
+ "W5": ("operators/features.py (trend_Ndays)", ["w1_w5_lag_rolling_features", "w1_w5_lags_of_long_series"]),
  "W6": ("operators/features.py (temp_lag_1)", ["features_train"]),
  "W7": ("operators/features.py moving_averages / centred_rolling_mean", ["w7_centred_moving_averages", "tests/test_traps.py::t4"]),
  "W10": ("operators/ingest.py keep_last (max_by)", ["w10_u2_keep_last", "i3_u1_upsert"]),
@@ -49,7 +49,7 @@ M = {
  "O1": ("sources/files.py write_table(sort_by=)", ["s5_s1_o1_csv_sink_roundtrip", "a4_monthly_means"]),
  "O2": ("operators/forecast.py last_rows", ["o2_last_90_rows"]),
  "O3": ("quality.null_report(top), profile.target_correlations(top), train.select_features(top_k)", ["a9_q1_null_report", "a14_f13_target_correlations"]),
- "O4": ("operators/split.py date_positions / label_split / time_split", ["o4_time_split"]),
+ "O4": ("operators/split.py date_positions / label_split / time_split; operators/ranks.py cut_by_rank", ["o4_time_split", "o4_time_split_any_grain"]),
  "O5": ("operators/forecast.py display_rows", ["s7_m11_o5_document_roundtrip"]),
  "U1": ("operators/ingest.py upsert (unionByName)", ["i3_u1_upsert"]),
  "U2": ("operators/ingest.py keep_last", ["w10_u2_keep_last"]),
@@ -90,11 +90,11 @@ for i, desc in ids:
         alias = {"PR": "operators/profile.py", "QU": "operators/quality.py", "FE": "operators/features.py",
                  "IN": "operators/ingest.py", "EV": "operators/evaluate.py", "FC": "operators/forecast.py",
                  "SP": "operators/split.py", "JN": "operators/joins.py", "CAL": "functions/calendar.py",
-                 "S": "functions/scalar.py", "T": "sources/tables.py", "TR": "plans/train.py", "LN": "operators/linear.py"}
+                 "S": "functions/scalar.py", "T": "sources/tables.py", "TR": "plans/train.py", "LN": "operators/linear.py", "RK": "operators/ranks.py"}
         found = []
         for n in auto:
             src = inspect.getsource(QUERIES[n])
-            for a, f in re.findall(r"\b(PR|QU|FE|IN|EV|FC|SP|JN|CAL|S|TR)\.([a-z_]+)\(", src):
+            for a, f in re.findall(r"\b(PR|QU|FE|IN|EV|FC|SP|JN|CAL|S|TR|RK)\.([a-z_]+)\(", src):
                 item = f"{alias[a]} {f}"
                 if item not in found:
                     found.append(item)
