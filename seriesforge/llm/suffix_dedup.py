@@ -44,6 +44,8 @@ MATCH = 200
 GRAM = 32
 PIECE = 16
 U64 = np.uint64
+#: A text's identity in every table: 128 bits of its SHA-256.
+TID = ["tid", "tid2"]
 BLOCK = 512 << 10
 BASE2 = U64(0xD1342543DE82EF95)
 BASE2_INV = U64(pow(int(BASE2), -1, 1 << 64))
@@ -91,13 +93,21 @@ def runs(data: np.ndarray, off: np.ndarray, match: int = MATCH, gram: int = GRAM
     return which, first - off[which], count, grams[anchor[first]].view(np.int64), content.view(np.int64)
 
 
+def _ids(batch: pa.RecordBatch) -> np.ndarray:
+    return np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)])
+
+
+def _out(ids: np.ndarray, **columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(ids[0]), pa.array(ids[1]), *(pa.array(c) if isinstance(c, np.ndarray) else c for c in columns.values())], names=[*TID, *columns])
+
+
 def _run_rows(match: int) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for at, data, off in B.blocks(batch.column(1), BLOCK):
+            ids = _ids(batch)
+            for at, data, off in B.blocks(batch.column(2), BLOCK):
                 which, first, count, anchor, content = runs(data, off, match)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[at + which], first * (match + 1) + count, anchor, content)], names=["tid", "run", "anchor", "content"])
+                yield _out(ids[:, at + which], run=first * (match + 1) + count, anchor=anchor, content=content)
     return run
 
 
@@ -203,18 +213,18 @@ def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _todo(batch: pa.RecordBatch, limit: int, match: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """tid, text, todo -> tids, bytes, offsets, and text, first byte and number of windows of each run to do."""
-    ids, todo = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2)
-    for at, data, off in B.blocks(batch.column(1), limit):
+    """TID, text, todo -> ids, bytes, offsets, and text, first byte and number of windows of each run to do."""
+    ids, todo = _ids(batch), batch.column(3)
+    for at, data, off in B.blocks(batch.column(2), limit):
         own = [np.asarray(todo[at + i].values) for i in range(len(off) - 1)]
         text = np.repeat(np.arange(len(own)), [len(x) for x in own])
         packed = np.concatenate(own).astype(np.int64)
         if len(packed):
-            yield ids[at:at + len(own)], data, off, text, packed // (match + 1) + off[text], packed % (match + 1)
+            yield ids[:, at:at + len(own)], data, off, text, packed // (match + 1) + off[text], packed % (match + 1)
 
 
 def _piece_rows(match: int, gram: int, piece: int) -> callable:
-    """Pieces of runs, as runs: tid, run, hash of the bytes that all windows of a
+    """Pieces of runs, as runs: TID, run, hash of the bytes that all windows of a
     piece share (with its distance to the anchor), hash of all its bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,14 +240,12 @@ def _piece_rows(match: int, gram: int, piece: int) -> callable:
                 at, end = anchor - nth * piece, anchor - (nth + 1) * piece + 1 + match
                 shared = B.mix(((prefix[end] - prefix[at]) * inverse[at]) ^ nth.astype(U64))
                 whole = B.mix(((prefix[hi + match] - prefix[lo]) * inverse[lo]) ^ ((anchor - lo).astype(U64) << U64(40)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[text[which]]), pa.array((lo - off[text[which]]) * (match + 1) + hi - lo + 1), pa.array(shared.view(np.int64)), pa.array(whole.view(np.int64))],
-                    names=["tid", "run", "anchor", "content"])
+                yield _out(ids[:, text[which]], run=(lo - off[text[which]]) * (match + 1) + hi - lo + 1, anchor=shared.view(np.int64), content=whole.view(np.int64))
     return run
 
 
 def _window_rows(match: int, gram: int) -> callable:
-    """(tid, run, hi, lo): a window of each kind in a block, as a run of one, with
+    """(TID, run, hi, lo): a window of each kind in a block, as a run of one, with
     its hash. Those found twice in the block also come as runs without a hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,14 +263,15 @@ def _window_rows(match: int, gram: int) -> callable:
                 prefix2 = np.zeros(len(data) + 1, U64)
                 np.cumsum((data.astype(U64) + U64(1)) * _powers2(len(data)), out=prefix2[1:])
                 lo = B.mix((prefix2[s + match] - prefix2[s]) * _powers2(len(data) + 1, True)[s])
-                yield pa.RecordBatch.from_arrays([pa.array(ids[text[one]]), pa.array((s - off[text[one]]) * (match + 1) + 1), pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64))], names=["tid", "run", "hi", "lo"])
+                yield _out(ids[:, text[one]], run=(s - off[text[one]]) * (match + 1) + 1, hi=hi.view(np.int64), lo=lo.view(np.int64))
                 again = np.flatnonzero(np.bincount(number)[number] > 1)
                 again = again[np.argsort(starts[again])]
                 if len(again):
                     s, t = starts[again], text[again]
                     head = np.flatnonzero(np.concatenate(([True], (np.diff(s) > 1) | (np.diff(t) != 0) | (np.arange(1, len(s)) % match == 0))))
                     size = s[np.append(head[1:], len(s)) - 1] - s[head] + 1
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[t[head]]), pa.array((s[head] - off[t[head]]) * (match + 1) + size), pa.nulls(len(head), pa.int64()), pa.nulls(len(head), pa.int64())], names=["tid", "run", "hi", "lo"])
+                    none = pa.nulls(len(head), pa.int64())
+                    yield _out(ids[:, t[head]], run=(s[head] - off[t[head]]) * (match + 1) + size, hi=none, lo=none)
     return run
 
 
@@ -289,11 +298,11 @@ def _powers2(n: int, inverse: bool = False) -> np.ndarray:
 
 
 def _cut(match: int) -> callable:
-    """tid, text, runs of repeated windows -> tid, n_removed, removed, kept_sha256, kept_text."""
+    """TID, text, runs of repeated windows -> TID, n_removed, removed, kept_sha256, kept_text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, removed, spans, sha = [], [], [], []
-            for value, own in zip(batch.column(1), batch.column(2)):
+            for value, own in zip(batch.column(2), batch.column(3)):
                 text, packed = value.as_py(), np.asarray(own.values)
                 lo = packed // (match + 1)
                 hi = lo + packed % (match + 1) - 1 + match
@@ -307,38 +316,40 @@ def _cut(match: int) -> callable:
                 removed.append(sum(end) - sum(begin))
                 spans.append([x for s in zip(begin, end) for x in s])
                 sha.append(hashlib.sha256(kept[-1]).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(sha, pa.string()), pa.array(kept, pa.binary())],
-                                             names=["tid", "n_removed", "removed", "kept_sha256", "kept_text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(sha, pa.string()), pa.array(kept, pa.binary())],
+                                             names=[*TID, "n_removed", "removed", "kept_sha256", "kept_text"])
 
     return run
 
 
 def _twice(df: DataFrame, *key: str) -> DataFrame:
-    """Keys that occur at two places or more, with the smallest place p."""
+    """Keys that occur at two places or more, with the smallest place p. A place is
+    a hash, but only places of one key are told apart by it."""
     return df.groupBy(*key).agg(F.min("place").alias("p"), F.max("place").alias("q")).where("p <> q").select(*key, "p")
 
 
 def _narrowed(found: DataFrame, label: str) -> DataFrame:
-    """Judges runs (tid, run, anchor, content): those whose anchor occurs at one
-    place are left out; the others come as (tid, run, whole, todo). whole: its
+    """Judges runs (TID, run, anchor, content): those whose anchor occurs at one
+    place are left out; the others come as (TID, run, whole, todo). whole: its
     content occurs at two places or more. todo: its windows are still to be
     looked at, as runs that are not whole, or, for comparison with those of its
     anchor, as one run of each repeated content."""
     found = stored(found, f"sd-{label}-runs")
     spark = found.sparkSession
-    placed = found.withColumn("place", F.xxhash64("tid", "run"))
+    placed = found.withColumn("place", F.xxhash64(*TID, "run"))
     anchors = stored(_twice(placed, "anchor").select("anchor"), f"sd-{label}-anchors")
     release(spark)
-    maybe = placed.join(anchors, "anchor").groupBy("place").agg(*(F.first(c).alias(c) for c in ("tid", "run", "anchor", "content")))
+    # copies of a text give the same runs; equal (TID, run) is one
+    maybe = placed.join(anchors, "anchor").groupBy(*TID, "run").agg(*(F.first(c).alias(c) for c in ("place", "anchor", "content")))
     maybe = stored(maybe, f"sd-{label}-maybe")
     drop_stored(found, anchors)
     release(spark)
     contents = stored(_twice(maybe, "content", "anchor"), f"sd-{label}-contents")
-    judged = maybe.join(contents, ["content", "anchor"], "left").select("tid", "run", "anchor", F.col("p").isNotNull().alias("whole"), (F.col("p") == F.col("place")).alias("one_of_kind"))
+    judged = maybe.join(contents, ["content", "anchor"], "left").select(*TID, "run", "anchor", F.col("p").isNotNull().alias("whole"), (F.col("p") == F.col("place")).alias("one_of_kind"))
     judged = stored(judged, f"sd-{label}-judged")
     open_ = stored(judged.where("not whole").select("anchor").distinct().withColumn("open", F.lit(True)), f"sd-{label}-open")
     out = judged.join(open_, "anchor", "left").withColumn("todo", ~F.col("whole") | F.coalesce(F.col("one_of_kind") & F.col("open"), F.lit(False)))
-    out = stored(out.select("tid", "run", "whole", "todo"), f"sd-{label}-todo")
+    out = stored(out.select(*TID, "run", "whole", "todo"), f"sd-{label}-todo")
     drop_stored(maybe, contents, judged, open_)
     release(spark)
     return out
@@ -353,32 +364,37 @@ def deduplicate(docs: DataFrame, match: int = MATCH, doc_id: str = "doc_id", tex
     also if they share a doc_id. A cut may fall inside a character, so what is
     kept is bytes.
 
-    Rows of equal text are one text to the search; 64 bits tell texts apart."""
-    base = docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("text")).withColumn("tid", F.xxhash64("text"))
-    rows = stored(base.select("doc_id", "tid", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "sd-rows")
-    groups = stored(rows.where(f"n_bytes >= {match}").groupBy("tid").agg(F.min("doc_id").alias("one"), (F.count("*") > 1).alias("copied")), "sd-groups")
-    kinds = "tid bigint, run bigint, anchor bigint, content bigint"
-    runs_ = _narrowed(base.where(F.octet_length("text") >= match).select("tid", "text").mapInArrow(_run_rows(match), kinds), "run")
-    todo = runs_.groupBy("tid").agg(F.collect_list(F.when(F.col("todo"), F.col("run"))).alias("todo"))  # bounded by the text
-    wanted = stored(todo.join(groups, "tid").where("size(todo) > 0 or not copied"), "sd-wanted")
-    texts = base.withColumnRenamed("tid", "t").join(wanted, F.expr("t = tid and doc_id <=> one")).select("tid", "copied", "todo", "text")
+    Rows of equal text are one text to the search; 128 bits of its SHA-256 tell
+    texts apart, so that equal ids are not to be expected at any size."""
+    base = docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("text")).withColumn("sha", F.sha2("text", 256))
+    halves = (F.conv(F.substring("sha", 1 + 16 * i, 16), 16, -10).cast("long").alias(t) for i, t in enumerate(TID))
+    base = base.select("doc_id", "text", "sha", *halves)
+    rows = stored(base.select("doc_id", *TID, F.octet_length("text").cast("long").alias("n_bytes"), "sha"), "sd-rows")
+    groups = stored(rows.where(f"n_bytes >= {match}").groupBy(*TID).agg(F.min("doc_id").alias("one"), (F.count("*") > 1).alias("copied")), "sd-groups")
+    ids = ", ".join(f"{t} bigint" for t in TID)
+    kinds = f"{ids}, run bigint, anchor bigint, content bigint"
+    runs_ = _narrowed(base.where(F.octet_length("text") >= match).select(*TID, "text").mapInArrow(_run_rows(match), kinds), "run")
+    todo = runs_.groupBy(*TID).agg(F.collect_list(F.when(F.col("todo"), F.col("run"))).alias("todo"))  # bounded by the text
+    wanted = stored(todo.join(groups, TID).where("size(todo) > 0 or not copied"), "sd-wanted")
+    named = base.withColumnsRenamed({"tid": "t", "tid2": "t2"})
+    texts = named.join(wanted, F.expr("t = tid and t2 = tid2 and doc_id <=> one")).select(*TID, "copied", "todo", "text")
     texts = stored(texts, "sd-texts")
     release(docs.sparkSession)
-    pieces = _narrowed(texts.where("size(todo) > 0").select("tid", "text", "todo").mapInArrow(_piece_rows(match, GRAM, PIECE), kinds), "piece")
-    todo = stored(pieces.where("todo").groupBy("tid").agg(F.collect_list("run").alias("todo")), "sd-todo")
-    windows = texts.select("tid", "text").join(todo, "tid").select("tid", "text", "todo").mapInArrow(_window_rows(match, GRAM), "tid bigint, run bigint, hi bigint, lo bigint")
+    pieces = _narrowed(texts.where("size(todo) > 0").select(*TID, "text", "todo").mapInArrow(_piece_rows(match, GRAM, PIECE), kinds), "piece")
+    todo = stored(pieces.where("todo").groupBy(*TID).agg(F.collect_list("run").alias("todo")), "sd-todo")
+    windows = texts.select(*TID, "text").join(todo, TID).select(*TID, "text", "todo").mapInArrow(_window_rows(match, GRAM), f"{ids}, run bigint, hi bigint, lo bigint")
     windows = stored(windows, "sd-windows")
     release(docs.sparkSession)
-    hashed = windows.where("hi is not null").withColumn("place", F.xxhash64("tid", "run"))
+    hashed = windows.where("hi is not null").withColumn("place", F.xxhash64(*TID, "run"))
     twice = stored(_twice(hashed, "hi", "lo").select("hi", "lo"), "sd-twice")
-    again = hashed.join(twice, ["hi", "lo"]).select("tid", "run").unionByName(windows.where("hi is null").select("tid", "run"))
-    repeated = runs_.where("whole").select("tid", "run").unionByName(pieces.where("whole").select("tid", "run")).unionByName(again)
-    spans = stored(repeated.groupBy("tid").agg(F.collect_list("run").alias("runs")), "sd-spans")
+    again = hashed.join(twice, ["hi", "lo"]).select(*TID, "run").unionByName(windows.where("hi is null").select(*TID, "run"))
+    repeated = runs_.where("whole").select(*TID, "run").unionByName(pieces.where("whole").select(*TID, "run")).unionByName(again)
+    spans = stored(repeated.groupBy(*TID).agg(F.collect_list("run").alias("runs")), "sd-spans")
     release(docs.sparkSession)
-    cut = texts.where("not copied").select("tid", "text").join(spans, "tid").mapInArrow(_cut(match), "tid bigint, n_removed bigint, removed array<bigint>, kept_sha256 string, kept_text binary")
-    parts = stored(cut.dropDuplicates(["tid"]), "sd-cut")
-    copied = groups.where("copied").select("tid", F.lit(True).alias("copied"))
-    out = rows.join(stored(parts.join(copied, "tid", "full"), "sd-parts"), "tid", "left")
+    cut = texts.where("not copied").select(*TID, "text").join(spans, TID).mapInArrow(_cut(match), f"{ids}, n_removed bigint, removed array<bigint>, kept_sha256 string, kept_text binary")
+    parts = stored(cut.dropDuplicates(TID), "sd-cut")
+    copied = groups.where("copied").select(*TID, F.lit(True).alias("copied"))
+    out = rows.join(stored(parts.join(copied, TID, "full"), "sd-parts"), TID, "left")
     none = F.expr("cast(array() as array<bigint>)")
     removed = F.when(F.col("copied"), F.array(F.lit(0).cast("long"), F.col("n_bytes"))).otherwise(F.coalesce("removed", none))
     return out.select(

@@ -80,3 +80,17 @@ def test_suffix_sort_orders_and_survives_hash_collisions(monkeypatch):
         assert all((parts[i] == parts[j]) == (number[i] == number[j]) for i in range(0, 900, 7) for j in range(900))
         if not broken:
             assert [parts[i] for i in sorted_.order] == sorted(parts)
+
+
+def test_texts_and_places_with_colliding_short_hashes_stay_apart(spark, docs_of, monkeypatch):
+    """Places of different runs may share a hash: nothing is merged by it."""
+    shared, other = "s" * 3 + "".join(chr(97 + i * 7 % 26) + str(i) for i in range(120)), "".join(chr(98 + i * 5 % 23) + str(i * 3) for i in range(120))
+    rows = [(1, "a " + shared), (2, "b " + shared), (3, "c " + other), (4, "d " + other), (5, "alone " * 60), (6, "z" + "".join(str(i * i) for i in range(200)))]
+    found = docs_of(rows).selectExpr("doc_id as tid", "cast(doc_id * 0 as bigint) as tid2", "doc_id as run", "doc_id as anchor", "doc_id as content")
+    twin = found.withColumn("anchor", found["anchor"] % 2).withColumn("content", found["content"] % 2)
+    real = S.F.xxhash64
+    monkeypatch.setattr(S.F, "xxhash64", lambda *c: real(*c) % 3)
+    judged = S._narrowed(twin, "test").collect()
+    assert sorted(r.tid for r in judged) == [1, 2, 3, 4, 5, 6]
+    monkeypatch.undo()
+    assert result(S.deduplicate(docs_of(rows))) == brute(rows)
