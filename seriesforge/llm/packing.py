@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesforge.llm import bytesplit as B
-from seriesforge.llm.common import read_table, stored, utf8
+from seriesforge.llm.common import hidden, read_table, stored, utf8
 
 CAPACITY = 2048
 END_ID = 0
@@ -303,18 +303,20 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     sequences of at most ``capacity`` tokens, gapless from offset 0. Rows with a
     null doc_id or equal (doc_id, piece) are pieces like any other."""
     spark = pieces.sparkSession
-    pieces = stored(pieces, "pack-pieces")
+    # rows are dealt by a stored number: hashes of their columns would bring equal rows together
+    columns, row = pieces.columns, hidden(pieces, "row")
+    pieces = stored(pieces.withColumn(row, F.monotonically_increasing_id()), "pack-pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     runs = np.array(sorted(Plan(histogram, capacity).runs), np.int64).reshape(-1, 6)
     total = sum(histogram.values())
     buckets = -(-total // max(256, math.isqrt(total)))
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "start"), F.lit(max(1, buckets))))
+    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64(row), F.lit(max(1, buckets))))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n")).select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
     counts = stored(counts, "pack-counts")
-    nth = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")) - 1
-    ranked = dealt.withColumn("nth", nth).join(counts, ["length", "bucket"]).withColumn("rank", (F.col("earlier") + F.col("nth")).cast("long")).select(*pieces.columns, "rank")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
+    nth = F.row_number().over(Window.partitionBy("length", "bucket").orderBy(row)) - 1
+    ranked = dealt.withColumn("nth", nth).join(counts, ["length", "bucket"]).withColumn("rank", (F.col("earlier") + F.col("nth")).cast("long")).select(*columns, "rank")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.select(*columns).schema.fields)
     return ranked.mapInArrow(_places(spark.sparkContext.broadcast(runs)), f"{kinds}, sequence_id bigint, offset bigint")
 
 

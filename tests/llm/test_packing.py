@@ -144,3 +144,12 @@ def test_reduction_keeps_the_optimum(seed):
     plan._reduce()
     rest = [x for x in range(21) for _ in range(plan.left[x])]
     assert plan.sequences + optimum(rest, 20) == optimum(lengths, 20)
+
+
+def test_rows_equal_in_every_column_are_dealt_apart(spark):
+    pieces = spark.range(0, 6000, 1, 7).selectExpr("cast(null as bigint) as doc_id", "0 as piece", "0L as start", "700L as length", "5L as ids_crc32")
+    packed = P.pack(pieces)
+    rows = packed.collect()
+    assert packed.columns == [*pieces.columns, "sequence_id", "offset"] and len(rows) == 6000
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 6000 and len({r.sequence_id for r in rows}) == 3000
+    assert "xxhash64(_row" in packed._jdf.queryExecution().executedPlan().toString()
