@@ -117,6 +117,16 @@ def _stride(steps: Column) -> Column:
     return F.ceil(F.sqrt(F.size(steps) + 1)).cast("int")
 
 
+def _let(value: Column, body: callable) -> Column:
+    """``body(value)`` with the value computed once, also inside lambdas."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _run_starts(array: Column) -> Column:
+    """0, stride, ... below the array's size, at least the 0."""
+    return F.sequence(F.lit(0), F.greatest(F.size(array) - 1, F.lit(0)), _stride(array))
+
+
 def _strides(steps: Column) -> Column:
     """Sums of runs of about the square root of their number, so that a place is
     a sum of few of them and few steps, however many matches a text has."""
@@ -165,8 +175,16 @@ def candidates(docs: DataFrame, text: str, out: str) -> DataFrame:
     cut = cut.select("*", *(_strides(F.col(f"{n}_p")).alias(f"{n}_q") for n in names))
     arrays = [_candidates(k, strict, *(F.col(f"{n}_{x}") for x in "smpq")) for n, (k, strict, _, _) in zip(names, patterns)]
     found = cut.select(*(F.col(f"`{c}`") for c in docs.columns), F.concat(*arrays).cast(CANDIDATES).alias(out))
-    # a candidate beside the base rules must not touch a span of theirs
-    free = F.filter(out, lambda c: c["base"] | ~F.exists(out, lambda b: b["base"] & (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    # a candidate beside the base rules must not touch a span of theirs; these are
+    # looked at in runs of about the square root of their number, by place
+    base = F.array_sort(F.transform(F.filter(out, lambda c: c["base"]), lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"))))
+    runs = _let(base, lambda b: F.transform(_run_starts(b), lambda i: _let(F.slice(b, i + 1, _stride(b)), lambda part: F.struct(
+        F.get(part, F.lit(0))["start"].alias("first"), F.array_max(F.transform(part, lambda x: x["end"])).alias("last"), part.alias("part")))))
+
+    def touches(c: Column, run: Column) -> Column:
+        return (run["first"] < c["end"]) & (c["start"] < run["last"]) & F.exists(run["part"], lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+
+    free = _let(runs, lambda r: F.filter(out, lambda c: c["base"] | ~F.coalesce(F.exists(r, lambda run: touches(c, run)), F.lit(False))))
     return found.withColumn(out, F.when(F.size(out) > 0, free).otherwise(F.col(out)))
 
 
@@ -255,17 +273,40 @@ def masked(docs: DataFrame, text: str = "text") -> DataFrame:
     spans stay as they are. An integer column n_chars is set to the new length."""
     spans = hidden(docs, "spans")
     found = personal_data(docs, text, spans)
-    by_place = F.array_sort(F.transform(spans, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind"))))
-    names = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
+    names = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS), F.lit(""))
     body = F.col(f"`{text}`")
 
-    def put(state: Column, c: Column) -> Column:
-        fresh = c["start"] >= state["at"]
-        more = F.concat(state["out"], F.substring(body, state["at"] + 1, c["start"] - state["at"]), names[c["kind"]])
-        return F.struct(F.when(fresh, more).otherwise(state["out"]).alias("out"), F.greatest(state["at"], c["end"]).alias("at"))
+    def with_reach(sorted_: Column) -> Column:
+        """Spans with ``at``, the farthest end before them, and the text's end as the last."""
+        ends = F.transform(sorted_, lambda c: c["end"])
+        tops = _let(ends, lambda e: F.transform(_run_starts(e), lambda i: F.array_max(F.slice(e, i + 1, _stride(e)))))
+        every = F.concat(sorted_, F.array(F.struct(F.length(body).alias("start"), F.length(body).alias("end"), F.lit(len(KINDS)).alias("kind"))))
 
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    new = F.aggregate(by_place, start, put, lambda s: F.concat(s["out"], F.substring(body, s["at"] + 1, F.length(body))))
+        def reach(bound: Column, i: Column) -> Column:
+            n = _stride(bound["ends"])
+            run = F.floor(i / n).cast("int")
+            return F.greatest(F.lit(0), F.array_max(F.slice(bound["tops"], F.lit(1), run)), F.array_max(F.slice(bound["ends"], run * n + 1, i - run * n)))
+
+        return _let(F.struct(ends.alias("ends"), tops.alias("tops")), lambda bound: F.transform(
+            every, lambda c, i: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), reach(bound, i).alias("at"))))
+
+    def joined(fresh: Column) -> Column:
+        """Each span's text before it and its name. Places are counted from the start of
+        a run of spans, so that no span counts through the whole text."""
+        def run_of(i: Column) -> Column:
+            part = F.slice(fresh, i + 1, _stride(fresh))
+            return _let(part, lambda p: F.struct(p.alias("part"), p[0]["at"].alias("from"), F.substring(
+                body, p[0]["at"] + 1, F.element_at(p, -1)["start"] - p[0]["at"]).alias("text")))
+
+        def put(run: Column) -> Column:
+            return F.array_join(F.transform(run["part"], lambda c: F.concat(
+                F.substring(run["text"], c["at"] - run["from"] + 1, c["start"] - c["at"]), names[c["kind"]])), "")
+
+        return F.array_join(F.transform(F.transform(_run_starts(fresh), run_of), put), "")
+
+    by_place = F.array_sort(F.transform(spans, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind"))))
+    reached = _let(by_place, with_reach)
+    new = _let(F.filter(reached, lambda c: c["start"] >= c["at"]), joined)
     out = found.withColumn(text, F.when(F.size(spans) > 0, new).otherwise(body))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size(spans) > 0, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))

@@ -100,3 +100,43 @@ def test_adds_close_candidates_and_masks(docs_of):
     assert out[0].text == "call me: <PHONE> or mail: <EMAIL> from host <IP>" and out[500].text == "phone: <PHONE> please"
     assert out[502].text == near[2][1] and out[0].n_chars == len(out[0].text) and out[502].n_chars is None
     assert list(out[0].asDict()) == docs.columns
+
+
+def masked_by_hand(text, spans):
+    out, at = "", 0
+    for start, end, kind in sorted((int(s[1]), int(s[2]), P.KINDS.index(s[0])) for s in spans):
+        if start >= at:
+            out += text[at:start] + f"<{P.KINDS[kind].upper()}>"
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_masking_of_many_and_touching_spans(docs_of):
+    texts = [" ".join(f"u{i}@s{i}.com é +1 (640) 555-{i % 10000:04d} 10.0.{i % 256}.1" for i in range(n)) for n in (1, 2, 7, 40, 300)]
+    texts += ["+1 4111111111111111 x", "a@1.2.3.4 1.2.3.4@b.com", "a@b.co", "a@b.coc@d.ee,+12345678901+12345678902", "+4111111111111111 4111111111111111@x.org"]
+    docs = docs_of(texts)
+    spans = {r.doc_id: [s.split(":") for s in r.spans.split(",") if s] for r in query(docs)}
+    got = {r.doc_id: r.text for r in P.masked(docs).collect()}
+    assert got == {i: masked_by_hand(t, spans[i]) for i, t in enumerate(texts)}
+
+
+def test_candidates_beside_base_spans_against_all_pairs(docs_of):
+    texts = ["mail: joe (at) site (dot) com a@b.com " * 60, "1.2.3.4:5:6:7:8 ::1 2001:db8::1 tel (640) 555-0953 +1 (640) 555-0953 " * 50, "4111111111111111, 378282246310005; " * 40]
+    docs = docs_of(texts)
+    every = {r.doc_id: r.c for r in P.candidates(docs, "text", "c").collect()}
+    for spans in every.values():
+        base = [s for s in spans if s.base]
+        assert base and all(not any(b.start < s.end and s.start < b.end for b in base) for s in spans if not s.base)
+    # those that touch nothing are all still there
+    assert [sum(not s.base and s.kind == k for s in every[i]) for i, k in ((0, 0), (1, 3), (2, 2))] == [60, 50, 40]
+
+
+def test_many_spans_cost_little(docs_of):
+    import time
+    seconds = []
+    for n in (2000, 16000):
+        docs = docs_of([" ".join(f"u{i}@s{i}.com and some words" for i in range(n))])
+        begin = time.time()
+        assert P.masked(docs).collect()[0].text.count("<EMAIL>") == n
+        seconds.append(time.time() - begin)
+    assert seconds[1] < seconds[0] + 12, seconds
