@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from seriesforge.operators import profile as PR
 from seriesforge.plans.catalog import ORACLE, QUERIES
 
-NAMES = ["a14_f13_target_correlations", "a15_correlation_matrix", "a20_qq_points"]
+NAMES = ["a14_f13_target_correlations", "a15_correlation_matrix", "a16_exog_trends", "a16_trend_lines", "a20_qq_points"]
 
 
 @pytest.fixture(scope="module")
