@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +58,20 @@ def drop_stored(*tables: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that start inside hand Python at most so many rows at a time. For rows
+    that hold whole groups: a batch of them lies in memory twice in the executor and
+    again in the worker, in every task."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def release(spark: SparkSession) -> None:
     """Frees the shuffle files of finished jobs now. Spark's cleaner removes them
     once the driver's garbage collection finds that nothing refers to them; a

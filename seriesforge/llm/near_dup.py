@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesforge.llm import bytesplit as B
-from seriesforge.llm.common import drop_stored, hidden, read_table, release, stored, utf8
+from seriesforge.llm.common import batches_of, drop_stored, hidden, read_table, release, stored, utf8
 from seriesforge.llm.components import components
 
 T = 130  # coordinates of a sketch
@@ -39,6 +39,7 @@ ROWS = 5  # coordinates in a band: at similarity 0.85 all 26 bands miss with pro
 SHINGLE = 5
 PERCENT = 85
 BLOCK = 64
+PAIRS = 32  # pairs of blocks in a batch
 U64 = np.uint64
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 SALTS = B.mix(np.arange(2 * T, dtype=U64) * U64(0x9E3779B97F4A7C15) + U64(0x632BE59BD9B4E019))
@@ -218,7 +219,8 @@ def linked_sets(rows: DataFrame, sets_of: DataFrame, texts: callable, percent: i
     some = stored(dealt.where("outside").groupBy("key", "block").agg(entry.alias("some")).drop("block"), "nd-some")
     every = stored(dealt.groupBy("key", "block").agg(entry.alias("every")).drop("block"), "nd-every")
     found = some.join(every, "key").select("some", "every").mapInArrow(_block_links(percent), "a binary, b binary")
-    links.append(stored(found, "nd-links"))
+    with batches_of(spark, PAIRS):
+        links.append(stored(found, "nd-links"))
     drop_stored(members, sets, dealt, some, every)
     release(spark)
     return _all_components(links)
