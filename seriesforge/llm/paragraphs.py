@@ -10,7 +10,8 @@ the components of the verified links. Every cluster keeps its first paragraph,
 the one of the smallest (doc_id, line); the others are removed. Shorter lines
 are joined with their neighbours and removed where equal words came before. In what is left,
 runs of words repeated inside longer or across shorter lines are found as passages
-(see ``passages``); all but the first place of each are cut.
+(see ``passages``); all but the first place of each are cut. Apart from what goes,
+every text is told which of its words stand in a passage of another text too.
 """
 
 from __future__ import annotations
@@ -19,12 +20,12 @@ import math
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesforge.llm.common import drop_stored, read_table, release, stored
 from seriesforge.llm.near_dup import _rooted, _sketched, linked_sets
-from seriesforge.llm.passages import PASSAGE, cut, repeated_passages
+from seriesforge.llm.passages import PASSAGE, cut, repeated_passages, shared_passages
 
 FEWEST_WORDS = 10
 PERCENT = 80
@@ -59,9 +60,14 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, fewest_words: i
     roots = linked_sets(rows.select("set_id", "bands"), groups, texts, percent)
     named = stored(_rooted(groups.select("set_id", "one", "last"), roots), "para-named")
     first = named.groupBy("root").agg(F.min("one").alias("first"), F.max("last").alias("last")).where("first <> last or (first.doc_id is null) <> (last.doc_id is null)")
-    labels = stored(named.join(stored(first.drop("last"), "para-first"), "root").select("set_id", "first"), "para-labels")
-    return rows.select("doc_id", "doc_hash", "line", "set_id").join(labels, "set_id").select(
+    first = stored(first.drop("last"), "para-first")
+    labels = stored(named.join(first, "root").select("set_id", "first"), "para-labels")
+    drop_stored(groups, named, first)
+    found = rows.select("doc_id", "doc_hash", "line", "set_id").join(labels, "set_id").select(
         "doc_id", "doc_hash", "line", F.col("first.doc_id").alias("class_doc"), F.col("first.line").alias("class_line"), F.col("first.doc_hash").alias("class_hash"))
+    found = stored(found, "para-found")
+    drop_stored(rows, labels)
+    return found
 
 
 def _removed(found: DataFrame) -> DataFrame:
@@ -119,10 +125,38 @@ def _rest(docs: DataFrame, found: DataFrame) -> DataFrame:
     return rows.select("doc_id", "doc_hash", F.when(F.size("gone") > 0, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("text"), "gone")
 
 
+def _long(texts: DataFrame) -> DataFrame:
+    """(doc_id, doc_hash, text: bytes) of the texts that may hold a passage."""
+    return texts.where(F.octet_length("text") >= 2 * PASSAGE - 1).select("doc_id", "doc_hash", F.col("text").cast("binary").alias("text"))
+
+
 def _passages(rest: DataFrame) -> DataFrame:
     """(d, h, runs): the repeated passages of what is left of the texts."""
-    long = rest.drop("gone").where(F.octet_length("text") >= 2 * PASSAGE - 1)
-    return repeated_passages(long.withColumn("text", F.col("text").cast("binary"))).withColumnsRenamed({"doc_id": "d", "doc_hash": "h"})
+    return repeated_passages(_long(rest)).withColumnsRenamed({"doc_id": "d", "doc_hash": "h"})
+
+
+def _shared(docs: DataFrame) -> DataFrame:
+    """(d, h, shared): the runs of words of the whole texts that other texts hold too."""
+    texts = _long(docs.select("doc_id", "text", F.xxhash64("text").alias("doc_hash")))
+    return shared_passages(texts).withColumnsRenamed({"doc_id": "d", "doc_hash": "h", "runs": "shared"})
+
+
+def _spans(runs: str) -> Column:
+    """The pairs (lo, hi) of a column of runs, null if there are none."""
+    pairs = F.transform(F.sequence(F.lit(0), F.size(runs) - 2, F.lit(2)), lambda i: F.struct(F.get(runs, i).alias("lo"), F.get(runs, i + 1).alias("hi")))
+    return F.when(F.size(runs) > 0, pairs)
+
+
+def _number(spans: str) -> Column:
+    return F.coalesce(F.size(spans), F.lit(0)).cast("long")
+
+
+def _n_words(spans: str) -> Column:
+    return F.coalesce(F.aggregate(spans, F.lit(0).cast("long"), lambda n, r: n + r["hi"] - r["lo"]), F.lit(0).cast("long"))
+
+
+def _listed(spans: str) -> Column:
+    return F.coalesce(F.array_join(F.transform(spans, lambda r: F.concat_ws(":", r["lo"].cast("string"), r["hi"].cast("string"))), ","), F.lit(""))
 
 
 def deduplicate(docs: DataFrame, percent: int = PERCENT, fewest_words: int = FEWEST_WORDS) -> DataFrame:
@@ -131,28 +165,30 @@ def deduplicate(docs: DataFrame, percent: int = PERCENT, fewest_words: int = FEW
     (doc_id:line of the first paragraph of each repeated one, in order of lines);
     then n_passages, n_cut and passages: the runs of words (from:to, from 0, in the
     text without its removed lines) that lie in repeated passages and are cut, their
-    number and their words; and n_short and short, the removed lines of fewer words
-    (see ``_short``: equal words only). A null or empty text has no paragraphs."""
+    number and their words; n_short and short, the removed lines of fewer words
+    (see ``_short``: equal words only); and n_shared, n_shared_words and shared: the
+    runs of words (from:to, in the whole text) that lie in passages which another
+    document holds too, the first document's included. A null or empty text has no
+    paragraphs."""
     found = _removed(repeated_paragraphs(docs, percent, fewest_words))
     release(docs.sparkSession)
     short = _short_removed(docs, fewest_words)
     rest = stored(_rest(docs, found), "para-rest")
     runs = _passages(rest)
     drop_stored(rest)
+    shared = _shared(docs)
     rows = docs.select("doc_id", F.xxhash64("text").alias("doc_hash"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
-    for more in (found.withColumnsRenamed({"doc_id": "d", "doc_hash": "h"}), short, runs):
+    for more in (found.withColumnsRenamed({"doc_id": "d", "doc_hash": "h"}), short, runs, shared):
         rows = rows.join(more, F.expr("doc_hash = h and doc_id <=> d"), "left").drop("d", "h")
     gone = F.filter("found", lambda p: p["removed"])
-    pairs = F.transform(F.sequence(F.lit(0), F.size("runs") - 2, F.lit(2)), lambda i: F.struct(F.get("runs", i).alias("lo"), F.get("runs", i + 1).alias("hi")))
-    rows = rows.withColumn("runs", F.when(F.size("runs") > 0, pairs))
+    rows = rows.withColumns({"runs": _spans("runs"), "shared": _spans("shared")})
     return rows.select(
         "doc_id", "n_lines", F.coalesce(F.size("found"), F.lit(0)).cast("long").alias("n_repeated"), F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce(F.array_join(F.transform(gone, lambda p: p["line"].cast("string")), ","), F.lit("")).alias("removed"),
         F.coalesce(F.array_join(F.transform("found", lambda p: F.concat_ws(":", p["class_doc"].cast("string"), p["class_line"].cast("string"))), ","), F.lit("")).alias("classes"),
-        F.coalesce(F.size("runs"), F.lit(0)).cast("long").alias("n_passages"),
-        F.coalesce(F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["hi"] - r["lo"]), F.lit(0).cast("long")).alias("n_cut"),
-        F.coalesce(F.array_join(F.transform("runs", lambda r: F.concat_ws(":", r["lo"].cast("string"), r["hi"].cast("string"))), ","), F.lit("")).alias("passages"),
-        F.coalesce(F.size("short"), F.lit(0)).cast("long").alias("n_short"), F.coalesce(F.array_join(F.col("short").cast("array<string>"), ","), F.lit("")).alias("short"))
+        _number("runs").alias("n_passages"), _n_words("runs").alias("n_cut"), _listed("runs").alias("passages"),
+        F.coalesce(F.size("short"), F.lit(0)).cast("long").alias("n_short"), F.coalesce(F.array_join(F.col("short").cast("array<string>"), ","), F.lit("")).alias("short"),
+        _number("shared").alias("n_shared"), _n_words("shared").alias("n_shared_words"), _listed("shared").alias("shared"))
 
 
 def without_repeats(docs: DataFrame, percent: int = PERCENT, fewest_words: int = FEWEST_WORDS) -> DataFrame:

@@ -6,6 +6,10 @@ words is an anchor (winnowing), so equal passages have an anchor at the same pla
 and therefore an equal unit there. Only around units that occur more than once are
 all passages hashed and compared. No repeated passage is missed; passages of equal
 128-bit hash count as equal.
+
+``repeated_passages`` gives what can be cut, all places of a passage but the first;
+``shared_passages`` gives every place of the passages that stand in other documents
+too, the first included.
 """
 
 from __future__ import annotations
@@ -76,6 +80,31 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "doc_hash", "unit", "start"])
 
 
+def _sequence_hashes(hashed: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hash of all words of each text in their order."""
+    place = np.arange(len(hashed)) - np.repeat(first[:-1], np.diff(first))
+    total = np.zeros(len(hashed) + 1, U64)
+    np.cumsum(B.mix(hashed + B.mix(place.astype(U64))), out=total[1:])
+    return B.mix(total[first[1:]] - total[first[:-1]])
+
+
+def _units_and_sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As ``_units``, with the number of words and a 128-bit hash of all of them, of
+    the texts that hold a passage."""
+    for batch in batches:
+        for at, data, off in B.blocks(batch.column(2)):
+            hashed, text, first = _words(data, off)
+            found = anchors(hashed, text)
+            bounds = pa.array(np.searchsorted(found, first).astype(np.int32))
+            rows, size = batch.slice(at, len(off) - 1), np.diff(first)
+            sequences = (_sequence_hashes(x, first).view(np.int64) for x in (hashed, B.mix(hashed ^ U64(0x8EBC6AF09C88C6E3))))
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), rows.column(1), pa.array(size.astype(np.int32)), *map(pa.array, sequences),
+                 pa.ListArray.from_arrays(bounds, pa.array(_hashes(hashed, found, UNIT).view(np.int64))),
+                 pa.ListArray.from_arrays(bounds, pa.array((found - first[text[found]]).astype(np.int32)))],
+                names=["doc_id", "doc_hash", "n_words", "s1", "s2", "unit", "start"]).filter(pa.array(size >= PASSAGE))
+
+
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every passage that holds one of the units that start at the places in column 3."""
     for batch in batches:
@@ -104,25 +133,64 @@ def repeated_passages(texts: DataFrame) -> DataFrame:
     table without nulls in text; rows equal in doc_id and doc_hash are one document."""
     spark, kind = texts.sparkSession, texts.schema["doc_id"].dataType.simpleString()
     units = stored(texts.mapInArrow(_units, f"doc_id {kind}, doc_hash bigint, unit array<bigint>, start array<int>"), "para-units")
-    again = stored(units.select(F.explode("unit").alias("unit")).groupBy("unit").agg(F.count("*").alias("n")).where("n > 1").select("unit"), "para-again")
-    release(spark)
-    places = units.select("doc_id", "doc_hash", F.inline(F.arrays_zip("unit", "start"))).join(again, "unit").groupBy("doc_id", "doc_hash").agg(F.collect_set("start").alias("starts"))
-    places = stored(places.withColumnsRenamed({"doc_id": "d", "doc_hash": "h"}), "para-places")  # bounded by the text
-    drop_stored(units, again)
-    release(spark)
-    near = texts.join(places, F.expr("doc_hash = h and doc_id <=> d")).select("doc_id", "doc_hash", "text", "starts")
-    found = stored(near.mapInArrow(_passages, f"doc_id {kind}, doc_hash bigint, start int, h1 bigint, h2 bigint"), "para-passages")
+    found = _near_units(texts, units)
+    drop_stored(units)
     release(spark)
     place = F.struct("doc_id", "start", "doc_hash")
     first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("not (first <=> last)").drop("last")
     later = found.join(stored(first, "para-firsts"), ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
     starts = later.groupBy("doc_id", "doc_hash").agg(F.array_sort(F.collect_set("start")).alias("starts"))  # bounded by the text
     out = stored(starts.mapInArrow(_runs, f"doc_id {kind}, doc_hash bigint, runs array<int>"), "para-runs")
-    drop_stored(places, found)
+    drop_stored(found)
     release(spark)
     return out
 
 
+def shared_passages(texts: DataFrame) -> DataFrame:
+    """(doc_id, doc_hash, runs): of each document the words, as in
+    :func:`repeated_passages`, that lie in a passage which another document holds
+    too, whichever is first. Of documents with the same words one is searched; the
+    others share all they have."""
+    spark, kind = texts.sparkSession, texts.schema["doc_id"].dataType.simpleString()
+    units = texts.mapInArrow(_units_and_sequences, f"doc_id {kind}, doc_hash bigint, n_words int, s1 bigint, s2 bigint, unit array<bigint>, start array<int>")
+    document = F.xxhash64("doc_id", "doc_hash")
+    units = stored(units.withColumn("document", document), "para-all-units")
+    copies = stored(units.groupBy("s1", "s2").agg(F.min("document").alias("one"), F.max("document").alias("last")).where("one <> last").drop("last"), "para-copies")
+    searched = units.join(copies, ["s1", "s2"], "left").where("one is null or document = one").select("doc_id", "doc_hash", "unit", "start")
+    searched = stored(searched, "para-searched")
+    whole = stored(units.join(copies, ["s1", "s2"], "left_semi").select("doc_id", "doc_hash", F.array(F.lit(0), "n_words").alias("runs")).distinct(), "para-whole")
+    drop_stored(units, copies)
+    release(spark)
+    found = _near_units(texts, searched)
+    drop_stored(searched)
+    release(spark)
+    passages = found.groupBy("h1", "h2").agg(F.min(document).alias("one"), F.max(document).alias("last")).where("one <> last").select("h1", "h2")
+    starts = found.join(stored(passages, "para-shared"), ["h1", "h2"]).groupBy("doc_id", "doc_hash").agg(F.array_sort(F.collect_set("start")).alias("starts"))  # bounded by the text
+    runs = starts.mapInArrow(_runs, f"doc_id {kind}, doc_hash bigint, runs array<int>")
+    copied = whole.select(F.col("doc_id").alias("d"), F.col("doc_hash").alias("h"))
+    out = stored(runs.join(copied, F.expr("doc_hash = h and doc_id <=> d"), "left_anti").unionAll(whole), "para-shared-runs")
+    drop_stored(found, whole)
+    release(spark)
+    return out
+
+
+def _near_units(texts: DataFrame, units: DataFrame) -> DataFrame:
+    """(doc_id, doc_hash, start, h1, h2): all passages around the units that occur more
+    than once, stored. ``units`` (doc_id, doc_hash, unit, start) is a stored table."""
+    spark, kind = texts.sparkSession, texts.schema["doc_id"].dataType.simpleString()
+    again = stored(units.select(F.explode("unit").alias("unit")).groupBy("unit").agg(F.count("*").alias("n")).where("n > 1").select("unit"), "para-again")
+    release(spark)
+    places = units.select("doc_id", "doc_hash", F.inline(F.arrays_zip("unit", "start"))).join(again, "unit").groupBy("doc_id", "doc_hash").agg(F.collect_set("start").alias("starts"))
+    places = stored(places.withColumnsRenamed({"doc_id": "d", "doc_hash": "h"}), "para-places")  # bounded by the text
+    drop_stored(again)
+    release(spark)
+    near = texts.join(places, F.expr("doc_hash = h and doc_id <=> d")).select("doc_id", "doc_hash", "text", "starts")
+    found = stored(near.mapInArrow(_passages, f"doc_id {kind}, doc_hash bigint, start int, h1 bigint, h2 bigint"), "para-passages")
+    drop_stored(places)
+    release(spark)
+    return found
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []

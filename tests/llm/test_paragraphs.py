@@ -125,3 +125,47 @@ def test_short_lines(docs_of):
     kept = {r.doc_id: r.text for r in P.without_repeats(docs_of(rows)).collect()}
     assert kept[0] == rows[0][1] and kept[10] == rows[4][1] and kept[2].split() == rows[2][1].split()[:20] + rows[2][1].split()[29:]
     assert not set(broken.split("\n")) & set(kept[11].split("\n")) and not set(broken.split("\n")) & set(kept[12].split("\n"))
+
+
+def shared_brute(rows, n=50):
+    """{doc: words that lie in a run of n words that another document holds too}"""
+    holders, words = {}, {doc: (text or "").encode().lower().split() for doc, text in rows}  # bytes: A-Z and ASCII spaces alone
+    for doc, w in words.items():
+        for i in range(len(w) - n + 1):
+            holders.setdefault(tuple(w[i:i + n]), set()).add(doc)
+    return {doc: {p for i in range(len(w) - n + 1) if len(holders[tuple(w[i:i + n])]) > 1 for p in range(i, i + n)} for doc, w in words.items()}
+
+
+def shared_words(rows):
+    out = {r.doc_id: {p for x in r.shared.split(",") if x for p in range(*map(int, x.split(":")))} for r in rows}
+    assert all(r.n_shared_words == len(out[r.doc_id]) and r.n_shared == r.shared.count(":") for r in rows)
+    return out
+
+
+def test_every_place_of_a_shared_passage_is_reported(docs_of):
+    """Also the first place, and places in lines that are removed as paragraphs."""
+    rng = random.Random(11)
+    prose = lambda n: " ".join(f"w{rng.randrange(900)}" for _ in range(n))
+    passage, line, copied, edge, own = prose(60), prose(70), prose(200), prose(50), prose(55)
+    rows = [(1, prose(40) + " " + passage + " " + prose(40)), (2, prose(30) + " " + passage.upper() + " " + prose(10)),
+            (3, prose(20) + "\n" + line + "\n" + prose(20)), (4, line + "\n" + prose(30)),
+            (5, copied), (6, copied.replace(" ", "\n")), (7, copied), (8, prose(20) + " " + " ".join(copied.split()[100:160])),
+            (9, own + " " + prose(9) + " " + own), (10, prose(9) + " " + edge), (11, edge + " " + prose(9)), (12, " ".join(edge.split()[:49]) + " " + prose(9)),
+            (13, None), (14, ""), (15, prose(300)), (16, "short")]
+    out = P.deduplicate(docs_of(rows + rows[-2:])).collect()
+    got = shared_words(out)
+    assert got == shared_brute(rows)
+    by = {r.doc_id: r for r in out}
+    assert by[1].shared == "40:100" and by[1].n_passages == 0 and by[3].shared == "20:90" and by[4].n_passages == 0 and by[4].n_shared == 1
+    assert by[5].n_shared_words == 200 and by[9].n_shared == by[12].n_shared == 0 and by[10].n_shared == by[11].n_shared == 1
+
+
+def test_shared_passages_of_rows_without_ids(docs_of):
+    text, other = " ".join(f"a{i}" for i in range(70)), " ".join(f"b{i}" for i in range(70))
+    out = P.deduplicate(docs_of([(None, text), (1, text), (2, "x " + text), (2, "x " + text), (None, other), (3, other + "\nx"), (4, "y")])).collect()
+    assert sorted((str(r.doc_id), r.shared) for r in out) == [("1", "0:70"), ("2", "1:71"), ("2", "1:71"), ("3", "0:70"), ("4", ""), ("None", "0:70"), ("None", "0:70")]
+
+
+def test_documents_share_what_brute_force_finds(spark):
+    rows = [(r.doc_id, r.text) for r in read_table(spark, SF, "documents").collect()]
+    assert shared_words(P.op2_paragraph_dedup(spark, SF).collect()) == shared_brute(rows)
