@@ -22,9 +22,11 @@ place from its number.
 from __future__ import annotations
 
 import math
+import os
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +45,9 @@ ASCII_LETTERS[list(range(65, 91)) + list(range(97, 123))] = True
 #: Byte-level pieces write a byte that is no printable Latin-1 character as one
 #: from U+0100 on, in order.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
-PIECE_CHARS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - _PRINTABLE))}
+PIECE_CHARS = np.arange(256, dtype="<u4")
+PIECE_CHARS[sorted(set(range(256)) - _PRINTABLE)] = 256 + np.arange(256 - len(_PRINTABLE))
+PIECE_CHARS[ord(" ")] = ord(" ")  # separates the words
 
 
 class WordIds:
@@ -59,36 +63,73 @@ class WordIds:
 
     def __init__(self, path: str, end: int):
         from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; threads for a few words only wait
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.end = end
         self.clear()
 
     def clear(self) -> None:
-        self.keys, self.slots = np.empty(0, U64), np.empty(0, np.int64)  # sorted hashes, and the slot of each
+        self.keys, self.slots, self.known = np.zeros(1 << 16, U64), np.zeros(1 << 16, np.int32), 0  # open addressing by hash, key 0 is free
         self.starts, self.lengths, self.ids = array("q"), array("q"), array("I")
         self._add([[self.end], *(e.ids for e in self.tokenizer.encode_batch([".", ","], add_special_tokens=False))])  # slots 0, 1, 2
 
     def _add(self, lists: list[list[int]]) -> None:
-        for ids in lists:
-            self.starts.append(len(self.ids))
-            self.lengths.append(len(ids))
-            self.ids.extend(ids)
-
-    def _encoded(self, words: list[tuple[bytes, bool]]) -> list[list[int]]:
-        """Ids of (word, plain) each. Plain words of letters alone are one piece,
-        so the tokenizer's merges can be asked directly."""
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.starts.frombytes((len(self.ids) + np.cumsum(lengths) - lengths).tobytes())
+        self.lengths.frombytes(lengths.tobytes())
+        self.ids.frombytes(np.fromiter(chain.from_iterable(lists), np.uint32, int(lengths.sum())).tobytes())
+
+    def _slots(self, hashed: np.ndarray) -> np.ndarray:
+        """The slot of each hash, -1 if there is none."""
+        last = len(self.keys) - 1
+        at = (hashed & U64(last)).astype(np.int64)
+        key = self.keys[at]
+        hit = key == hashed
+        out = np.where(hit, self.slots[at], -1)
+        rest = np.flatnonzero(~hit & (key != 0))
+        at = at[rest]
+        while len(rest):
+            at = at + 1 & last
+            key = self.keys[at]
+            hit = key == hashed[rest]
+            out[rest[hit]] = self.slots[at[hit]]
+            more = ~hit & (key != 0)
+            rest, at = rest[more], at[more]
+        return out
+
+    def _keep(self, hashed: np.ndarray, slots: np.ndarray) -> None:
+        """Enters hashes that differ and have no slot yet."""
+        self.known += len(hashed)
+        if 2 * self.known > len(self.keys):
+            used = np.flatnonzero(self.keys)
+            hashed, slots = np.concatenate((self.keys[used], hashed)), np.concatenate((self.slots[used], slots))
+            size = 1 << (2 * self.known).bit_length()
+            self.keys, self.slots = np.zeros(size, U64), np.zeros(size, np.int32)
+        last = len(self.keys) - 1
+        at = (hashed & U64(last)).astype(np.int64)
+        while len(hashed):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = hashed[free]  # of several for one place one stays
+            put = self.keys[at] == hashed
+            self.slots[at[put]] = slots[put]
+            hashed, slots, at = hashed[~put], slots[~put], at[~put] + 1 & last
+
+    def _encoded(self, words: list[bytes], plain: list[bool]) -> list[list[int]]:
+        """Ids of words. Plain words of letters alone are one piece, so the
+        tokenizer's merges can be asked directly."""
         out: list = [None] * len(words)
-        rest = []
-        for i, (word, plain) in enumerate(words):
-            text = word.decode("utf-8", "replace").lower() if plain else ""
-            if text.isalpha():
-                out[i] = [t.id for t in self.model.tokenize(text if text.isascii() else text.encode().decode("latin-1").translate(PIECE_CHARS))]
-            else:
-                rest.append(i)
+        some = [i for i, x in enumerate(plain) if x]
+        text = b" ".join([words[i] for i in some]).decode("utf-8", "replace").lower()
+        pieces = PIECE_CHARS[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-32-le")
+        tokenize = self.model.tokenize
+        for i, word, piece in zip(some, text.split(" "), pieces.split(" ")):
+            if word.isalpha():
+                out[i] = [t.id for t in tokenize(piece)]
+        rest = [i for i, ids in enumerate(out) if ids is None]
         for at in range(0, len(rest), 4096):
             some = rest[at:at + 4096]
-            for i, e in zip(some, self.tokenizer.encode_batch_fast([words[i][0].decode("utf-8", "replace") for i in some], add_special_tokens=False)):
+            for i, e in zip(some, self.tokenizer.encode_batch_fast([words[i].decode("utf-8", "replace") for i in some], add_special_tokens=False)):
                 out[i] = e.ids
         return out
 
@@ -99,10 +140,10 @@ class WordIds:
         mark = np.zeros(n, np.int64)
         slot = np.empty(0, np.int64)
         if n:
-            before = np.concatenate(([0], data[:-1]))
-            odd = (data >= 0x80) & (data != 0xC3) & (before != 0xC3) | (data == ord("<"))
-            odd = np.concatenate(([0], np.cumsum(odd)))
-            plain = odd[ends] == odd[starts]
+            odd = (data >= 0x80) & (data != 0xC3) | (data == ord("<"))
+            odd[1:] &= (data[:-1] != 0xC3) | (data[1:] == ord("<"))
+            plain = np.ones(n, bool)
+            plain[np.searchsorted(starts, np.flatnonzero(odd), "right") - 1] = False
             last, size = data[ends - 1], ends - starts
             prev, third = data[np.maximum(ends - 2, 0)], data[np.maximum(ends - 3, 0)]
             letter = (size > 1) & ASCII_LETTERS[prev] | (size > 2) & (third == 0xC3) & (prev >= 0x80) & (prev != 0x97) & (prev != 0xB7)
@@ -112,20 +153,19 @@ class WordIds:
             other = np.flatnonzero(~plain)
             if len(other):
                 hashed[other] = B.mix(B.word_hashes(data, starts[other], ends[other]) ^ U64(1))
-            unique, where, inverse = np.unique(hashed, return_index=True, return_inverse=True)
-            if len(self.keys) > CACHED_WORDS:
+            hashed = np.maximum(hashed, U64(1))
+            if self.known > CACHED_WORDS:
                 self.clear()
-            at = np.searchsorted(self.keys, unique)
-            new = np.ones(len(unique), bool)
-            if len(self.keys):
-                new = self.keys[np.minimum(at, len(self.keys) - 1)] != unique
-            if new.any():
-                content, which = data.tobytes(), where[new]
-                made = self._encoded([(content[x:y], z) for x, y, z in zip(starts[which].tolist(), core[which].tolist(), plain[which].tolist())])
-                self.slots = np.insert(self.slots, at[new], np.arange(len(self.starts), len(self.starts) + len(made)))
-                self.keys = np.insert(self.keys, at[new], unique[new])
+            slot = self._slots(hashed)
+            new = np.flatnonzero(slot < 0)
+            if len(new):
+                unique, where, inverse = np.unique(hashed[new], return_index=True, return_inverse=True)
+                content, which = data.tobytes(), new[where]
+                made = self._encoded([content[x:y] for x, y in zip(starts[which].tolist(), core[which].tolist())], plain[which].tolist())
+                slots = np.arange(len(self.starts), len(self.starts) + len(made))
+                self._keep(unique, slots)
                 self._add(made)
-            slot = self.slots[np.searchsorted(self.keys, unique)][inverse]
+                slot[new] = slots[inverse]
         # words, their marks and the texts' ends, all in order
         texts = len(off) - 1
         marks = np.concatenate(([0], np.cumsum(mark > 0)))

@@ -1,5 +1,6 @@
 """Token ids, pieces and sequences."""
 
+import os
 import random
 import zlib
 from collections import defaultdict
@@ -153,3 +154,24 @@ def test_rows_equal_in_every_column_are_dealt_apart(spark):
     assert packed.columns == [*pieces.columns, "sequence_id", "offset"] and len(rows) == 6000
     assert len({(r.sequence_id, r.offset) for r in rows}) == 6000 and len({r.sequence_id for r in rows}) == 3000
     assert "xxhash64(_row" in packed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_are_learned_once_and_found_again(tokenizer, monkeypatch):
+    """Over several growths of the table, in one thread, and after it was emptied."""
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    rng = random.Random(8)
+    made = P.WordIds(P.public_tokenizer(), 0)
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    syllables = ["ab", "É", "ño", "ß", "x1", "##", "ü", "tion", "ÿ", "'s"]
+    texts = ["  ".join("".join(rng.choice(syllables) for _ in range(rng.randrange(1, 9))) for _ in range(9000)) + " Σ, <x>." for _ in range(9)]
+    encoded, learn = [], made._encoded
+    monkeypatch.setattr(made, "_encoded", lambda words, plain: encoded.append(len(words)) or learn(words, plain))
+    for again in (False, True):
+        for text in texts:
+            data = np.frombuffer(text.encode(), np.uint8)
+            ids, at = made.encode(data, np.array([0, len(data)]))
+            assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [0] and at.tolist() == [0, len(ids)]
+        assert len(encoded) == 9 and sum(encoded) == made.known == np.count_nonzero(made.keys) and 2 * made.known <= len(made.keys) > 1 << 16
+    monkeypatch.setattr(P, "CACHED_WORDS", 100)
+    ids, _ = made.encode(data, np.array([0, len(data)]))
+    assert ids.tolist() == tokenizer.encode(texts[-1], add_special_tokens=False).ids + [0] and made.known < sum(encoded)
