@@ -72,6 +72,19 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+@contextmanager
+def hashed_joins(spark: SparkSession) -> Iterator[None]:
+    """Joins that start inside hash their smaller side, not sort both, wherever each
+    of its partitions is at most one of the size that adaptive execution aims at."""
+    key = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def release(spark: SparkSession) -> None:
     """Frees the shuffle files of finished jobs now. Spark's cleaner removes them
     once the driver's garbage collection finds that nothing refers to them; a

@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import drop_stored, read_table, release, stored
-from seriesforge.llm.near_dup import _rooted, _sketched, linked_sets
+from seriesforge.llm.common import drop_stored, hashed_joins, read_table, release, stored
+from seriesforge.llm.near_dup import _sketched, linked_sets
 from seriesforge.llm.passages import PASSAGE, cut, repeated_passages, shared_passages
 
 FEWEST_WORDS = 10
@@ -58,7 +58,10 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, fewest_words: i
         return base.join(of, F.expr("doc_hash = of_hash and line = of_line and doc_id <=> of_id")).select("set_id", "text")
 
     roots = linked_sets(rows.select("set_id", "bands"), groups, texts, percent)
-    named = stored(_rooted(groups.select("set_id", "one", "last"), roots), "para-named")
+    # a set with one place and without a link is no cluster
+    named = groups.select("set_id", "one", "last").join(roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
+    named = named.where("root is not null or one <> last or (one.doc_id is null) <> (last.doc_id is null)").withColumn("root", F.coalesce("root", "set_id"))
+    named = stored(named, "para-named")
     first = named.groupBy("root").agg(F.min("one").alias("first"), F.max("last").alias("last")).where("first <> last or (first.doc_id is null) <> (last.doc_id is null)")
     first = stored(first.drop("last"), "para-first")
     labels = stored(named.join(first, "root").select("set_id", "first"), "para-labels")
@@ -170,13 +173,14 @@ def deduplicate(docs: DataFrame, percent: int = PERCENT, fewest_words: int = FEW
     runs of words (from:to, in the whole text) that lie in passages which another
     document holds too, the first document's included. A null or empty text has no
     paragraphs."""
-    found = _removed(repeated_paragraphs(docs, percent, fewest_words))
-    release(docs.sparkSession)
-    short = _short_removed(docs, fewest_words)
-    rest = stored(_rest(docs, found), "para-rest")
-    runs = _passages(rest)
-    drop_stored(rest)
-    shared = _shared(docs)
+    with hashed_joins(docs.sparkSession):
+        found = _removed(repeated_paragraphs(docs, percent, fewest_words))
+        release(docs.sparkSession)
+        short = _short_removed(docs, fewest_words)
+        rest = stored(_rest(docs, found), "para-rest")
+        runs = _passages(rest)
+        drop_stored(rest)
+        shared = _shared(docs)
     rows = docs.select("doc_id", F.xxhash64("text").alias("doc_hash"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
     for more in (found.withColumnsRenamed({"doc_id": "d", "doc_hash": "h"}), short, runs, shared):
         rows = rows.join(more, F.expr("doc_hash = h and doc_id <=> d"), "left").drop("d", "h")

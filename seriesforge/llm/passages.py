@@ -3,9 +3,11 @@
 A passage is a run of ``PASSAGE`` words of a text. Of the starts in it that leave
 room for a unit of ``UNIT`` words the one with the lowest hash of its next five
 words is an anchor (winnowing), so equal passages have an anchor at the same place
-and therefore an equal unit there. Only around units that occur more than once are
-all passages hashed and compared. No repeated passage is missed; passages of equal
-128-bit hash count as equal.
+and therefore an equal unit there. Only passages whose anchor starts a unit that occurs
+more than once are hashed. Neighbours with the same anchor are a chunk; equal chunks
+hold equal passages, so chunks are compared first and passages only of one chunk of
+each kind. No repeated passage is missed; chunks and passages of equal 128-bit hash
+count as equal.
 
 ``repeated_passages`` gives what can be cut, all places of a passage but the first;
 ``shared_passages`` gives every place of the passages that stand in other documents
@@ -38,6 +40,19 @@ def _lowest(x: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(x[:len(x) - (n - width)], x[n - width:])
 
 
+def _lowest_at(x: np.ndarray, n: int) -> np.ndarray:
+    """The place of the last smallest of each ``n`` consecutive entries."""
+    def lower(a: int, b: int | None) -> tuple[np.ndarray, np.ndarray]:
+        right = x[a:] <= x[:b]
+        return np.where(right, x[a:], x[:b]), np.where(right, at[a:], at[:b])
+
+    at, width = np.arange(len(x)), 1
+    while 2 * width <= n:
+        x, at = lower(width, -width)
+        width *= 2
+    return lower(n - width, len(x) - (n - width))[1]
+
+
 def anchors(hashed: np.ndarray, text: np.ndarray) -> np.ndarray:
     """The words of a block where a unit starts; ``text`` is the text of each word."""
     n, span = len(hashed) - PASSAGE + 1, PASSAGE - UNIT + 1
@@ -51,13 +66,16 @@ def anchors(hashed: np.ndarray, text: np.ndarray) -> np.ndarray:
     return np.flatnonzero((highest == value[:n + span - 1]) & (highest > 0))
 
 
-def _hashes(hashed: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the ``n`` words from each of the places ``at``."""
-    out = np.full(len(at), U64(n))
-    for j in range(n):
-        out = (out ^ hashed[at + j]) * U64(0x9FB21C651E98DF25) + U64(j + 1)
-        out ^= out >> U64(29)
-    return B.mix(out)
+def _sums(hashed: np.ndarray) -> np.ndarray:
+    """Prefix sums of the words as a polynomial modulo 2**64."""
+    total = np.zeros(len(hashed) + 1, U64)
+    np.cumsum(hashed * B.powers(len(hashed)), out=total[1:])
+    return total
+
+
+def _hashes(sums: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Hash of the words of each run from ``lo`` to ``hi``."""
+    return B.mix((sums[hi] - sums[lo]) * B.powers(len(sums), inverse=True)[lo] + B.mix((hi - lo).astype(U64))).view(np.int64)
 
 
 def _words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,7 +93,7 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bounds = pa.array(np.searchsorted(found, first).astype(np.int32))
             rows = batch.slice(at, len(off) - 1)
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), rows.column(1), pa.ListArray.from_arrays(bounds, pa.array(_hashes(hashed, found, UNIT).view(np.int64))),
+                [rows.column(0), rows.column(1), pa.ListArray.from_arrays(bounds, pa.array(_hashes(_sums(hashed), found, found + UNIT))),
                  pa.ListArray.from_arrays(bounds, pa.array((found - first[text[found]]).astype(np.int32)))],
                 names=["doc_id", "doc_hash", "unit", "start"])
 
@@ -100,30 +118,64 @@ def _units_and_sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
             sequences = (_sequence_hashes(x, first).view(np.int64) for x in (hashed, B.mix(hashed ^ U64(0x8EBC6AF09C88C6E3))))
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), rows.column(1), pa.array(size.astype(np.int32)), *map(pa.array, sequences),
-                 pa.ListArray.from_arrays(bounds, pa.array(_hashes(hashed, found, UNIT).view(np.int64))),
+                 pa.ListArray.from_arrays(bounds, pa.array(_hashes(_sums(hashed), found, found + UNIT))),
                  pa.ListArray.from_arrays(bounds, pa.array((found - first[text[found]]).astype(np.int32)))],
                 names=["doc_id", "doc_hash", "n_words", "s1", "s2", "unit", "start"]).filter(pa.array(size >= PASSAGE))
 
 
-def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every passage that holds one of the units that start at the places in column 3."""
+def _first_in_text(text: np.ndarray, c1: np.ndarray, c2: np.ndarray) -> np.ndarray:
+    """Whether each chunk is the first of its kind in its text."""
+    order = np.lexsort((c2, c1, text))
+    same = np.zeros(len(order), bool)
+    same[order[1:]] = np.logical_and.reduce([x[order[1:]] == x[order[:-1]] for x in (text, c1, c2)])
+    return ~same
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The chunks whose anchor is one of the places in column 3: their first passage,
+    the number of their passages, a 128-bit hash of all their words, and one of each
+    of their passages. Column 4 tells whether those that stand in the text before come
+    without hashes, neighbours as one."""
     for batch in batches:
+        once = len(batch) > 0 and batch.column(4)[0].as_py()
         for at, data, off in B.blocks(batch.column(2)):
             hashed, text, first = _words(data, off)
-            rows = batch.slice(at, len(off) - 1)
+            rows, n = batch.slice(at, len(off) - 1), max(0, len(hashed) - PASSAGE + 1)
             lists = rows.column(3)
-            sizes = np.diff(np.asarray(lists.offsets))
-            row = np.repeat(np.arange(len(sizes)), sizes)
-            units = np.asarray(lists.flatten()).astype(np.int64) + first[row]
-            starts = np.unique((units[:, None] - np.arange(PASSAGE - UNIT + 1)).ravel())
-            starts = starts[(starts >= 0) & (starts <= len(hashed) - PASSAGE)]
-            starts = starts[text[starts] == text[starts + PASSAGE - 1]]
-            row = text[starts]
+            units = np.asarray(lists.flatten()) + np.repeat(first[:-1], np.diff(np.asarray(lists.offsets)))
+            wanted = np.zeros(len(hashed) + 1, bool)
+            wanted[units] = True
+            lowest = _lowest_at(B.shingle_hashes(hashed, 5), PASSAGE - UNIT + 1)[:n] if n else np.empty(0, np.int64)
+            starts = np.flatnonzero((text[:n] == text[PASSAGE - 1:]) & wanted[lowest])
+            # the anchors of consecutive passages never go back: equal ones are neighbours
+            new = np.ones(len(starts), bool)
+            new[1:] = lowest[starts[1:]] != lowest[starts[:-1]]
+            bounds = np.append(np.flatnonzero(new), len(starts))
+            lo, hi = starts[bounds[:-1]], starts[bounds[1:] - 1] + PASSAGE
+            sums = [_sums(x) for x in (hashed, B.mix(hashed ^ U64(0x8EBC6AF09C88C6E3)))]
+            c1, c2 = (_hashes(x, lo, hi) for x in sums)
+            head = _first_in_text(text[lo], c1, c2) if once else np.ones(len(lo), bool)
+            # a chunk without hashes goes on in the next one if that has none either
+            begins = head.copy()
+            begins[:1] = True
+            begins[1:] |= head[:-1] | (lo[1:] != hi[:-1] - PASSAGE + 1) | (text[lo[1:]] != text[lo[:-1]])
+            begin = np.flatnonzero(begins)
+            n = np.add.reduceat(np.diff(bounds), begin) if len(begin) else np.empty(0, np.int64)
+            kept = np.repeat(head, np.diff(bounds))
+            lo, head = lo[begin], head[begin]
+            none, lists = pa.array(~head), np.append(0, np.cumsum(np.where(head, n, 0))).astype(np.int32)
+            row, places = pa.array(text[lo]), starts[kept]
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0).take(pa.array(row)), rows.column(1).take(pa.array(row)), pa.array((starts - first[row]).astype(np.int32)),
-                 pa.array(_hashes(hashed, starts, PASSAGE).view(np.int64)),
-                 pa.array(_hashes(B.mix(hashed ^ U64(0x8EBC6AF09C88C6E3)), starts, PASSAGE).view(np.int64))],
-                names=["doc_id", "doc_hash", "start", "h1", "h2"])
+                [rows.column(0).take(row), rows.column(1).take(row), pa.array((lo - first[text[lo]]).astype(np.int32)), pa.array(n.astype(np.int32)),
+                 *(pa.array(x[begin], mask=~head) for x in (c1, c2)),
+                 *(pa.ListArray.from_arrays(pa.array(lists), pa.array(_hashes(x, places, places + PASSAGE)), mask=none) for x in sums)],
+                names=["doc_id", "doc_hash", "start", "n", "c1", "c2", "h1", "h2"])
+
+
+def _each(chunks: DataFrame, *columns: str) -> DataFrame:
+    """A row (start, h1, h2) for each passage of the chunks whose hashes are kept."""
+    places = F.sequence(F.col("start"), F.col("start") + F.col("n") - 1).alias("start")
+    return chunks.where("h1 is not null").select(*columns, F.inline(F.arrays_zip(places, "h1", "h2")))
 
 
 def repeated_passages(texts: DataFrame) -> DataFrame:
@@ -133,15 +185,23 @@ def repeated_passages(texts: DataFrame) -> DataFrame:
     table without nulls in text; rows equal in doc_id and doc_hash are one document."""
     spark, kind = texts.sparkSession, texts.schema["doc_id"].dataType.simpleString()
     units = stored(texts.mapInArrow(_units, f"doc_id {kind}, doc_hash bigint, unit array<bigint>, start array<int>"), "para-units")
-    found = _near_units(texts, units)
+    chunks = _near_units(texts, units, True)
     drop_stored(units)
     release(spark)
     place = F.struct("doc_id", "start", "doc_hash")
-    first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("not (first <=> last)").drop("last")
-    later = found.join(stored(first, "para-firsts"), ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
-    starts = later.groupBy("doc_id", "doc_hash").agg(F.array_sort(F.collect_set("start")).alias("starts"))  # bounded by the text
-    out = stored(starts.mapInArrow(_runs, f"doc_id {kind}, doc_hash bigint, runs array<int>"), "para-runs")
-    drop_stored(found)
+    first = stored(chunks.where("c1 is not null").groupBy("c1", "c2").agg(F.min(place).alias("first")), "para-chunk-firsts")
+    # all passages of a chunk that has its first place elsewhere have theirs there or before
+    head = place.eqNullSafe(F.col("first"))
+    found = chunks.join(first, ["c1", "c2"]).select("doc_id", "doc_hash", "start", "n", *(F.when(head, F.col(x)).alias(x) for x in ("h1", "h2")))
+    found = stored(found.unionByName(chunks.where("c1 is null").drop("c1", "c2")), "para-found-chunks")
+    drop_stored(chunks, first)
+    release(spark)
+    passages = _each(found, "doc_id", "doc_hash")
+    first = passages.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("not (first <=> last)").drop("last")
+    first = stored(first, "para-firsts")
+    later = passages.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "doc_hash", "start", F.lit(1).alias("n"))
+    out = stored(_joined(later.unionAll(found.where("h1 is null").select("doc_id", "doc_hash", "start", "n"))), "para-runs")
+    drop_stored(found, first)
     release(spark)
     return out
 
@@ -161,43 +221,60 @@ def shared_passages(texts: DataFrame) -> DataFrame:
     whole = stored(units.join(copies, ["s1", "s2"], "left_semi").select("doc_id", "doc_hash", F.array(F.lit(0), "n_words").alias("runs")).distinct(), "para-whole")
     drop_stored(units, copies)
     release(spark)
-    found = _near_units(texts, searched)
+    chunks = _near_units(texts, searched, False)
     drop_stored(searched)
     release(spark)
-    passages = found.groupBy("h1", "h2").agg(F.min(document).alias("one"), F.max(document).alias("last")).where("one <> last").select("h1", "h2")
-    starts = found.join(stored(passages, "para-shared"), ["h1", "h2"]).groupBy("doc_id", "doc_hash").agg(F.array_sort(F.collect_set("start")).alias("starts"))  # bounded by the text
-    runs = starts.mapInArrow(_runs, f"doc_id {kind}, doc_hash bigint, runs array<int>")
+    holders = stored(chunks.groupBy("c1", "c2").agg(F.min(document).alias("one"), F.max(document).alias("last")), "para-holders")
+    # one document of each chunk is asked for its passages
+    found = chunks.join(holders, ["c1", "c2"]).select("doc_id", "doc_hash", "start", "n", "one", "last", *(F.when(document == F.col("one"), F.col(x)).alias(x) for x in ("h1", "h2")))
+    found = stored(found, "para-held-chunks")
+    drop_stored(chunks, holders)
+    release(spark)
+    passages = _each(found, "one", "last").groupBy("h1", "h2").agg(F.min("one").alias("one"), F.max("last").alias("last"), F.max(F.expr("one = last")).alias("open"))
+    passages = stored(passages.where("one <> last and open").select("h1", "h2"), "para-shared")
+    more = _each(found.where("one = last"), "doc_id", "doc_hash").join(passages, ["h1", "h2"]).select("doc_id", "doc_hash", "start", F.lit(1).alias("n"))
+    runs = _joined(more.unionAll(found.where("one <> last").select("doc_id", "doc_hash", "start", "n")))
     copied = whole.select(F.col("doc_id").alias("d"), F.col("doc_hash").alias("h"))
     out = stored(runs.join(copied, F.expr("doc_hash = h and doc_id <=> d"), "left_anti").unionAll(whole), "para-shared-runs")
-    drop_stored(found, whole)
+    drop_stored(found, passages, whole)
     release(spark)
     return out
 
 
-def _near_units(texts: DataFrame, units: DataFrame) -> DataFrame:
-    """(doc_id, doc_hash, start, h1, h2): all passages around the units that occur more
-    than once, stored. ``units`` (doc_id, doc_hash, unit, start) is a stored table."""
+def _near_units(texts: DataFrame, units: DataFrame, own: bool) -> DataFrame:
+    """(doc_id, doc_hash, start, n, c1, c2, h1, h2): all chunks at the units that occur
+    more than once, stored. With ``own`` a second time in one document counts, and what
+    stands in the same document before comes without hashes; otherwise units of two
+    documents count. ``units`` (doc_id, doc_hash, unit, start) is a stored table."""
     spark, kind = texts.sparkSession, texts.schema["doc_id"].dataType.simpleString()
-    again = stored(units.select(F.explode("unit").alias("unit")).groupBy("unit").agg(F.count("*").alias("n")).where("n > 1").select("unit"), "para-again")
+    again = stored(units.select(F.explode("unit" if own else F.array_distinct("unit")).alias("unit")).groupBy("unit").agg(F.count("*").alias("n")).where("n > 1").select("unit"), "para-again")
     release(spark)
     places = units.select("doc_id", "doc_hash", F.inline(F.arrays_zip("unit", "start"))).join(again, "unit").groupBy("doc_id", "doc_hash").agg(F.collect_set("start").alias("starts"))
     places = stored(places.withColumnsRenamed({"doc_id": "d", "doc_hash": "h"}), "para-places")  # bounded by the text
     drop_stored(again)
     release(spark)
-    near = texts.join(places, F.expr("doc_hash = h and doc_id <=> d")).select("doc_id", "doc_hash", "text", "starts")
-    found = stored(near.mapInArrow(_passages, f"doc_id {kind}, doc_hash bigint, start int, h1 bigint, h2 bigint"), "para-passages")
+    near = texts.join(places, F.expr("doc_hash = h and doc_id <=> d")).select("doc_id", "doc_hash", "text", "starts", F.lit(own).alias("own"))
+    found = stored(near.mapInArrow(_chunks, f"doc_id {kind}, doc_hash bigint, start int, n int, c1 bigint, c2 bigint, h1 array<bigint>, h2 array<bigint>"), "para-chunks")
     drop_stored(places)
     release(spark)
     return found
 
 
+def _joined(starts: DataFrame) -> DataFrame:
+    """(doc_id, doc_hash, runs) of the ``n`` passages from each ``start`` on."""
+    kind = starts.schema["doc_id"].dataType.simpleString()
+    lists = starts.groupBy("doc_id", "doc_hash").agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("starts"))  # bounded by the text
+    return lists.mapInArrow(_runs, f"doc_id {kind}, doc_hash bigint, runs array<int>")
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for starts in batch.column(2):
-            s = np.asarray(starts.values)
-            gap = np.flatnonzero(s[1:] > s[:-1] + PASSAGE)
-            out.append(np.stack([s[np.append(0, gap + 1)], s[np.append(gap, len(s) - 1)] + PASSAGE], axis=1).ravel())
+            s = np.asarray(starts.values.field("start"))
+            end = s + np.asarray(starts.values.field("n")) - 1 + PASSAGE
+            gap = np.flatnonzero(s[1:] > end[:-1])
+            out.append(np.stack([s[np.append(0, gap + 1)], end[np.append(gap, len(s) - 1)]], axis=1).ravel())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int32()))], names=["doc_id", "doc_hash", "runs"])
 
 
