@@ -133,7 +133,11 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, k: int = 5, fewest_words: in
             values.append(shingle_hashes(hashed, m)[first[short]])
             rows.append(short)
     value, row = np.concatenate(values), np.concatenate(rows)
-    order = np.lexsort((value, row))
+    order = np.argsort(value)
+    if texts <= 1 << 16:  # a stable sort of 16-bit integers is a radix sort
+        order = order[np.argsort(row[order].astype(np.uint16), kind="stable")]
+    else:
+        order = order[np.argsort(row[order], kind="stable")]
     value, row = value[order], row[order]
     new = np.ones(len(value), bool)
     new[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])

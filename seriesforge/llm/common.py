@@ -40,11 +40,12 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` into the shared folder and return the table read back."""
+def stored(df: DataFrame, label: str, *by: str) -> DataFrame:
+    """Write ``df`` into the shared folder and return the table read back; rows that
+    differ in ``by``, its last columns, lie in different files."""
     spark = df.sparkSession
     path = shared_folder(spark, label)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, partitionBy=[*by] or None)
     table = spark.read.schema(df.schema).parquet(path)
     table.stored_at = path
     return table

@@ -169,7 +169,7 @@ def linked_sets(rows: DataFrame, sets_of: DataFrame, texts: callable, percent: i
     table of wanted set_ids. Bands travel with 64 bits of the set_id; what they
     propose is looked up by them again, so equal ones only propose more."""
     spark, sid = rows.sparkSession, F.xxhash64("set_id").alias("sid")
-    keyed = rows.select(sid, F.explode("bands").alias("key"))
+    keyed = rows.select(sid, "bands").select("sid", F.explode("bands").alias("key"))  # one hash a row, not one a band
     buckets = keyed.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("key")
     buckets = stored(buckets, "nd-buckets")
     release(spark)

@@ -19,13 +19,15 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesforge.llm import bytesplit as B
 from seriesforge.llm.common import drop_stored, hashed_joins, read_table, release, stored
 from seriesforge.llm.near_dup import _sketched, linked_sets
-from seriesforge.llm.passages import PASSAGE, cut, repeated_passages, shared_passages
+from seriesforge.llm.passages import PASSAGE, cut, repeated_and_shared, repeated_passages
 
 FEWEST_WORDS = 10
 PERCENT = 80
@@ -38,16 +40,29 @@ def tuned_bands(percent: int = PERCENT, rows: int = ROWS, miss: float = MISS) ->
     return math.ceil(math.log(miss) / math.log(1 - (percent / 100) ** rows))
 
 
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of each text, with the line break that ends them, and their numbers."""
+    for batch in batches:
+        for at, data, off in B.blocks(batch.column(2)):
+            begins = np.flatnonzero(data == 10) + 1
+            size = np.diff(np.searchsorted(begins, off, "right")) + 1
+            owner = np.repeat(np.arange(len(size)), size)
+            line = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+            bounds = np.append(np.sort(np.concatenate((off[:-1], begins))), off[-1]).astype(np.int32)
+            rows, texts = batch.slice(at, len(size)), pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+            yield pa.RecordBatch.from_arrays([*(rows.column(i).take(pa.array(owner)) for i in range(2)), pa.array(line.astype(np.int32)), texts], names=["doc_id", "doc_hash", "line", "text"])
+
+
 def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, fewest_words: int = FEWEST_WORDS) -> DataFrame:
     """(doc_id, doc_hash, line, class_doc, class_line): every paragraph of a
     cluster of two or more, with the cluster's first paragraph. doc_hash is of the
     text; rows equal in doc_id and text stand for one document here. Null ids
     come first, so a paragraph of a document without an id is kept before others."""
-    base = docs.select(F.col("doc_id"), F.xxhash64("text").alias("doc_hash"), F.posexplode(F.split(F.col("text"), "\n")).alias("line", "body"))
-    base = base.where(F.octet_length("body") >= 2 * fewest_words - 1).withColumn("text", F.col("body").cast("binary")).drop("body")
+    hashed = docs.where(F.octet_length("text") >= 2 * fewest_words - 1).select("doc_id", F.xxhash64("text").alias("doc_hash"), F.col("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     bands = tuned_bands(percent)
-    rows = base.mapInArrow(_sketched(3, bands * ROWS, ROWS, fewest_words, False), f"doc_id {kind}, doc_hash bigint, line int, n_shingles bigint, set_id binary, bands array<bigint>")
+    sketched = _sketched(3, bands * ROWS, ROWS, fewest_words, False)
+    rows = hashed.withColumn("text", F.col("text").cast("binary")).mapInArrow(lambda batches: sketched(_lines(batches)), f"doc_id {kind}, doc_hash bigint, line int, n_shingles bigint, set_id binary, bands array<bigint>")
     rows = stored(rows, "para-sketch")
     place = F.struct("doc_id", "line", "doc_hash")
     groups = rows.groupBy("set_id").agg(F.min(place).alias("one"), F.max(place).alias("last"), F.max("n_shingles").alias("n_shingles"))
@@ -55,7 +70,9 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, fewest_words: i
 
     def texts(wanted: DataFrame) -> DataFrame:
         of = groups.join(wanted, "set_id", "left_semi").select("set_id", F.col("one.doc_id").alias("of_id"), F.col("one.doc_hash").alias("of_hash"), F.col("one.line").alias("of_line"))
-        return base.join(of, F.expr("doc_hash = of_hash and line = of_line and doc_id <=> of_id")).select("set_id", "text")
+        # whole texts meet the wanted lines: rows of all lines would be many times as many
+        near = hashed.join(of, F.expr("doc_hash = of_hash and doc_id <=> of_id"))
+        return near.select("set_id", F.expr("cast(substring_index(substring_index(text, '\n', of_line + 1), '\n', -1) as binary)").alias("text"))
 
     roots = linked_sets(rows.select("set_id", "bands"), groups, texts, percent)
     # a set with one place and without a link is no cluster
@@ -120,10 +137,15 @@ def _short_removed(docs: DataFrame, fewest_words: int) -> DataFrame:
     return out
 
 
+def _gone(found: DataFrame) -> DataFrame:
+    """(d, h, gone): the lines of the removed paragraphs."""
+    gone = F.transform(F.filter("found", lambda p: p["removed"]), lambda p: p["line"])
+    return found.select(F.col("doc_id").alias("d"), F.col("doc_hash").alias("h"), gone.alias("gone")).where(F.size("gone") > 0)
+
+
 def _rest(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) and doc_hash, the removed paragraphs (lines ``gone``) cut out of the texts."""
-    gone = found.select(F.col("doc_id").alias("d"), F.col("doc_hash").alias("h"), F.transform(F.filter("found", lambda p: p["removed"]), lambda p: p["line"]).alias("gone"))
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("doc_hash")).join(gone, F.expr("doc_hash = h and doc_id <=> d"), "left")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("doc_hash")).join(_gone(found), F.expr("doc_hash = h and doc_id <=> d"), "left")
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("gone", i))
     return rows.select("doc_id", "doc_hash", F.when(F.size("gone") > 0, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("text"), "gone")
 
@@ -138,12 +160,6 @@ def _passages(rest: DataFrame) -> DataFrame:
     return repeated_passages(_long(rest)).withColumnsRenamed({"doc_id": "d", "doc_hash": "h"})
 
 
-def _shared(docs: DataFrame) -> DataFrame:
-    """(d, h, shared): the runs of words of the whole texts that other texts hold too."""
-    texts = _long(docs.select("doc_id", "text", F.xxhash64("text").alias("doc_hash")))
-    return shared_passages(texts).withColumnsRenamed({"doc_id": "d", "doc_hash": "h", "runs": "shared"})
-
-
 def _spans(runs: str) -> Column:
     """The pairs (lo, hi) of a column of runs, null if there are none."""
     pairs = F.transform(F.sequence(F.lit(0), F.size(runs) - 2, F.lit(2)), lambda i: F.struct(F.get(runs, i).alias("lo"), F.get(runs, i + 1).alias("hi")))
@@ -177,13 +193,10 @@ def deduplicate(docs: DataFrame, percent: int = PERCENT, fewest_words: int = FEW
         found = _removed(repeated_paragraphs(docs, percent, fewest_words))
         release(docs.sparkSession)
         short = _short_removed(docs, fewest_words)
-        rest = stored(_rest(docs, found), "para-rest")
-        runs = _passages(rest)
-        drop_stored(rest)
-        shared = _shared(docs)
-    rows = docs.select("doc_id", F.xxhash64("text").alias("doc_hash"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
-    for more in (found.withColumnsRenamed({"doc_id": "d", "doc_hash": "h"}), short, runs, shared):
-        rows = rows.join(more, F.expr("doc_hash = h and doc_id <=> d"), "left").drop("d", "h")
+        runs, shared = repeated_and_shared(_long(docs.select("doc_id", "text", F.xxhash64("text").alias("doc_hash"))), _gone(found))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("doc_hash"), F.coalesce(F.expr("octet_length(text) - octet_length(replace(text, '\n', '')) + 1"), F.lit(0)).cast("long").alias("n_lines"))
+    for more in (found, short.withColumnsRenamed({"d": "doc_id", "h": "doc_hash"}), runs, shared.withColumnRenamed("runs", "shared")):
+        rows = rows.join(more.withColumnsRenamed({"doc_id": "d", "doc_hash": "h"}), F.expr("doc_hash = h and doc_id <=> d"), "left").drop("d", "h")
     gone = F.filter("found", lambda p: p["removed"])
     rows = rows.withColumns({"runs": _spans("runs"), "shared": _spans("shared")})
     return rows.select(

@@ -9,9 +9,10 @@ hold equal passages, so chunks are compared first and passages only of one chunk
 each kind. No repeated passage is missed; chunks and passages of equal 128-bit hash
 count as equal.
 
-``repeated_passages`` gives what can be cut, all places of a passage but the first;
-``shared_passages`` gives every place of the passages that stand in other documents
-too, the first included.
+``repeated_passages`` gives what can be cut, all places of a passage but the first.
+``repeated_and_shared`` gives that of the texts without some of their lines, and every
+place of the passages of the whole texts that stand in other documents too, the first
+included; each text is read once for both, to find the anchors and to hash chunks.
 """
 
 from __future__ import annotations
@@ -78,24 +79,36 @@ def _hashes(sums: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return B.mix((sums[hi] - sums[lo]) * B.powers(len(sums), inverse=True)[lo] + B.mix((hi - lo).astype(U64))).view(np.int64)
 
 
-def _words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and text of each word of a block, first word of each text."""
+def _words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and text of each word of a block, first word of each text, first byte of each word."""
     data = B.LOWER[data]
     starts, ends, first = B.words(data, off)
-    return B.word_hashes(data, starts, ends), np.repeat(np.arange(len(off) - 1), np.diff(first)), first
+    return B.word_hashes(data, starts, ends), np.repeat(np.arange(len(off) - 1), np.diff(first)), first, starts
+
+
+def _outside(data: np.ndarray, off: np.ndarray, starts: np.ndarray, text: np.ndarray, gone: pa.ListArray) -> np.ndarray:
+    """Whether each word of a block lies outside the lines ``gone`` of its text."""
+    breaks = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(data == 10, out=breaks[1:])
+    line = np.zeros(int(breaks[-1]) + len(off), bool)  # all lines of the block; a text begins a new one
+    owner = np.repeat(np.arange(len(off) - 1), np.diff(np.asarray(gone.offsets)))
+    line[breaks[off[owner]] + owner + np.asarray(gone.flatten())] = True
+    return ~line[breaks[starts] + text]
+
+
+def _lists(found: np.ndarray, first: np.ndarray, text: np.ndarray, hashed: np.ndarray, mask: np.ndarray | None = None) -> list[pa.Array]:
+    """The units and the starts of the anchors ``found``, a list for each text."""
+    bounds, none = pa.array(np.searchsorted(found, first).astype(np.int32)), None if mask is None else pa.array(mask)
+    return [pa.ListArray.from_arrays(bounds, pa.array(_hashes(_sums(hashed), found, found + UNIT)), mask=none),
+            pa.ListArray.from_arrays(bounds, pa.array((found - first[text[found]]).astype(np.int32)), mask=none)]
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at, data, off in B.blocks(batch.column(2)):
-            hashed, text, first = _words(data, off)
-            found = anchors(hashed, text)
-            bounds = pa.array(np.searchsorted(found, first).astype(np.int32))
+            hashed, text, first, _ = _words(data, off)
             rows = batch.slice(at, len(off) - 1)
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), rows.column(1), pa.ListArray.from_arrays(bounds, pa.array(_hashes(_sums(hashed), found, found + UNIT))),
-                 pa.ListArray.from_arrays(bounds, pa.array((found - first[text[found]]).astype(np.int32)))],
-                names=["doc_id", "doc_hash", "unit", "start"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *_lists(anchors(hashed, text), first, text, hashed)], names=["doc_id", "doc_hash", "unit", "start"])
 
 
 def _sequence_hashes(hashed: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -106,21 +119,23 @@ def _sequence_hashes(hashed: np.ndarray, first: np.ndarray) -> np.ndarray:
     return B.mix(total[first[1:]] - total[first[:-1]])
 
 
-def _units_and_sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """As ``_units``, with the number of words and a 128-bit hash of all of them, of
-    the texts that hold a passage."""
+def _both_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the texts that hold a passage: the number of words and a 128-bit hash of all
+    of them, the units as ``_units`` has them, and those of the text without the lines
+    in column 3, null where there are no such lines."""
     for batch in batches:
         for at, data, off in B.blocks(batch.column(2)):
-            hashed, text, first = _words(data, off)
-            found = anchors(hashed, text)
-            bounds = pa.array(np.searchsorted(found, first).astype(np.int32))
+            hashed, text, first, starts = _words(data, off)
             rows, size = batch.slice(at, len(off) - 1), np.diff(first)
+            gone = rows.column(3)
+            less = np.diff(np.asarray(gone.offsets)) > 0
+            left = np.flatnonzero(less[text] & _outside(data, off, starts, text, gone))
+            lefthash, lefttext = hashed[left], text[left]
             sequences = (_sequence_hashes(x, first).view(np.int64) for x in (hashed, B.mix(hashed ^ U64(0x8EBC6AF09C88C6E3))))
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), rows.column(1), pa.array(size.astype(np.int32)), *map(pa.array, sequences),
-                 pa.ListArray.from_arrays(bounds, pa.array(_hashes(_sums(hashed), found, found + UNIT))),
-                 pa.ListArray.from_arrays(bounds, pa.array((found - first[text[found]]).astype(np.int32)))],
-                names=["doc_id", "doc_hash", "n_words", "s1", "s2", "unit", "start"]).filter(pa.array(size >= PASSAGE))
+                [rows.column(0), rows.column(1), pa.array(size.astype(np.int32)), *map(pa.array, sequences), *_lists(anchors(hashed, text), first, text, hashed),
+                 *_lists(anchors(lefthash, lefttext), np.searchsorted(lefttext, np.arange(len(off))), lefttext, lefthash, ~less)],
+                names=["doc_id", "doc_hash", "n_words", "s1", "s2", "unit", "start", "left_unit", "left_start"]).filter(pa.array(size >= PASSAGE))
 
 
 def _first_in_text(text: np.ndarray, c1: np.ndarray, c2: np.ndarray) -> np.ndarray:
@@ -135,12 +150,17 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The chunks whose anchor is one of the places in column 3: their first passage,
     the number of their passages, a 128-bit hash of all their words, and one of each
     of their passages. Column 4 tells whether those that stand in the text before come
-    without hashes, neighbours as one."""
+    without hashes, neighbours as one; column 5, if there is one, has lines that the
+    text is taken without."""
     for batch in batches:
-        once = len(batch) > 0 and batch.column(4)[0].as_py()
         for at, data, off in B.blocks(batch.column(2)):
-            hashed, text, first = _words(data, off)
-            rows, n = batch.slice(at, len(off) - 1), max(0, len(hashed) - PASSAGE + 1)
+            hashed, text, first, begin = _words(data, off)
+            rows = batch.slice(at, len(off) - 1)
+            if batch.num_columns > 5:
+                left = np.flatnonzero(_outside(data, off, begin, text, rows.column(5)))
+                hashed, text = hashed[left], text[left]
+                first = np.searchsorted(text, np.arange(len(off)))
+            once, n = rows.column(4).to_numpy(zero_copy_only=False), max(0, len(hashed) - PASSAGE + 1)
             lists = rows.column(3)
             units = np.asarray(lists.flatten()) + np.repeat(first[:-1], np.diff(np.asarray(lists.offsets)))
             wanted = np.zeros(len(hashed) + 1, bool)
@@ -154,7 +174,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lo, hi = starts[bounds[:-1]], starts[bounds[1:] - 1] + PASSAGE
             sums = [_sums(x) for x in (hashed, B.mix(hashed ^ U64(0x8EBC6AF09C88C6E3)))]
             c1, c2 = (_hashes(x, lo, hi) for x in sums)
-            head = _first_in_text(text[lo], c1, c2) if once else np.ones(len(lo), bool)
+            head = _first_in_text(text[lo], c1, c2) | ~once[text[lo]]
             # a chunk without hashes goes on in the next one if that has none either
             begins = head.copy()
             begins[:1] = True
@@ -168,8 +188,8 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0).take(row), rows.column(1).take(row), pa.array((lo - first[text[lo]]).astype(np.int32)), pa.array(n.astype(np.int32)),
                  *(pa.array(x[begin], mask=~head) for x in (c1, c2)),
-                 *(pa.ListArray.from_arrays(pa.array(lists), pa.array(_hashes(x, places, places + PASSAGE)), mask=none) for x in sums)],
-                names=["doc_id", "doc_hash", "start", "n", "c1", "c2", "h1", "h2"])
+                 *(pa.ListArray.from_arrays(pa.array(lists), pa.array(_hashes(x, places, places + PASSAGE)), mask=none) for x in sums), rows.column(4).take(row)],
+                names=["doc_id", "doc_hash", "start", "n", "c1", "c2", "h1", "h2", "own"])
 
 
 def _each(chunks: DataFrame, *columns: str) -> DataFrame:
@@ -183,18 +203,61 @@ def repeated_passages(texts: DataFrame) -> DataFrame:
     order, that lie in a passage whose first place is another. Places are ordered by
     (doc_id, start, doc_hash). ``texts`` (doc_id, doc_hash, text: bytes) is a stored
     table without nulls in text; rows equal in doc_id and doc_hash are one document."""
-    spark, kind = texts.sparkSession, texts.schema["doc_id"].dataType.simpleString()
-    units = stored(texts.mapInArrow(_units, f"doc_id {kind}, doc_hash bigint, unit array<bigint>, start array<int>"), "para-units")
-    chunks = _near_units(texts, units, True)
+    units = stored(texts.mapInArrow(_units, f"doc_id {_kind(texts)}, doc_hash bigint, unit array<bigint>, start array<int>"), "para-units")
+    places = _places(units, True)
     drop_stored(units)
+    chunks = _chunks_at(texts, places)
+    out = _repeated(chunks)
+    drop_stored(chunks)
+    return out
+
+
+def repeated_and_shared(texts: DataFrame, gone: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two tables (doc_id, doc_hash, runs): the repeated passages as in
+    :func:`repeated_passages`, of the texts without the lines ``gone`` (d, h, gone: a
+    row for each document that has some, words counted without them), and of the whole
+    texts the words that lie in a passage which another document holds too, whichever
+    is first. Of documents with the same words one is searched for the latter; the
+    others share all they have."""
+    spark, none = texts.sparkSession, F.array().cast("array<int>")
+    units = texts.join(gone, F.expr("doc_hash = h and doc_id <=> d"), "left").select("doc_id", "doc_hash", "text", F.coalesce("gone", none).alias("gone"))
+    units = units.mapInArrow(_both_units, f"doc_id {_kind(texts)}, doc_hash bigint, n_words int, s1 bigint, s2 bigint, unit array<bigint>, start array<int>, left_unit array<bigint>, left_start array<int>")
+    document = F.xxhash64("doc_id", "doc_hash")
+    units = stored(units.withColumn("document", document), "para-all-units")
     release(spark)
+    copies = stored(units.groupBy("s1", "s2").agg(F.min("document").alias("one"), F.max("document").alias("last")).where("one <> last").drop("last"), "para-copies")
+    searched = units.join(copies, ["s1", "s2"], "left").where("one is null or document = one").select("doc_id", "doc_hash", "unit", "start")
+    searched = stored(searched, "para-searched")
+    whole = stored(units.join(copies, ["s1", "s2"], "left_semi").select("doc_id", "doc_hash", F.array(F.lit(0), "n_words").alias("runs")).distinct(), "para-whole")
+    drop_stored(copies)
+    release(spark)
+    places = _places(searched, False)
+    drop_stored(searched)
+    # the places in whole texts, and those in texts without the lines
+    left = _places(units.select("doc_id", "doc_hash", F.coalesce("left_unit", "unit").alias("unit"), F.coalesce("left_start", "start").alias("start")), True)
+    drop_stored(units)
+    less = gone.select(F.col("d").alias("a"), F.col("h").alias("b"), "gone")
+    wanted = left.join(less, F.expr("h = b and d <=> a"), "left").select("d", "h", "starts", "own", F.coalesce("gone", none).alias("gone"))
+    chunks = _chunks_at(texts, wanted.unionAll(places.select("d", "h", "starts", "own", none.alias("gone"))))
+    drop_stored(places, left)
+    out = _repeated(chunks.where("own")), _shared(chunks.where("not own"), whole)
+    drop_stored(chunks, whole)
+    return out
+
+
+def _kind(texts: DataFrame) -> str:
+    return texts.schema["doc_id"].dataType.simpleString()
+
+
+def _repeated(chunks: DataFrame) -> DataFrame:
+    spark = chunks.sparkSession
     place = F.struct("doc_id", "start", "doc_hash")
     first = stored(chunks.where("c1 is not null").groupBy("c1", "c2").agg(F.min(place).alias("first")), "para-chunk-firsts")
     # all passages of a chunk that has its first place elsewhere have theirs there or before
     head = place.eqNullSafe(F.col("first"))
     found = chunks.join(first, ["c1", "c2"]).select("doc_id", "doc_hash", "start", "n", *(F.when(head, F.col(x)).alias(x) for x in ("h1", "h2")))
-    found = stored(found.unionByName(chunks.where("c1 is null").drop("c1", "c2")), "para-found-chunks")
-    drop_stored(chunks, first)
+    found = stored(found.unionByName(chunks.where("c1 is null").drop("c1", "c2", "own")), "para-found-chunks")
+    drop_stored(first)
     release(spark)
     passages = _each(found, "doc_id", "doc_hash")
     first = passages.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("not (first <=> last)").drop("last")
@@ -206,29 +269,13 @@ def repeated_passages(texts: DataFrame) -> DataFrame:
     return out
 
 
-def shared_passages(texts: DataFrame) -> DataFrame:
-    """(doc_id, doc_hash, runs): of each document the words, as in
-    :func:`repeated_passages`, that lie in a passage which another document holds
-    too, whichever is first. Of documents with the same words one is searched; the
-    others share all they have."""
-    spark, kind = texts.sparkSession, texts.schema["doc_id"].dataType.simpleString()
-    units = texts.mapInArrow(_units_and_sequences, f"doc_id {kind}, doc_hash bigint, n_words int, s1 bigint, s2 bigint, unit array<bigint>, start array<int>")
-    document = F.xxhash64("doc_id", "doc_hash")
-    units = stored(units.withColumn("document", document), "para-all-units")
-    copies = stored(units.groupBy("s1", "s2").agg(F.min("document").alias("one"), F.max("document").alias("last")).where("one <> last").drop("last"), "para-copies")
-    searched = units.join(copies, ["s1", "s2"], "left").where("one is null or document = one").select("doc_id", "doc_hash", "unit", "start")
-    searched = stored(searched, "para-searched")
-    whole = stored(units.join(copies, ["s1", "s2"], "left_semi").select("doc_id", "doc_hash", F.array(F.lit(0), "n_words").alias("runs")).distinct(), "para-whole")
-    drop_stored(units, copies)
-    release(spark)
-    chunks = _near_units(texts, searched, False)
-    drop_stored(searched)
-    release(spark)
+def _shared(chunks: DataFrame, whole: DataFrame) -> DataFrame:
+    spark, document = chunks.sparkSession, F.xxhash64("doc_id", "doc_hash")
     holders = stored(chunks.groupBy("c1", "c2").agg(F.min(document).alias("one"), F.max(document).alias("last")), "para-holders")
     # one document of each chunk is asked for its passages
     found = chunks.join(holders, ["c1", "c2"]).select("doc_id", "doc_hash", "start", "n", "one", "last", *(F.when(document == F.col("one"), F.col(x)).alias(x) for x in ("h1", "h2")))
     found = stored(found, "para-held-chunks")
-    drop_stored(chunks, holders)
+    drop_stored(holders)
     release(spark)
     passages = _each(found, "one", "last").groupBy("h1", "h2").agg(F.min("one").alias("one"), F.max("last").alias("last"), F.max(F.expr("one = last")).alias("open"))
     passages = stored(passages.where("one <> last and open").select("h1", "h2"), "para-shared")
@@ -236,27 +283,33 @@ def shared_passages(texts: DataFrame) -> DataFrame:
     runs = _joined(more.unionAll(found.where("one <> last").select("doc_id", "doc_hash", "start", "n")))
     copied = whole.select(F.col("doc_id").alias("d"), F.col("doc_hash").alias("h"))
     out = stored(runs.join(copied, F.expr("doc_hash = h and doc_id <=> d"), "left_anti").unionAll(whole), "para-shared-runs")
-    drop_stored(found, passages, whole)
+    drop_stored(found, passages)
     release(spark)
     return out
 
 
-def _near_units(texts: DataFrame, units: DataFrame, own: bool) -> DataFrame:
-    """(doc_id, doc_hash, start, n, c1, c2, h1, h2): all chunks at the units that occur
-    more than once, stored. With ``own`` a second time in one document counts, and what
-    stands in the same document before comes without hashes; otherwise units of two
-    documents count. ``units`` (doc_id, doc_hash, unit, start) is a stored table."""
-    spark, kind = texts.sparkSession, texts.schema["doc_id"].dataType.simpleString()
+def _places(units: DataFrame, own: bool) -> DataFrame:
+    """(d, h, starts, own): of each document the places of units that occur more than
+    once, stored. With ``own`` a second time in one document counts, otherwise units of
+    two documents do. ``units`` (doc_id, doc_hash, unit, start) comes from a stored table."""
+    spark = units.sparkSession
     again = stored(units.select(F.explode("unit" if own else F.array_distinct("unit")).alias("unit")).groupBy("unit").agg(F.count("*").alias("n")).where("n > 1").select("unit"), "para-again")
     release(spark)
-    places = units.select("doc_id", "doc_hash", F.inline(F.arrays_zip("unit", "start"))).join(again, "unit").groupBy("doc_id", "doc_hash").agg(F.collect_set("start").alias("starts"))
-    places = stored(places.withColumnsRenamed({"doc_id": "d", "doc_hash": "h"}), "para-places")  # bounded by the text
+    places = units.select("doc_id", "doc_hash", F.posexplode("unit").alias("i", "unit"), "start").select("doc_id", "doc_hash", "unit", F.get("start", "i").alias("start")).join(again, "unit").groupBy("doc_id", "doc_hash").agg(F.collect_set("start").alias("starts"))
+    places = stored(places.select(F.col("doc_id").alias("d"), F.col("doc_hash").alias("h"), "starts", F.lit(own).alias("own")), "para-places")  # bounded by the text
     drop_stored(again)
     release(spark)
-    near = texts.join(places, F.expr("doc_hash = h and doc_id <=> d")).select("doc_id", "doc_hash", "text", "starts", F.lit(own).alias("own"))
-    found = stored(near.mapInArrow(_chunks, f"doc_id {kind}, doc_hash bigint, start int, n int, c1 bigint, c2 bigint, h1 array<bigint>, h2 array<bigint>"), "para-chunks")
-    drop_stored(places)
-    release(spark)
+    return places
+
+
+def _chunks_at(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """(doc_id, doc_hash, start, n, c1, c2, h1, h2, own): the chunks at ``places`` (d, h,
+    starts, own and perhaps gone), stored. With ``own`` what stands in the same document
+    before comes without hashes."""
+    near = texts.join(places, F.expr("doc_hash = h and doc_id <=> d")).select("doc_id", "doc_hash", "text", *places.columns[2:])
+    kinds = f"doc_id {_kind(texts)}, doc_hash bigint, start int, n int, c1 bigint, c2 bigint, h1 array<bigint>, h2 array<bigint>, own boolean"
+    found = stored(near.mapInArrow(_chunks, kinds), "para-chunks", "own")
+    release(texts.sparkSession)
     return found
 
 

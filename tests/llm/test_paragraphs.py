@@ -2,9 +2,11 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from test_near_dup import shingles
 
+from seriesforge.llm import near_dup, passages
 from seriesforge.llm import paragraphs as P
 from seriesforge.llm.common import read_table
 
@@ -169,3 +171,28 @@ def test_shared_passages_of_rows_without_ids(docs_of):
 def test_documents_share_what_brute_force_finds(spark):
     rows = [(r.doc_id, r.text) for r in read_table(spark, SF, "documents").collect()]
     assert shared_words(P.op2_paragraph_dedup(spark, SF).collect()) == shared_brute(rows)
+
+
+def test_lines_of_a_batch():
+    """A line is cut out of the bytes of its text, in Python: no row for each line goes there."""
+    texts = ["a b\nc", "", "\n", "x\n\ny\n", "one", "\n\nz"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(range(10, 16)), pa.array([t.encode() for t in texts], pa.binary())], names=["doc_id", "doc_hash", "text"])
+    for part in (batch, batch.slice(2, 3)):
+        got = [(r["doc_id"], r["doc_hash"], r["line"], r["text"].decode().removesuffix("\n")) for b in P._lines(iter([part])) for r in b.to_pylist()]
+        assert got == [(d, d + 10, i, line) for d in part.column(0).to_pylist() for i, line in enumerate(texts[d].split("\n"))]
+
+
+def test_texts_are_stored_by_no_step(docs_of, monkeypatch):
+    """Passages are searched in whole texts and in what is left of them at once; what is
+    left is not written, and no step reads a row for each line."""
+    rng, written = random.Random(13), []
+    prose = lambda n: " ".join(f"w{rng.randrange(900)}" for _ in range(n))
+    line, passage = prose(20), prose(60)
+    rows = [(1, line + "\n" + prose(20) + " " + passage), (2, prose(30) + "\n" + line + "\n" + passage + " " + prose(9)), (3, prose(70))]
+    for module in (P, passages, near_dup):
+        put = module.stored
+        monkeypatch.setattr(module, "stored", lambda df, label, *by, put=put: written.append((label, df.columns)) or put(df, label, *by))
+    out = {r.doc_id: r for r in P.deduplicate(docs_of(rows)).collect()}
+    assert written and not [x for x in written if "text" in x[1]]
+    # passages count words without the removed line, shared with it
+    assert out[2].removed == "1" and out[2].passages == "30:90" and out[2].shared == "50:110" and out[1].shared == "40:100"
